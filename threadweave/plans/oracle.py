@@ -146,15 +146,15 @@ def _scc_two_rounds(edges: str, verts: str, prefix: str, grouped: bool = False)
     Work set = vertices that reach a cycle and are reached from one (what
     trimming leaves); colour = least work ancestor; settled iff the vertex
     reaches its colour."""
-    g, gc, on = ("g, ", "r.g = v.g AND ", "g, ") if grouped else ("", "", "")
+    g, gc = ("g, ", "r.g = v.g AND ") if grouped else ("", "")
     vsrc = (f"(SELECT DISTINCT period AS g, id FROM {verts})" if grouped
             else f"(SELECT DISTINCT id FROM {verts})")
     return ",\n".join([
         _closure(edges, prefix, grouped),
         f"{prefix}_cyc AS (SELECT DISTINCT {g}a AS id FROM {prefix}_reach WHERE a = b)",
-        f"{prefix}_fwd AS (SELECT DISTINCT {g}r.a AS id FROM {prefix}_reach r JOIN {prefix}_cyc c "
+        f"{prefix}_fwd AS (SELECT DISTINCT {'r.g, ' if grouped else ''}r.a AS id FROM {prefix}_reach r JOIN {prefix}_cyc c "
         f"ON {'c.g = r.g AND ' if grouped else ''}c.id = r.b UNION SELECT {g}id FROM {prefix}_cyc)",
-        f"{prefix}_bwd AS (SELECT DISTINCT {g}r.b AS id FROM {prefix}_reach r JOIN {prefix}_cyc c "
+        f"{prefix}_bwd AS (SELECT DISTINCT {'r.g, ' if grouped else ''}r.b AS id FROM {prefix}_reach r JOIN {prefix}_cyc c "
         f"ON {'c.g = r.g AND ' if grouped else ''}c.id = r.a UNION SELECT {g}id FROM {prefix}_cyc)",
         f"{prefix}_work AS (SELECT {g}id FROM {prefix}_fwd INTERSECT SELECT {g}id FROM {prefix}_bwd)",
         f"{prefix}_col AS (SELECT {'w.g, ' if grouped else ''}w.id, least(w.id, coalesce(min(r.a), w.id)) AS color "
