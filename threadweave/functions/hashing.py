@@ -26,24 +26,28 @@ _MASK = _MOD - 1
 _SIGN = 2147483648         # 2^31
 
 
-def _hash_batch(s: pd.Series) -> pd.Series:
-    isnull = s.isna().to_numpy()
-    enc = [b"" if missing else v.encode("utf-16-be") for v, missing in zip(s.to_numpy(dtype=object), isnull)]
-    lens = np.fromiter((len(b) >> 1 for b in enc), dtype=np.int64, count=len(enc))
-    units = np.frombuffer(b"".join(enc), dtype=">u2").astype(np.uint32)
-    starts = np.cumsum(lens) - lens
-    h = np.zeros(len(enc), dtype=np.uint32)
-    active = np.arange(len(enc))
-    j = 0
-    while active.size:
-        active = active[lens[active] > j]
-        if active.size:
-            h[active] = h[active] * np.uint32(31) + units[starts[active] + j]
-        j += 1
-    return pd.Series(h.view(np.int32), index=s.index).astype("Int32").mask(isnull)
+def _make_hash_batch():
+    # Built as a closure so cloudpickle ships the function body by value:
+    # executors need numpy and pandas, not this package on their path.
+    def hash_batch(s: pd.Series) -> pd.Series:
+        isnull = s.isna().to_numpy()
+        enc = [b"" if missing else v.encode("utf-16-be") for v, missing in zip(s.to_numpy(dtype=object), isnull)]
+        lens = np.fromiter((len(b) >> 1 for b in enc), dtype=np.int64, count=len(enc))
+        units = np.frombuffer(b"".join(enc), dtype=">u2").astype(np.uint32)
+        starts = np.cumsum(lens) - lens
+        h = np.zeros(len(enc), dtype=np.uint32)
+        active = np.arange(len(enc))
+        j = 0
+        while active.size:
+            active = active[lens[active] > j]
+            if active.size:
+                h[active] = h[active] * np.uint32(31) + units[starts[active] + j]
+            j += 1
+        return pd.Series(h.view(np.int32), index=s.index).astype("Int32").mask(isnull)
+    return hash_batch
 
 
-_hash_udf = F.pandas_udf(_hash_batch, IntegerType())
+_hash_udf = F.pandas_udf(_make_hash_batch(), IntegerType())
 
 
 def java_string_hash(col: Column | str) -> Column:

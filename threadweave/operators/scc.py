@@ -14,12 +14,14 @@ smallest vertex id of the component (signed compare).  One outer round:
    that colour.
 
 Colouring runs only while the round number is below ``max_iter``, so
-``max_iter=k`` performs k-1 colourings; unsettled vertices keep their own id.
-``max_iter=2`` is therefore a partial answer, not full SCC.
+``max_iter=k`` performs k-1 colourings; unsettled vertices keep their own id
+(so do trimmed ones — only sweep results need recording).  ``max_iter=2`` is
+therefore a partial answer, not full SCC.
 
 Plan: parallel edges are collapsed once (self-loops kept).  Each phase is a
-frontier iteration in which one Spark job produces the next state table
-(written to the checkpoint folder, counted by ``observe`` in the same job):
+frontier iteration; every written state (checkpoint folder, counted by
+``observe`` in the same job) covers ``threadweave.iter.hopsPerJob`` steps —
+all three steps are monotone, so steps after convergence change nothing:
 
 * trimming peels a frontier of dead vertices and decrements the degrees of
   their neighbours (work ~ edges touching the frontier, not the whole graph);
@@ -27,94 +29,109 @@ frontier iteration in which one Spark job produces the next state table
 * the sweep pushes only newly settled vertices backward along same-colour
   edges.
 
-Frontier-to-edge joins go through ``join_state`` (broadcast under a counted
-bound, else the hot-key split).  Group columns run many graphs at once.
+Frontier-to-edge joins go through ``join_state`` with the work-set size as
+the proven bound (broadcast under it, else the hot-key split).  Group columns
+run many graphs (e.g. periods) in the same jobs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadweave.operators.graph import PropertyGraph
 from threadweave.operators.joins import hot_keys, join_state, semi_or_anti
-from threadweave.runtime import cut_observed
+from threadweave.runtime import CONF_HOPS_PER_JOB, conf_int, cut_observed
 from threadweave.schema import SCC_MAX_ITER
 
 
-def _restrict(edges: DataFrame, alive: DataFrame, g: list[str], n_alive: int) -> tuple[DataFrame, int]:
+def _flag_count(cond: Column) -> Column:
+    return F.sum(F.when(cond, 1).otherwise(0))
+
+
+def _iterate(state: DataFrame, step: Callable[[DataFrame], DataFrame], name: str, flag: Column,
+             **extra: Column) -> tuple[DataFrame, dict]:
+    """Apply ``step`` until no row has ``flag`` set; one written state per
+    ``hopsPerJob`` steps."""
+    hops = max(1, conf_int(state.sparkSession, CONF_HOPS_PER_JOB))
+    state, m = cut_observed(state, name, active=_flag_count(flag), **extra)
+    while m["active"] > 0:
+        nxt = state
+        for _ in range(hops):
+            nxt = step(nxt)
+        state, m = cut_observed(nxt, name, active=_flag_count(flag), **extra)
+    return state, m
+
+
+def _restrict(edges: DataFrame, alive: DataFrame, g: list[str], n_alive: int) -> DataFrame:
     """Edges with both ends alive, written out."""
     e = semi_or_anti(edges, alive.withColumnRenamed("id", "src"), [*g, "src"], n_alive, "left_semi")
     e = semi_or_anti(e, alive.withColumnRenamed("id", "dst"), [*g, "dst"], n_alive, "left_semi")
-    e, m = cut_observed(e, "scc-edges")
-    return e, m["rows"]
-
+    return cut_observed(e, "scc-edges")[0]
 
-def _trim(work: DataFrame, edges: DataFrame, g: list[str]) -> tuple[DataFrame, int, list[DataFrame]]:
-    """Peel vertices without in- or out-edges until none is left.
 
-    Returns (surviving vertices, their count, frames of peeled vertices)."""
+def _trim(work: DataFrame, n_work: int, edges: DataFrame, g: list[str]) -> tuple[DataFrame, int]:
+    """Peel vertices without in- or out-edges until none is left; the survivors."""
     keys = [*g, "id"]
     outdeg = edges.groupBy(*g, F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("outdeg"))
     indeg = edges.groupBy(*g, F.col("dst").alias("id")).agg(F.count(F.lit(1)).alias("indeg"))
     deg = (work.join(outdeg, keys, "left").join(indeg, keys, "left")
            .select(*keys, F.coalesce("indeg", F.lit(0)).alias("indeg"), F.coalesce("outdeg", F.lit(0)).alias("outdeg")))
     dead = (F.col("indeg") <= 0) | (F.col("outdeg") <= 0)
-    deg, m = cut_observed(deg, "scc-degrees", dead=F.sum(F.when(dead, 1).otherwise(0)))
-    peeled: list[DataFrame] = []
-    while m["dead"] > 0:
-        frontier = deg.filter(dead).select(*keys)
-        n_front = m["dead"]
-        peeled.append(frontier)
+
+    def step(d: DataFrame) -> DataFrame:
+        frontier = d.filter(dead).select(*keys)
         # an edge out of a peeled vertex costs its head one in-degree, and vice versa
-        lost_in = (semi_or_anti(edges, frontier.withColumnRenamed("id", "src"), [*g, "src"], n_front, "left_semi")
+        lost_in = (join_state(edges, frontier.withColumnRenamed("id", "src"), [*g, "src"], n_work)
                    .groupBy(*g, F.col("dst").alias("id")).agg(F.count(F.lit(1)).alias("di")))
-        lost_out = (semi_or_anti(edges, frontier.withColumnRenamed("id", "dst"), [*g, "dst"], n_front, "left_semi")
+        lost_out = (join_state(edges, frontier.withColumnRenamed("id", "dst"), [*g, "dst"], n_work)
                     .groupBy(*g, F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("do")))
-        nxt = (semi_or_anti(deg, frontier, keys, n_front, "left_anti")
-               .join(lost_in, keys, "left").join(lost_out, keys, "left")
-               .select(*keys, (F.col("indeg") - F.coalesce("di", F.lit(0))).alias("indeg"),
-                       (F.col("outdeg") - F.coalesce("do", F.lit(0))).alias("outdeg")))
-        deg, m = cut_observed(nxt, "scc-degrees", dead=F.sum(F.when(dead, 1).otherwise(0)))
-    return deg.select(*keys), m["rows"], peeled
+        return (d.filter(~dead).join(lost_in, keys, "left").join(lost_out, keys, "left")
+                .select(*keys, (F.col("indeg") - F.coalesce("di", F.lit(0))).alias("indeg"),
+                        (F.col("outdeg") - F.coalesce("do", F.lit(0))).alias("outdeg")))
+
+    deg, m = _iterate(deg, step, "scc-degrees", dead)
+    return deg.select(*keys), m["rows"]
 
 
 def _colour(work: DataFrame, n_work: int, edges: DataFrame, g: list[str], hot_src) -> DataFrame:
     """Minimum ancestor id per work vertex: (keys, color)."""
     keys = [*g, "id"]
-    state, m = cut_observed(work.select(*keys, F.col("id").alias("color"), F.lit(True).alias("changed")),
-                            "scc-colour", changed=F.sum(F.when(F.col("changed"), 1).otherwise(0)))
-    while m["changed"] > 0:
+
+    def step(state: DataFrame) -> DataFrame:
         front = state.filter("changed").select(*g, F.col("id").alias("src"), F.col("color").alias("c"))
-        msgs = (join_state(edges, front, [*g, "src"], m["changed"], hot_src)
+        msgs = (join_state(edges, front, [*g, "src"], n_work, hot_src)
                 .groupBy(*g, F.col("dst").alias("id")).agg(F.min("c").alias("m")))
         better = F.coalesce(F.col("m") < F.col("color"), F.lit(False))
-        nxt = state.join(msgs, keys, "left").select(
+        return state.join(msgs, keys, "left").select(
             *keys, F.when(better, F.col("m")).otherwise(F.col("color")).alias("color"), better.alias("changed"))
-        state, m = cut_observed(nxt, "scc-colour", changed=F.sum(F.when(F.col("changed"), 1).otherwise(0)))
+
+    start = work.select(*keys, F.col("id").alias("color"), F.lit(True).alias("changed"))
+    state, _ = _iterate(start, step, "scc-colour", F.col("changed"))
     return state.select(*keys, "color")
 
 
-def _sweep(colours: DataFrame, edges: DataFrame, g: list[str], hot_dst) -> tuple[DataFrame, int]:
+def _sweep(colours: DataFrame, n_work: int, edges: DataFrame, g: list[str], hot_dst) -> tuple[DataFrame, int]:
     """Settle vertices that reach their colour's root through same-colour vertices."""
     keys = [*g, "id"]
     src_c = colours.select(*g, F.col("id").alias("src"), F.col("color").alias("sc"))
     dst_c = colours.select(*g, F.col("id").alias("dst"), F.col("color").alias("dc"))
-    same, ms = cut_observed(edges.join(src_c, [*g, "src"]).join(dst_c, [*g, "dst"])
-                            .filter(F.col("sc") == F.col("dc")).select(*g, "src", "dst"), "scc-same")
-    root = F.col("id") == F.col("color")
-    count_fresh = F.sum(F.when(F.col("fresh"), 1).otherwise(0))
-    count_final = F.sum(F.when(F.col("final"), 1).otherwise(0))
-    state, m = cut_observed(colours.select(*keys, "color", root.alias("final"), root.alias("fresh")),
-                            "scc-sweep", fresh=count_fresh, final=count_final)
-    while m["fresh"] > 0:
+    same, _ = cut_observed(edges.join(src_c, [*g, "src"]).join(dst_c, [*g, "dst"])
+                           .filter(F.col("sc") == F.col("dc")).select(*g, "src", "dst"), "scc-same")
+
+    def step(state: DataFrame) -> DataFrame:
         front = state.filter("fresh").select(*g, F.col("id").alias("dst"))
-        reached = (join_state(same, front, [*g, "dst"], m["fresh"], hot_dst)
+        reached = (join_state(same, front, [*g, "dst"], n_work, hot_dst)
                    .select(*g, F.col("src").alias("id")).distinct().withColumn("hit", F.lit(True)))
         hit = F.coalesce(F.col("hit"), F.lit(False))
-        nxt = state.join(reached, keys, "left").select(
+        return state.join(reached, keys, "left").select(
             *keys, "color", (F.col("final") | hit).alias("final"), (hit & ~F.col("final")).alias("fresh"))
-        state, m = cut_observed(nxt, "scc-sweep", fresh=count_fresh, final=count_final)
+
+    root = F.col("id") == F.col("color")
+    start = colours.select(*keys, "color", root.alias("final"), root.alias("fresh"))
+    state, m = _iterate(start, step, "scc-sweep", F.col("fresh"), final=_flag_count(F.col("final")))
     settled = state.filter("final").select(*keys, F.col("color").alias("component"))
     return settled, m["final"]
 
@@ -123,33 +140,33 @@ def scc_labels(graph: PropertyGraph, max_iter: int = SCC_MAX_ITER) -> DataFrame:
     """(group..., id, component) for every distinct vertex id."""
     g = list(graph.group)
     keys = [*g, "id"]
-    work, mv = cut_observed(graph.vertices.select(*keys).distinct(), "scc-vertices")
-    n_work = mv["rows"]
+    vertices, mv = cut_observed(graph.vertices.select(*keys).distinct(), "scc-vertices")
+    work, n_work = vertices, mv["rows"]
     edges, me = cut_observed(graph.edges.select(*g, "src", "dst").distinct(), "scc-edges")
     hot_src = hot_keys(edges, [*g, "src"], me["rows"])
     hot_dst = hot_keys(edges, [*g, "dst"], me["rows"])
 
-    own = F.col("id").alias("component")
     settled: list[DataFrame] = []
     rnd = 0
     while n_work > 0 and rnd < max_iter:
         rnd += 1
-        work, n_work, peeled = _trim(work, edges, g)
-        settled += [p.select(*keys, own) for p in peeled]
+        work, n_work = _trim(work, n_work, edges, g)
         if n_work == 0 or rnd >= max_iter:
             break
-        edges, _ = _restrict(edges, work, g, n_work)
+        edges = _restrict(edges, work, g, n_work)
         colours = _colour(work, n_work, edges, g, hot_src)
-        done, n_done = _sweep(colours, edges, g, hot_dst)
+        done, n_done = _sweep(colours, n_work, edges, g, hot_dst)
         settled.append(done)
         work, mw = cut_observed(semi_or_anti(work, done.select(*keys), keys, n_done, "left_anti"), "scc-work")
         n_work = mw["rows"]
-        edges, _ = _restrict(edges, work, g, n_work)
-    settled.append(work.select(*keys, own))
-    out = settled[0]
+        edges = _restrict(edges, work, g, n_work)
+    if not settled:
+        return vertices.withColumn("component", F.col("id"))
+    found = settled[0]
     for part in settled[1:]:
-        out = out.unionByName(part)
-    return out
+        found = found.unionByName(part)
+    return (vertices.join(found, keys, "left")
+            .select(*keys, F.coalesce(F.col("component"), F.col("id")).alias("component")))
 
 
 def strongly_connected_components(graph: PropertyGraph, max_iter: int = SCC_MAX_ITER) -> DataFrame:

@@ -22,6 +22,7 @@ CONF_HOT_MAX_KEYS = "threadweave.skew.maxHotKeys"          # bound on the broadc
 CONF_HOT_MIN_ROWS = "threadweave.skew.minHotRows"          # a key is hot above this many rows
 CONF_CHECKPOINT_EVERY = "threadweave.iter.checkpointEvery"  # iterations between checkpoints
 CONF_MEMBER_NAMES_PER_ROW = "threadweave.report.namesPerRow"
+CONF_HOPS_PER_JOB = "threadweave.iter.hopsPerJob"          # frontier steps per written state
 
 DEFAULTS = {
     CONF_BROADCAST_ROWS: 2_000_000,
@@ -29,6 +30,7 @@ DEFAULTS = {
     CONF_HOT_MIN_ROWS: 200_000,
     CONF_CHECKPOINT_EVERY: 5,
     CONF_MEMBER_NAMES_PER_ROW: 10_000,
+    CONF_HOPS_PER_JOB: 2,
 }
 
 
