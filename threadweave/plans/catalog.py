@@ -20,7 +20,7 @@ from threadweave.functions import java_string_hash
 from threadweave.operators import counts, graph, motif, pagerank, prep, scc, triangles
 from threadweave.operators.graph import PropertyGraph
 from threadweave.plans import reports
-from threadweave.runtime import checkpoint_dir, scratch_path
+from threadweave.runtime import checkpoint_dir, cut, scratch_path
 from threadweave.schema import (
     PAGERANK_MAX_ITER, SCC_MAX_ITER, SCC_MAX_ITER_SEASON, TOP_COMPONENTS_PERIOD, TOP_COMPONENTS_SEASON,
     TOP_PAGERANK,
@@ -32,7 +32,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 class Pipeline:
-    """The stages of the original pipeline over one data directory."""
+    """The stages of the original pipeline over one data directory.
+
+    Like the original jobs, the prepped posts and comments (and the season
+    tables) are written once as parquet tables in the shared checkpoint folder
+    and read back: several branches of most plans read them, and the Java hash
+    behind them then runs once instead of once per branch.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -50,13 +56,14 @@ class Pipeline:
 
     @cached_property
     def posts(self) -> DataFrame:
-        return prep.prep_submissions(self.submissions_raw)
+        return cut(prep.prep_submissions(self.submissions_raw), "submissionPrepped")
 
     @cached_property
     def comments(self) -> DataFrame:
-        return prep.prep_comments(self.comments_raw)
+        return cut(prep.prep_comments(self.comments_raw), "commentPrepped")
 
     # step 2: graphs
+    # (graph tables stay lazy: the iterative operators write their own inputs)
     @cached_property
     def user_graph(self) -> PropertyGraph:
         return graph.user_graph(self.posts, self.comments)
@@ -77,11 +84,11 @@ class Pipeline:
 
     @cached_property
     def season_posts(self) -> DataFrame:
-        return prep.prep_season_posts(self._season_rows(self.submissions_raw))
+        return cut(prep.prep_season_posts(self._season_rows(self.submissions_raw)), "seasonPosts")
 
     @cached_property
     def season_comments(self) -> DataFrame:
-        return prep.prep_season_comments(self._season_rows(self.comments_raw))
+        return cut(prep.prep_season_comments(self._season_rows(self.comments_raw)), "seasonComments")
 
     @cached_property
     def period_graph(self) -> PropertyGraph:
