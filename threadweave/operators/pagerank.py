@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from threadweave.operators.graph import PropertyGraph
 from threadweave.operators.joins import hot_keys, join_state
-from threadweave.runtime import CONF_CHECKPOINT_EVERY, conf_int, cut
+from threadweave.runtime import CONF_CHECKPOINT_EVERY, conf_int, cut, loop_conf
 from threadweave.schema import PAGERANK_MAX_ITER, PAGERANK_RESET
 
 
@@ -61,17 +61,19 @@ def pagerank_ranks(graph: PropertyGraph, max_iter: int = PAGERANK_MAX_ITER,
     # needs no join at all (every rank is 1.0).
     every = max(1, conf_int(spark, CONF_CHECKPOINT_EVERY))
     ranks = None
-    for i in range(max_iter):
-        if ranks is None:
-            contrib = w.withColumn("pagerank", F.lit(1.0))
-        else:
-            state = ranks.withColumnRenamed("id", "src")
-            contrib = (join_state(w, state, [*g, "src"], n_vertices, hot, how="left")
-                       .withColumn("pagerank", F.coalesce(F.col("pagerank"), F.lit(reset))))
-        ranks = (contrib.groupBy(*g, F.col("dst").alias("id"))
-                 .agg((F.lit(reset) + F.lit(1.0 - reset) * F.sum(F.col("pagerank") * F.col("w"))).alias("pagerank")))
-        if (i + 1) % every == 0 or i + 1 == max_iter:
-            ranks = cut(ranks, "pagerank-ranks")
+    with loop_conf(spark):
+        for i in range(max_iter):
+            if ranks is None:
+                contrib = w.withColumn("pagerank", F.lit(1.0))
+            else:
+                state = ranks.withColumnRenamed("id", "src")
+                contrib = (join_state(w, state, [*g, "src"], n_vertices, hot, how="left")
+                           .withColumn("pagerank", F.coalesce(F.col("pagerank"), F.lit(reset))))
+            ranks = (contrib.groupBy(*g, F.col("dst").alias("id"))
+                     .agg((F.lit(reset) + F.lit(1.0 - reset) * F.sum(F.col("pagerank") * F.col("w")))
+                          .alias("pagerank")))
+            if (i + 1) % every == 0 or i + 1 == max_iter:
+                ranks = cut(ranks, "pagerank-ranks")
 
     first = 1.0 if max_iter == 0 else reset
     full = ids.join(ranks, keys, "left") if ranks is not None else ids.withColumn("pagerank", F.lit(None))

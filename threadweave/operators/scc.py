@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from threadweave.operators.graph import PropertyGraph
 from threadweave.operators.joins import hot_keys, join_state, semi_or_anti
-from threadweave.runtime import CONF_HOPS_PER_JOB, conf_int, cut_observed
+from threadweave.runtime import CONF_HOPS_PER_JOB, conf_int, cut_observed, loop_conf
 from threadweave.schema import SCC_MAX_ITER
 
 
@@ -65,10 +65,10 @@ def _iterate(state: DataFrame, step: Callable[[DataFrame], DataFrame], name: str
     return state, m
 
 
-def _restrict(edges: DataFrame, alive: DataFrame, g: list[str], n_alive: int) -> DataFrame:
+def _restrict(edges: DataFrame, alive: DataFrame, g: list[str], n_alive: int, hot_src, hot_dst) -> DataFrame:
     """Edges with both ends alive, written out."""
-    e = semi_or_anti(edges, alive.withColumnRenamed("id", "src"), [*g, "src"], n_alive, "left_semi")
-    e = semi_or_anti(e, alive.withColumnRenamed("id", "dst"), [*g, "dst"], n_alive, "left_semi")
+    e = join_state(edges, alive.withColumnRenamed("id", "src"), [*g, "src"], n_alive, hot_src, "left_semi")
+    e = join_state(e, alive.withColumnRenamed("id", "dst"), [*g, "dst"], n_alive, hot_dst, "left_semi")
     return cut_observed(e, "scc-edges")[0]
 
 
@@ -113,13 +113,13 @@ def _colour(work: DataFrame, n_work: int, edges: DataFrame, g: list[str], hot_sr
     return state.select(*keys, "color")
 
 
-def _sweep(colours: DataFrame, n_work: int, edges: DataFrame, g: list[str], hot_dst) -> tuple[DataFrame, int]:
+def _sweep(colours: DataFrame, n_work: int, edges: DataFrame, g: list[str], hot_src, hot_dst) -> tuple[DataFrame, int]:
     """Settle vertices that reach their colour's root through same-colour vertices."""
     keys = [*g, "id"]
     src_c = colours.select(*g, F.col("id").alias("src"), F.col("color").alias("sc"))
     dst_c = colours.select(*g, F.col("id").alias("dst"), F.col("color").alias("dc"))
-    same, _ = cut_observed(edges.join(src_c, [*g, "src"]).join(dst_c, [*g, "dst"])
-                           .filter(F.col("sc") == F.col("dc")).select(*g, "src", "dst"), "scc-same")
+    coloured = join_state(join_state(edges, src_c, [*g, "src"], n_work, hot_src), dst_c, [*g, "dst"], n_work, hot_dst)
+    same, _ = cut_observed(coloured.filter(F.col("sc") == F.col("dc")).select(*g, "src", "dst"), "scc-same")
 
     def step(state: DataFrame) -> DataFrame:
         front = state.filter("fresh").select(*g, F.col("id").alias("dst"))
@@ -146,20 +146,29 @@ def scc_labels(graph: PropertyGraph, max_iter: int = SCC_MAX_ITER) -> DataFrame:
     hot_src = hot_keys(edges, [*g, "src"], me["rows"])
     hot_dst = hot_keys(edges, [*g, "dst"], me["rows"])
 
+    if hot_src is not None:
+        hot_src = cut_observed(hot_src, "scc-hot")[0]
+        hot_dst = cut_observed(hot_dst, "scc-hot")[0]
+
     settled: list[DataFrame] = []
     rnd = 0
-    while n_work > 0 and rnd < max_iter:
-        rnd += 1
-        work, n_work = _trim(work, n_work, edges, g)
-        if n_work == 0 or rnd >= max_iter:
-            break
-        edges = _restrict(edges, work, g, n_work)
-        colours = _colour(work, n_work, edges, g, hot_src)
-        done, n_done = _sweep(colours, n_work, edges, g, hot_dst)
-        settled.append(done)
-        work, mw = cut_observed(semi_or_anti(work, done.select(*keys), keys, n_done, "left_anti"), "scc-work")
-        n_work = mw["rows"]
-        edges = _restrict(edges, work, g, n_work)
+    with loop_conf(graph.vertices.sparkSession):
+        # The last round would only trim, and trimmed vertices keep their own
+        # id exactly like unsettled ones, so it is skipped.
+        while n_work > 0 and rnd + 1 < max_iter:
+            rnd += 1
+            work, n_work = _trim(work, n_work, edges, g)
+            if n_work == 0:
+                break
+            edges = _restrict(edges, work, g, n_work, hot_src, hot_dst)
+            colours = _colour(work, n_work, edges, g, hot_src)
+            done, n_done = _sweep(colours, n_work, edges, g, hot_src, hot_dst)
+            settled.append(done)
+            if rnd + 1 >= max_iter:
+                break
+            work, mw = cut_observed(semi_or_anti(work, done.select(*keys), keys, n_done, "left_anti"), "scc-work")
+            n_work = mw["rows"]
+            edges = _restrict(edges, work, g, n_work, hot_src, hot_dst)
     if not settled:
         return vertices.withColumn("component", F.col("id"))
     found = settled[0]

@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,7 @@ CONF_HOT_MIN_ROWS = "threadweave.skew.minHotRows"          # a key is hot above
 CONF_CHECKPOINT_EVERY = "threadweave.iter.checkpointEvery"  # iterations between checkpoints
 CONF_MEMBER_NAMES_PER_ROW = "threadweave.report.namesPerRow"
 CONF_HOPS_PER_JOB = "threadweave.iter.hopsPerJob"          # frontier steps per written state
+CONF_LOOP_ADAPTIVE = "threadweave.iter.adaptive"           # AQE inside iteration loops
 
 DEFAULTS = {
     CONF_BROADCAST_ROWS: 2_000_000,
@@ -31,6 +33,7 @@ DEFAULTS = {
     CONF_CHECKPOINT_EVERY: 5,
     CONF_MEMBER_NAMES_PER_ROW: 10_000,
     CONF_HOPS_PER_JOB: 2,
+    CONF_LOOP_ADAPTIVE: False,
 }
 
 
@@ -91,6 +94,26 @@ def cut_observed(df: DataFrame, name: str = "cut", **metrics: Column) -> tuple[D
     return spark.read.parquet(path), dict(obs.get)
 
 
+@contextmanager
+def loop_conf(spark: SparkSession):
+    """Session conf for the jobs of an iterative operator.
+
+    Inside the loops every join is planned explicitly (broadcast under a
+    counted bound, the hot-key split, or a join on keys unique on both sides),
+    so AQE's per-stage re-planning only adds latency to each of the many small
+    jobs; it is switched off for the loop and restored afterwards."""
+    key = "spark.sql.adaptive.enabled"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, spark.conf.get(CONF_LOOP_ADAPTIVE, str(DEFAULTS[CONF_LOOP_ADAPTIVE])).lower())
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
 def local_session(cores: int | None = None, shuffle_partitions: int | None = None,
                   app: str = "threadweave") -> SparkSession:
     """Session for tests and the bench (local mode, UI off, AQE on)."""
