@@ -40,9 +40,10 @@ class Pipeline:
     behind them then runs once instead of once per branch.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, id_mode: str = "hash"):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.id_mode = id_mode
         checkpoint_dir(spark)
 
     # step 1: raw and prepped tables
@@ -56,11 +57,11 @@ class Pipeline:
 
     @cached_property
     def posts(self) -> DataFrame:
-        return cut(prep.prep_submissions(self.submissions_raw), "submissionPrepped")
+        return cut(prep.prep_submissions(self.submissions_raw, id_mode=self.id_mode), "submissionPrepped")
 
     @cached_property
     def comments(self) -> DataFrame:
-        return cut(prep.prep_comments(self.comments_raw), "commentPrepped")
+        return cut(prep.prep_comments(self.comments_raw, id_mode=self.id_mode), "commentPrepped")
 
     # step 2: graphs
     # (graph tables stay lazy: the iterative operators write their own inputs)
@@ -84,11 +85,13 @@ class Pipeline:
 
     @cached_property
     def season_posts(self) -> DataFrame:
-        return cut(prep.prep_season_posts(self._season_rows(self.submissions_raw)), "seasonPosts")
+        return cut(prep.prep_season_posts(self._season_rows(self.submissions_raw), id_mode=self.id_mode),
+                   "seasonPosts")
 
     @cached_property
     def season_comments(self) -> DataFrame:
-        return cut(prep.prep_season_comments(self._season_rows(self.comments_raw)), "seasonComments")
+        return cut(prep.prep_season_comments(self._season_rows(self.comments_raw), id_mode=self.id_mode),
+                   "seasonComments")
 
     @cached_property
     def period_graph(self) -> PropertyGraph:
