@@ -14,6 +14,7 @@ import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 # Knobs (session conf keys) with their defaults.  They bound what may be
@@ -25,6 +26,7 @@ CONF_CHECKPOINT_EVERY = "threadweave.iter.checkpointEvery"  # iterations between
 CONF_MEMBER_NAMES_PER_ROW = "threadweave.report.namesPerRow"
 CONF_HOPS_PER_JOB = "threadweave.iter.hopsPerJob"          # frontier steps per written state
 CONF_LOOP_ADAPTIVE = "threadweave.iter.adaptive"           # AQE inside iteration loops
+CONF_CUT = "threadweave.iter.cut"                          # checkpoint | table
 
 DEFAULTS = {
     CONF_BROADCAST_ROWS: 2_000_000,
@@ -34,6 +36,7 @@ DEFAULTS = {
     CONF_MEMBER_NAMES_PER_ROW: 10_000,
     CONF_HOPS_PER_JOB: 2,
     CONF_LOOP_ADAPTIVE: False,
+    CONF_CUT: "table",
 }
 
 
@@ -83,15 +86,29 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
 
 
 def cut_observed(df: DataFrame, name: str = "cut", **metrics: Column) -> tuple[DataFrame, dict]:
-    """``cut`` that also returns aggregate metrics (always ``rows``) computed
-    during the same write job (``DataFrame.observe``) — no extra count job."""
+    """Cut lineage and return aggregate metrics (always ``rows``) computed in
+    the same job (``DataFrame.observe``) — no extra count job.
+
+    ``threadweave.iter.cut`` picks the mechanism: ``table`` (default; a parquet
+    table in the shared checkpoint folder, read back with exact size
+    statistics) or ``checkpoint`` (persisted, checkpointed eagerly into the
+    same folder, unpersisted — one computation).  Both measured alike."""
     spark = df.sparkSession
     obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
     exprs = [F.count(F.lit(1)).alias("rows")] + [
         F.coalesce(expr, F.lit(0)).alias(key) for key, expr in metrics.items()]
-    path = scratch_path(spark, name)
-    df.observe(obs, *exprs).write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path), dict(obs.get)
+    observed = df.observe(obs, *exprs)
+    if spark.conf.get(CONF_CUT, DEFAULTS[CONF_CUT]) == "table":
+        path = scratch_path(spark, name)
+        observed.write.mode("errorifexists").parquet(path)
+        return spark.read.parquet(path), dict(obs.get)
+    checkpoint_dir(spark)
+    observed.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        out = observed.checkpoint(eager=True)
+    finally:
+        observed.unpersist()
+    return out, dict(obs.get)
 
 
 @contextmanager
