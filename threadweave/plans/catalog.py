@@ -295,7 +295,7 @@ def q_scc_component_members(spark, sf):
 def q_top_components(spark, sf):
     labels = scc.scc_labels(Pipeline(spark, sf).period_graph, SCC_MAX_ITER_SEASON)
     k = F.when(F.col("period") == SEASON_LABEL, TOP_COMPONENTS_SEASON).otherwise(TOP_COMPONENTS_PERIOD)
-    return reports.top_components(labels, "period", k)
+    return reports.top_components(labels, "period", max(TOP_COMPONENTS_SEASON, TOP_COMPONENTS_PERIOD), k)
 
 
 def q_comments_of_top_author(spark, sf):

@@ -75,16 +75,21 @@ def most_common_dst(pairs: DataFrame, names: DataFrame) -> DataFrame:
             .select("dst", "count", "name", "type").orderBy(F.desc("count"), "dst"))
 
 
-def top_by_group(df: DataFrame, group: str, order: list, k_col) -> DataFrame:
-    """Top rows per group with ``row_number() <= k``; ``k_col`` may depend on the group."""
+def top_by_group(df: DataFrame, group: str, order: list, k_max: int, k_col=None) -> DataFrame:
+    """Top rows per group with ``row_number() <= k``.
+
+    The window filter uses the literal ``k_max`` so Spark plans a partial
+    ``WindowGroupLimit`` before the shuffle (each task keeps at most k_max rows
+    per group); a per-group ``k_col`` (<= k_max) is applied after that."""
     w = Window.partitionBy(group).orderBy(*order)
-    return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k_col)
+    top = df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k_max)
+    return top if k_col is None else top.filter(F.col("rank") <= k_col)
 
 
-def top_components(scc_grouped: DataFrame, group: str, k_for_group) -> DataFrame:
+def top_components(scc_grouped: DataFrame, group: str, k_max: int, k_for_group=None) -> DataFrame:
     """(group, rank, component, count): the largest components per group."""
     sizes = scc_grouped.groupBy(group, "component").agg(F.count(F.lit(1)).alias("count"))
-    return (top_by_group(sizes, group, [F.desc("count"), "component"], k_for_group)
+    return (top_by_group(sizes, group, [F.desc("count"), "component"], k_max, k_for_group)
             .select(group, "rank", "component", "count").orderBy(group, "rank"))
 
 
