@@ -66,3 +66,20 @@ def test_union_months_with_drift(spark):
     u = union_months([a, b])
     rows = sorted((r.name, r.num_comments, r.score) for r in u.collect())
     assert rows == [("x", 1, None), ("y", 2, "extra")]
+
+
+def test_hot_post_split_join(spark, force_split):
+    """A post holding most comments goes through the broadcast hot branch."""
+    t = datetime(2016, 8, 1)
+    posts = prep.prep_submissions(spark.createDataFrame(
+        [("t3_p", "alice", "politics", 6, t, "08"), ("t3_q", "bob", "politics", 1, t, "08")], POST_SCHEMA))
+    rows = [(f"c{i}", "t3_p", "t3_p", "", f"user{i % 3}", "politics", "t5_x", t, "08") for i in range(6)]
+    rows.append(("c9", "t3_q", "t3_q", "", "alice", "politics", "t5_x", t, "08"))
+    comments = prep.prep_comments(spark.createDataFrame(rows,
+        "id string, link_id string, parent_id string, body string, author string, subreddit string, "
+        "subreddit_id string, created_utc timestamp_ntz, month string"))
+    plan = graph.post_join_plan(posts)
+    assert plan.n_posts == 2 and plan.hot is not None and plan.hot.count() == 1
+    split = graph.comment_post_edges(posts, comments, plan=plan)
+    plain = graph.comment_post_edges(posts, comments)
+    assert split.count() == 7 and split.exceptAll(plain).count() == 0

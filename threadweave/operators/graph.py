@@ -43,18 +43,52 @@ def user_vertices(posts: DataFrame, comments: DataFrame, group: Sequence[str] =
             .distinct())
 
 
-def comment_post_edges(posts: DataFrame, comments: DataFrame, group: Sequence[str] = ()) -> DataFrame:
+@dataclass(frozen=True)
+class PostJoinPlan:
+    """Sizes for the comment -> post join: post count and the hot posts."""
+    n_posts: int
+    hot: DataFrame | None
+
+
+def post_join_plan(posts: DataFrame, group: Sequence[str] = ()) -> PostJoinPlan:
+    """Count the posts and find hot ones (a viral post may carry a third of
+    all comments) from the posts' own ``num_comments``: with
+    T = max(minHotRows, sum(num_comments) / maxHotKeys) at most maxHotKeys
+    posts exceed T, so the hot set has a proven bound.  One small aggregate
+    over the (already written) posts table, no pass over the comments."""
+    from threadweave.runtime import CONF_HOT_MAX_KEYS, CONF_HOT_MIN_ROWS, conf_int
+    spark = posts.sparkSession
+    row = posts.agg(F.count(F.lit(1)).alias("n"), F.sum("num_comments").alias("c")).first()
+    total = int(row["c"] or 0)
+    threshold = max(conf_int(spark, CONF_HOT_MIN_ROWS), -(-total // conf_int(spark, CONF_HOT_MAX_KEYS)))
+    hot = None
+    if total > threshold:
+        hot = posts.filter(F.col("num_comments") > threshold).select(*group, "link_hash").distinct()
+    return PostJoinPlan(int(row["n"]), hot)
+
+
+def comment_post_edges(posts: DataFrame, comments: DataFrame, group: Sequence[str] = (),
+                       plan: PostJoinPlan | None = None) -> DataFrame:
     """One edge per comment: commenter (src) -> post author (dst); self-loops and
     parallel edges kept.  Inner join on the post key; comments on posts that
-    were filtered out get no edge.  A hot post is split by AQE's skew join."""
+    were filtered out get no edge.
+
+    With a ``plan`` the join is explicit about size and skew: all posts are
+    broadcast when their count is under the broadcast bound; otherwise hot
+    posts (bounded set) join map-side and the rest by a shuffle join in which
+    no post key exceeds the hot threshold.  Without a plan, AQE's skew join
+    splits a hot post."""
+    from threadweave.operators.joins import join_state
     g = list(group)
     c = comments.select(*g, "link_hash", F.col("auth_id").alias("src"))
     p = posts.select(*g, "link_hash", F.col("op_id").alias("dst"))
-    return c.join(p, [*g, "link_hash"]).select(*g, "dst", "src")
+    if plan is None:
+        return c.join(p, [*g, "link_hash"]).select(*g, "dst", "src")
+    return join_state(c, p, [*g, "link_hash"], plan.n_posts, plan.hot).select(*g, "dst", "src")
 
 
-def user_graph(posts: DataFrame, comments: DataFrame) -> PropertyGraph:
-    return PropertyGraph(user_vertices(posts, comments), comment_post_edges(posts, comments))
+def user_graph(posts: DataFrame, comments: DataFrame, plan: PostJoinPlan | None = None) -> PropertyGraph:
+    return PropertyGraph(user_vertices(posts, comments), comment_post_edges(posts, comments, plan=plan))
 
 
 def property_graph_vertices(posts: DataFrame, comments: DataFrame) -> DataFrame:
@@ -82,7 +116,7 @@ def property_graph(posts: DataFrame, comments: DataFrame) -> PropertyGraph:
 
 
 def period_graph(posts: DataFrame, comments: DataFrame, periods: Sequence[str], season_label: str | None,
-                 group: str = "period") -> PropertyGraph:
+                 group: str = "period", plan: PostJoinPlan | None = None) -> PropertyGraph:
     """Per-period user graphs plus (optionally) their season union, as one grouped graph.
 
     ``posts``/``comments`` carry the ``group`` column and the season-variant
@@ -92,7 +126,7 @@ def period_graph(posts: DataFrame, comments: DataFrame, periods: Sequence[str],
     """
     p = posts.withColumnRenamed("auth_id", "op_id")
     v = user_vertices(p, comments, [group])
-    e = comment_post_edges(p, comments, [group])
+    e = comment_post_edges(p, comments, [group], plan)
     if season_label is not None:
         v = v.unionByName(v.select(F.lit(season_label).alias(group), "id").distinct())
         e = e.unionByName(e.select(F.lit(season_label).alias(group), "dst", "src"))

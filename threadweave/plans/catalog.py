@@ -65,9 +65,13 @@ class Pipeline:
 
     # step 2: graphs
     # (graph tables stay lazy: the iterative operators write their own inputs)
+    @cached_property
+    def post_plan(self) -> graph.PostJoinPlan:
+        return graph.post_join_plan(self.posts)
+
     @cached_property
     def user_graph(self) -> PropertyGraph:
-        return graph.user_graph(self.posts, self.comments)
+        return graph.user_graph(self.posts, self.comments, self.post_plan)
 
     @cached_property
     def property_graph(self) -> PropertyGraph:
@@ -95,7 +99,9 @@ class Pipeline:
 
     @cached_property
     def period_graph(self) -> PropertyGraph:
-        return graph.period_graph(self.season_posts, self.season_comments, list(SEASON_PERIODS), SEASON_LABEL)
+        plan = graph.post_join_plan(self.season_posts, ["period"])
+        return graph.period_graph(self.season_posts, self.season_comments, list(SEASON_PERIODS), SEASON_LABEL,
+                                  plan=plan)
 
     @cached_property
     def season_graph(self) -> PropertyGraph:
