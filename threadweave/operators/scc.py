@@ -54,15 +54,16 @@ def _flag_count(cond: Column) -> Column:
 def _iterate(state: DataFrame, step: Callable[[DataFrame], DataFrame], name: str, flag: Column,
              **extra: Column) -> tuple[DataFrame, dict]:
     """Apply ``step`` until no row has ``flag`` set; one written state per
-    ``hopsPerJob`` steps."""
+    ``hopsPerJob`` steps.  The (lazy) start state is folded into the first
+    written step; steps on a converged state change nothing."""
     hops = max(1, conf_int(state.sparkSession, CONF_HOPS_PER_JOB))
-    state, m = cut_observed(state, name, active=_flag_count(flag), **extra)
-    while m["active"] > 0:
+    while True:
         nxt = state
         for _ in range(hops):
             nxt = step(nxt)
         state, m = cut_observed(nxt, name, active=_flag_count(flag), **extra)
-    return state, m
+        if m["active"] == 0:
+            return state, m
 
 
 def _restrict(edges: DataFrame, alive: DataFrame, g: list[str], n_alive: int, hot_src, hot_dst) -> DataFrame:
@@ -72,11 +73,15 @@ def _restrict(edges: DataFrame, alive: DataFrame, g: list[str], n_alive: int, ho
     return cut_observed(e, "scc-edges")[0]
 
 
-def _trim(work: DataFrame, n_work: int, edges: DataFrame, g: list[str]) -> tuple[DataFrame, int]:
+def _trim(work: DataFrame, n_work: int, edges: DataFrame, g: list[str], hot_src, hot_dst) -> tuple[DataFrame, int]:
     """Peel vertices without in- or out-edges until none is left; the survivors."""
     keys = [*g, "id"]
-    outdeg = edges.groupBy(*g, F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("outdeg"))
-    indeg = edges.groupBy(*g, F.col("dst").alias("id")).agg(F.count(F.lit(1)).alias("indeg"))
+    # Degrees count edges inside the work set.  Later decrements may name
+    # vertices outside it; the left joins on the degree table drop those.
+    inside = join_state(join_state(edges, work.withColumnRenamed("id", "src"), [*g, "src"], n_work, hot_src, "left_semi"),
+                        work.withColumnRenamed("id", "dst"), [*g, "dst"], n_work, hot_dst, "left_semi")
+    outdeg = inside.groupBy(*g, F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("outdeg"))
+    indeg = inside.groupBy(*g, F.col("dst").alias("id")).agg(F.count(F.lit(1)).alias("indeg"))
     deg = (work.join(outdeg, keys, "left").join(indeg, keys, "left")
            .select(*keys, F.coalesce("indeg", F.lit(0)).alias("indeg"), F.coalesce("outdeg", F.lit(0)).alias("outdeg")))
     dead = (F.col("indeg") <= 0) | (F.col("outdeg") <= 0)
@@ -84,9 +89,9 @@ def _trim(work: DataFrame, n_work: int, edges: DataFrame, g: list[str]) -> tuple
     def step(d: DataFrame) -> DataFrame:
         frontier = d.filter(dead).select(*keys)
         # an edge out of a peeled vertex costs its head one in-degree, and vice versa
-        lost_in = (join_state(edges, frontier.withColumnRenamed("id", "src"), [*g, "src"], n_work)
+        lost_in = (join_state(edges, frontier.withColumnRenamed("id", "src"), [*g, "src"], n_work, hot_src)
                    .groupBy(*g, F.col("dst").alias("id")).agg(F.count(F.lit(1)).alias("di")))
-        lost_out = (join_state(edges, frontier.withColumnRenamed("id", "dst"), [*g, "dst"], n_work)
+        lost_out = (join_state(edges, frontier.withColumnRenamed("id", "dst"), [*g, "dst"], n_work, hot_dst)
                     .groupBy(*g, F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("do")))
         return (d.filter(~dead).join(lost_in, keys, "left").join(lost_out, keys, "left")
                 .select(*keys, (F.col("indeg") - F.coalesce("di", F.lit(0))).alias("indeg"),
@@ -157,10 +162,12 @@ def scc_labels(graph: PropertyGraph, max_iter: int = SCC_MAX_ITER) -> DataFrame:
         # id exactly like unsettled ones, so it is skipped.
         while n_work > 0 and rnd + 1 < max_iter:
             rnd += 1
-            work, n_work = _trim(work, n_work, edges, g)
+            work, n_work = _trim(work, n_work, edges, g, hot_src, hot_dst)
             if n_work == 0:
                 break
-            edges = _restrict(edges, work, g, n_work, hot_src, hot_dst)
+            # edges to peeled vertices stay: colour messages start from work
+            # vertices only and land only on work rows; the sweep's same-colour
+            # edges come from inner joins with the work colours
             colours = _colour(work, n_work, edges, g, hot_src)
             done, n_done = _sweep(colours, n_work, edges, g, hot_src, hot_dst)
             settled.append(done)
