@@ -8,8 +8,6 @@ the shuffle, so no group is gathered whole.
 
 from __future__ import annotations
 
-from math import ceil
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
