@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from threadweave.operators.graph import PropertyGraph
 from threadweave.operators.joins import hot_keys, join_state
-from threadweave.runtime import CONF_CHECKPOINT_EVERY, conf_int, cut, loop_conf
+from threadweave.runtime import CONF_CHECKPOINT_EVERY, conf_int, cut, cut_observed, loop_conf
 from threadweave.schema import PAGERANK_MAX_ITER, PAGERANK_RESET
 
 
@@ -44,14 +44,14 @@ def pagerank_ranks(graph: PropertyGraph, max_iter: int = PAGERANK_MAX_ITER,
     spark = graph.vertices.sparkSession
     g = list(graph.group)
     keys = [*g, "id"]
-    ids = cut(graph.vertices.select(*keys).distinct(), "pagerank-ids")
-    n_vertices = ids.count()   # bounds every rank table (ranks are a subset of ids)
+    ids, mv = cut_observed(graph.vertices.select(*keys).distinct(), "pagerank-ids")
+    n_vertices = mv["rows"]   # bounds every rank table (ranks are a subset of ids)
 
     w = (graph.edges.groupBy(*g, "src", "dst").agg(F.count(F.lit(1)).alias("n"))
          .join(out_degrees(graph.edges, g), [*g, "src"])
          .select(*g, "src", "dst", (F.col("n") / F.col("outdeg")).alias("w")))
-    w = cut(w, "pagerank-edges")
-    n_edges = w.count()
+    w, me = cut_observed(w, "pagerank-edges")
+    n_edges = me["rows"]
     hot = hot_keys(w, [*g, "src"], n_edges)
     if hot is not None:
         hot = cut(hot, "pagerank-hot")
