@@ -152,3 +152,11 @@ def test_bounded_scc_is_partial(spark):
     full = _scc_ref(7, edges)
     assert _labels(scc.scc_labels(pg, 10)) == full
     assert _labels(scc.scc_labels(pg, 1)) == {i: i for i in range(7)}
+
+
+def test_triangles_hub_split(spark, force_split):
+    """A hub heading most oriented edges goes through the broadcast hot branch."""
+    edges = [(0, i) for i in range(1, 9)] + [(i, i + 1) for i in range(1, 8)] + [(1, 8)]
+    pg = _pg(spark, 9, edges)
+    got = {r.id: r["count"] for r in triangles.triangle_counts(pg).collect()}
+    assert got == _tri_ref(9, edges)

@@ -28,8 +28,9 @@ def broadcast_ok(df: DataFrame, rows: int) -> bool:
     return rows <= conf_int(df.sparkSession, CONF_BROADCAST_ROWS)
 
 
-def hot_keys(edges: DataFrame, keys: Sequence[str], n_edges: int) -> DataFrame | None:
-    """Keys carrying more than T rows; at most maxHotKeys of them by construction.
+def hot_keys(edges: DataFrame, keys: Sequence[str], n_edges: int, max_keys: int | None = None) -> DataFrame | None:
+    """Keys carrying more than T rows; at most ``max_keys`` (default
+    maxHotKeys) of them by construction.
 
     Returns None when no key can be hot (|E| <= minHotRows).
     """
@@ -37,7 +38,8 @@ def hot_keys(edges: DataFrame, keys: Sequence[str], n_edges: int) -> DataFrame |
     min_rows = conf_int(spark, CONF_HOT_MIN_ROWS)
     if n_edges <= min_rows:
         return None
-    threshold = max(min_rows, ceil(n_edges / conf_int(spark, CONF_HOT_MAX_KEYS)))
+    limit = min(max_keys or conf_int(spark, CONF_HOT_MAX_KEYS), conf_int(spark, CONF_HOT_MAX_KEYS))
+    threshold = max(min_rows, ceil(n_edges / limit))
     return (edges.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
             .filter(F.col("_n") > threshold).select(*keys))
 
