@@ -97,6 +97,9 @@ def _trim(work: DataFrame, n_work: int, edges: DataFrame, g: list[str], hot_src,
                 .select(*keys, (F.col("indeg") - F.coalesce("di", F.lit(0))).alias("indeg"),
                         (F.col("outdeg") - F.coalesce("do", F.lit(0))).alias("outdeg")))
 
+    # the degree table is costly to rebuild, so it is written before the
+    # peeling steps (which reference their input twice) instead of folded in
+    deg, _ = cut_observed(deg, "scc-degrees")
     deg, m = _iterate(deg, step, "scc-degrees", dead)
     return deg.select(*keys), m["rows"]
 
