@@ -8,6 +8,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from threadweave.llm.exact_dedup import SPACES, exact_duplicates
+from threadweave.llm.near_dedup import NearRules, near_duplicates
 from threadweave.llm.packing import pack_documents
 from threadweave.llm.quality_rules import quality_rules
 from threadweave.llm.secret_scan import scan_secrets
@@ -27,11 +29,26 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir))
 
 
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(documents(spark, sf_dir))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(documents(spark, sf_dir)).drop("found")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_vector_packing, op4_quality_rules, op7_secret_scan)}
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir), NearRules(shingle=3, num=85, den=100))
 
-ORACLE: dict[str, str] = {}
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f for f in (op2_vector_packing, op4_quality_rules, op6_exact_dedup, op7_secret_scan,
+                              op10_minhash_near_dedup)}
+
+ORACLE: dict[str, str] = {
+    "op6_exact_dedup": rf"""
+        WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '{SPACES}', ' ', 'g') AS norm FROM documents)
+        SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+               doc_id = min(doc_id) OVER g AS kept, sha256(norm) AS text_sha256
+        FROM t WINDOW g AS (PARTITION BY norm)""",
+}
