@@ -11,20 +11,31 @@ from pyspark.sql import DataFrame, SparkSession
 from threadweave.llm.exact_dedup import SPACES, exact_duplicates
 from threadweave.llm.near_dedup import NearRules, near_duplicates
 from threadweave.llm.packing import pack_documents
+from threadweave.llm.piece_sampling import sample_pieces
 from threadweave.llm.quality_rules import quality_rules
 from threadweave.llm.secret_scan import scan_secrets
+from threadweave.llm.token_counts import token_counts
 
 BYTE_BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(documents(spark, sf_dir), PIECE_MODEL)
+
+
 def op2_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), BYTE_BPE_RANKS)
 
 
+def op3_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sample_pieces(documents(spark, sf_dir), PIECE_MODEL)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir))
 
@@ -42,7 +53,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_vector_packing, op4_quality_rules, op6_exact_dedup, op7_secret_scan,
+    f.__name__: f for f in (op1_token_counts, op2_vector_packing, op3_piece_sampling, op4_quality_rules, op6_exact_dedup, op7_secret_scan,
                               op10_minhash_near_dedup)}
 
 ORACLE: dict[str, str] = {
