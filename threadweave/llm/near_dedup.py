@@ -41,14 +41,11 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadweave.llm.tables import Workspace, small
-from threadweave.llm.textcols import id_text, slices, words
-
-_MIX = np.uint64(0x9E3779B97F4A7C15)
+from threadweave.llm.textcols import MIX, id_text, lower_ascii, mix, slices, word_hashes, words
 
 
 @dataclass(frozen=True)
@@ -71,24 +68,6 @@ class NearRules:
         return self.bands * self.rows
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finalizer (all bits depend on all bits)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def word_hashes(vocab: pa.Array) -> np.ndarray:
-    return np.fromiter((xxhash.xxh64_intdigest(w) for w in vocab.cast(pa.binary()).to_pylist()), np.uint64, len(vocab))
-
-
-def lower_ascii(texts: pa.Array) -> pa.Array:
-    """A-Z in lower case; other letters as they are."""
-    import pyarrow.compute as pc
-
-    return pc.ascii_lower(texts)
-
-
 def shingle_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of each text, sorted; and where each text's begin."""
     w = words(lower_ascii(texts))
@@ -98,7 +77,7 @@ def shingle_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     total = np.zeros(len(h), np.uint64)
     for j in range(k):  # words beyond the text's end count as nothing, so a short text is one shingle
         here = (at + j < w.starts[1:][owner]) if len(at) else np.zeros(0, bool)
-        total = mix(total * _MIX + np.where(here, h[np.minimum(at + j, max(len(h) - 1, 0))] | np.uint64(1), np.uint64(0)) + np.uint64(j))
+        total = mix(total * MIX + np.where(here, h[np.minimum(at + j, max(len(h) - 1, 0))] | np.uint64(1), np.uint64(0)) + np.uint64(j))
     first = np.where(n[owner] >= k, at + k <= w.starts[1:][owner], at == w.starts[:-1][owner]) if len(at) else np.zeros(0, bool)
     total, owner = total[first], owner[first]
     order = np.lexsort((total, owner))
@@ -115,7 +94,7 @@ def signatures(sets: np.ndarray, starts: np.ndarray, hashes: int) -> np.ndarray:
     full = np.flatnonzero(np.diff(starts))
     if not len(full):
         return out
-    odd = mix(np.arange(1, hashes + 1, dtype=np.uint64) * _MIX) | np.uint64(1)
+    odd = mix(np.arange(1, hashes + 1, dtype=np.uint64) * MIX) | np.uint64(1)
     begin = starts[full]
     for j in range(hashes):
         out[full, j] = np.minimum.reduceat(((sets * odd[j]) >> np.uint64(32)).astype(np.uint32), begin)
@@ -143,7 +122,7 @@ def _sketch(docs: DataFrame, rules: NearRules) -> DataFrame:
             sets, starts = shingle_sets(part["text"], rules.shingle)
             sig = signatures(sets, starts, rules.hashes)
             with np.errstate(over="ignore"):
-                sums = [np.concatenate([[np.uint64(0)], np.cumsum(v, dtype=np.uint64)]) for v in (mix(sets + _MIX), mix(sets ^ _MIX))]
+                sums = [np.concatenate([[np.uint64(0)], np.cumsum(v, dtype=np.uint64)]) for v in (mix(sets + MIX), mix(sets ^ MIX))]
             fp = [(s[starts[1:]] - s[starts[:-1]]).view(np.int64) for s in sums]
             yield pa.RecordBatch.from_arrays(
                 [part["doc_id"], pa.array(np.diff(starts)), pa.array(fp[0]), pa.array(fp[1]), pa.array([x.tobytes() for x in sig], pa.binary())],
@@ -160,9 +139,9 @@ def _bands(reps: DataFrame, rules: NearRules) -> DataFrame:
             if not b.num_rows:
                 continue
             sig = np.frombuffer(b"".join(b["sig"].to_pylist()), np.uint32).reshape(b.num_rows, rules.bands, rules.rows)
-            key = np.arange(1, rules.bands + 1, dtype=np.uint64)[None, :] * _MIX + np.zeros((b.num_rows, 1), np.uint64)
+            key = np.arange(1, rules.bands + 1, dtype=np.uint64)[None, :] * MIX + np.zeros((b.num_rows, 1), np.uint64)
             for j in range(rules.rows):
-                key = mix(key + sig[:, :, j].astype(np.uint64) * _MIX)
+                key = mix(key + sig[:, :, j].astype(np.uint64) * MIX)
             rep = np.repeat(b["rep"].to_numpy(zero_copy_only=False), rules.bands)
             yield pa.RecordBatch.from_arrays([pa.array(key.reshape(-1).view(np.int64)), pa.array(rep)], ["band", "rep"])
 

@@ -26,21 +26,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from threadweave.llm.pieces import SPACE, Pieces, Units, lattice_steps, pieces, units
-from threadweave.llm.textcols import id_text, slices
+from threadweave.llm.shipping import ship
+from threadweave.llm.textcols import MIX, id_text, mix, slices
 
 SLICE = 16 << 20
-_MIX = np.uint64(0x9E3779B97F4A7C15)
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
 
 
 def _times(n: int) -> np.uint64:
     """n times the mixing constant, modulo 2**64."""
-    return np.uint64(n * int(_MIX) % (1 << 64))
+    return np.uint64(n * int(MIX) % (1 << 64))
 
 
 class Filtered:
@@ -90,13 +84,13 @@ def sample(p: Pieces, u: Units, key: np.ndarray, alpha: float, seed: int) -> tup
     f = Filtered(p, u, alpha)
     text = np.repeat(np.arange(len(key)), np.diff(u.starts))
     ordinal = (np.arange(len(u.codes)) - u.starts[text]).astype(np.uint64)
-    stream = _mix(_mix(key + _times(seed))[text] + ordinal * _MIX)
+    stream = mix(mix(key + _times(seed))[text] + ordinal * MIX)
     occ, node, step = np.arange(len(u.codes), dtype=np.int32), f.unit_end[u.codes].astype(np.int32), 0
     first = f.unit_start[u.codes].astype(np.int32)
     drawn: list[tuple[np.ndarray, ...]] = []
     while len(occ):
         step += 1
-        r = (_mix(stream[occ] + _times(step)) >> np.uint64(11)).astype(float) / float(1 << 53)
+        r = (mix(stream[occ] + _times(step)) >> np.uint64(11)).astype(float) / float(1 << 53)
         source, piece, open_ = f.source[0][node], f.piece[0][node], np.flatnonzero(r >= f.share[0][node])
         for k in range(1, len(f.share)):
             if not len(open_):
@@ -149,7 +143,7 @@ def sample_pieces(docs: DataFrame, model_file: str, alpha: float = 0.001, seed:
             key = part["doc_id"].cast(pa.int64())
             missing = key.is_null().to_numpy(zero_copy_only=False)
             number = key.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            ids, starts = sample(p, units(part["text"]), _mix(number + missing.astype(np.uint64) * _MIX), alpha, seed)
+            ids, starts = sample(p, units(part["text"]), mix(number + missing.astype(np.uint64) * MIX), alpha, seed)
             same = [a == b for a, b in zip(decode(p, ids, starts), part["text"].to_pylist(), strict=True)]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": part["doc_id"], "n_pieces": np.diff(starts),
@@ -168,4 +162,5 @@ def decode_pieces(encoded: DataFrame, model_file: str) -> DataFrame:
             texts = decode(p, lists.flatten().to_numpy(zero_copy_only=False), lists.offsets.to_numpy() - lists.offsets.to_numpy()[0])
             yield pa.RecordBatch.from_pydict({"doc_id": part["doc_id"], "text": pa.array(texts, pa.string())})
 
+    ship(encoded.sparkSession)
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")

@@ -30,6 +30,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from threadweave.llm.shipping import ship
 from threadweave.llm.textcols import covered, id_text, slices, sums, words
 
 SYMBOLS = b"#*$%&|<>"
@@ -183,4 +184,5 @@ def keep_good(docs: DataFrame, rules: RepetitionRules = RepetitionRules()) -> Da
         for part in slices(batches):
             yield part.filter(pa.array(judge(part["text"].fill_null(""), rules)["kept"]))
 
+    ship(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)

@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from threadweave.llm.exact_dedup import SPACES, exact_duplicates
+from threadweave.llm.lm_scoring import lm_scores
 from threadweave.llm.near_dedup import NearRules, near_duplicates
 from threadweave.llm.packing import pack_documents
 from threadweave.llm.piece_sampling import sample_pieces
@@ -48,13 +49,17 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(documents(spark, sf_dir)).drop("found")
 
 
+def op9_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(documents(spark, sf_dir), BYTE_BPE_RANKS)
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), NearRules(shingle=3, num=85, den=100))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_counts, op2_vector_packing, op3_piece_sampling, op4_quality_rules, op6_exact_dedup, op7_secret_scan,
-                              op10_minhash_near_dedup)}
+                              op9_attention_lm, op10_minhash_near_dedup)}
 
 ORACLE: dict[str, str] = {
     "op6_exact_dedup": rf"""

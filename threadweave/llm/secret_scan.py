@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from threadweave.llm.shipping import ship
 from threadweave.llm.textcols import id_text, slices
 
 try:  # the parser's place in the standard library
@@ -282,5 +283,6 @@ def mask_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mask: str = "
                 out.append("".join([*pieces, s[done:]]))
             yield part.set_column(at, part.schema.field(at), pa.array(out, part.schema.field(at).type))
 
+    ship(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)
 

@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from threadweave.llm.shipping import ship
 from threadweave.runtime import scratch_path
 
 #: A key set or narrow lookup table is broadcast up to this many rows (a few
@@ -23,6 +24,7 @@ class Workspace:
     a table that later steps no longer read."""
 
     def __init__(self, spark: SparkSession, name: str):
+        ship(spark)
         self.spark, self.root = spark, scratch_path(spark, name)
         self.paths: dict[str, str] = {}
 

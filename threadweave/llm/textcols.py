@@ -9,10 +9,14 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from threadweave.llm.shipping import ship
+
 SLICE_BYTES = 4 << 20
+MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def id_text(docs: DataFrame) -> DataFrame:
@@ -20,6 +24,7 @@ def id_text(docs: DataFrame) -> DataFrame:
 
     Any other column is left behind here, so columns with clashing names never
     meet an operator's own."""
+    ship(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
@@ -75,3 +80,20 @@ def covered(begin: np.ndarray, end: np.ndarray, n: int) -> np.ndarray:
     np.add.at(edge, begin, 1)
     np.add.at(edge, end, -1)
     return np.cumsum(edge[:-1]) > 0
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """A 64-bit finalizer (each bit depends on all bits)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def word_hashes(vocab: pa.Array) -> np.ndarray:
+    """64-bit hashes of distinct words."""
+    return np.fromiter(map(xxhash.xxh64_intdigest, vocab.cast(pa.binary()).to_pylist()), np.uint64, len(vocab))
+
+
+def lower_ascii(texts: pa.Array) -> pa.Array:
+    """A-Z in lower case; other letters as they are."""
+    return pc.ascii_lower(texts)
