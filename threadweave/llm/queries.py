@@ -15,6 +15,8 @@ from threadweave.llm.packing import pack_documents
 from threadweave.llm.piece_sampling import sample_pieces
 from threadweave.llm.quality_rules import quality_rules
 from threadweave.llm.secret_scan import scan_secrets
+from threadweave.llm.substring_dedup import remove_repeated_spans
+from threadweave.llm.suffix_dedup import remove_repeats
 from threadweave.llm.token_counts import token_counts
 
 BYTE_BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -41,6 +43,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_spans(documents(spark, sf_dir))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(documents(spark, sf_dir))
 
@@ -49,6 +55,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(documents(spark, sf_dir)).drop("found")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir))
+
+
 def op9_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(documents(spark, sf_dir), BYTE_BPE_RANKS)
 
@@ -58,8 +68,8 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_vector_packing, op3_piece_sampling, op4_quality_rules, op6_exact_dedup, op7_secret_scan,
-                              op9_attention_lm, op10_minhash_near_dedup)}
+    f.__name__: f for f in (op1_token_counts, op2_vector_packing, op3_piece_sampling, op4_quality_rules, op5_substring_dedup, op6_exact_dedup,
+                              op7_secret_scan, op8_suffix_dedup, op9_attention_lm, op10_minhash_near_dedup)}
 
 ORACLE: dict[str, str] = {
     "op6_exact_dedup": rf"""
