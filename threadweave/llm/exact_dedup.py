@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadweave.llm.tables import Workspace, small
+from threadweave.llm.tables import Workspace, small, without_ids
 from threadweave.llm.textcols import id_text
 
 SPACES = r"[\x20\x09-\x0D]+"
@@ -162,5 +162,5 @@ def exact_duplicates(docs: DataFrame, capacity: int = 100_000) -> DataFrame:
 def drop_copies(docs: DataFrame, capacity: int = 100_000) -> DataFrame:
     """The rows of ``docs`` without the copies (all columns)."""
     work = Workspace(docs.sparkSession, "exact-dedup")
-    gone, n = work.write(exact_duplicates(docs, capacity).filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    return docs.join(small(gone, n), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    gone, n = work.write(exact_duplicates(docs, capacity).filter("NOT kept").select("doc_id").distinct(), "gone")
+    return without_ids(docs, gone, n)

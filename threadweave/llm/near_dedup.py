@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadweave.llm.tables import Workspace, small
+from threadweave.llm.tables import Workspace, small, without_ids
 from threadweave.llm.textcols import MIX, id_text, lower_ascii, mix, slices, word_hashes, words
 
 
@@ -332,5 +332,5 @@ def keep_one(docs: DataFrame, rules: NearRules = NearRules()) -> DataFrame:
     """The rows of ``docs`` (all columns) without those whose component keeps
     another document; rows with a null ``doc_id`` stay."""
     work = Workspace(docs.sparkSession, "near-dedup")
-    gone, n = work.write(near_duplicates(docs, rules).filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    return docs.join(small(gone, n), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    gone, n = work.write(near_duplicates(docs, rules).filter("NOT kept").select("doc_id").distinct(), "gone")
+    return without_ids(docs, gone, n)

@@ -50,3 +50,11 @@ class Workspace:
 def small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` marked for broadcast if its counted rows are within the limit."""
     return F.broadcast(df) if rows <= limit else df
+
+
+def without_ids(docs: DataFrame, gone: DataFrame, n_gone: int) -> DataFrame:
+    """The rows of ``docs``, all columns, whose ``doc_id`` is not among ``gone``'s."""
+    name = "gone_id"
+    while name in {c.lower() for c in docs.columns}:
+        name += "_"
+    return docs.join(small(gone.select(F.col("doc_id").alias(name)), n_gone), F.col("doc_id").cast("long") == F.col(name), "left_anti")
