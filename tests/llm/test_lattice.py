@@ -86,3 +86,10 @@ def test_rows_get_the_same_ids_however_they_are_dealt(spark):
     assert one[5000] == []
     back = {r.doc_id: r.text for r in decode_pieces(sample_pieces(df, MODEL), MODEL).collect()}
     assert back == {i: t or "" for i, t in rows}
+
+
+def test_arcs_of_no_weight_are_not_drawn():
+    # runs of spaces have pieces with a score of -1e9: beside them single spaces take all the weight
+    p = pieces(MODEL)
+    ids, starts = sample(p, units(pa.array(["a" + " " * 9 + "b"] * 500)), np.arange(500, dtype=np.uint64), 0.001, 3)
+    assert p.score[ids].min() > -1e6 and len(starts) == 501

@@ -29,7 +29,8 @@ from threadweave.llm.pieces import SPACE, Pieces, Units, lattice_steps, pieces,
 from threadweave.llm.shipping import ship
 from threadweave.llm.textcols import MIX, id_text, mix, slices
 
-SLICE = 16 << 20
+SLICE = 6 << 20
+NO_ARC = -2
 
 
 def _times(n: int) -> np.uint64:
@@ -48,7 +49,7 @@ class Filtered:
         self.byte_of_node = np.arange(len(u.data) + n) - np.repeat(np.arange(n), np.diff(u.begin) + 1)
         total = np.full(len(u.data) + n, -np.inf)
         total[self.unit_start] = 0
-        #: per rank in a node's chain of arcs: source, piece, running share by node; share 0 where there is no such arc
+        #: per rank in a node's chain of arcs: source, piece (NO_ARC: none), running share by node
         self.source: list[np.ndarray] = []
         self.piece: list[np.ndarray] = []
         self.share: list[np.ndarray] = []
@@ -65,12 +66,12 @@ class Filtered:
             total[nodes] = top + np.log(run)
             rank = np.zeros(len(nodes), np.int8)  # an unknown character follows chains of any length
             for arc, upto in zip(chain, runs, strict=True):
-                share = upto / run[arc.at]
+                share = (upto / run[arc.at]).astype(np.float32)
                 for k in np.unique(rank[arc.at]).tolist():
                     while len(self.share) <= k:
                         self.source.append(np.zeros(len(total), np.int32))
-                        self.piece.append(np.full(len(total), -1, np.int32))
-                        self.share.append(np.zeros(len(total)))
+                        self.piece.append(np.full(len(total), NO_ARC, np.int32))
+                        self.share.append(np.zeros(len(total), np.float32))
                     own = slice(None) if (rank[arc.at] == k).all() else rank[arc.at] == k
                     node = nodes[arc.at[own]]
                     self.source[k][node], self.piece[k][node], self.share[k][node] = arc.source[own], arc.piece[own], share[own]
@@ -96,11 +97,10 @@ def sample(p: Pieces, u: Units, key: np.ndarray, alpha: float, seed: int) -> tup
             if not len(open_):
                 break
             at = node[open_]
-            share = f.share[k][at]
-            real = share > 0  # where the chain ends, its last arc stands
-            open_, at, share = open_[real], at[real], share[real]
+            real = f.piece[k][at] != NO_ARC  # where the chain ends, its last arc stands
+            open_, at = open_[real], at[real]
             source[open_], piece[open_] = f.source[k][at], f.piece[k][at]
-            open_ = open_[r[open_] >= share]
+            open_ = open_[r[open_] >= f.share[k][at]]
         drawn.append((occ, piece, source, node))
         go = source > first[occ]
         occ, node = occ[go], source[go]
@@ -123,15 +123,20 @@ def sample(p: Pieces, u: Units, key: np.ndarray, alpha: float, seed: int) -> tup
     return ids, np.concatenate([[0], np.cumsum(count)])
 
 
-def decode(p: Pieces, ids: np.ndarray, starts: np.ndarray) -> list[str]:
-    """The texts that the ids came from."""
-    size = p.length[ids]
-    at = np.concatenate([[0], np.cumsum(size)])
-    within = np.arange(int(at[-1])) - np.repeat(at[:-1], size)
-    data = p.flat[np.repeat(p.flat_at[ids], size) + within]
-    data[data == SPACE] = 0x20
-    data, cut = data.tobytes(), at[starts].tolist()
-    return [data[i + 1:j].decode() for i, j in zip(cut[:-1], cut[1:], strict=True)]
+def decode(p: Pieces, ids: np.ndarray, starts: np.ndarray, chunk: int = 500_000) -> list[str]:
+    """The texts that the ids came from, about ``chunk`` ids at a time."""
+    out, first = [], 0
+    while first < len(starts) - 1:
+        last = max(first + 1, int(np.searchsorted(starts, starts[first] + chunk, side="right")) - 1)
+        own = ids[starts[first]:starts[last]]
+        size = p.length[own]
+        at = np.concatenate([[0], np.cumsum(size)])
+        data = p.flat[np.repeat(p.flat_at[own] - at[:-1], size) + np.arange(int(at[-1]))]
+        data[data == SPACE] = 0x20
+        text, cut = data.tobytes(), at[starts[first:last + 1] - starts[first]].tolist()
+        out += [text[i + 1:j].decode() for i, j in zip(cut[:-1], cut[1:], strict=True)]
+        first = last
+    return out
 
 
 def sample_pieces(docs: DataFrame, model_file: str, alpha: float = 0.001, seed: int = 1) -> DataFrame:
