@@ -88,8 +88,13 @@ def test_rows_get_the_same_ids_however_they_are_dealt(spark):
     assert back == {i: t or "" for i, t in rows}
 
 
-def test_arcs_of_no_weight_are_not_drawn():
-    # runs of spaces have pieces with a score of -1e9: beside them single spaces take all the weight
-    p = pieces(MODEL)
-    ids, starts = sample(p, units(pa.array(["a" + " " * 9 + "b"] * 500)), np.arange(500, dtype=np.uint64), 0.001, 3)
-    assert p.score[ids].min() > -1e6 and len(starts) == 501
+def test_shares_rise_to_one_at_every_node():
+    from threadweave.llm.piece_sampling import NO_ARC, Filtered
+
+    f = Filtered(pieces(MODEL), units(pa.array([*TEXTS[:-1], "a" + " " * 9 + "b", "x\ny"])), 0.001)
+    piece, share = np.stack(f.piece), np.stack(f.share)
+    real = piece != NO_ARC
+    assert (real[1:] <= real[:-1]).all()  # a node's arcs fill its ranks from the first
+    assert (np.diff(share, axis=0)[real[1:]] >= 0).all()
+    last = real.sum(axis=0) - 1
+    assert (share[last[last >= 0], np.flatnonzero(last >= 0)] == 1).all()
