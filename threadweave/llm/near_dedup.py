@@ -15,8 +15,9 @@ Candidates inside a band are not expanded into all pairs.  In a star round each
 band compares one pivot with the members that are not yet in its component.
 After ``star_rounds`` such rounds, bands that still hold several components
 are compared in blocks: members outside the band's largest component against
-all blocks of the others, so every candidate pair of different components has
-been compared and no link between components is lost.
+all blocks of the others, verified inside the block.  Every candidate pair of
+different components has then been compared, so no link between components is
+lost, and a block gives fewer links than it has members.
 
 Components come from hooking smallest labels over the verified links, in
 written rounds.
@@ -60,8 +61,8 @@ class NearRules:
     rows: int = 5
     batch: int = 25
     miss: float = 1e-9
-    star_rounds: int = 3
-    block: int = 2048
+    star_rounds: int = 2
+    block: int = 512
 
     @property
     def hashes(self) -> int:
@@ -175,8 +176,8 @@ def _verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, rules: NearRules
     return _confirm(left, n_left, docs, rules, work, name)
 
 
-def _confirm(left: DataFrame, n_left: int, docs: DataFrame, rules: NearRules, work: Workspace, name: str) -> tuple[DataFrame, int]:
-    ids = left.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+def _sets(docs: DataFrame, ids: DataFrame, n_ids: int, rules: NearRules, work: Workspace, name: str) -> DataFrame:
+    """(rep, members): the full shingle sets of the representatives ``ids``."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -185,20 +186,27 @@ def _confirm(left: DataFrame, n_left: int, docs: DataFrame, rules: NearRules, wo
                 [part["rep"], pa.array([h[i:j].tobytes() for i, j in zip(starts[:-1], starts[1:], strict=True)], pa.binary())],
                 ["rep", "members"])
 
-    full, _ = work.write(id_text(docs).withColumnRenamed("doc_id", "rep").join(small(ids, 2 * n_left), "rep", "left_semi")
-                         .mapInArrow(sets, "rep long, members binary").dropDuplicates(["rep"]), f"{name}-sets")
+    full = id_text(docs).withColumnRenamed("doc_id", "rep").join(small(ids, n_ids), "rep", "left_semi")
+    return work.write(full.mapInArrow(sets, "rep long, members binary").dropDuplicates(["rep"]), name)[0]
+
+
+def _similar(x: np.ndarray, y: np.ndarray, rules: NearRules) -> bool:
+    """Whether two sorted sets reach the threshold."""
+    if rules.den * min(len(x), len(y)) < rules.num * max(len(x), len(y)):
+        return False
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    same = int((y[at] == x).sum())
+    return rules.den * same >= rules.num * (len(x) + len(y) - same)
+
+
+def _confirm(left: DataFrame, n_left: int, docs: DataFrame, rules: NearRules, work: Workspace, name: str) -> tuple[DataFrame, int]:
+    ids = left.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    full = _sets(docs, ids, 2 * n_left, rules, work, f"{name}-sets")
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
-            ok = []
-            for x, y in zip(part["members_a"], part["members_b"], strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if rules.den * min(len(x), len(y)) < rules.num * max(len(x), len(y)):
-                    ok.append(False)
-                    continue
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                same = int((y[at] == x).sum())
-                ok.append(rules.den * same >= rules.num * (len(x) + len(y) - same))
+            ok = [_similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), rules)
+                  for x, y in zip(part["members_a"], part["members_b"], strict=True)]
             yield part.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     pairs = (left.join(full.withColumnsRenamed({"rep": "a", "members": "members_a"}), "a")
@@ -246,39 +254,43 @@ def _with_comp(members: DataFrame, label: DataFrame | None, n: int) -> DataFrame
             .withColumn("comp", F.coalesce("comp", "rep")))
 
 
-def _block_pairs(members: DataFrame, reps: DataFrame, rules: NearRules) -> DataFrame:
-    """Candidate pairs of the bands that still hold several components, pruned.
+def _block_links(members: DataFrame, reps: DataFrame, full: DataFrame, rules: NearRules) -> DataFrame:
+    """Verified links of the bands that still hold several components.
 
-    ``members``: band, rep, comp, sizes.  A member of the band's largest
-    component goes to its own block; the others go to every block, as probes."""
+    ``members``: band, rep, comp, main (the band's largest component), size.
+    A member of the main component goes to its own block; the others go to
+    every block, as probes.  A block compares signatures, verifies survivors on
+    full sets, and skips pairs that its links so far have already joined, so it
+    gives fewer links than it has members."""
     blocks = F.greatest(F.ceil(F.col("size") / rules.block), F.lit(1)).cast("int")
     own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
-    sig = reps.select("rep", "sig")
-    placed = members.join(sig, "rep").withColumn("own", own)
+    placed = members.join(reps.select("rep", "sig"), "rep").join(full, "rep").withColumn("own", own)
     rows = placed.select("band", F.explode(F.when(F.col("comp") == F.col("main"), F.array("own"))
                                            .otherwise(F.sequence(F.lit(0), blocks - 1))).alias("block"),
-                         "own", "rep", "comp", (F.col("comp") != F.col("main")).alias("probe"), "sig")
+                         "own", "rep", "comp", (F.col("comp") != F.col("main")).alias("probe"), "sig", "members")
     steps = min_matches(rules)
 
     def run(key, table):
         block = key[1].as_py()
         rep, comp = (table[c].to_numpy() for c in ("rep", "comp"))
-        probe = table["probe"].to_numpy()
-        home = table["own"].to_numpy() == block
+        probe, home = table["probe"].to_numpy(), table["own"].to_numpy() == block
         sig = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint32).reshape(len(rep), -1)
+        sets = [np.frombuffer(x, np.uint64) for x in table["members"].to_pylist()]
+        _, group = np.unique(comp, return_inverse=True)
         a_out, b_out = [], []
-        # each probe meets the members whose home is this block
-        other = np.flatnonzero(home)
-        for i in np.flatnonzero(probe):
-            live = other[(comp[other] != comp[i]) & ((rep[other] < rep[i]) | ~probe[other])]
-            same, done = np.zeros(len(rep), np.int64), 0
+        other = np.flatnonzero(home)  # each probe meets the members whose home is this block
+        for i in np.flatnonzero(probe).tolist():
+            live = other[(group[other] != group[i]) & ((rep[other] < rep[i]) | ~probe[other])]
+            same, done = np.zeros(len(live), np.int64), 0
             for n, least in steps:
-                same[live] += (sig[live, done:n] == sig[i, done:n]).sum(axis=1)
-                live, done = live[same[live] >= least], n
-            a_out.append(np.minimum(rep[live], rep[i]))
-            b_out.append(np.maximum(rep[live], rep[i]))
-        none = np.zeros(0, np.int64)
-        return pa.table({"a": np.concatenate([none, *a_out]), "b": np.concatenate([none, *b_out])})
+                same += (sig[live, done:n] == sig[i, done:n]).sum(axis=1)
+                live, same, done = live[same >= least], same[same >= least], n
+            for j in live[np.argsort(-same, kind="stable")].tolist():
+                if group[i] != group[j] and _similar(sets[i], sets[j], rules):
+                    a_out.append(min(rep[i], rep[j]))
+                    b_out.append(max(rep[i], rep[j]))
+                    group[group == group[j]] = group[i]
+        return pa.table({"a": pa.array(a_out, pa.int64()), "b": pa.array(b_out, pa.int64())})
 
     return rows.groupBy("band", "block").applyInArrow(run, "a long, b long")
 
@@ -316,11 +328,13 @@ def near_duplicates(docs: DataFrame, rules: NearRules = NearRules()) -> DataFram
         groups = tagged.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("g"))
         main = (groups.groupBy("band").agg(F.max(F.struct("g", "comp")).alias("m"), F.sum("g").alias("size"), F.count(F.lit(1)).alias("k"))
                 .filter("k > 1 AND size > 2").select("band", F.col("m.comp").alias("main"), "size"))
-        left, n_left = work.write(_block_pairs(tagged.join(main, "band"), reps, rules).distinct(), "rest")
-        if n_left:
-            found, _ = _confirm(left, n_left, docs, rules, work, "rest")
-            links = links.unionByName(found)
-            label, n_label = components(links, work, "cc")
+        open_, n_open = work.write(tagged.join(main, "band"), "open")
+        if n_open:
+            full = _sets(docs, open_.select("rep").distinct(), n_open, rules, work, "open-sets")
+            found, n_found = work.write(_block_links(open_, reps, full, rules).distinct(), "open-links")
+            if n_found:
+                links = found if links is None else links.unionByName(found)
+                label, n_label = components(links, work, "cc")
     classes = reps.select(*key, "rep")
     out = sketch.select("doc_id", *key).join(classes, key, "left")
     out = _with_comp(out, label, n_label)
