@@ -11,7 +11,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 
-from threadweave.llm.lm_scoring import Attention, LmRules, Shares, Subwords, Trainer, Weights, lm_scores, score_ids, windows
+from threadweave.llm.lm_scoring import Attention, LmRules, Scorer, Shares, Subwords, Trainer, Weights, lm_scores, score_ids, windows
 from threadweave.llm.textcols import words
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -95,6 +95,18 @@ def test_attention_does_not_look_ahead(vocabulary):
     assert np.allclose(before[0, :9], after[0, :9], atol=1e-5) and not np.allclose(before[0, 9:], after[0, 9:], atol=1e-5)
 
 
+def test_scorer_equals_the_forward_pass(vocabulary):
+    w = Weights.start(vocabulary, RULES)
+    w.dist += np.random.default_rng(1).standard_normal(w.dist.shape).astype(np.float32)
+    s, rng = RULES.stride, np.random.default_rng(2)
+    rows = rng.integers(0, 4000, (6, s))
+    rows[0], rows[3, :5] = vocabulary.pad_row, vocabulary.pad_row
+    cls = rng.integers(0, vocabulary.classes, 5 * s)
+    logits, _ = Attention(w, vocabulary, s).forward(np.concatenate([rows[:-1], rows[1:]], axis=1))
+    want = (logits - np.log(np.exp(logits).sum(axis=2, keepdims=True))).reshape(5 * s, -1)[np.arange(5 * s), cls]
+    assert np.allclose(Scorer(w, vocabulary, s).class_logs(rows, cls), want, atol=1e-4)
+
+
 def test_training_helps_on_held_out_text(spark, vocabulary):
     texts = [r.text.lower() for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").limit(500).collect()]
     v = vocabulary
@@ -103,10 +115,10 @@ def test_training_helps_on_held_out_text(spark, vocabulary):
     shares = Shares(v, np.bincount(ids, minlength=v.end + 1).astype(float),
                     np.bincount(v.before(ids, starts) * v.slots + v.slot[ids], minlength=v.slots ** 2).astype(float), RULES.prior)
     trainer = Trainer(Weights.start(v, RULES), v, RULES)
-    start = score_ids(new_ids, new_starts, v, trainer.net, shares).sum()
+    start = score_ids(new_ids, new_starts, v, Scorer(trainer.w, v, RULES.stride), shares).sum()
     for _ in range(2):
         trainer.learn(ids, starts)
-    end = score_ids(new_ids, new_starts, v, trainer.net, shares).sum()
+    end = score_ids(new_ids, new_starts, v, Scorer(trainer.w, v, RULES.stride), shares).sum()
     kinds = np.bincount(v.cls[ids], minlength=v.classes) + 0.5
     unigram = (np.log10(kinds / kinds.sum())[v.cls[new_ids]]).sum() + shares.log(new_ids, new_starts).sum() / math.log(10)
     assert end > start and end > unigram

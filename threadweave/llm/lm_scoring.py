@@ -49,7 +49,8 @@ from threadweave.llm.packing import byte_bpe
 from threadweave.llm.tables import Workspace
 from threadweave.llm.textcols import Words, id_text, lower_ascii, mix, slices, sums, word_hashes, words
 
-SLICE = 16 << 20
+SLICE = 4 << 20
+CACHED_WORDS = 100_000  # words whose ids a task keeps from slice to slice
 LN10 = log(10)
 
 
@@ -64,7 +65,7 @@ class LmRules:
     rows: int = 4096
     dim: int = 16
     stride: int = 16
-    every: int = 8
+    every: int = 16
     batch: int = 64
     rate: float = 0.1
     pairs: int = 2048
@@ -79,6 +80,7 @@ class Subwords:
     def __init__(self, ranks_file: str, rules: LmRules):
         encoding = byte_bpe(ranks_file)
         self.encode = encoding.encode_ordinary
+        self.known: dict[str, list[int]] = {}
         n = encoding.n_vocab
         self.end = n
         kinds: dict[tuple[bool, str], int] = {}
@@ -106,9 +108,21 @@ class Subwords:
         out[starts[:-1][np.diff(starts) > 0]] = self.slot[self.end]
         return out
 
+    def _words(self, vocab: list[str]) -> list[list[int]]:
+        known, encode = self.known, self.encode
+        if len(known) > CACHED_WORDS:
+            known.clear()
+        out = []
+        for word in vocab:
+            ids = known.get(word)
+            if ids is None:
+                ids = known[word] = encode(" " + word)
+            out.append(ids)
+        return out
+
     def of(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
         """Ids of each text, end to end, with the end id; and where they begin."""
-        own = [self.encode(" " + x) for x in w.vocab.to_pylist()]
+        own = self._words(w.vocab.to_pylist())
         size = np.fromiter(map(len, own), np.int64, len(own))
         flat = np.fromiter((i for x in own for i in x), np.int64, int(size.sum()))
         at = np.cumsum(size) - size
@@ -272,17 +286,51 @@ class Shares:
         return np.log((both + self.prior * self.share[ids]) / (self.by_class[before * v.classes + v.cls[ids]] + self.prior))
 
 
-def score_ids(ids: np.ndarray, starts: np.ndarray, v: Subwords, net: Attention, shares: Shares, chunk: int = 512) -> np.ndarray:
+class Scorer:
+    """Forward pass of ``Attention`` for scoring alone: queries, keys and values
+    of all input rows are tables, and neighbouring blocks share theirs."""
+
+    def __init__(self, w: Weights, v: Subwords, stride: int):
+        self.v, self.s = v, stride
+        scale = np.float32(1 / np.sqrt(w.wq.shape[0]))
+        self.emb, self.q, self.k, self.v_ = w.emb, w.emb @ w.wq * scale, w.emb @ w.wk, w.emb @ w.wv
+        closed = Attention(w, v, stride)
+        self.bias = w.dist[closed.back] + closed.closed
+        self.out, self.out_bias = w.out, w.bias
+
+    def class_logs(self, rows: np.ndarray, cls: np.ndarray) -> np.ndarray:
+        """Log probability of class ``cls[i]`` at each position of blocks 1, 2, ... of ``rows`` (blocks x stride)."""
+        s, d, n = self.s, self.emb.shape[1], len(rows) - 1
+        k, val = self.k.take(rows, axis=0), self.v_.take(rows, axis=0)
+        pair = lambda x: np.lib.stride_tricks.as_strided(x, (n, 2 * s, d), x.strides)  # noqa: E731  block i and the one after it
+        score = np.matmul(self.q.take(rows[1:], axis=0), pair(k).transpose(0, 2, 1))
+        score += self.bias
+        pad = rows == self.v.pad_row
+        some = np.flatnonzero(pad[:-1].any(axis=1) | pad[1:].any(axis=1))
+        if len(some):
+            score[some] += np.where(np.concatenate([pad[some], pad[some + 1]], axis=1), np.float32(-1e4), np.float32(0))[:, None, :]
+        np.minimum(score, 50, out=score)
+        p = np.exp(score, out=score)
+        total = p.reshape(-1, 2 * s) @ np.ones((2 * s, 1), np.float32)  # sums by matrix product: faster over short rows
+        h = np.matmul(p, pair(val)).reshape(-1, d)
+        h /= total + np.float32(1e-30)
+        h += self.emb.take(rows[1:].ravel(), axis=0)
+        logits = h @ self.out
+        logits += self.out_bias
+        np.minimum(logits, 50, out=logits)
+        own = logits[np.arange(len(logits)), cls]
+        return own - np.log(np.exp(logits, out=logits) @ np.ones(len(self.out_bias), np.float32))
+
+
+def score_ids(ids: np.ndarray, starts: np.ndarray, v: Subwords, scorer: Scorer, shares: Shares, chunk: int = 512) -> np.ndarray:
     """Log10 probability of each text."""
-    s = net.s
+    s = scorer.s
     rows, target = windows(ids, starts, v, s)
-    blocks, goal = rows.reshape(-1, s), target.reshape(-1, s)
+    blocks, cls = rows.reshape(-1, s), v.cls[target]  # no target: any class, not counted below
     out = np.zeros(len(target))
     for i in range(1, len(blocks), chunk):
         j = min(i + chunk, len(blocks))
-        logits, _ = net.forward(np.concatenate([blocks[i - 1:j - 1], blocks[i:j]], axis=1))
-        own = np.take_along_axis(logits, v.cls[goal[i:j]][:, :, None], axis=2)[:, :, 0]
-        out[i * s:j * s] = (own - np.log(np.exp(logits).sum(axis=2))).ravel()
+        out[i * s:j * s] = scorer.class_logs(blocks[i - 1:j], cls[i * s:j * s])
     return sums_float(out[target >= 0] + shares.log(ids, starts), starts) / LN10
 
 
@@ -392,14 +440,14 @@ def score_texts(docs: DataFrame, model: LanguageModel, ranks_file: str, work: Wo
         own_h, own_c, vector, id_count, pair_count = shared.value
         v = Subwords(ranks_file, rules)
         weights = Weights.start(v, rules)
-        net = Attention(weights.like(vector) if vector is not None else weights, v, rules.stride)
+        scorer = Scorer(weights.like(vector) if vector is not None else weights, v, rules.stride)
         shares = Shares(v, id_count, pair_count, rules.prior)
         context = TaskContext.get()
         row = (context.partitionId() if context else 0) << 40
         for part in slices(batches, SLICE):
             w = words(lower_ascii(part["text"]))
             ids, starts = v.of(w)
-            score = score_ids(ids, starts, v, net, shares)
+            score = score_ids(ids, starts, v, scorer, shares)
             h = word_hashes(w.vocab).view(np.int64)
             at = np.minimum(np.searchsorted(own_h, h), max(len(own_h) - 1, 0))
             found = own_h[at] == h if len(own_h) else np.zeros(len(h), bool)
