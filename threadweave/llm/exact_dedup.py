@@ -127,7 +127,7 @@ def _entries(rows: list[dict]) -> pa.RecordBatch:
         ("group_size", pa.int64())]))
 
 
-def build_index(docs: DataFrame, work: Workspace, capacity: int = 100_000) -> tuple[DataFrame, DataFrame, int]:
+def build_index(docs: DataFrame, work: Workspace, capacity: int = 20_000) -> tuple[DataFrame, DataFrame, int]:
     """Rows (doc_id, key, sha), the index files read back, and the number of entries for copies."""
     rows, _ = work.write(_keyed(docs).select("doc_id", "key", F.sha2("norm", 256).alias("sha")), "rows")
     keys, n_keys = work.write(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"),
@@ -147,7 +147,7 @@ def build_index(docs: DataFrame, work: Workspace, capacity: int = 100_000) -> tu
     return rows, index, n_twice
 
 
-def exact_duplicates(docs: DataFrame, capacity: int = 100_000) -> DataFrame:
+def exact_duplicates(docs: DataFrame, capacity: int = 20_000) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256."""
     work = Workspace(docs.sparkSession, "exact-dedup")
     rows, index, n_twice = build_index(docs, work, capacity)
@@ -159,7 +159,7 @@ def exact_duplicates(docs: DataFrame, capacity: int = 100_000) -> DataFrame:
                         F.col("doc_id").eqNullSafe(keep).alias("kept"), F.col("sha").alias("text_sha256"))
 
 
-def drop_copies(docs: DataFrame, capacity: int = 100_000) -> DataFrame:
+def drop_copies(docs: DataFrame, capacity: int = 20_000) -> DataFrame:
     """The rows of ``docs`` without the copies (all columns)."""
     work = Workspace(docs.sparkSession, "exact-dedup")
     gone, n = work.write(exact_duplicates(docs, capacity).filter("NOT kept").select("doc_id").distinct(), "gone")
