@@ -133,7 +133,7 @@ def _sketch(docs: DataFrame, rules: NearRules) -> DataFrame:
 
 
 def _bands(reps: DataFrame, rules: NearRules) -> DataFrame:
-    """(band key, rep) for each band."""
+    """(band key, number of the band, rep) for each band."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -144,9 +144,10 @@ def _bands(reps: DataFrame, rules: NearRules) -> DataFrame:
             for j in range(rules.rows):
                 key = mix(key + sig[:, :, j].astype(np.uint64) * MIX)
             rep = np.repeat(b["rep"].to_numpy(zero_copy_only=False), rules.bands)
-            yield pa.RecordBatch.from_arrays([pa.array(key.reshape(-1).view(np.int64)), pa.array(rep)], ["band", "rep"])
+            nth = np.tile(np.arange(rules.bands, dtype=np.int32), b.num_rows)
+            yield pa.RecordBatch.from_arrays([pa.array(key.reshape(-1).view(np.int64)), pa.array(nth), pa.array(rep)], ["band", "nth", "rep"])
 
-    return reps.select("rep", "sig").mapInArrow(run, "band long, rep long")
+    return reps.select("rep", "sig").mapInArrow(run, "band long, nth int, rep long")
 
 
 def _prune(pairs: DataFrame, rules: NearRules) -> DataFrame:
@@ -261,13 +262,14 @@ def _block_links(members: DataFrame, reps: DataFrame, full: DataFrame, rules: Ne
     A member of the main component goes to its own block; the others go to
     every block, as probes.  A block compares signatures, verifies survivors on
     full sets, and skips pairs that its links so far have already joined, so it
-    gives fewer links than it has members."""
+    gives fewer links than it has members.  A pair that shares an earlier band is
+    left to that band, which is open as well."""
     blocks = F.greatest(F.ceil(F.col("size") / rules.block), F.lit(1)).cast("int")
     own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
     placed = members.join(reps.select("rep", "sig"), "rep").join(full, "rep").withColumn("own", own)
     rows = placed.select("band", F.explode(F.when(F.col("comp") == F.col("main"), F.array("own"))
                                            .otherwise(F.sequence(F.lit(0), blocks - 1))).alias("block"),
-                         "own", "rep", "comp", (F.col("comp") != F.col("main")).alias("probe"), "sig", "members")
+                         "own", "rep", "comp", (F.col("comp") != F.col("main")).alias("probe"), "sig", "members", "nth")
     steps = min_matches(rules)
 
     def run(key, table):
@@ -276,6 +278,8 @@ def _block_links(members: DataFrame, reps: DataFrame, full: DataFrame, rules: Ne
         probe, home = table["probe"].to_numpy(), table["own"].to_numpy() == block
         sig = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint32).reshape(len(rep), -1)
         sets = [np.frombuffer(x, np.uint64) for x in table["members"].to_pylist()]
+        before = table["nth"][0].as_py() * rules.rows
+        earlier = sig[:, :before].reshape(len(rep), -1, rules.rows) if before else None
         _, group = np.unique(comp, return_inverse=True)
         a_out, b_out = [], []
         other = np.flatnonzero(home)  # each probe meets the members whose home is this block
@@ -285,6 +289,9 @@ def _block_links(members: DataFrame, reps: DataFrame, full: DataFrame, rules: Ne
             for n, least in steps:
                 same += (sig[live, done:n] == sig[i, done:n]).sum(axis=1)
                 live, same, done = live[same >= least], same[same >= least], n
+            if before and len(live):
+                first = ~(earlier[live] == earlier[i]).all(axis=2).any(axis=1)
+                live, same = live[first], same[first]
             for j in live[np.argsort(-same, kind="stable")].tolist():
                 if group[i] != group[j] and _similar(sets[i], sets[j], rules):
                     a_out.append(min(rep[i], rep[j]))
@@ -324,7 +331,7 @@ def near_duplicates(docs: DataFrame, rules: NearRules = NearRules()) -> DataFram
         links = found if links is None else links.unionByName(found)
         label, n_label = components(links, work, f"cc{k}")
     if n:
-        tagged = _with_comp(members.select("band", "rep"), label, n_label)
+        tagged = _with_comp(members.select("band", "nth", "rep"), label, n_label)
         groups = tagged.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("g"))
         main = (groups.groupBy("band").agg(F.max(F.struct("g", "comp")).alias("m"), F.sum("g").alias("size"), F.count(F.lit(1)).alias("k"))
                 .filter("k > 1 AND size > 2").select("band", F.col("m.comp").alias("main"), "size"))
