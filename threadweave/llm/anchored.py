@@ -122,21 +122,32 @@ def anchors(sym: np.ndarray, starts: np.ndarray, width: int, gram: int) -> dict[
             "n_win": np.diff(np.concatenate([first, [len(p)]])), "off": at[first] - starts[:-1][text[first]] - p[first]}
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, text and a key of the row: rows are told apart by id and text."""
-    return id_text(docs).withColumns({"id0": F.coalesce("doc_id", F.lit(NO_ID)), "row": F.xxhash64("text")})
+def ids_differ(docs: DataFrame) -> bool:
+    """Whether every row has an id of its own."""
+    return not id_text(docs).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count()
+
+
+def keyed(docs: DataFrame, by_id: bool) -> DataFrame:
+    """doc_id, text and the row's key: its id and - unless ids alone tell rows
+    apart - a hash of its text."""
+    return id_text(docs).withColumns({"id0": F.coalesce("doc_id", F.lit(NO_ID)),
+                                      "row": F.lit(0).cast("long") if by_id else F.xxhash64("text")})
 
 
 def _scan(docs: DataFrame, w: Windows) -> DataFrame:
+    """(h, key, pos) of each anchor; ``pos`` packs first window, windows and offset."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             found = anchors(*w.symbols(part["text"]), w.width, w.gram)
             text = pa.array(found["text"])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found["h"], pa.int64()), part["id0"].take(text), part["row"].take(text),
-                 *(pa.array(found[c], pa.int32()) for c in ("p0", "n_win", "off"))], ["h", "id0", "row", "p0", "n_win", "off"])
+            pos = found["p0"] << 20 | found["n_win"] << 10 | found["off"]
+            yield pa.RecordBatch.from_arrays([pa.array(found["h"], pa.int64()), part["id0"].take(text), part["row"].take(text), pa.array(pos, pa.int64())],
+                                             ["h", "id0", "row", "pos"])
 
-    return keyed(docs).select("text", *KEY).mapInArrow(run, "h long, id0 long, row long, p0 int, n_win int, off int")
+    if w.width >= 1 << 10:
+        raise ValueError("windows of 1024 symbols or more don't fit a packed place")
+    return docs.select("text", *KEY).mapInArrow(run, "h long, id0 long, row long, pos long")
 
 
 STRINGS = "g long, s1 long, s2 long, id0 long, row long, p0 int, n_win int, off int, body binary, n long, least long"
@@ -164,11 +175,14 @@ def _strings(docs: DataFrame, lists: DataFrame, w: Windows) -> DataFrame:
 
         for part in slices(batches):
             out: dict[str, list] = {c: [] for c in ("g", "s1", "s2", "id0", "row", "p0")}
-            for raw, id0, row, items in zip(part["text"].cast(pa.binary()).to_pylist(), part["id0"].to_pylist(), part["row"].to_pylist(),
-                                            part["items"].to_pylist(), strict=True):
+            items, cut = part["items"].flatten(), part["items"].offsets.to_numpy()
+            hashes, places = items.field("h").to_numpy().tolist(), items.field("pos").to_numpy().tolist()
+            cut = (cut - cut[0]).tolist()
+            for raw, id0, row, i, j in zip(part["text"].cast(pa.binary()).to_pylist(), part["id0"].to_pylist(), part["row"].to_pylist(),
+                                           cut[:-1], cut[1:], strict=True):
                 symbols = w.split(raw)
-                for item in items:
-                    g, p0, n_win, off = item["h"], item["p0"], item["n_win"], item["off"]
+                for g, pos in zip(hashes[i:j], places[i:j], strict=True):
+                    p0, n_win, off = pos >> 20, pos >> 10 & 1023, pos & 1023
                     body = w.join(symbols[p0:p0 + n_win + w.width - 1])
                     digest = xxhash.xxh3_128_digest(body, (g + off) & 0xFFFFFFFF)
                     sid = (int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True))
@@ -272,7 +286,7 @@ def _by_window(strings: DataFrame, w: Windows, pack: Packer) -> DataFrame:
 
 def marked(docs: DataFrame, w: Windows, work: Workspace, repeated: Column, solve: Solver, pack: Packer,
            chunk: int = 20_000) -> DataFrame:
-    """Per document key: ``spans``, an array of (p0, marks), the marks of the
+    """``docs``: keyed rows.  Per key: ``spans``, an array of (p0, marks), the marks of the
     windows from p0 on.  ``repeated``: condition on an anchor's columns ``n``
     (occurrences), ``lo`` and ``hi`` (ids).  ``solve`` gives marks for strings
     that meet in a task, ``pack`` for a hot anchor's string from its windows'
@@ -281,11 +295,13 @@ def marked(docs: DataFrame, w: Windows, work: Workspace, repeated: Column, solve
     shared, n_shared = work.write(found.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("id0").alias("lo"), F.max("id0").alias("hi"))
                                   .filter(repeated).select("h"), "shared")
     work.settle()
-    lists = (found.join(small(shared, n_shared), "h", "left_semi").groupBy(*KEY)
-             .agg(F.collect_list(F.struct("h", "p0", "n_win", "off")).alias("items")))
-    both, _ = work.write(_strings(keyed(docs).select("text", *KEY), lists, w), "strings")
+    lists, _ = work.write(found.join(small(shared, n_shared), "h", "left_semi").groupBy(*KEY)
+                          .agg(F.collect_list(F.struct("h", "pos")).alias("items")), "lists")
     work.drop("anchors", "shared")
     work.settle()
+    both, _ = work.write(_strings(docs, lists, w), "strings")
+    work.drop("lists")
+    work.settle()
     strings = both.filter("body IS NOT NULL").select("g", "s1", "s2", "n_win", "off", "body", "n", "least")
     hot, n_hot = work.write(strings.groupBy("g").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") > w.hot).select("g"), "hot")
     parts = _solve(strings.join(F.broadcast(hot), "g", "left_anti") if n_hot else strings, solve, chunk)

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadweave.llm.anchored import KEY, NO_ID, Strings, Windows, keyed, marked
+from threadweave.llm.anchored import KEY, NO_ID, Strings, Windows, ids_differ, keyed, marked
 from threadweave.llm.tables import Workspace
 from threadweave.llm.textcols import covered, id_text, slices
 
@@ -161,14 +161,15 @@ def _schema(with_text: bool) -> str:
     return "doc_id long, n_words long, n_removed long, kept_sha256 string" + (", kept string" if with_text else "")
 
 
-def remove_repeated_spans(docs: DataFrame, width: int = 13, gram: int = 5, with_text: bool = False) -> DataFrame:
+def remove_repeated_spans(docs: DataFrame, width: int = 13, gram: int = 4, with_text: bool = False) -> DataFrame:
     """One row per document, without the words covered by a ``width``-word
     window that also starts in a document with a smaller id."""
     work = Workspace(docs.sparkSession, "substring-dedup")
     never = lambda totals, lowest: np.array([NEVER if x is None else x for x in lowest], np.int64).tobytes()
-    spans = marked(docs, Windows("word", width, gram), work, (F.col("n") > 1) & (F.col("hi") > F.col("lo")) & (F.col("hi") > NO_ID),
+    rows = keyed(docs, ids_differ(docs))
+    spans = marked(rows, Windows("word", width, gram), work, (F.col("n") > 1) & (F.col("hi") > F.col("lo")) & (F.col("hi") > NO_ID),
                    _solver(width), never, chunk=4_000)
-    return (keyed(docs).join(spans, KEY, "left").select("doc_id", "text", "spans")
+    return (rows.join(spans, KEY, "left").select("doc_id", "text", "spans")
             .mapInArrow(_removal(width, with_text), _schema(with_text)))
 
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadweave.llm.anchored import KEY, Strings, Windows, keyed, marked
+from threadweave.llm.anchored import KEY, Strings, Windows, ids_differ, keyed, marked
 from threadweave.llm.tables import Workspace
 from threadweave.llm.textcols import covered, slices
 
@@ -152,7 +152,8 @@ def remove_repeats(docs: DataFrame, width: int = 200, gram: int = 32, with_text:
     (and ``kept``, the remaining bytes, if ``with_text``)."""
     work = Workspace(docs.sparkSession, "suffix-dedup")
     w = Windows("byte", width, gram)
-    spans = marked(docs, w, work, F.col("n") > 1, _solver(width),
+    rows = keyed(docs, ids_differ(docs))
+    spans = marked(rows, w, work, F.col("n") > 1, _solver(width),
                    lambda totals, _: np.packbits(np.array(totals) > 1).tobytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,5 +176,5 @@ def remove_repeats(docs: DataFrame, width: int = 200, gram: int = 32, with_text:
             yield pa.RecordBatch.from_arrays([part["doc_id"], *(pa.array(v, kinds.get(c, pa.int64())) for c, v in out.items())],
                                              ["doc_id", *out])
 
-    return (keyed(docs).join(spans, KEY, "left").select("doc_id", "text", "spans")
+    return (rows.join(spans, KEY, "left").select("doc_id", "text", "spans")
             .mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_text else "")))

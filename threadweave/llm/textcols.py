@@ -9,7 +9,6 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,8 +89,16 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(vocab: pa.Array) -> np.ndarray:
-    """64-bit hashes of distinct words."""
-    return np.fromiter(map(xxhash.xxh64_intdigest, vocab.cast(pa.binary()).to_pylist()), np.uint64, len(vocab))
+    """64-bit hashes of distinct words: the sum of one pseudo-random number for
+    each byte and its place, mixed."""
+    size = pc.binary_length(vocab).to_numpy(zero_copy_only=False).astype(np.int64)
+    starts = np.cumsum(size) - size
+    data = np.frombuffer(b"".join(vocab.cast(pa.binary()).to_pylist()), np.uint8)
+    if not len(data):
+        return mix(np.full(len(vocab), MIX))
+    place = (np.arange(len(data)) - np.repeat(starts, size)).astype(np.uint64)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix((place * np.uint64(256) + data + np.uint64(1)) * MIX), dtype=np.uint64)])
+    return mix(total[starts + size] - total[starts] + MIX)
 
 
 def lower_ascii(texts: pa.Array) -> pa.Array:
