@@ -16,7 +16,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from threadweave.plans.catalog import QUERIES  # noqa: E402
-from threadweave.runtime import local_session  # noqa: E402
+from threadweave.runtime import drop_scratch, local_session  # noqa: E402
 
 HEADLINE = [
     "popular_pairs_named",
@@ -46,6 +46,7 @@ def main() -> None:
         t = time.time()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t, 2)
+        drop_scratch(spark)
     sf = sf_dir.rstrip("/").rsplit("sf", 1)[-1]
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 2), "unit": "sec",
                       "queries": times, "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf}))

@@ -21,6 +21,41 @@ def test_motif_bag_and_distinct(spark):
                         ("ben", "A", "B", "ann"): 2, ("ben", "B", "A", "ann"): 2}
 
 
+def _busy(spark, n_posted, n_commented):
+    edges = ([(1, 10, "posted")] * n_posted + [(1, 11, "posted")] * n_posted + [(2, 10, "posted")] * n_posted + [(2, 11, "posted")] * n_posted
+             + [(1, 2, "commented")] * n_commented + [(2, 1, "commented")] * n_commented)
+    return _graph(spark, edges)
+
+
+def test_motif_distinct_of_heavy_users(spark):
+    got = motif.motif_distinct(_busy(spark, 1500, 1500)).collect()
+    assert len(got) == 4 and {int(r.matches) for r in got} == {1500 ** 6}
+
+
+def test_motif_raw_above_one_block(spark):
+    assert 12 ** 4 * 2 > motif.BLOCK
+    raw = motif.motif_raw(_busy(spark, 12, 1))
+    assert raw.count() == 4 * 12 ** 4 and raw.distinct().count() == 4
+
+
+def test_repeat_rows_level_by_level(spark):
+    rows = [("a", 0), ("b", 1), ("c", 7), ("d", 8), ("e", 100), ("f", 1000)]
+    df = spark.createDataFrame(rows, "k string, n int").selectExpr("k", "cast(n as decimal(38,0)) n")
+    got = {r.k: r["count"] for r in motif.repeat_rows(df.filter("n > 0"), "n", block=4).groupBy("k").count().collect()}
+    assert got == {k: n for k, n in rows if n}
+
+
+def test_motif_posted_only(spark):
+    # a comment edge that ends in a subreddit id counts for the usual motif only
+    edges = [(1, 10, "posted"), (1, 11, "posted"), (2, 10, "posted"), (2, 11, "commented"), (1, 2, "commented"), (2, 1, "commented")]
+    g = _graph(spark, edges)
+    assert motif.motif_raw(g).count() == 4 and motif.motif_raw(g, posted_only=True).count() == 0
+    # edges of another relationship between the users count for the alternate one only
+    edges = [(1, 10, "posted"), (1, 11, "posted"), (2, 10, "posted"), (2, 11, "posted"), (1, 2, "knows"), (2, 1, "knows")]
+    g = _graph(spark, edges)
+    assert motif.motif_raw(g).count() == 0 and motif.motif_raw(g, posted_only=True).count() == 4
+
+
 def test_motif_needs_both_directions(spark):
     edges = [(1, 10, "posted"), (1, 11, "posted"), (2, 10, "posted"), (2, 11, "posted"), (1, 2, "commented")]
     assert motif.motif_raw(_graph(spark, edges)).count() == 0

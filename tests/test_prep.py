@@ -78,7 +78,7 @@ def test_hot_post_split_join(spark, force_split):
     comments = prep.prep_comments(spark.createDataFrame(rows,
         "id string, link_id string, parent_id string, body string, author string, subreddit string, "
         "subreddit_id string, created_utc timestamp_ntz, month string"))
-    plan = graph.post_join_plan(posts)
+    plan = graph.post_join_plan(posts, comments)
     assert plan.n_posts == 2 and plan.hot is not None and plan.hot.count() == 1
     split = graph.comment_post_edges(posts, comments, plan=plan)
     plain = graph.comment_post_edges(posts, comments)

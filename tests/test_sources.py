@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from threadweave.runtime import scratch_path
 from threadweave.sources import fixture, sinks
-from threadweave.sources.monthly import read_month_folders, read_prepped
+from threadweave.sources.monthly import read_month_folders, read_prepped, write_month_folders
 from threadweave.operators import prep
 from tests.conftest import SF_SMALL
 
@@ -14,13 +14,24 @@ def test_month_folders_roundtrip_with_drift(spark):
     for i, m in enumerate(months):
         part = raw.filter(F.col("month") == m).drop("month")
         if i == 1:   # a month with an extra column and another column order
-            part = part.withColumn("score", F.lit(1)).select("score", *reversed(part.columns))
+            part = part.withColumn("upvotes", F.lit(1)).select("upvotes", *reversed(part.columns))
         part.write.parquet(f"{base}/RS-{m}")
     got = read_month_folders(spark, base, "RS", ",".join(months))
     want = raw.filter(F.col("month").isin(months))
     assert got.count() == want.count()
     assert got.select(*want.columns).exceptAll(want).count() == 0
-    assert got.filter(F.col("score").isNotNull()).count() == raw.filter(F.col("month") == months[1]).count()
+    assert got.filter(F.col("upvotes").isNotNull()).count() == raw.filter(F.col("month") == months[1]).count()
+
+
+def test_month_filter_reads_only_that_folder(spark):
+    raw = fixture.submissions_raw(spark, SF_SMALL)
+    base, months = scratch_path(spark, "months"), ["1996-06", "1996-07", "1996-08"]
+    write_month_folders(raw, base, "RS", months)
+    one = read_month_folders(spark, base, "RS", months).filter(F.col("month") == "1996-07")
+    plan = one._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
+    assert {"RS-1996-07" in f for f in one.inputFiles()} == {True}
+    assert one.count() == raw.filter(F.col("month") == "1996-07").count()
 
 
 def test_prepped_partitioned_by_month(spark):

@@ -20,11 +20,6 @@ def posting_counts(property_edges: DataFrame) -> DataFrame:
     return pair_counts(property_edges.filter(F.col("relationship") == REL_POSTED))
 
 
-def partner_counts(pairs: DataFrame) -> DataFrame:
-    """Number of distinct sources per destination (input: one row per pair)."""
-    return pairs.groupBy("dst").agg(F.count(F.lit(1)).alias("count"))
-
-
 def author_subreddit_counts(comments: DataFrame, authors: Iterable[str]) -> DataFrame:
     """Comments per subreddit for each chosen author."""
     return (comments.filter(F.col("author").isin(list(authors)))
@@ -36,6 +31,7 @@ def commenter_op_counts(season_posts: DataFrame, season_comments: DataFrame) ->
 
     Posts and comments of all periods are joined on the post key (so a comment
     may sit in a later period than its post); key = ``"<commenter>,<op>"``.
+    A hot post is split by AQE's skew join.
     """
     posts = season_posts.select("link_hash", F.col("author").alias("op"))
     com = season_comments.select("link_hash", "author")

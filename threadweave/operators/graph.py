@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,26 +44,24 @@ def user_vertices(posts: DataFrame, comments: DataFrame, group: Sequence[str] =
 
 @dataclass(frozen=True)
 class PostJoinPlan:
-    """Sizes for the comment -> post join: post count and the hot posts."""
+    """Sizes for the comment -> post join: post count and the hot post keys."""
     n_posts: int
     hot: DataFrame | None
 
 
-def post_join_plan(posts: DataFrame, group: Sequence[str] = ()) -> PostJoinPlan:
-    """Count the posts and find hot ones (a viral post may carry a third of
-    all comments) from the posts' own ``num_comments``: with
-    T = max(minHotRows, sum(num_comments) / maxHotKeys) at most maxHotKeys
-    posts exceed T, so the hot set has a proven bound.  One small aggregate
-    over the (already written) posts table, no pass over the comments."""
-    from threadweave.runtime import CONF_HOT_MAX_KEYS, CONF_HOT_MIN_ROWS, conf_int
-    spark = posts.sparkSession
-    row = posts.agg(F.count(F.lit(1)).alias("n"), F.sum("num_comments").alias("c")).first()
-    total = int(row["c"] or 0)
-    threshold = max(conf_int(spark, CONF_HOT_MIN_ROWS), -(-total // conf_int(spark, CONF_HOT_MAX_KEYS)))
-    hot = None
-    if total > threshold:
-        hot = posts.filter(F.col("num_comments") > threshold).select(*group, "link_hash").distinct()
-    return PostJoinPlan(int(row["n"]), hot)
+def post_join_plan(posts: DataFrame, comments: DataFrame, group: Sequence[str] = ()) -> PostJoinPlan:
+    """Count the posts and, if they are too many to broadcast, find the hot post
+    keys (a viral post may carry a third of all comments) by counting the
+    comments per key: at most maxHotKeys keys exceed
+    max(minHotRows, comments / maxHotKeys), so the hot set has a proven bound.
+    Both inputs are written tables of keys."""
+    from threadweave.operators.joins import broadcast_ok, hot_keys
+    from threadweave.runtime import cut
+    n_posts = posts.count()
+    if broadcast_ok(posts, n_posts):
+        return PostJoinPlan(n_posts, None)
+    hot = hot_keys(comments, [*group, "link_hash"], comments.count())
+    return PostJoinPlan(n_posts, None if hot is None else cut(hot, "hot-posts"))
 
 
 def comment_post_edges(posts: DataFrame, comments: DataFrame, group: Sequence[str] = (),
@@ -91,14 +88,18 @@ def user_graph(posts: DataFrame, comments: DataFrame, plan: PostJoinPlan | None
     return PropertyGraph(user_vertices(posts, comments), comment_post_edges(posts, comments, plan=plan))
 
 
-def property_graph_vertices(posts: DataFrame, comments: DataFrame) -> DataFrame:
-    """(id, name, type): subreddits, post authors, comment authors; distinct on all three."""
-    subs = posts.select(F.col("sub_id").alias("id"), F.col("subreddit").alias("name"),
-                        F.lit(TYPE_SUBREDDIT).alias("type"))
-    op = posts.select(F.col("op_id").alias("id"), F.col("author").alias("name"), F.lit(TYPE_USER).alias("type"))
-    com = comments.select(F.col("auth_id").alias("id"), F.col("author").alias("name"),
-                          F.lit(TYPE_USER).alias("type"))
-    return subs.union(op).union(com).distinct()
+def property_graph_vertices(posts: DataFrame, comments: DataFrame, id_mode: str = "hash") -> DataFrame:
+    """(id, name, type): subreddits, post authors, comment authors; distinct.
+
+    Takes cleaned posts and comments and reads their names only: the names are
+    made distinct first and then given ids, so a name is hashed once."""
+    from threadweave.operators.prep import with_hash
+    subs = posts.select("subreddit").distinct()
+    authors = posts.select("author").union(comments.select("author")).distinct()
+    return (with_hash(subs, "subreddit", "id", id_mode)
+            .select("id", F.col("subreddit").alias("name"), F.lit(TYPE_SUBREDDIT).alias("type"))
+            .unionByName(with_hash(authors, "author", "id", id_mode)
+                         .select("id", F.col("author").alias("name"), F.lit(TYPE_USER).alias("type"))))
 
 
 def property_graph_edges(posts: DataFrame, comments: DataFrame, user_edges: DataFrame | None = None) -> DataFrame:
@@ -111,10 +112,6 @@ def property_graph_edges(posts: DataFrame, comments: DataFrame, user_edges: Data
     return posted.unionByName(commented)
 
 
-def property_graph(posts: DataFrame, comments: DataFrame) -> PropertyGraph:
-    return PropertyGraph(property_graph_vertices(posts, comments), property_graph_edges(posts, comments))
-
-
 def period_graph(posts: DataFrame, comments: DataFrame, periods: Sequence[str], season_label: str | None,
                  group: str = "period", plan: PostJoinPlan | None = None) -> PropertyGraph:
     """Per-period user graphs plus (optionally) their season union, as one grouped graph.
@@ -131,7 +128,3 @@ def period_graph(posts: DataFrame, comments: DataFrame, periods: Sequence[str],
         v = v.unionByName(v.select(F.lit(season_label).alias(group), "id").distinct())
         e = e.unionByName(e.select(F.lit(season_label).alias(group), "dst", "src"))
     return PropertyGraph(v, e, (group,))
-
-
-def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)

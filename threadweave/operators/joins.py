@@ -16,12 +16,16 @@ Graph iterations join edges (billions of rows) with one state row per vertex
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from math import ceil
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadweave.runtime import CONF_BROADCAST_ROWS, CONF_HOT_MAX_KEYS, CONF_HOT_MIN_ROWS, conf_int
+from threadweave.runtime import (
+    CONF_BROADCAST_ROWS, CONF_HOT_MAX_KEYS, CONF_HOT_MIN_ROWS, CONF_LAYOUT_ROWS, conf_int, cut,
+)
 
 
 def broadcast_ok(df: DataFrame, rows: int) -> bool:
@@ -63,3 +67,53 @@ def semi_or_anti(df: DataFrame, keys_df: DataFrame, keys: Sequence[str], keys_ro
     """``left_semi``/``left_anti`` against a key set, broadcast when its count allows."""
     keys_df = F.broadcast(keys_df) if broadcast_ok(keys_df, keys_rows) else keys_df
     return df.join(keys_df, list(keys), how)
+
+
+@dataclass
+class EdgeLayout:
+    """Edges prepared once for many joins with changing state on one key.
+
+    Under the broadcast bound ``cold`` is the plain edge table.  Beyond it the
+    cold edges are partitioned and sorted by the key and kept, so a join
+    shuffles only the state; the edges of hot keys lie apart (``hot``) and
+    meet a broadcast state of at most maxHotKeys rows."""
+
+    keys: list[str]
+    cold: DataFrame
+    hot: DataFrame | None = None
+    hot_set: DataFrame | None = None
+    kept: bool = False
+
+    def join(self, state: DataFrame, state_rows: int, how: str = "inner") -> DataFrame:
+        """``edges ⋈ state`` (state is unique on the key, ``state_rows`` rows at most)."""
+        if broadcast_ok(state, state_rows):
+            edges = self.cold if self.hot is None else self.cold.unionByName(self.hot)
+            return edges.join(F.broadcast(state), self.keys, how)
+        cold = self.cold.join(state, self.keys, how)
+        if self.hot is None:
+            return cold
+        hot_state = state.join(F.broadcast(self.hot_set), self.keys, "left_semi")
+        return cold.unionByName(self.hot.join(F.broadcast(hot_state), self.keys, how))
+
+    def release(self) -> None:
+        if self.kept:
+            self.cold.unpersist()
+
+
+def lay_out(edges: DataFrame, keys: Sequence[str], n_edges: int, state_rows: int) -> EdgeLayout:
+    """Lay ``edges`` (a written table of ``n_edges`` rows) out for joins on
+    ``keys`` with states of at most ``state_rows`` rows.  The number of
+    partitions follows the counted rows.  A lost partition is recomputed from
+    the written table."""
+    keys = list(keys)
+    spark = edges.sparkSession
+    if broadcast_ok(edges, state_rows):
+        return EdgeLayout(keys, edges)
+    hot_set, hot, cold = hot_keys(edges, keys, n_edges), None, edges
+    if hot_set is not None:
+        hot_set = cut(hot_set, "hot-keys")
+        hot = cut(edges.join(F.broadcast(hot_set), keys, "left_semi"), "hot-edges")
+        cold = edges.join(F.broadcast(hot_set), keys, "left_anti")
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), ceil(n_edges / conf_int(spark, CONF_LAYOUT_ROWS)))
+    cold = cold.repartition(parts, *keys).sortWithinPartitions(*keys).persist(StorageLevel.MEMORY_AND_DISK)
+    return EdgeLayout(keys, cold, hot, hot_set, kept=True)

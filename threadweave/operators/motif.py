@@ -7,39 +7,54 @@ u != u2 and e5, e6 ``commented``: two users who both post in two subreddits
 and comment on each other.  Output ``user1, subreddit1, subreddit2, user2``.
 
 A match's multiplicity is the product of the six parallel-edge counts, and
-the pattern is symmetric under u<->u2 and s<->s2.  Plan (never joins the
-members of a subreddit with each other — that is the blow-up):
+the pattern is symmetric under u<->u2 and s<->s2.  Plan (never joins the members of a subreddit with each other — that is the
+blow-up):
 
 1. collapse edges to counts: commented (src, dst, n) and into-subreddit
-   (user, sub, n);
+   (user, sub, n), each written once;
 2. mutual commenting pairs u < u2 (the selective part) — one self-join of the
    collapsed commented edges;
 3. subreddits both users post in: pair ⋈ posts(u) on u, then ⋈ posts(u2) on
    the composite (u2, s) key, so a hot subreddit is never a join key;
-4. pairs of shared subreddits s < s2 per user pair (these ARE the results);
-5. the four mirror images, names attached last.
+4. pairs of shared subreddits s < s2 per user pair (these ARE the results),
+   with the names attached;
+5. the four mirror images.
+
+Multiplicities are decimals, as the product of six counts outgrows 64 bits for
+busy users.  The bag form repeats a row block by block: a first step makes one
+row per block of ``BLOCK`` copies (and per ``BLOCK`` such rows, and so on),
+those are dealt out evenly, and each then makes its copies.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadweave.operators.graph import PropertyGraph
 from threadweave.operators.joins import semi_or_anti
-from threadweave.runtime import cut_observed
-from threadweave.schema import REL_COMMENTED, TYPE_SUBREDDIT
+from threadweave.runtime import cut, cut_observed
+from threadweave.schema import REL_COMMENTED, REL_POSTED, TYPE_SUBREDDIT
 
+BLOCK = 10_000  # copies that one row makes at once
+COUNT = "decimal(38,0)"
 
-def motif_matches(graph: PropertyGraph) -> DataFrame:
-    """(u, s, s2, u2, matches) over vertex ids, all four mirror images."""
+
+def motif_quads(graph: PropertyGraph, posted_only: bool = False) -> DataFrame:
+    """(u, s, s2, u2, matches) over vertex ids with u < u2 and s < s2.
+
+    ``posted_only``: the alternate predicates — the edges into subreddits are
+    ``posted`` ones, and the edges between the users of any relationship."""
     e = graph.edges
     sub_ids, ms = cut_observed(graph.vertices.filter(F.col("type") == TYPE_SUBREDDIT).select("id").distinct(),
                                "motif-subreddits")
-    into_sub = semi_or_anti(e, sub_ids.withColumnRenamed("id", "dst"), ["dst"], ms["rows"], "left_semi")
-    posts = into_sub.groupBy(F.col("src").alias("u"), F.col("dst").alias("s")).agg(F.count(F.lit(1)).alias("n"))
-    comm = (e.filter(F.col("relationship") == REL_COMMENTED)
-            .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n")))
+    into = e.filter(F.col("relationship") == REL_POSTED) if posted_only else e
+    between = e if posted_only else e.filter(F.col("relationship") == REL_COMMENTED)
+    into_sub = semi_or_anti(into, sub_ids.withColumnRenamed("id", "dst"), ["dst"], ms["rows"], "left_semi")
+    posts = cut(into_sub.groupBy(F.col("src").alias("u"), F.col("dst").alias("s"))
+                .agg(F.count(F.lit(1)).cast(COUNT).alias("n")), "motif-posts")
+    comm = cut(between.filter(F.col("src") != F.col("dst")).groupBy("src", "dst")
+               .agg(F.count(F.lit(1)).cast(COUNT).alias("n")), "motif-comments")
 
     fwd = comm.filter(F.col("src") < F.col("dst")).select(
         F.col("src").alias("u"), F.col("dst").alias("u2"), F.col("n").alias("n6"))
@@ -49,44 +64,67 @@ def motif_matches(graph: PropertyGraph) -> DataFrame:
 
     p_u = posts.select("u", "s", F.col("n").alias("n1"))
     p_u2 = posts.select(F.col("u").alias("u2"), "s", F.col("n").alias("n3"))
+    times = lambda *cols: _product([F.col(c) for c in cols])
     shared = mutual.join(p_u, "u").join(p_u2, ["u2", "s"])
+    left = shared.select("u", "u2", "s", times("n1", "n3", "n5", "n6").alias("a"))
+    right = shared.select("u", "u2", F.col("s").alias("s2"), times("n1", "n3").alias("b"))
+    return (left.join(right, ["u", "u2"]).filter(F.col("s") < F.col("s2"))
+            .select("u", "s", "s2", "u2", times("a", "b").alias("matches")))
 
-    left = shared.select("u", "u2", "s", "n1", "n3", "n5", "n6")
-    right = shared.select("u", "u2", F.col("s").alias("s2"), F.col("n1").alias("n2"), F.col("n3").alias("n4"))
-    quads = (left.join(right, ["u", "u2"]).filter(F.col("s") < F.col("s2"))
-             .select("u", "u2", "s", "s2",
-                     (F.col("n1") * F.col("n2") * F.col("n3") * F.col("n4") * F.col("n5") * F.col("n6"))
-                     .alias("matches")))
-    mirrors = F.explode(F.array(
-        F.struct(F.col("u").alias("a"), F.col("s").alias("x"), F.col("s2").alias("y"), F.col("u2").alias("b")),
-        F.struct(F.col("u").alias("a"), F.col("s2").alias("x"), F.col("s").alias("y"), F.col("u2").alias("b")),
-        F.struct(F.col("u2").alias("a"), F.col("s").alias("x"), F.col("s2").alias("y"), F.col("u").alias("b")),
-        F.struct(F.col("u2").alias("a"), F.col("s2").alias("x"), F.col("s").alias("y"), F.col("u").alias("b")),
-    )).alias("m")
-    return quads.select(mirrors, "matches").select(
-        F.col("m.a").alias("u"), F.col("m.x").alias("s"), F.col("m.y").alias("s2"), F.col("m.b").alias("u2"), "matches")
-
-
-def motif_named(graph: PropertyGraph) -> DataFrame:
-    """(user1, subreddit1, subreddit2, user2, matches), one row per distinct id quadruple."""
-    v = graph.vertices
-    subs = v.filter(F.col("type") == TYPE_SUBREDDIT)
-    m = motif_matches(graph)
-    return (m.join(v.select(F.col("id").alias("u"), F.col("name").alias("user1")), "u")
-             .join(subs.select(F.col("id").alias("s"), F.col("name").alias("subreddit1")), "s")
-             .join(subs.select(F.col("id").alias("s2"), F.col("name").alias("subreddit2")), "s2")
-             .join(v.select(F.col("id").alias("u2"), F.col("name").alias("user2")), "u2")
-             .select("user1", "subreddit1", "subreddit2", "user2", "matches"))
 
+def _product(cols: list[Column]) -> Column:
+    out = cols[0]
+    for c in cols[1:]:
+        out = (out * c).cast(COUNT)
+    return out
 
-def motif_distinct(graph: PropertyGraph) -> DataFrame:
-    """Distinct name quadruples with the number of raw matches behind each."""
-    return (motif_named(graph).groupBy("user1", "subreddit1", "subreddit2", "user2")
-            .agg(F.sum("matches").alias("matches")))
 
-
-def motif_raw(graph: PropertyGraph) -> DataFrame:
+def motif_named(graph: PropertyGraph, posted_only: bool = False) -> DataFrame:
+    """(user1, subreddit1, subreddit2, user2, matches), one row per distinct id
+    quadruple; all four mirror images."""
+    v = graph.vertices
+    subs = v.filter(F.col("type") == TYPE_SUBREDDIT)
+    named = (motif_quads(graph, posted_only)
+             .join(v.select(F.col("id").alias("u"), F.col("name").alias("nu")), "u")
+             .join(subs.select(F.col("id").alias("s"), F.col("name").alias("ns")), "s")
+             .join(subs.select(F.col("id").alias("s2"), F.col("name").alias("ns2")), "s2")
+             .join(v.select(F.col("id").alias("u2"), F.col("name").alias("nu2")), "u2"))
+    image = lambda a, x, y, b: F.struct(F.col(a).alias("user1"), F.col(x).alias("subreddit1"),
+                                        F.col(y).alias("subreddit2"), F.col(b).alias("user2"))
+    mirrors = F.explode(F.array(image("nu", "ns", "ns2", "nu2"), image("nu", "ns2", "ns", "nu2"),
+                                image("nu2", "ns", "ns2", "nu"), image("nu2", "ns2", "ns", "nu"))).alias("m")
+    return named.select(mirrors, "matches").select("m.*", "matches")
+
+
+def motif_distinct(graph: PropertyGraph, posted_only: bool = False) -> DataFrame:
+    """Distinct name quadruples with the number of raw matches behind each."""
+    return (motif_named(graph, posted_only).groupBy("user1", "subreddit1", "subreddit2", "user2")
+            .agg(F.sum("matches").cast(COUNT).alias("matches")))
+
+
+def repeat_rows(df: DataFrame, times: str, block: int = BLOCK) -> DataFrame:
+    """Each row as often as its ``times`` column says, without that column.
+
+    Rows above one block are first split into rows of at most ``block`` blocks
+    each, level by level, and dealt out anew after each level, so neither a
+    row nor a task ever makes more than ``block`` copies of one row at once.
+    Levels are added until no row is above a block (a bounded aggregate)."""
+    while True:
+        most = df.agg(F.max(times)).first()[0]
+        if most is None or most <= block:
+            break
+        # one row -> at most ``block`` rows; their shares differ by one at most
+        n = F.least(F.ceil(F.col(times) / F.lit(block)), F.lit(block)).cast("long")
+        share = F.floor(F.col(times) / n).cast(COUNT)
+        extra = (F.col(times) - share * n).cast("long")
+        df = cut(df.withColumn("_n", n).withColumn("_share", share).withColumn("_extra", extra)
+                 .withColumn("_k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
+                 .withColumn(times, (F.col("_share") + F.when(F.col("_k") <= F.col("_extra"), 1).otherwise(0)).cast(COUNT))
+                 .drop("_n", "_share", "_extra", "_k"), "repeat-rows")
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col(times).cast("long"))).alias("_k")
+    return df.hint("rebalance").select(*[c for c in df.columns if c != times], copies).drop("_k")
+
+
+def motif_raw(graph: PropertyGraph, posted_only: bool = False) -> DataFrame:
     """Bag form: each quadruple repeated by its multiplicity."""
-    n = motif_named(graph)
-    return n.select("user1", "subreddit1", "subreddit2", "user2",
-                    F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("matches"))).alias("_k")).drop("_k")
+    return repeat_rows(cut(motif_named(graph, posted_only), "motif-named"), "matches")

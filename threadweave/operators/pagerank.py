@@ -8,12 +8,15 @@ vertices without in-edges get 0.15.  After the last round ranks are scaled so
 they sum to the number of vertices (rank mass lost at sinks is restored).
 Edge weight = 1 / outdeg(src).
 
-Plan: parallel edges are collapsed once into (src, dst, w) and checkpointed;
-each round joins the rank table to it (broadcast when the vertex count allows,
-else the skew-split join), partial-aggregates contributions per ``dst`` and
-re-adds the vertices without in-edges.  The rank table is checkpointed every
-``threadweave.iter.checkpointEvery`` rounds, so lineage stays short and a lost
-executor only recomputes the current round.
+Plan: parallel edges are collapsed once into (src, dst, w), written, and laid
+out by ``src`` (``joins.lay_out``), which never changes: a round broadcasts the
+ranks while the vertex count allows, and beyond that shuffles only ranks and
+sums.  Contributions are partial-aggregated per ``dst``; vertices without
+in-edges are re-added at the end.  The rank table is written every
+``threadweave.iter.checkpointEvery`` rounds while ranks are broadcast and every
+round beyond that (chained rounds would repeat shuffles), and its predecessor
+deleted, so lineage stays short and a lost executor only recomputes the
+current rounds.
 """
 
 from __future__ import annotations
@@ -22,8 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadweave.operators.graph import PropertyGraph
-from threadweave.operators.joins import hot_keys, join_state
-from threadweave.runtime import CONF_CHECKPOINT_EVERY, conf_int, cut, cut_observed, loop_conf
+from threadweave.operators.joins import broadcast_ok, lay_out
+from threadweave.runtime import CONF_CHECKPOINT_EVERY, conf_int, cut_observed, loop_conf, replace_table
 from threadweave.schema import PAGERANK_MAX_ITER, PAGERANK_RESET
 
 
@@ -47,40 +50,39 @@ def pagerank_ranks(graph: PropertyGraph, max_iter: int = PAGERANK_MAX_ITER,
     ids, mv = cut_observed(graph.vertices.select(*keys).distinct(), "pagerank-ids")
     n_vertices = mv["rows"]   # bounds every rank table (ranks are a subset of ids)
 
-    w = (graph.edges.groupBy(*g, "src", "dst").agg(F.count(F.lit(1)).alias("n"))
-         .join(out_degrees(graph.edges, g), [*g, "src"])
-         .select(*g, "src", "dst", (F.col("n") / F.col("outdeg")).alias("w")))
-    w, me = cut_observed(w, "pagerank-edges")
-    n_edges = me["rows"]
-    hot = hot_keys(w, [*g, "src"], n_edges)
-    if hot is not None:
-        hot = cut(hot, "pagerank-hot")
+    pairs, mp = cut_observed(graph.edges.groupBy(*g, "src", "dst").agg(F.count(F.lit(1)).alias("n")), "pagerank-pairs")
+    w, me = cut_observed(pairs.join(pairs.groupBy(*g, "src").agg(F.sum("n").alias("outdeg")), [*g, "src"])
+                         .select(*g, "src", "dst", (F.col("n") / F.col("outdeg")).alias("w")), "pagerank-edges")
+    replace_table(spark, mp["path"], me["path"])
 
     # Only vertices with in-edges are stored; any other vertex has rank
     # `reset` after round 1, so a missing state row reads as `reset`.  Round 1
     # needs no join at all (every rank is 1.0).
-    every = max(1, conf_int(spark, CONF_CHECKPOINT_EVERY))
-    ranks = None
+    every = max(1, conf_int(spark, CONF_CHECKPOINT_EVERY)) if broadcast_ok(w, n_vertices) else 1
+    ranks, path = None, None
     with loop_conf(spark):
+        by_src = lay_out(w, [*g, "src"], me["rows"], n_vertices)
         for i in range(max_iter):
             if ranks is None:
                 contrib = w.withColumn("pagerank", F.lit(1.0))
             else:
                 state = ranks.withColumnRenamed("id", "src")
-                contrib = (join_state(w, state, [*g, "src"], n_vertices, hot, how="left")
+                contrib = (by_src.join(state, n_vertices, "left")
                            .withColumn("pagerank", F.coalesce(F.col("pagerank"), F.lit(reset))))
             ranks = (contrib.groupBy(*g, F.col("dst").alias("id"))
                      .agg((F.lit(reset) + F.lit(1.0 - reset) * F.sum(F.col("pagerank") * F.col("w")))
                           .alias("pagerank")))
             if (i + 1) % every == 0 or i + 1 == max_iter:
-                ranks = cut(ranks, "pagerank-ranks")
+                ranks, mr = cut_observed(ranks, "pagerank-ranks")
+                path = replace_table(spark, path, mr["path"])
+        by_src.release()
 
     first = 1.0 if max_iter == 0 else reset
     full = ids.join(ranks, keys, "left") if ranks is not None else ids.withColumn("pagerank", F.lit(None))
     full = full.withColumn("pagerank", F.coalesce(F.col("pagerank"), F.lit(first)))
     totals = full.groupBy(*g).agg(F.sum("pagerank").alias("_sum"), F.count(F.lit(1)).alias("_n"))
     if g:
-        scaled = full.join(F.broadcast(totals), g)   # one row per group: bounded by the group count
+        scaled = full.join(totals, g)   # one row per group; Spark broadcasts it if it is small
     else:
         row = totals.first()
         scaled = full.withColumn("_sum", F.lit(row["_sum"])).withColumn("_n", F.lit(row["_n"]))

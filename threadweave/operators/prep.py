@@ -1,8 +1,9 @@
 """Prep step: clean posts and comments, derive hashed ids, trim columns.
 
 Filters come before the hash columns so Catalyst can push them to the scan
-(filters on expression output are not pushed).  Trimming is a keep-list
-``select`` so month frames with drifting raw schemas still line up.
+(filters on expression output are not pushed).  Comments are trimmed to a
+keep-list; posts lose the columns of a drop-list, so other columns that drift
+in from month to month pass through.
 """
 
 from __future__ import annotations
@@ -58,10 +59,19 @@ def trim_comments(df: DataFrame) -> DataFrame:
     return df.select(*keep)
 
 
+def clean_submissions(raw: DataFrame, allow: Iterable[str] | None = None) -> DataFrame:
+    """Posts with an author and comments, in the allowed subreddits."""
+    return remove_zero_comment_posts(filter_subreddits(remove_deleted_authors(raw), allow))
+
+
+def clean_comments(raw: DataFrame, allow: Iterable[str] | None = None) -> DataFrame:
+    """Comments with an author, in the allowed subreddits."""
+    return filter_subreddits(remove_deleted_authors(raw), allow)
+
+
 def prep_submissions(raw: DataFrame, allow: Iterable[str] | None = None, id_mode: str = "hash") -> DataFrame:
-    """Posts with an author and comments; adds link_hash, op_id, sub_id."""
-    df = filter_subreddits(remove_deleted_authors(raw), allow)
-    df = remove_zero_comment_posts(df)
+    """Cleaned posts; adds link_hash, op_id, sub_id."""
+    df = clean_submissions(raw, allow)
     df = with_hash(df, "name", "link_hash", id_mode)
     df = with_hash(df, "author", "op_id", id_mode)
     df = with_hash(df, "subreddit", "sub_id", id_mode)
@@ -69,8 +79,8 @@ def prep_submissions(raw: DataFrame, allow: Iterable[str] | None = None, id_mode
 
 
 def prep_comments(raw: DataFrame, allow: Iterable[str] | None = None, id_mode: str = "hash") -> DataFrame:
-    """Comments with an author; adds link_hash, auth_id, sub_id; keeps 11 columns (+ month)."""
-    df = filter_subreddits(remove_deleted_authors(raw), allow)
+    """Cleaned comments; adds link_hash, auth_id, sub_id; keeps 11 columns (+ month)."""
+    df = clean_comments(raw, allow)
     df = with_hash(df, "link_id", "link_hash", id_mode)
     df = with_hash(df, "author", "auth_id", id_mode)
     df = with_hash(df, "subreddit", "sub_id", id_mode)

@@ -20,17 +20,21 @@ therefore a partial answer, not full SCC.
 
 Plan: parallel edges are collapsed once (self-loops kept).  Each phase is a
 frontier iteration; every written state (checkpoint folder, counted by
-``observe`` in the same job) covers ``threadweave.iter.hopsPerJob`` steps —
-all three steps are monotone, so steps after convergence change nothing:
+``observe`` in the same job, its predecessor deleted) covers
+``threadweave.iter.hopsPerJob`` steps while states are broadcast, and one step
+beyond that — all three steps are monotone, so steps after convergence change
+nothing:
 
 * trimming peels a frontier of dead vertices and decrements the degrees of
   their neighbours (work ~ edges touching the frontier, not the whole graph);
+  the degrees come from one pass over the edges;
 * colouring pushes only changed colours along out-edges (Pregel-style);
 * the sweep pushes only newly settled vertices backward along same-colour
   edges.
 
-Frontier-to-edge joins go through ``join_state`` with the work-set size as
-the proven bound (broadcast under it, else the hot-key split).  Group columns
+Each round's edges have both ends in the work set and are laid out once by
+``src`` and once by ``dst`` (``joins.lay_out``), so beyond the broadcast bound
+a step shuffles the frontier and its messages, not the edges.  Group columns
 run many graphs (e.g. periods) in the same jobs.
 """
 
@@ -42,8 +46,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadweave.operators.graph import PropertyGraph
-from threadweave.operators.joins import hot_keys, join_state, semi_or_anti
-from threadweave.runtime import CONF_HOPS_PER_JOB, conf_int, cut_observed, loop_conf
+from threadweave.operators.joins import EdgeLayout, broadcast_ok, lay_out, semi_or_anti
+from threadweave.runtime import CONF_HOPS_PER_JOB, conf_int, cut_observed, loop_conf, replace_table
 from threadweave.schema import SCC_MAX_ITER
 
 
@@ -51,47 +55,51 @@ def _flag_count(cond: Column) -> Column:
     return F.sum(F.when(cond, 1).otherwise(0))
 
 
-def _iterate(state: DataFrame, step: Callable[[DataFrame], DataFrame], name: str, flag: Column,
+def _iterate(state: DataFrame, step: Callable[[DataFrame], DataFrame], name: str, flag: Column, n_state: int,
              **extra: Column) -> tuple[DataFrame, dict]:
     """Apply ``step`` until no row has ``flag`` set; one written state per
-    ``hopsPerJob`` steps.  The (lazy) start state is folded into the first
-    written step; steps on a converged state change nothing."""
-    hops = max(1, conf_int(state.sparkSession, CONF_HOPS_PER_JOB))
+    ``hopsPerJob`` steps (one step beyond the broadcast bound, where chained
+    steps would repeat shuffles).  The (lazy) start state is folded into the
+    first written step; steps on a converged state change nothing."""
+    spark = state.sparkSession
+    hops = max(1, conf_int(spark, CONF_HOPS_PER_JOB)) if broadcast_ok(state, n_state) else 1
+    path = None
     while True:
         nxt = state
         for _ in range(hops):
             nxt = step(nxt)
         state, m = cut_observed(nxt, name, active=_flag_count(flag), **extra)
+        path = replace_table(spark, path, m["path"])
         if m["active"] == 0:
             return state, m
 
 
-def _restrict(edges: DataFrame, alive: DataFrame, g: list[str], n_alive: int, hot_src, hot_dst) -> DataFrame:
+def _restrict(edges: DataFrame, alive: DataFrame, g: list[str], n_alive: int) -> tuple[DataFrame, int]:
     """Edges with both ends alive, written out."""
-    e = join_state(edges, alive.withColumnRenamed("id", "src"), [*g, "src"], n_alive, hot_src, "left_semi")
-    e = join_state(e, alive.withColumnRenamed("id", "dst"), [*g, "dst"], n_alive, hot_dst, "left_semi")
-    return cut_observed(e, "scc-edges")[0]
+    e = semi_or_anti(edges, alive.withColumnRenamed("id", "src"), [*g, "src"], n_alive, "left_semi")
+    e = semi_or_anti(e, alive.withColumnRenamed("id", "dst"), [*g, "dst"], n_alive, "left_semi")
+    e, m = cut_observed(e, "scc-edges")
+    return e, m["rows"]
 
 
-def _trim(work: DataFrame, n_work: int, edges: DataFrame, g: list[str], hot_src, hot_dst) -> tuple[DataFrame, int]:
+def _trim(work: DataFrame, n_work: int, edges: DataFrame, by_src: EdgeLayout, by_dst: EdgeLayout,
+          g: list[str]) -> tuple[DataFrame, int]:
     """Peel vertices without in- or out-edges until none is left; the survivors."""
     keys = [*g, "id"]
-    # Degrees count edges inside the work set.  Later decrements may name
-    # vertices outside it; the left joins on the degree table drop those.
-    inside = join_state(join_state(edges, work.withColumnRenamed("id", "src"), [*g, "src"], n_work, hot_src, "left_semi"),
-                        work.withColumnRenamed("id", "dst"), [*g, "dst"], n_work, hot_dst, "left_semi")
-    outdeg = inside.groupBy(*g, F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("outdeg"))
-    indeg = inside.groupBy(*g, F.col("dst").alias("id")).agg(F.count(F.lit(1)).alias("indeg"))
-    deg = (work.join(outdeg, keys, "left").join(indeg, keys, "left")
+    end = F.explode(F.array(F.struct(F.col("src").alias("id"), F.lit(0).alias("i"), F.lit(1).alias("o")),
+                            F.struct(F.col("dst").alias("id"), F.lit(1).alias("i"), F.lit(0).alias("o")))).alias("end")
+    degrees = (edges.select(*g, end).groupBy(*g, F.col("end.id").alias("id"))
+               .agg(F.sum("end.i").alias("indeg"), F.sum("end.o").alias("outdeg")))
+    deg = (work.join(degrees, keys, "left")
            .select(*keys, F.coalesce("indeg", F.lit(0)).alias("indeg"), F.coalesce("outdeg", F.lit(0)).alias("outdeg")))
     dead = (F.col("indeg") <= 0) | (F.col("outdeg") <= 0)
 
     def step(d: DataFrame) -> DataFrame:
         frontier = d.filter(dead).select(*keys)
         # an edge out of a peeled vertex costs its head one in-degree, and vice versa
-        lost_in = (join_state(edges, frontier.withColumnRenamed("id", "src"), [*g, "src"], n_work, hot_src)
+        lost_in = (by_src.join(frontier.withColumnRenamed("id", "src"), n_work)
                    .groupBy(*g, F.col("dst").alias("id")).agg(F.count(F.lit(1)).alias("di")))
-        lost_out = (join_state(edges, frontier.withColumnRenamed("id", "dst"), [*g, "dst"], n_work, hot_dst)
+        lost_out = (by_dst.join(frontier.withColumnRenamed("id", "dst"), n_work)
                     .groupBy(*g, F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("do")))
         return (d.filter(~dead).join(lost_in, keys, "left").join(lost_out, keys, "left")
                 .select(*keys, (F.col("indeg") - F.coalesce("di", F.lit(0))).alias("indeg"),
@@ -99,39 +107,43 @@ def _trim(work: DataFrame, n_work: int, edges: DataFrame, g: list[str], hot_src,
 
     # the degree table is costly to rebuild, so it is written before the
     # peeling steps (which reference their input twice) instead of folded in
-    deg, _ = cut_observed(deg, "scc-degrees")
-    deg, m = _iterate(deg, step, "scc-degrees", dead)
+    deg, start = cut_observed(deg, "scc-degrees")
+    deg, m = _iterate(deg, step, "scc-degrees", dead, n_work)
+    replace_table(work.sparkSession, start["path"], m["path"])
     return deg.select(*keys), m["rows"]
 
 
-def _colour(work: DataFrame, n_work: int, edges: DataFrame, g: list[str], hot_src) -> DataFrame:
+def _colour(work: DataFrame, n_work: int, by_src: EdgeLayout, g: list[str]) -> DataFrame:
     """Minimum ancestor id per work vertex: (keys, color)."""
     keys = [*g, "id"]
 
     def step(state: DataFrame) -> DataFrame:
         front = state.filter("changed").select(*g, F.col("id").alias("src"), F.col("color").alias("c"))
-        msgs = (join_state(edges, front, [*g, "src"], n_work, hot_src)
-                .groupBy(*g, F.col("dst").alias("id")).agg(F.min("c").alias("m")))
+        msgs = by_src.join(front, n_work).groupBy(*g, F.col("dst").alias("id")).agg(F.min("c").alias("m"))
         better = F.coalesce(F.col("m") < F.col("color"), F.lit(False))
         return state.join(msgs, keys, "left").select(
             *keys, F.when(better, F.col("m")).otherwise(F.col("color")).alias("color"), better.alias("changed"))
 
     start = work.select(*keys, F.col("id").alias("color"), F.lit(True).alias("changed"))
-    state, _ = _iterate(start, step, "scc-colour", F.col("changed"))
+    state, _ = _iterate(start, step, "scc-colour", F.col("changed"), n_work)
     return state.select(*keys, "color")
 
 
-def _sweep(colours: DataFrame, n_work: int, edges: DataFrame, g: list[str], hot_src, hot_dst) -> tuple[DataFrame, int]:
+def _sweep(colours: DataFrame, n_work: int, by_src: EdgeLayout, by_dst_of: Callable[[DataFrame, int], EdgeLayout],
+           g: list[str]) -> tuple[DataFrame, int]:
     """Settle vertices that reach their colour's root through same-colour vertices."""
     keys = [*g, "id"]
     src_c = colours.select(*g, F.col("id").alias("src"), F.col("color").alias("sc"))
     dst_c = colours.select(*g, F.col("id").alias("dst"), F.col("color").alias("dc"))
-    coloured = join_state(join_state(edges, src_c, [*g, "src"], n_work, hot_src), dst_c, [*g, "dst"], n_work, hot_dst)
-    same, _ = cut_observed(coloured.filter(F.col("sc") == F.col("dc")).select(*g, "src", "dst"), "scc-same")
+    # one join by layout; the coloured edges are then joined on dst once
+    coloured = by_src.join(src_c, n_work)
+    coloured = coloured.join(F.broadcast(dst_c) if broadcast_ok(dst_c, n_work) else dst_c, [*g, "dst"])
+    same, ms = cut_observed(coloured.filter(F.col("sc") == F.col("dc")).select(*g, "src", "dst"), "scc-same")
+    same_by_dst = by_dst_of(same, ms["rows"])
 
     def step(state: DataFrame) -> DataFrame:
         front = state.filter("fresh").select(*g, F.col("id").alias("dst"))
-        reached = (join_state(same, front, [*g, "dst"], n_work, hot_dst)
+        reached = (same_by_dst.join(front, n_work)
                    .select(*g, F.col("src").alias("id")).distinct().withColumn("hit", F.lit(True)))
         hit = F.coalesce(F.col("hit"), F.lit(False))
         return state.join(reached, keys, "left").select(
@@ -139,7 +151,8 @@ def _sweep(colours: DataFrame, n_work: int, edges: DataFrame, g: list[str], hot_
 
     root = F.col("id") == F.col("color")
     start = colours.select(*keys, "color", root.alias("final"), root.alias("fresh"))
-    state, m = _iterate(start, step, "scc-sweep", F.col("fresh"), final=_flag_count(F.col("final")))
+    state, m = _iterate(start, step, "scc-sweep", F.col("fresh"), n_work, final=_flag_count(F.col("final")))
+    same_by_dst.release()
     settled = state.filter("final").select(*keys, F.col("color").alias("component"))
     return settled, m["final"]
 
@@ -150,13 +163,7 @@ def scc_labels(graph: PropertyGraph, max_iter: int = SCC_MAX_ITER) -> DataFrame:
     keys = [*g, "id"]
     vertices, mv = cut_observed(graph.vertices.select(*keys).distinct(), "scc-vertices")
     work, n_work = vertices, mv["rows"]
-    edges, me = cut_observed(graph.edges.select(*g, "src", "dst").distinct(), "scc-edges")
-    hot_src = hot_keys(edges, [*g, "src"], me["rows"])
-    hot_dst = hot_keys(edges, [*g, "dst"], me["rows"])
-
-    if hot_src is not None:
-        hot_src = cut_observed(hot_src, "scc-hot")[0]
-        hot_dst = cut_observed(hot_dst, "scc-hot")[0]
+    edges, n_edges = _restrict(graph.edges.select(*g, "src", "dst").distinct(), vertices, g, n_work)
 
     settled: list[DataFrame] = []
     rnd = 0
@@ -165,20 +172,27 @@ def scc_labels(graph: PropertyGraph, max_iter: int = SCC_MAX_ITER) -> DataFrame:
         # id exactly like unsettled ones, so it is skipped.
         while n_work > 0 and rnd + 1 < max_iter:
             rnd += 1
-            work, n_work = _trim(work, n_work, edges, g, hot_src, hot_dst)
-            if n_work == 0:
-                break
-            # edges to peeled vertices stay: colour messages start from work
-            # vertices only and land only on work rows; the sweep's same-colour
-            # edges come from inner joins with the work colours
-            colours = _colour(work, n_work, edges, g, hot_src)
-            done, n_done = _sweep(colours, n_work, edges, g, hot_src, hot_dst)
+            by_src = lay_out(edges, [*g, "src"], n_edges, n_work)
+            by_dst = lay_out(edges, [*g, "dst"], n_edges, n_work)
+            try:
+                work, n_left = _trim(work, n_work, edges, by_src, by_dst, g)
+                if n_left == 0:
+                    break
+                # edges to peeled vertices stay: colour messages start from work
+                # vertices only and land only on work rows; the sweep's same-colour
+                # edges come from inner joins with the work colours
+                colours = _colour(work, n_work, by_src, g)
+                rows = n_work
+                done, n_done = _sweep(colours, rows, by_src, lambda same, n: lay_out(same, [*g, "dst"], n, rows), g)
+            finally:
+                by_src.release()
+                by_dst.release()
             settled.append(done)
             if rnd + 1 >= max_iter:
                 break
             work, mw = cut_observed(semi_or_anti(work, done.select(*keys), keys, n_done, "left_anti"), "scc-work")
             n_work = mw["rows"]
-            edges = _restrict(edges, work, g, n_work, hot_src, hot_dst)
+            edges, n_edges = _restrict(edges, work, g, n_work)
     if not settled:
         return vertices.withColumn("component", F.col("id"))
     found = settled[0]

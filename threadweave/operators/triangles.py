@@ -9,15 +9,17 @@ Plan (edge iterator over a degree-ordered orientation):
 2. orient each edge from the lower to the higher (degree, id) end.  Then a
    vertex's out-list N+(v) has at most sqrt(2m) entries — a hub's list is
    short — so the per-vertex lists below are bounded groups;
-3. for each oriented edge (u, v) the third corners are N+(u) ∩ N+(v)
-   (``array_intersect``); every triangle appears exactly once, at its edge
-   between its two lowest corners.  No wedge pairs are materialised: rows
-   grow with edges and triangles only;
+3. each head sorts its out-list once and sends, along every oriented edge
+   (u, v), the part of N+(u) after v in that order — each wedge's far end is
+   sent once — to those v that have out-neighbours themselves; the third
+   corners are that part ∩ N+(v) (``array_intersect``).  Heads with one
+   out-neighbour send nothing.  Rows grow with edges and triangles only, and
+   at most one id per wedge is shuffled;
 4. each triangle adds 1 to its three corners (partial aggregation), then
    vertices without triangles get 0.
 
 Skew: in step 3 the u-side is bounded (out-degree <= sqrt(2m)), but a hub can
-head a third of all oriented edges.  Heads with more than T = m/1000 edges are
+be the middle of many wedges.  Heads with more than T = m/1000 edges are
 hot; at most 1000 exist, and a hot head's out-neighbours all have degree >= T,
 so its list has at most 2m/T = 2000 ids — the hot lists total at most 2M ids
 and are broadcast; other heads join by a shuffle with at most T rows per key.
@@ -41,26 +43,40 @@ def undirected_simple_edges(edges: DataFrame, g: list[str]) -> DataFrame:
             .distinct())
 
 
-def triangle_list(graph: PropertyGraph) -> DataFrame:
-    """One row (group..., u, v, w) per triangle."""
+def wedge_tails(graph: PropertyGraph) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Out-lists (group..., u, nu), what heads send (group..., u, v, tail), and the hot middles."""
     g = list(graph.group)
     und = cut(undirected_simple_edges(graph.edges, g), "tri-edges")
     deg = (und.select(*g, F.col("a").alias("id")).unionByName(und.select(*g, F.col("b").alias("id")))
            .groupBy(*g, "id").agg(F.count(F.lit(1)).alias("d")))
     da = deg.select(*g, F.col("id").alias("a"), F.col("d").alias("da"))
     db = deg.select(*g, F.col("id").alias("b"), F.col("d").alias("db"))
+    # hub degrees: these two joins run outside any loop, where AQE splits hot keys
     a_first = (F.col("da") < F.col("db")) | ((F.col("da") == F.col("db")) & (F.col("a") < F.col("b")))
     oriented, mo = cut_observed(und.join(da, [*g, "a"]).join(db, [*g, "b"]).select(
         *g, F.when(a_first, F.col("a")).otherwise(F.col("b")).alias("u"),
-        F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("v")), "tri-oriented")
-    m = mo["rows"]
-    out_u = oriented.groupBy(*g, "u").agg(F.collect_list("v").alias("nu"))
-    out_v = out_u.select(*g, F.col("u").alias("v"), F.col("nu").alias("nv"))
-    hot = hot_keys(oriented, [*g, "v"], m, HOT_HEADS)
-    # all out-lists together hold m ids, so m is the size measure for broadcasting them
-    with_u = oriented.join(out_u, [*g, "u"])
-    return (join_state(with_u, out_v, [*g, "v"], m, hot)
-            .select(*g, "u", "v", F.explode(F.array_intersect("nu", "nv")).alias("w")))
+        F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("v"),
+        F.struct(F.greatest("da", "db").alias("dv"), F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("v")).alias("r")),
+        "tri-oriented")
+    # out-lists in the (degree, id) order of the orientation: v's own triangles end at later ids only
+    out_u, _ = cut_observed(oriented.groupBy(*g, "u").agg(F.sort_array(F.collect_list("r")).alias("rs"))
+                            .select(*g, "u", F.transform("rs", lambda r: r["v"]).alias("nu")), "tri-lists")
+    tails = (out_u.filter(F.size("nu") > 1)
+             .select(*g, "u", "nu", F.posexplode("nu").alias("p", "v")).filter(F.col("p") < F.size("nu") - 1)
+             .select(*g, "u", "v", F.expr("slice(nu, p + 2, size(nu) - p - 1)").alias("tail")))
+    hot = hot_keys(oriented, [*g, "v"], mo["rows"], HOT_HEADS)
+    return out_u, tails, hot
+
+
+def triangle_list(graph: PropertyGraph) -> DataFrame:
+    """One row (group..., u, v, w) per triangle."""
+    g = list(graph.group)
+    lists, tails, hot = wedge_tails(graph)
+    out_v = lists.select(*g, F.col("u").alias("v"), F.col("nu").alias("nv"))
+    # out-lists together hold one id per edge, so the edges are the size measure for broadcasting them
+    m = lists.agg(F.sum(F.size("nu"))).first()[0] or 0
+    return (join_state(tails, out_v, [*g, "v"], m, hot)
+            .select(*g, "u", "v", F.explode(F.array_intersect("tail", "nv")).alias("w")))
 
 
 def triangle_counts(graph: PropertyGraph) -> DataFrame:

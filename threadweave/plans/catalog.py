@@ -3,18 +3,17 @@
 Each query builds what it needs from the driver's tables through
 ``Pipeline`` (lazy, per call), so every query reads whole tables and its
 work grows with them.  Doubles that go through a distributed sum are rounded
-to 6 digits (summation order differs between engines); arrays are rendered
-as comma-joined sorted text for the oracle comparison.
+to 6 digits (summation order differs between engines).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType, IntegerType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from threadweave.functions import java_string_hash
 from threadweave.operators import counts, graph, motif, pagerank, prep, scc, triangles
@@ -25,7 +24,7 @@ from threadweave.schema import (
     PAGERANK_MAX_ITER, SCC_MAX_ITER, SCC_MAX_ITER_SEASON, TOP_COMPONENTS_PERIOD, TOP_COMPONENTS_SEASON,
     TOP_PAGERANK,
 )
-from threadweave.sources import fixture, sinks
+from threadweave.sources import fixture, monthly, sinks
 from threadweave.sources.fixture import SEASON_LABEL, SEASON_PERIODS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,16 +33,19 @@ Query = Callable[[SparkSession, str], DataFrame]
 class Pipeline:
     """The stages of the original pipeline over one data directory.
 
-    Like the original jobs, the prepped posts and comments (and the season
-    tables) are written once as parquet tables in the shared checkpoint folder
-    and read back: several branches of most plans read them, and the Java hash
-    behind them then runs once instead of once per branch.
+    Prepped posts and comments are lazy; a query selects what it needs and
+    Catalyst prunes the rest.  Where several branches of a plan read the same
+    stage, the stage is written once to the shared checkpoint folder, with the
+    columns that are read and no others: the keys of posts and comments for the
+    graphs (``subreddits``: with the post's subreddit, for the property graph),
+    and the distinct names.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, id_mode: str = "hash"):
+    def __init__(self, spark: SparkSession, sf_dir: str, id_mode: str = "hash", subreddits: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
         self.id_mode = id_mode
+        self.subreddits = subreddits
         checkpoint_dir(spark)
 
     # step 1: raw and prepped tables
@@ -55,53 +57,61 @@ class Pipeline:
     def comments_raw(self) -> DataFrame:
         return fixture.comments_raw(self.spark, self.sf_dir)
 
-    @cached_property
+    @property
     def posts(self) -> DataFrame:
-        return cut(prep.prep_submissions(self.submissions_raw, id_mode=self.id_mode), "submissionPrepped")
+        return prep.prep_submissions(self.submissions_raw, id_mode=self.id_mode)
 
-    @cached_property
+    @property
     def comments(self) -> DataFrame:
-        return cut(prep.prep_comments(self.comments_raw, id_mode=self.id_mode), "commentPrepped")
+        return prep.prep_comments(self.comments_raw, id_mode=self.id_mode)
 
     # step 2: graphs
     # (graph tables stay lazy: the iterative operators write their own inputs)
     @cached_property
-    def post_plan(self) -> graph.PostJoinPlan:
-        return graph.post_join_plan(self.posts)
+    def post_keys(self) -> DataFrame:
+        columns = ["link_hash", "op_id", "sub_id"] if self.subreddits else ["link_hash", "op_id"]
+        return cut(self.posts.select(*columns), "postKeys")
+
+    @cached_property
+    def comment_keys(self) -> DataFrame:
+        return cut(self.comments.select("link_hash", "auth_id"), "commentKeys")
 
     @cached_property
     def user_graph(self) -> PropertyGraph:
-        return graph.user_graph(self.posts, self.comments, self.post_plan)
+        plan = graph.post_join_plan(self.post_keys, self.comment_keys)
+        return graph.user_graph(self.post_keys, self.comment_keys, plan)
 
     @cached_property
-    def property_graph(self) -> PropertyGraph:
-        return PropertyGraph(graph.property_graph_vertices(self.posts, self.comments),
-                             graph.property_graph_edges(self.posts, self.comments, self.user_graph.edges))
+    def names(self) -> DataFrame:
+        return cut(self.vertices, "names")
 
     @property
-    def names(self) -> DataFrame:
-        return self.property_graph.vertices
+    def vertices(self) -> DataFrame:
+        return graph.property_graph_vertices(prep.clean_submissions(self.submissions_raw),
+                                             prep.clean_comments(self.comments_raw), self.id_mode)
+
+    @cached_property
+    def property_graph(self) -> PropertyGraph:
+        posts = self.post_keys if self.subreddits else self.posts
+        return PropertyGraph(self.names, graph.property_graph_edges(posts, self.comment_keys, self.user_graph.edges))
 
     # season variant: three periods and their union
-    def _season_rows(self, df: DataFrame) -> DataFrame:
+    def season_rows(self, df: DataFrame) -> DataFrame:
         start, end = fixture.periods_span(SEASON_PERIODS)
         return df.filter(fixture.in_range(start, end)).withColumn("period", fixture.period_label(SEASON_PERIODS))
 
-    @cached_property
-    def season_posts(self) -> DataFrame:
-        return cut(prep.prep_season_posts(self._season_rows(self.submissions_raw), id_mode=self.id_mode),
-                   "seasonPosts")
+    def season_posts(self, allow: Iterable[str] | None = None) -> DataFrame:
+        return prep.prep_season_posts(self.season_rows(self.submissions_raw), allow, id_mode=self.id_mode)
 
-    @cached_property
-    def season_comments(self) -> DataFrame:
-        return cut(prep.prep_season_comments(self._season_rows(self.comments_raw), id_mode=self.id_mode),
-                   "seasonComments")
+    def season_comments(self, allow: Iterable[str] | None = None) -> DataFrame:
+        return prep.prep_season_comments(self.season_rows(self.comments_raw), allow, id_mode=self.id_mode)
 
     @cached_property
     def period_graph(self) -> PropertyGraph:
-        plan = graph.post_join_plan(self.season_posts, ["period"])
-        return graph.period_graph(self.season_posts, self.season_comments, list(SEASON_PERIODS), SEASON_LABEL,
-                                  plan=plan)
+        posts = cut(self.season_posts().select("period", "link_hash", "auth_id"), "seasonPostKeys")
+        comments = cut(self.season_comments().select("period", "link_hash", "auth_id"), "seasonCommentKeys")
+        plan = graph.post_join_plan(posts, comments, ["period"])
+        return graph.period_graph(posts, comments, list(SEASON_PERIODS), SEASON_LABEL, plan=plan)
 
     @cached_property
     def season_graph(self) -> PropertyGraph:
@@ -116,7 +126,8 @@ class Pipeline:
 
     @cached_property
     def posting_pairs(self) -> DataFrame:
-        return counts.posting_counts(self.property_graph.edges)
+        """Posts per (user, subreddit), straight from the posts."""
+        return counts.pair_counts(self.posts.select(F.col("op_id").alias("src"), F.col("sub_id").alias("dst")))
 
     def scc_users(self, max_iter: int = SCC_MAX_ITER) -> DataFrame:
         return scc.scc_labels(self.user_graph, max_iter)
@@ -132,10 +143,10 @@ def _r6(col: str) -> F.Column:
 # ---- step 1: sources, filters, prep -------------------------------------------------------------
 
 def q_load_months(spark, sf):
-    p = Pipeline(spark, sf)
-    start, end = fixture.SLICE4
-    # the month list is the operator's parameter; as a range it reaches the scan
-    return p.submissions_raw.filter(fixture.in_range(start, end))
+    """Raw posts of four months, written as month folders and read back from them."""
+    base = scratch_path(spark, "months")
+    monthly.write_month_folders(Pipeline(spark, sf).submissions_raw, base, "RS", fixture.SLICE4_MONTHS)
+    return monthly.read_month_folders(spark, base, "RS", fixture.SLICE4_MONTHS)
 
 
 def q_remove_deleted_authors(spark, sf):
@@ -158,6 +169,14 @@ def q_trim_comments(spark, sf):
     return Pipeline(spark, sf).comments
 
 
+def q_trim_season(spark, sf):
+    return Pipeline(spark, sf).season_comments()
+
+
+def q_season_prep_allowed(spark, sf):
+    return Pipeline(spark, sf).season_posts(fixture.FIXTURE_ALLOW_LIST)
+
+
 def q_java_string_hash(spark, sf):
     raw = Pipeline(spark, sf).submissions_raw
     return raw.select("name", java_string_hash("name").alias("name_hash"),
@@ -176,11 +195,12 @@ def q_comment_post_edges(spark, sf):
 
 
 def q_property_graph_vertices(spark, sf):
-    return Pipeline(spark, sf).property_graph.vertices
+    return Pipeline(spark, sf).vertices
 
 
 def q_property_graph_edges(spark, sf):
-    return Pipeline(spark, sf).property_graph.edges
+    p = Pipeline(spark, sf, subreddits=True)
+    return graph.property_graph_edges(p.post_keys, p.comment_keys, p.user_graph.edges)
 
 
 def q_season_union(spark, sf):
@@ -190,8 +210,7 @@ def q_season_union(spark, sf):
 
 def q_id_collisions(spark, sf):
     """Ids that name more than one (name, type) — hash collisions in the id space."""
-    v = Pipeline(spark, sf).property_graph.vertices
-    return v.groupBy("id").agg(F.count(F.lit(1)).alias("count")).filter(F.col("count") > 1)
+    return Pipeline(spark, sf).vertices.groupBy("id").agg(F.count(F.lit(1)).alias("count")).filter(F.col("count") > 1)
 
 
 # ---- step 3: counts and count reports -----------------------------------------------------------
@@ -225,12 +244,12 @@ def q_most_common_subreddit(spark, sf):
 
 
 def q_author_subreddit_counts(spark, sf):
-    return counts.author_subreddit_counts(Pipeline(spark, sf).comments, fixture.FIXTURE_AUTHORS)
+    return counts.author_subreddit_counts(prep.clean_comments(Pipeline(spark, sf).comments_raw), fixture.FIXTURE_AUTHORS)
 
 
 def q_pair_counts_text(spark, sf):
     p = Pipeline(spark, sf)
-    return counts.commenter_op_counts(p.season_posts, p.season_comments).orderBy(F.desc("count"), "pair")
+    return counts.commenter_op_counts(p.season_posts(), p.season_comments()).orderBy(F.desc("count"), "pair")
 
 
 # ---- step 4: PageRank ---------------------------------------------------------------------------
@@ -245,10 +264,24 @@ def q_pagerank_edge_weights(spark, sf):
 
 
 def q_pagerank_property_graph(spark, sf):
-    vertices, _ = pagerank.pagerank(Pipeline(spark, sf).property_graph, PAGERANK_MAX_ITER)
+    vertices, _ = pagerank.pagerank(Pipeline(spark, sf, subreddits=True).property_graph, PAGERANK_MAX_ITER)
     return vertices.select("id", "name", "type", _r6("pagerank")).orderBy(F.desc("pagerank"), "id")
 
 
+def q_pagerank_property_edges(spark, sf):
+    p = Pipeline(spark, sf, subreddits=True)
+    edges = graph.property_graph_edges(p.post_keys, p.comment_keys, p.user_graph.edges)
+    return pagerank.edge_weights(PropertyGraph(p.user_graph.vertices, edges)).select("src", "dst", "relationship", "weight")
+
+
+def q_season_pagerank(spark, sf):
+    return pagerank.pagerank_ranks(Pipeline(spark, sf).season_graph, PAGERANK_MAX_ITER).select("id", _r6("pagerank"))
+
+
+def q_season_pagerank_edges(spark, sf):
+    return pagerank.edge_weights(Pipeline(spark, sf).season_graph)
+
+
 def q_pagerank_users_named(spark, sf):
     p = Pipeline(spark, sf)
     ranks = pagerank.pagerank_ranks(p.user_graph, PAGERANK_MAX_ITER).select("id", _r6("pagerank"))
@@ -271,7 +304,7 @@ def q_scc_bounded(spark, sf):
 
 
 def q_scc_property_graph(spark, sf):
-    return Pipeline(spark, sf).scc_property(SCC_MAX_ITER)
+    return Pipeline(spark, sf, subreddits=True).scc_property(SCC_MAX_ITER)
 
 
 def q_scc_monthly(spark, sf):
@@ -284,18 +317,17 @@ def _both_graphs(p: Pipeline) -> list[tuple[str, DataFrame]]:
 
 
 def q_scc_component_sizes(spark, sf):
-    p = Pipeline(spark, sf)
+    p = Pipeline(spark, sf, subreddits=True)
     parts = [reports.component_sizes_named(s, p.names).select(F.lit(name).alias("graph"), "*")
              for name, s in _both_graphs(p)]
-    return parts[0].unionByName(parts[1])
+    return parts[0].unionByName(parts[1]).orderBy("graph", F.desc("count"), "component")
 
 
 def q_scc_component_members(spark, sf):
-    p = Pipeline(spark, sf)
+    p = Pipeline(spark, sf, subreddits=True)
     parts = [reports.component_members(s, p.names).select(F.lit(name).alias("graph"), "*")
              for name, s in _both_graphs(p)]
-    out = parts[0].unionByName(parts[1])
-    return out.withColumn("names", F.array_join("names", ","))
+    return parts[0].unionByName(parts[1]).orderBy("graph", F.desc("count"), "component", "member")
 
 
 def q_top_components(spark, sf):
@@ -308,24 +340,37 @@ def q_comments_of_top_author(spark, sf):
     p = Pipeline(spark, sf)
     labels = scc.scc_labels(p.period_graph, SCC_MAX_ITER_SEASON).filter(F.col("period") != SEASON_LABEL)
     top = reports.largest_component(labels, "period").withColumnRenamed("component", "auth_id")
-    return (p.season_comments.join(F.broadcast(top), ["period", "auth_id"])   # one row per period
+    return (p.season_comments().join(F.broadcast(top), ["period", "auth_id"])   # one row for each of the listed periods
             .select("period", "author", "id", "link_id", "subreddit", "created_utc", "link_hash", "auth_id"))
 
 
 # ---- step 6: motif and triangles ----------------------------------------------------------------
 
 def q_motif_collab(spark, sf):
-    return motif.motif_raw(Pipeline(spark, sf).property_graph)
+    return motif.motif_raw(Pipeline(spark, sf, subreddits=True).property_graph)
+
+
+def _count_text(df: DataFrame) -> DataFrame:
+    # multiplicities outgrow 64 bits; as text they compare alike in any engine
+    return df.withColumn("matches", F.col("matches").cast("string"))
 
 
 def q_motif_collab_distinct(spark, sf):
-    return motif.motif_distinct(Pipeline(spark, sf).property_graph)
+    return _count_text(motif.motif_distinct(Pipeline(spark, sf, subreddits=True).property_graph))
+
+
+def q_motif_posted_only(spark, sf):
+    return _count_text(motif.motif_distinct(Pipeline(spark, sf, subreddits=True).property_graph, posted_only=True))
 
 
 def q_triangle_count(spark, sf):
     return triangles.triangle_counts(Pipeline(spark, sf).user_graph)
 
 
+def q_season_triangles(spark, sf):
+    return triangles.triangle_counts(Pipeline(spark, sf).season_graph)
+
+
 def q_triangles_named(spark, sf):
     p = Pipeline(spark, sf)
     return (triangles.triangle_counts(p.user_graph).join(p.names.select("id", "name", "type"), "id")
@@ -335,9 +380,9 @@ def q_triangles_named(spark, sf):
 # ---- step 7: sinks (written to the shared folder, read back) -------------------------------------
 
 def q_stage_roundtrip(spark, sf):
-    p = Pipeline(spark, sf)
-    path = sinks.write_parquet(p.comments, scratch_path(spark, "commentPrepped"), partition_by_month=True)
-    return spark.read.parquet(path).select(*p.comments.columns)
+    comments = Pipeline(spark, sf).comments
+    path = sinks.write_parquet(comments, scratch_path(spark, "commentPrepped"), partition_by_month=True)
+    return spark.read.parquet(path).select(*comments.columns)
 
 
 PAIRS_NAMED_SCHEMA = StructType([
@@ -348,7 +393,6 @@ PAIRS_NAMED_SCHEMA = StructType([
 MOTIF_SCHEMA = StructType([
     StructField("user1", StringType()), StructField("subreddit1", StringType()),
     StructField("subreddit2", StringType()), StructField("user2", StringType()),
-    StructField("matches", LongType()),
 ])
 
 
@@ -358,7 +402,7 @@ def q_csv_export(spark, sf):
 
 
 def q_json_export(spark, sf):
-    path = sinks.write_json(q_motif_collab_distinct(spark, sf), scratch_path(spark, "collabMotifJson"))
+    path = sinks.write_json(q_motif_collab(spark, sf), scratch_path(spark, "collabMotifJson"))
     return spark.read.schema(MOTIF_SCHEMA).json(path)
 
 
@@ -374,6 +418,8 @@ QUERIES: dict[str, Query] = {
     "filter_subreddits": q_filter_subreddits,
     "trim_submissions": q_trim_submissions,
     "trim_comments": q_trim_comments,
+    "trim_season": q_trim_season,
+    "season_prep_allowed": q_season_prep_allowed,
     "java_string_hash": q_java_string_hash,
     "user_vertices": q_user_vertices,
     "comment_post_edges": q_comment_post_edges,
@@ -392,6 +438,9 @@ QUERIES: dict[str, Query] = {
     "pagerank_users": q_pagerank_users,
     "pagerank_edge_weights": q_pagerank_edge_weights,
     "pagerank_property_graph": q_pagerank_property_graph,
+    "pagerank_property_edges": q_pagerank_property_edges,
+    "season_pagerank": q_season_pagerank,
+    "season_pagerank_edges": q_season_pagerank_edges,
     "pagerank_users_named": q_pagerank_users_named,
     "top_pagerank": q_top_pagerank,
     "scc_users": q_scc_users,
@@ -404,6 +453,8 @@ QUERIES: dict[str, Query] = {
     "comments_of_top_author": q_comments_of_top_author,
     "motif_collab": q_motif_collab,
     "motif_collab_distinct": q_motif_collab_distinct,
+    "motif_posted_only": q_motif_posted_only,
+    "season_triangles": q_season_triangles,
     "triangle_count": q_triangle_count,
     "triangles_named": q_triangles_named,
     "stage_roundtrip": q_stage_roundtrip,

@@ -8,11 +8,10 @@ rounding match the Spark side.
 
 from __future__ import annotations
 
-from threadweave.runtime import DEFAULTS, CONF_MEMBER_NAMES_PER_ROW
 from threadweave.schema import (
     PAGERANK_MAX_ITER, PAGERANK_RESET, TOP_COMPONENTS_PERIOD, TOP_COMPONENTS_SEASON, TOP_PAGERANK,
 )
-from threadweave.sources.fixture import FIXTURE_ALLOW_LIST, FIXTURE_AUTHORS, SEASON_PERIODS, SLICE4
+from threadweave.sources.fixture import FIXTURE_ALLOW_LIST, FIXTURE_AUTHORS, SEASON_PERIODS, SLICE4_MONTHS
 
 
 def jh(col: str) -> str:
@@ -43,15 +42,16 @@ sub_raw AS (
     o.o_orderpriority || '/' || o.o_orderstatus AS subreddit,
     't5_' || o.o_orderpriority || '/' || o.o_orderstatus AS subreddit_id,
     coalesce(l.n, 0) AS num_comments, o.o_orderdate AS created_utc,
-    strftime(o.o_orderdate, '%Y-%m') AS month
+    strftime(o.o_orderdate, '%Y-%m') AS month, o.o_totalprice AS score, o.o_orderstatus AS domain
   FROM orders o LEFT JOIN lcnt l ON l.l_orderkey = o.o_orderkey),
 com_raw AS (
   SELECT 't1_' || l.l_orderkey || '_' || l.l_linenumber AS id, 't3_' || l.l_orderkey AS link_id,
-    't3_' || l.l_orderkey AS parent_id, '' AS body,
+    't3_' || l.l_orderkey AS parent_id, l.l_returnflag || l.l_linestatus AS body,
     CASE WHEN l.l_partkey % 50 = 9 THEN '[deleted]' ELSE 'u' || l.l_partkey END AS author,
     o.o_orderpriority || '/' || o.o_orderstatus AS subreddit,
     't5_' || o.o_orderpriority || '/' || o.o_orderstatus AS subreddit_id,
-    o.o_orderdate AS created_utc, strftime(o.o_orderdate, '%Y-%m') AS month
+    o.o_orderdate AS created_utc, strftime(o.o_orderdate, '%Y-%m') AS month, l.l_quantity AS score,
+    l.l_linenumber AS gilded, l.l_discount AS controversiality, l.l_returnflag AS edited, l.l_shipdate AS retrieved_on
   FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey),
 posts AS (
   SELECT name, author, subreddit, subreddit_id, num_comments, created_utc, month,
@@ -169,16 +169,9 @@ def _scc_two_rounds(edges: str, verts: str, prefix: str, grouped: bool = False)
 
 
 def _members(scc: str, graph: str) -> str:
-    per_row = DEFAULTS[CONF_MEMBER_NAMES_PER_ROW]
-    return f"""SELECT '{graph}' AS graph, z.component, z.count, s.part, s.names, n.name, n.type
-FROM (SELECT component, count(*) AS count, ceil(count(*) / {per_row})::BIGINT AS parts
-      FROM {scc} GROUP BY component HAVING count(*) > 2) z
-JOIN (SELECT m.component, (({jh('p.name')} % z2.parts) + z2.parts) % z2.parts AS part,
-             array_to_string(list_sort(list_distinct(list(p.name))), ',') AS names
-      FROM {scc} m JOIN pverts p ON p.id = m.id
-      JOIN (SELECT component, ceil(count(*) / {per_row})::BIGINT AS parts FROM {scc} GROUP BY component
-            HAVING count(*) > 2) z2 ON z2.component = m.component
-      GROUP BY 1, 2) s ON s.component = z.component
+    return f"""SELECT '{graph}' AS graph, z.component, z.count, m.member, n.name, n.type
+FROM (SELECT component, count(*) AS count FROM {scc} GROUP BY component HAVING count(*) > 2) z
+JOIN (SELECT DISTINCT c.component, p.name AS member FROM {scc} c JOIN pverts p ON p.id = c.id) m ON m.component = z.component
 JOIN pverts n ON n.id = z.component"""
 
 
@@ -214,10 +207,14 @@ m_all AS (SELECT u, s, s2, u2, matches FROM m_quad UNION ALL SELECT u, s2, s, u2
 m_named AS (SELECT vu.name AS user1, vs.name AS subreddit1, vs2.name AS subreddit2, vu2.name AS user2, m.matches
             FROM m_all m JOIN pverts vu ON vu.id = m.u JOIN pverts vs ON vs.id = m.s AND vs.type = 'subreddit'
             JOIN pverts vs2 ON vs2.id = m.s2 AND vs2.type = 'subreddit' JOIN pverts vu2 ON vu2.id = m.u2),
-m_distinct AS (SELECT user1, subreddit1, subreddit2, user2, sum(matches)::BIGINT AS matches FROM m_named
+m_distinct AS (SELECT user1, subreddit1, subreddit2, user2, sum(matches)::VARCHAR AS matches FROM m_named
                GROUP BY 1, 2, 3, 4)
 """
 
+# the alternate predicates: posted edges into subreddits, any edge between the users
+_MOTIF_POSTED = _MOTIF.replace("FROM pedges WHERE dst IN", "FROM pedges WHERE relationship = 'posted' AND dst IN").replace(
+    "FROM pedges WHERE relationship = 'commented' GROUP BY", "FROM pedges GROUP BY")
+
 _TRI = """
 t_und AS (SELECT DISTINCT least(src, dst) AS a, greatest(src, dst) AS b FROM uedges WHERE src <> dst),
 t_tri AS (SELECT x.a AS u, x.b AS v, y.b AS w FROM t_und x JOIN t_und y ON y.a = x.a AND y.b > x.b
@@ -227,15 +224,27 @@ t_cnt AS (SELECT id, count(*) AS count FROM (SELECT u AS id FROM t_tri UNION ALL
 t_all AS (SELECT v.id, coalesce(c.count, 0)::BIGINT AS count FROM uverts v LEFT JOIN t_cnt c ON c.id = v.id)
 """
 
-_SLICE = f"created_utc >= TIMESTAMP '{SLICE4[0]}' AND created_utc < TIMESTAMP '{SLICE4[1]}'"
+_SEASON_TRI = _TRI.replace("FROM uedges", "FROM s_e").replace("FROM uverts", "FROM s_v")
+_SEASON_GRAPH = ("s_e AS (SELECT dst, src FROM g_edges WHERE period = 'season')",
+                 "s_v AS (SELECT id FROM g_verts WHERE period = 'season')")
+
+
+def _weights(edges: str, columns: str) -> str:
+    return (f"SELECT {columns}, 1.0 / o.outdeg AS weight FROM {edges} e "
+            f"JOIN (SELECT src, count(*) AS outdeg FROM {edges} GROUP BY src) o ON o.src = e.src")
 
 ORACLE: dict[str, str] = {
-    "load_months": _with(f"SELECT * FROM sub_raw WHERE {_SLICE}"),
+    "load_months": _with(f"SELECT * FROM sub_raw WHERE month IN ({_lit_list(SLICE4_MONTHS)})"),
     "remove_deleted_authors": _with("SELECT * FROM sub_raw WHERE NOT (author IS NULL OR author = '[deleted]')"),
     "remove_zero_comment_posts": _with("SELECT * FROM sub_raw WHERE NOT (num_comments = 0)"),
     "filter_subreddits": _with(f"SELECT * FROM sub_raw WHERE subreddit IN ({_lit_list(FIXTURE_ALLOW_LIST)})"),
     "trim_submissions": _with("SELECT * FROM posts"),
     "trim_comments": _with("SELECT * FROM comments"),
+    "trim_season": _with("SELECT id, link_id, parent_id, body, author, subreddit, subreddit_id, created_utc, month, "
+                         "period, link_hash, auth_id FROM s_comments"),
+    "season_prep_allowed": _with(
+        "SELECT name, author, subreddit, subreddit_id, num_comments, created_utc, month, period, link_hash, auth_id "
+        f"FROM s_posts WHERE subreddit IN ({_lit_list(FIXTURE_ALLOW_LIST)})"),
     "java_string_hash": _with(
         f"SELECT name, {jh('name')} AS name_hash, author, {jh('author')} AS author_hash, "
         f"subreddit, {jh('subreddit')} AS subreddit_hash FROM sub_raw"),
@@ -257,9 +266,11 @@ ORACLE: dict[str, str] = {
     "pair_counts_text": _with("SELECT pair, count FROM pair_text"),
     "pagerank_users": _with("SELECT id, round(pagerank, 6) AS pagerank FROM u_final",
                             _pagerank("uedges", "uverts", "u")),
-    "pagerank_edge_weights": _with(
-        "SELECT e.dst, e.src, 1.0 / o.outdeg AS weight FROM uedges e "
-        "JOIN (SELECT src, count(*) AS outdeg FROM uedges GROUP BY src) o ON o.src = e.src"),
+    "pagerank_edge_weights": _with(_weights("uedges", "e.dst, e.src")),
+    "pagerank_property_edges": _with(_weights("pedges", "e.src, e.dst, e.relationship")),
+    "season_pagerank": _with("SELECT id, round(pagerank, 6) AS pagerank FROM s_final", *_SEASON_GRAPH,
+                             _pagerank("s_e", "s_v", "s")),
+    "season_pagerank_edges": _with(_weights("s_e", "e.dst, e.src"), *_SEASON_GRAPH),
     "pagerank_property_graph": _with(
         "SELECT v.id, v.name, v.type, round(f.pagerank, 6) AS pagerank FROM pverts v JOIN p_final f ON f.id = v.id",
         _pagerank("pedges", "pverts", "p")),
@@ -269,8 +280,7 @@ ORACLE: dict[str, str] = {
     "top_pagerank": _with(
         f"SELECT id, round(pagerank, 6) AS pagerank FROM s_final ORDER BY round(pagerank, 6) DESC, id "
         f"LIMIT {TOP_PAGERANK}",
-        "s_e AS (SELECT dst, src FROM g_edges WHERE period = 'season')",
-        "s_v AS (SELECT id FROM g_verts WHERE period = 'season')",
+        *_SEASON_GRAPH,
         _pagerank("s_e", "s_v", "s")),
     "scc_users": _with("SELECT id, component FROM u_scc", _scc_full("uedges", "uverts", "u"), recursive=True),
     "scc_bounded": _with("SELECT id, component FROM u_scc", _scc_two_rounds("uedges", "uverts", "u"),
@@ -305,11 +315,15 @@ ORACLE: dict[str, str] = {
         "SELECT user1, subreddit1, subreddit2, user2 FROM (SELECT *, unnest(range(matches)) AS k FROM m_named)",
         _MOTIF),
     "motif_collab_distinct": _with("SELECT * FROM m_distinct", _MOTIF),
+    "motif_posted_only": _with("SELECT * FROM m_distinct", _MOTIF_POSTED),
+    "season_triangles": _with("SELECT id, count FROM t_all", *_SEASON_GRAPH, _SEASON_TRI),
     "triangle_count": _with("SELECT id, count FROM t_all", _TRI),
     "triangles_named": _with(
         "SELECT t.id, t.count, v.name, v.type FROM t_all t JOIN pverts v ON v.id = t.id", _TRI),
     "stage_roundtrip": _with("SELECT * FROM comments"),
     "csv_export": _with(_named_pairs("pairs")),
-    "json_export": _with("SELECT * FROM m_distinct", _MOTIF),
+    "json_export": _with(
+        "SELECT user1, subreddit1, subreddit2, user2 FROM (SELECT *, unnest(range(matches)) AS k FROM m_named)",
+        _MOTIF),
     "text_export": _with("SELECT '(' || pair || ',' || count || ')' AS value FROM pair_text"),
 }

@@ -1,7 +1,8 @@
 """Named reports over the algorithm results (the user-visible outputs).
 
-Sorts are the last step of every report (a sort under a join is removed by
-the optimizer), ties are broken by id, and top-k uses a window with a
+Sorts are the last step of a report (a sort under a join or union is removed by
+the optimizer; the two component reports are sorted where their graphs are
+united), ties are broken by id, and top-k uses a window with a
 row-number limit, which Spark plans as a per-partition group limit before
 the shuffle, so no group is gathered whole.
 """
@@ -11,8 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from threadweave.functions import java_string_hash
-from threadweave.runtime import CONF_MEMBER_NAMES_PER_ROW, conf_int
 from threadweave.schema import COMPONENT_MIN_SIZE, PAIR_MIN_COUNT
 
 
@@ -29,28 +28,20 @@ def component_sizes(scc: DataFrame, min_size: int = COMPONENT_MIN_SIZE) -> DataF
 
 def component_sizes_named(scc: DataFrame, names: DataFrame, min_size: int = COMPONENT_MIN_SIZE) -> DataFrame:
     """Sizes labelled by the vertex whose id is the component label."""
-    return (component_sizes(scc, min_size).join(_names(names, "component"), "component")
-            .orderBy(F.desc("count"), "component"))
+    return component_sizes(scc, min_size).join(_names(names, "component"), "component")
 
 
-def component_members(scc: DataFrame, names: DataFrame, min_size: int = COMPONENT_MIN_SIZE,
-                      names_per_row: int | None = None) -> DataFrame:
-    """Member names of each component with more than ``min_size`` members.
+def component_members(scc: DataFrame, names: DataFrame, min_size: int = COMPONENT_MIN_SIZE) -> DataFrame:
+    """Member names of each component with more than ``min_size`` members, in
+    long form: one row (component, count, member, name, type) per component and
+    distinct member name, with the label vertex's name and type.
 
-    (component, count, part, names, name, type).  A giant component's name set
-    is never gathered in one row: it is split into ``ceil(count / names_per_row)``
-    parts by the Java hash of the name, so each row and each aggregation
-    group stays bounded.
-    """
-    spark = scc.sparkSession
-    per_row = names_per_row or conf_int(spark, CONF_MEMBER_NAMES_PER_ROW)
-    sizes = component_sizes(scc, min_size).withColumn("parts", F.ceil(F.col("count") / F.lit(per_row)))
-    members = (scc.select("id", "component").join(names.select("id", "name"), "id")
-               .join(sizes.select("component", "parts"), "component")
-               .withColumn("part", F.pmod(java_string_hash("name"), F.col("parts")).cast("int")))
-    sets = members.groupBy("component", "part").agg(F.sort_array(F.collect_set("name")).alias("names"))
-    return (sizes.drop("parts").join(sets, "component").join(_names(names, "component"), "component")
-            .orderBy(F.desc("count"), "component", "part"))
+    The members of a component are never gathered, so a giant component is
+    many rows like any other; its hot key meets one row on the other side."""
+    labelled = component_sizes(scc, min_size).join(_names(names, "component"), "component")
+    members = (scc.select("id", "component").join(names.select("id", F.col("name").alias("member")), "id")
+               .select("component", "member").distinct())
+    return members.join(labelled, "component").select("component", "count", "member", "name", "type")
 
 
 def pagerank_named(ranks: DataFrame, names: DataFrame) -> DataFrame:

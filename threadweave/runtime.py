@@ -8,13 +8,14 @@ bench) without that setting gets a fresh folder under /tmp.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 # Knobs (session conf keys) with their defaults.  They bound what may be
@@ -23,20 +24,18 @@ CONF_BROADCAST_ROWS = "threadweave.broadcast.maxRows"      # narrow (id + a few
 CONF_HOT_MAX_KEYS = "threadweave.skew.maxHotKeys"          # bound on the broadcast hot-key set
 CONF_HOT_MIN_ROWS = "threadweave.skew.minHotRows"          # a key is hot above this many rows
 CONF_CHECKPOINT_EVERY = "threadweave.iter.checkpointEvery"  # iterations between checkpoints
-CONF_MEMBER_NAMES_PER_ROW = "threadweave.report.namesPerRow"
 CONF_HOPS_PER_JOB = "threadweave.iter.hopsPerJob"          # frontier steps per written state
 CONF_LOOP_ADAPTIVE = "threadweave.iter.adaptive"           # AQE inside iteration loops
-CONF_CUT = "threadweave.iter.cut"                          # checkpoint | table
+CONF_LAYOUT_ROWS = "threadweave.iter.rowsPerPartition"     # rows per partition of an edge layout
 
 DEFAULTS = {
     CONF_BROADCAST_ROWS: 2_000_000,
     CONF_HOT_MAX_KEYS: 100_000,
     CONF_HOT_MIN_ROWS: 200_000,
     CONF_CHECKPOINT_EVERY: 5,
-    CONF_MEMBER_NAMES_PER_ROW: 10_000,
     CONF_HOPS_PER_JOB: 2,
     CONF_LOOP_ADAPTIVE: False,
-    CONF_CUT: "table",
+    CONF_LAYOUT_ROWS: 2_000_000,
 }
 
 
@@ -61,14 +60,50 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not _is_local(spark):
         raise RuntimeError("set spark.checkpoint.dir to a shared (HDFS/object store) folder; "
                            "iterative graph operators checkpoint there")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="threadweave-ckpt-", dir="/tmp"))
+    folder = tempfile.mkdtemp(prefix="threadweave-ckpt-", dir="/tmp")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
 
 
+def _scratch_list(spark: SparkSession) -> list[str]:
+    """Scratch folders handed out in this Spark application."""
+    sc = spark.sparkContext
+    if not hasattr(sc, "_threadweave_scratch"):
+        sc._threadweave_scratch = []
+    return sc._threadweave_scratch
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for a written table, next to the checkpoints."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    _scratch_list(spark).append(path)
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete every scratch table of this application; for use between queries,
+    once their results are consumed (a lazy result reads its tables).  Returns
+    how many folders were dropped."""
+    paths = _scratch_list(spark)
+    for path in paths:
+        delete_path(spark, path)
+    n = len(paths)
+    paths.clear()
+    return n
+
+
+def _forget(spark: SparkSession, path: str) -> None:
+    """Delete one scratch table that no later step reads."""
+    delete_path(spark, path)
+    if path in _scratch_list(spark):
+        _scratch_list(spark).remove(path)
 
 
 def cut(df: DataFrame, name: str = "cut") -> DataFrame:
@@ -79,46 +114,37 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     the table survives executor loss, and the read-back carries exact size
     statistics for the planner.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return cut_observed(df, name)[0]
 
 
 def cut_observed(df: DataFrame, name: str = "cut", **metrics: Column) -> tuple[DataFrame, dict]:
-    """Cut lineage and return aggregate metrics (always ``rows``) computed in
-    the same job (``DataFrame.observe``) — no extra count job.
-
-    ``threadweave.iter.cut`` picks the mechanism: ``table`` (default; a parquet
-    table in the shared checkpoint folder, read back with exact size
-    statistics) or ``checkpoint`` (persisted, checkpointed eagerly into the
-    same folder, unpersisted — one computation).  Both measured alike."""
+    """``cut``, with aggregate metrics (always ``rows``) computed in the same job
+    (``DataFrame.observe``) — no extra count job — and the table's ``path``."""
     spark = df.sparkSession
     obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
     exprs = [F.count(F.lit(1)).alias("rows")] + [
         F.coalesce(expr, F.lit(0)).alias(key) for key, expr in metrics.items()]
-    observed = df.observe(obs, *exprs)
-    if spark.conf.get(CONF_CUT, DEFAULTS[CONF_CUT]) == "table":
-        path = scratch_path(spark, name)
-        observed.write.mode("errorifexists").parquet(path)
-        return spark.read.parquet(path), dict(obs.get)
-    checkpoint_dir(spark)
-    observed.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        out = observed.checkpoint(eager=True)
-    finally:
-        observed.unpersist()
-    return out, dict(obs.get)
+    path = scratch_path(spark, name)
+    df.observe(obs, *exprs).write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), {**obs.get, "path": path}
+
+
+def replace_table(spark: SparkSession, old: str | None, new: str) -> str:
+    """Delete a superseded loop state once the next one is written."""
+    if old is not None:
+        _forget(spark, old)
+    return new
 
 
 @contextmanager
 def loop_conf(spark: SparkSession):
     """Session conf for the jobs of an iterative operator.
 
-    Inside the loops every join is planned explicitly (broadcast under a
-    counted bound, the hot-key split, or a join on keys unique on both sides),
-    so AQE's per-stage re-planning only adds latency to each of the many small
-    jobs; it is switched off for the loop and restored afterwards."""
+    Inside the loops edge joins are planned explicitly (broadcast under a
+    counted bound, or an edge layout made once with its hot keys apart) and
+    state tables are joined on keys unique on both sides, so AQE's per-stage
+    re-planning only adds latency to each of the many small jobs; it is
+    switched off for the loop and restored afterwards."""
     key = "spark.sql.adaptive.enabled"
     old = spark.conf.get(key, None)
     spark.conf.set(key, spark.conf.get(CONF_LOOP_ADAPTIVE, str(DEFAULTS[CONF_LOOP_ADAPTIVE])).lower())

@@ -1,10 +1,11 @@
 """Month-folder sources (one parquet folder per month).
 
-The original layout is ``<dir>/<prefix>-<MM>`` per month.  All month folders
-are read in ONE scan (one file listing, one job) with the month taken from
-the folder name, and columns are aligned by name, so months whose raw schema
-drifts (extra or re-ordered columns) union safely.  Prepped tables are
-written partitioned by month so later reads prune partitions.
+The original layout is ``<dir>/<prefix>-<MM>`` per month.  Each folder is read
+on its own with its month as a literal and the frames are united by column
+name, so months whose raw schema drifts (extra or re-ordered columns) line up,
+no footer of another month is opened to merge schemas, and a filter on the
+month drops whole folders from the plan.  Prepped tables are written
+partitioned by month so later reads prune partitions.
 """
 
 from __future__ import annotations
@@ -22,19 +23,22 @@ def month_paths(base_dir: str, prefix: str, months: Sequence[str]) -> list[str]:
     return [f"{base_dir.rstrip('/')}/{prefix}-{m}" for m in months]
 
 
-def read_month_folders(spark: SparkSession, base_dir: str, prefix: str,
-                       months: Sequence[str] | str, merge_schema: bool = True) -> DataFrame:
-    """Read several month folders as one DataFrame with a ``month`` column.
+def read_month_folders(spark: SparkSession, base_dir: str, prefix: str, months: Sequence[str] | str) -> DataFrame:
+    """Several month folders as one DataFrame with a ``month`` column.
 
-    ``months`` is a list or the comma-separated form ``"08,09,10"``.
-    """
+    ``months`` is a list or the comma-separated form ``"08,09,10"``."""
     if isinstance(months, str):
         months = [m for m in months.split(",") if m]
-    paths = month_paths(base_dir, prefix, months)
-    df = (spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(*paths)
-          .withColumn("_file", F.input_file_name()))
-    month = F.regexp_extract(F.col("_file"), rf"/{prefix}-([^/]+)/", 1)
-    return df.withColumn(MONTH_COL, month).drop("_file")
+    frames = [spark.read.parquet(path).withColumn(MONTH_COL, F.lit(m))
+              for m, path in zip(months, month_paths(base_dir, prefix, months), strict=True)]
+    return union_months(frames)
+
+
+def write_month_folders(df: DataFrame, base_dir: str, prefix: str, months: Sequence[str]) -> None:
+    """One folder per month, without the month column (the layout that
+    ``read_month_folders`` reads)."""
+    for m, path in zip(months, month_paths(base_dir, prefix, months), strict=True):
+        df.filter(F.col(MONTH_COL) == m).drop(MONTH_COL).write.parquet(path)
 
 
 def union_months(frames: Sequence[DataFrame]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Default save mode is ``errorifexists`` (never overwrite a result silently).
 ``single_file=True`` merges the output to one part file — for small reports
-only; it funnels the data through one task.
+only: the plan keeps its parallelism and one task writes.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from threadweave.schema import MONTH_COL
 
 
 def _prepare(df: DataFrame, single_file: bool) -> DataFrame:
-    return df.coalesce(1) if single_file else df
+    return df.repartition(1) if single_file else df
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists",

@@ -9,7 +9,6 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from threadweave.operators import prep
-from threadweave.runtime import scratch_path
 from threadweave.schema import MONTH_COL
 
 
@@ -22,6 +21,10 @@ def start_prep_stream(spark: SparkSession, source_dir: str, schema: StructType,
     ``schema`` is the raw schema (file streams need it up front).  With
     ``available_now`` the query processes everything present and stops
     (incremental batch); otherwise it keeps polling.
+
+    The stream's checkpoint belongs to its output: unless given, it lies in a
+    hidden folder under ``output_dir``, so a later call with the same output
+    goes on where the last one stopped.
     """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
@@ -34,7 +37,7 @@ def start_prep_stream(spark: SparkSession, source_dir: str, schema: StructType,
     else:
         raise ValueError("kind must be 'comments' or 'posts'")
     writer = (out.writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", checkpoint or scratch_path(spark, f"stream-{kind}")))
+              .option("checkpointLocation", checkpoint or f"{output_dir.rstrip('/')}/_prep_checkpoint"))
     if MONTH_COL in out.columns:
         writer = writer.partitionBy(MONTH_COL)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
