@@ -24,10 +24,12 @@ def vocabulary():
 
 
 def test_ids_are_those_of_the_words(vocabulary):
-    texts = ["", "the cat's 12 é", "a"]
+    rng = random.Random(8)
+    texts = ["", "the cat's 12 é", "a", "x\xa0 \xa0y z\u2003 \x85", "--- === '' "]
+    texts += ["".join(rng.choice("ab' .é\xa0\u3000\x1c\n日1-") for _ in range(rng.randint(0, 60))) for _ in range(200)]
     ids, starts = vocabulary.of(words(pa.array(texts)))
     for i, t in enumerate(texts):
-        want = [x for w in t.split() for x in vocabulary.encode(" " + w)] + [vocabulary.end]
+        want = [x for w in t.encode().split() for x in vocabulary.encode(" " + w.decode())] + [vocabulary.end]
         assert ids[starts[i]:starts[i + 1]].tolist() == want
 
 

@@ -35,6 +35,7 @@ table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, fields
 from math import log
@@ -49,9 +50,9 @@ from threadweave.llm.packing import byte_bpe
 from threadweave.llm.tables import Workspace
 from threadweave.llm.textcols import Words, id_text, lower_ascii, mix, slices, sums, word_hashes, words
 
-SLICE = 4 << 20
-CACHED_WORDS = 100_000  # words whose ids a task keeps from slice to slice
+SLICE = 6 << 20
 LN10 = log(10)
+OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 @dataclass(frozen=True)
@@ -80,14 +81,15 @@ class Subwords:
     def __init__(self, ranks_file: str, rules: LmRules):
         encoding = byte_bpe(ranks_file)
         self.encode = encoding.encode_ordinary
-        self.known: dict[str, list[int]] = {}
+        self.spaced = np.zeros(encoding.n_vocab, bool)
         n = encoding.n_vocab
         self.end = n
         kinds: dict[tuple[bool, str], int] = {}
         self.cls = np.zeros(n + 1, np.int64)
         for i in range(n):
             raw = encoding.decode_single_token_bytes(i)
-            body = raw[1:] if raw[:1] == b" " else raw
+            self.spaced[i] = raw[:1] == b" "
+            body = raw[1:] if self.spaced[i] else raw
             c = chr(body[0]) if body else ""
             kind = c.lower() if c.isalpha() and c.isascii() else "0" if c.isdigit() else "high" if c > "\x7f" else "other"
             self.cls[i] = kinds.setdefault((body != raw, kind), len(kinds))
@@ -108,33 +110,34 @@ class Subwords:
         out[starts[:-1][np.diff(starts) > 0]] = self.slot[self.end]
         return out
 
-    def _words(self, vocab: list[str]) -> list[list[int]]:
-        known, encode = self.known, self.encode
-        if len(known) > CACHED_WORDS:
-            known.clear()
-        out = []
-        for word in vocab:
-            ids = known.get(word)
-            if ids is None:
-                ids = known[word] = encode(" " + word)
-            out.append(ids)
-        return out
+    def _words(self, vocab: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct words with a space in front: all ids, and each word's
+        first place and number.  Words are encoded in one string, where a piece
+        with a leading space begins a word; words with white space beyond ASCII,
+        which could meet a neighbour's, are encoded alone."""
+        joined = " ".join(vocab)
+        odd = [i for i, x in enumerate(vocab) if OTHER_SPACE.search(x)] if OTHER_SPACE.search(joined) else []
+        if odd:
+            own = {i: self.encode(" " + vocab[i]) for i in odd}
+            joined = " ".join("a" if i in own else x for i, x in enumerate(vocab))
+        flat = np.array(self.encode(" " + joined) if vocab else [], np.int32)
+        at = np.flatnonzero(self.spaced[flat])
+        size = np.diff(np.concatenate([at, [len(flat)]]))
+        for i in odd:
+            at[i], size[i] = len(flat), len(own[i])
+            flat = np.concatenate([flat, np.array(own[i], np.int32)])
+        return flat, at, size
 
     def of(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
         """Ids of each text, end to end, with the end id; and where they begin."""
-        own = self._words(w.vocab.to_pylist())
-        size = np.fromiter(map(len, own), np.int64, len(own))
-        flat = np.fromiter((i for x in own for i in x), np.int64, int(size.sum()))
-        at = np.cumsum(size) - size
-        # per text: its words' ids and the end id, laid out with one extra slot per text
+        flat, at, size = self._words(w.vocab.to_pylist())
         width = size[w.codes]
-        per_text = sums(width, w.starts) + 1
-        starts = np.concatenate([[0], np.cumsum(per_text)])
-        ids = np.full(int(starts[-1]), self.end, np.int64)
-        place = np.repeat(starts[:-1][w.owner()], width) + (np.arange(int(width.sum())) - np.repeat(
-            np.concatenate([[0], np.cumsum(width)])[w.starts[:-1]][w.owner()], width))
-        word_from = np.cumsum(width) - width
-        ids[place] = flat[np.repeat(at[w.codes], width) + (np.arange(int(width.sum())) - np.repeat(word_from, width))]
+        total, owner = int(width.sum()), w.owner()
+        run = np.arange(total)
+        ids = np.full(total + len(w.starts) - 1, self.end, np.int32)
+        # an id's place: those before it, and one end for each text before its own
+        ids[run + np.repeat(owner, width)] = flat[np.repeat(at[w.codes] - (np.cumsum(width) - width), width) + run]
+        starts = np.concatenate([[0], np.cumsum(sums(width, w.starts) + 1)])
         return ids, starts
 
 
@@ -178,12 +181,12 @@ def windows(ids: np.ndarray, starts: np.ndarray, v: Subwords, stride: int) -> tu
     blocks = -(-size // stride) + 1
     base = (np.cumsum(blocks) - blocks) * stride + stride
     slot = np.repeat(base - starts[:-1], size) + np.arange(len(ids))
-    rows = np.full(int(blocks.sum()) * stride, v.pad_row, np.int64)
-    target = np.full(len(rows), -1, np.int64)
+    rows = np.full(int(blocks.sum()) * stride, v.pad_row, np.int32)
+    target = np.full(len(rows), -1, np.int32)
     target[slot] = ids
     first = np.zeros(len(ids), bool)
     first[starts[:-1]] = True
-    before = np.empty(len(ids), np.int64)
+    before = np.empty(len(ids), np.int32)
     before[1:] = v.row[ids[:-1]]
     before[first] = v.start_row
     rows[slot] = before
