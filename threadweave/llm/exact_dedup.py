@@ -160,7 +160,7 @@ def exact_duplicates(docs: DataFrame, capacity: int = 20_000) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame, capacity: int = 20_000) -> DataFrame:
-    """The rows of ``docs`` without the copies (all columns)."""
+    """The rows of ``docs`` without the copies (all columns); rows with a null ``doc_id`` stay."""
     work = Workspace(docs.sparkSession, "exact-dedup")
     gone, n = work.write(exact_duplicates(docs, capacity).filter("NOT kept").select("doc_id").distinct(), "gone")
     return without_ids(docs, gone, n)

@@ -29,7 +29,7 @@ from threadweave.llm.pieces import SPACE, Pieces, Units, lattice_steps, pieces,
 from threadweave.llm.shipping import ship
 from threadweave.llm.textcols import MIX, id_text, mix, slices
 
-SLICE = 6 << 20
+SLICE = 4 << 20
 NO_ARC = -2
 
 

@@ -42,6 +42,7 @@ def slices(batches: Iterable[pa.RecordBatch], max_bytes: int = SLICE_BYTES) -> I
             last = max(first + 1, int(np.searchsorted(end, base + max_bytes, side="right")))
             yield batch.slice(first, last - first)
             first = last
+        pa.default_memory_pool().release_unused()  # a worker lives on after its task
 
 
 class Words(NamedTuple):
