@@ -308,6 +308,7 @@ def marked(docs: DataFrame, w: Windows, work: Workspace, repeated: Column, solve
     if n_hot:  # at most strings / hot keys
         parts = parts.unionByName(_by_window(strings.join(F.broadcast(hot), "g", "left_semi"), w, pack))
     marks, n_marks = work.write(parts, "marks")
+    del parts, strings  # a plan that is still referred to keeps its shuffles
     work.settle()
     places = both.filter("body IS NULL").select("s1", "s2", *KEY, "p0")
     return places.join(small(marks, n_marks, 100_000), ["s1", "s2"]).groupBy(*KEY).agg(F.collect_list(F.struct("p0", "marks")).alias("spans"))

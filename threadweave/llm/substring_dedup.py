@@ -46,46 +46,47 @@ class SuffixAutomaton:
     of the passages that hold state s's strings."""
 
     def __init__(self, passages: Iterable[tuple[list[bytes], int]]):
-        self.next: list[dict[bytes, int]] = [{}]
-        self.link, self.size, self.least = [-1], [0], [NEVER]
+        follow: list[dict[bytes, int]] = [{}]
+        link, size, least = [-1], [0], [NEVER]
+
+        def split(last: int, word: bytes, step: int) -> int:
+            """A state for the strings of ``step`` that extend ``last`` by ``word``."""
+            copy = len(size)
+            follow.append(follow[step].copy())
+            size.append(size[last] + 1)
+            link.append(link[step])
+            least.append(NEVER)
+            while last >= 0 and follow[last].get(word) == step:
+                follow[last][word] = copy
+                last = link[last]
+            link[step] = copy
+            return copy
+
         for words, number in passages:
-            at = 0
+            last = 0
             for word in words:
-                at = self._extend(at, word)
-                if number < self.least[at]:
-                    self.least[at] = number
-        for s in sorted(range(1, len(self.size)), key=self.size.__getitem__, reverse=True):
-            up = self.link[s]
-            if self.least[s] < self.least[up]:
-                self.least[up] = self.least[s]
-
-    def _state(self, size: int, edges: dict[bytes, int], link: int, least: int) -> int:
-        self.next.append(edges)
-        self.size.append(size)
-        self.link.append(link)
-        self.least.append(least)
-        return len(self.size) - 1
-
-    def _extend(self, last: int, word: bytes) -> int:
-        step = self.next[last].get(word)
-        if step is not None:
-            return step if self.size[step] == self.size[last] + 1 else self._clone(last, word, step)
-        new = self._state(self.size[last] + 1, {}, 0, NEVER)
-        while last >= 0 and word not in self.next[last]:
-            self.next[last][word] = new
-            last = self.link[last]
-        if last >= 0:
-            step = self.next[last][word]
-            self.link[new] = step if self.size[step] == self.size[last] + 1 else self._clone(last, word, step)
-        return new
-
-    def _clone(self, last: int, word: bytes, step: int) -> int:
-        copy = self._state(self.size[last] + 1, dict(self.next[step]), self.link[step], NEVER)
-        while last >= 0 and self.next[last].get(word) == step:
-            self.next[last][word] = copy
-            last = self.link[last]
-        self.link[step] = copy
-        return copy
+                step = follow[last].get(word)
+                if step is not None:
+                    new = step if size[step] == size[last] + 1 else split(last, word, step)
+                else:
+                    new = len(size)
+                    follow.append({})
+                    size.append(size[last] + 1)
+                    link.append(0)
+                    least.append(NEVER)
+                    while last >= 0 and word not in follow[last]:
+                        follow[last][word] = new
+                        last = link[last]
+                    if last >= 0:
+                        step = follow[last][word]
+                        link[new] = step if size[step] == size[last] + 1 else split(last, word, step)
+                if number < least[new]:
+                    least[new] = number
+                last = new
+        for s in sorted(range(1, len(size)), key=size.__getitem__, reverse=True):
+            if least[s] < least[link[s]]:
+                least[link[s]] = least[s]
+        self.next, self.link, self.size, self.least = follow, link, size, least
 
     def windows(self, words: list[bytes], width: int) -> list[int]:
         """For each window of ``width`` words, the smallest id of a passage that
