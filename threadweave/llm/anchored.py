@@ -311,4 +311,8 @@ def marked(docs: DataFrame, w: Windows, work: Workspace, repeated: Column, solve
     del parts, strings  # a plan that is still referred to keeps its shuffles
     work.settle()
     places = both.filter("body IS NULL").select("s1", "s2", *KEY, "p0")
-    return places.join(small(marks, n_marks, 100_000), ["s1", "s2"]).groupBy(*KEY).agg(F.collect_list(F.struct("p0", "marks")).alias("spans"))
+    spans, _ = work.write(places.join(small(marks, n_marks, 100_000), ["s1", "s2"]).groupBy(*KEY)
+                          .agg(F.collect_list(F.struct("p0", "marks")).alias("spans")), "spans")
+    work.drop("strings", "marks", "hot")
+    work.settle()
+    return spans

@@ -4,6 +4,7 @@ that need more than one pass."""
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -42,9 +43,12 @@ class Workspace:
             path.getFileSystem(hadoop).delete(path, True)
 
     def settle(self) -> None:
-        """Let Spark's cleaner remove the shuffles of steps whose tables are written."""
-        gc.collect()
-        self.spark._jvm.System.gc()
+        """Let Spark's cleaner remove the shuffles of steps whose tables are written:
+        the driver's references go first, then the cleaner sees what is left."""
+        for _ in range(2):
+            gc.collect()
+            self.spark._jvm.System.gc()
+            time.sleep(0.5)
 
 
 def small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
