@@ -50,7 +50,7 @@ from threadweave.llm.packing import byte_bpe
 from threadweave.llm.tables import Workspace
 from threadweave.llm.textcols import Words, id_text, lower_ascii, mix, slices, sums, word_hashes, words
 
-SLICE = 6 << 20
+SLICE = 4 << 20
 LN10 = log(10)
 OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
