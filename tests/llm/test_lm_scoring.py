@@ -109,6 +109,39 @@ def test_scorer_equals_the_forward_pass(vocabulary):
     assert np.allclose(Scorer(w, vocabulary, s).class_logs(rows, cls), want, atol=1e-4)
 
 
+def test_a_step_has_the_gradients_of_all_its_windows(vocabulary):
+    v, s = vocabulary, RULES.stride
+    rng = np.random.default_rng(5)
+    starts = np.concatenate([[0], np.cumsum([1, 16, 17, 300, 5, 90])])
+    ids = rng.integers(0, 50_000, starts[-1])
+    ids[starts[1:] - 1] = v.end
+    rows, target = (x.reshape(-1, s) for x in windows(ids, starts, v, s))
+    w = Weights.start(v, RULES)
+    net = Attention(w, v, s)
+    logits, kept = net.forward(np.concatenate([rows[:-1], rows[1:]], axis=1))
+    grads = net.backward(logits, kept, target[1:])
+    trainer = Trainer(Weights.start(v, RULES), v, RULES)
+    trainer.step(rows, target[1:])
+    for sq, g in zip(trainer.square, grads, strict=True):
+        assert np.allclose(np.sqrt(sq), np.sqrt(g * g + 1e-6), atol=1e-5)
+    for x, y, g in zip(trainer.w.parts(), w.parts(), grads, strict=True):
+        assert np.allclose(x, y - RULES.rate * g / np.sqrt(g * g + np.float32(1e-6)), atol=1e-3)
+
+
+def test_every_window_trains(vocabulary):
+    v, s = vocabulary, RULES.stride
+    sizes = [1, 7, 16, 17, 40, 500, 16, 2000]
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    ids = np.random.default_rng(6).integers(0, 50_000, starts[-1])
+    trainer = Trainer(Weights.start(v, RULES), v, RULES)
+    reached = []
+    step = trainer.step
+    trainer.step = lambda rows, target: (reached.append(target[target >= 0]), step(rows, target))
+    trainer.learn(ids, starts)
+    assert trainer.seen == sum(-(-n // s) for n in sizes)
+    assert sorted(np.concatenate(reached).tolist()) == sorted(ids.tolist())
+
+
 def test_training_helps_on_held_out_text(spark, vocabulary):
     texts = [r.text.lower() for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").limit(500).collect()]
     v = vocabulary

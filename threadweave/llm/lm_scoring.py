@@ -12,11 +12,11 @@ the class.  The table of followers has a row and a column for each of the
 first ``pairs`` ids of the vocabulary and one for each class of the others, so
 its size is fixed.  Probabilities over all ids sum to one.
 
-* Training.  Every training document gives windows: one in ``every``, chosen
-  by a hash of its words, so the share is the same at any size.  Each task
-  runs Adagrad over its windows from common starting weights; the weights are
-  averaged over tasks, by windows, in a distributed aggregation by blocks of
-  the parameter vector (its size is fixed by the vocabulary parameters).
+* Training.  Every window of every training document gives gradients, once.
+  Each task runs Adagrad over its windows from common starting weights; the
+  weights are averaged over tasks, by windows, in a distributed aggregation by
+  blocks of the parameter vector (its size is fixed by the vocabulary
+  parameters).
 * Counts of words, ids and pairs of ids come from all training documents.
 * Scoring.  A text is cut in windows of ``2 * stride`` positions that overlap
   by half; the second half of each is scored, so each id is scored exactly
@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 
 from threadweave.llm.packing import byte_bpe
 from threadweave.llm.tables import Workspace
-from threadweave.llm.textcols import Words, id_text, lower_ascii, mix, slices, sums, word_hashes, words
+from threadweave.llm.textcols import Words, id_text, lower_ascii, slices, sums, word_hashes, words
 
 SLICE = 4 << 20
 LN10 = log(10)
@@ -58,15 +58,13 @@ OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202
 @dataclass(frozen=True)
 class LmRules:
     """``rows``: input rows for the first so many ids (others share a row by
-    class); ``dim``: width; ``stride``: scored positions of a window; ``every``:
-    one training window in so many; ``batch``: windows of a training step;
-    ``pairs``: ids with an own row and column in the table of followers;
-    ``prior``: weight of the class share, in pairs."""
+    class); ``dim``: width; ``stride``: scored positions of a window; ``batch``:
+    windows of a training step; ``pairs``: ids with an own row and column in the
+    table of followers; ``prior``: weight of the class share, in pairs."""
 
     rows: int = 4096
     dim: int = 16
     stride: int = 16
-    every: int = 16
     batch: int = 64
     rate: float = 0.1
     pairs: int = 2048
@@ -257,14 +255,78 @@ class Trainer:
         rows, target = windows(ids, starts, self.v, s)
         rows, target = rows.reshape(-1, s), target.reshape(-1, s)
         scored = np.flatnonzero((target[1:] >= 0).any(axis=1)) + 1
-        pick = scored[mix(scored.astype(np.uint64) + np.uint64(self.seen)) % np.uint64(self.rules.every) == 0]
-        for i in range(0, len(pick), self.rules.batch):
-            at = pick[i:i + self.rules.batch]
-            logits, kept = self.net.forward(np.concatenate([rows[at - 1], rows[at]], axis=1))
-            for x, g, sq in zip(self.w.parts(), self.net.backward(logits, kept, target[at]), self.square, strict=True):
-                sq += g * g
-                x -= self.rules.rate * g / np.sqrt(sq)
-        self.seen += len(pick)
+        for i in range(0, len(scored), self.rules.batch):
+            a, b = scored[i], scored[min(i + self.rules.batch, len(scored)) - 1] + 1
+            self.step(rows[a - 1:b], target[a:b])
+        self.seen += len(scored)
+
+    def step(self, rows: np.ndarray, target: np.ndarray) -> None:
+        """One step over the windows of neighbouring blocks ``rows``; ``target``:
+        ids of all blocks but the first.  The gradients are those of
+        ``Attention``; windows share their blocks' keys and values, and only
+        the input rows that occur are touched."""
+        w, net, s, d, n = self.w, self.net, self.rules.stride, self.w.emb.shape[1], len(target)
+        scale = np.float32(1 / np.sqrt(d))
+        flat_rows = rows.ravel()
+        e = w.emb.take(flat_rows, axis=0)
+        own = e[s:]
+        q, k, val = own @ (w.wq * scale), e @ w.wk, e @ w.wv
+        pair = lambda x: np.lib.stride_tricks.as_strided(x, (n, 2 * s, d), (s * x.strides[0], *x.strides))  # noqa: E731  block i and the one after it
+        keys, values, q = pair(k), pair(val), q.reshape(n, s, d)
+        p = np.matmul(q, keys.transpose(0, 2, 1))
+        p += w.dist[net.back] + net.closed
+        pad = rows == self.v.pad_row
+        some = np.flatnonzero(pad[:-1].any(axis=1) | pad[1:].any(axis=1))
+        if len(some):
+            p[some] += np.where(np.concatenate([pad[some], pad[some + 1]], axis=1), np.float32(-1e4), np.float32(0))[:, None, :]
+        np.clip(p, -1e4, 50, out=p)
+        np.exp(p, out=p)
+        ones = np.ones((2 * s, 1), np.float32)  # sums by matrix product: faster over short rows
+        p /= (p.reshape(-1, 2 * s) @ ones).reshape(n, s, 1) + np.float32(1e-30)
+        h = own + np.matmul(p, values).reshape(-1, d)
+        z = h @ w.out
+        z += w.bias
+        np.clip(z, -50, 50, out=z)
+        np.exp(z, out=z)
+        wanted = target.ravel()
+        live = np.flatnonzero(wanted >= 0)
+        weight = np.zeros(len(wanted), np.float32)
+        weight[live] = 1 / max(1, len(live))
+        z *= (weight / (z @ np.ones(z.shape[1], np.float32)))[:, None]
+        z[live, self.v.cls[wanted[live]]] -= weight[live]
+        dh = z @ w.out.T
+        dh3 = dh.reshape(n, s, d)
+        dp = np.matmul(dh3, values.transpose(0, 2, 1))
+        dval = self._blocks(np.matmul(p.transpose(0, 2, 1), dh3))
+        dp -= ((dp * p).reshape(-1, 2 * s) @ ones).reshape(n, s, 1)
+        dp *= p
+        ddist = np.bincount(net.back.ravel(), weights=np.where(net.closed < 0, 0, dp.sum(axis=0)).ravel(), minlength=2 * s).astype(np.float32)
+        dk = self._blocks(np.matmul(dp.transpose(0, 2, 1), q))
+        dq = np.matmul(dp, keys).reshape(-1, d) * scale
+        de = dk @ w.wk.T
+        de += dval @ w.wv.T
+        de[s:] += dh
+        de[s:] += dq @ w.wq.T
+        order = np.argsort(flat_rows, kind="stable")
+        by_row = flat_rows[order]
+        first = np.flatnonzero(np.concatenate([[True], by_row[1:] != by_row[:-1]]))
+        used, demb = by_row[first], np.add.reduceat(de[order], first, axis=0)
+        demb[used == self.v.pad_row] = 0
+        square = self.square[0][used] + demb * demb
+        self.square[0][used] = square
+        w.emb[used] -= self.rules.rate * demb / np.sqrt(square)
+        rest = [own.T @ dq, e.T @ dk, e.T @ dval, ddist, h.T @ z, z.sum(axis=0)]
+        for x, g, sq in zip(w.parts()[1:], rest, self.square[1:], strict=True):
+            sq += g * g
+            x -= self.rules.rate * g / np.sqrt(sq)
+
+    def _blocks(self, x: np.ndarray) -> np.ndarray:
+        """Gradients by window -> by block, each block being in two windows."""
+        n, s = len(x), self.rules.stride
+        out = np.zeros((n + 1, s, x.shape[2]), np.float32)
+        out[:-1] += x[:, :s]
+        out[1:] += x[:, s:]
+        return out.reshape(-1, x.shape[2])
 
 
 class Shares:
