@@ -8,7 +8,7 @@ import pytest
 
 from threadweave.llm import anchored
 from threadweave.llm.exact_dedup import Directory, drop_copies, exact_duplicates
-from threadweave.llm.near_dedup import NearRules, keep_one, min_matches, near_duplicates
+from threadweave.llm.near_dedup import NearRules, _tiles, keep_one, min_matches, near_duplicates
 from threadweave.llm.substring_dedup import SuffixAutomaton, remove_reference_spans, remove_repeated_spans
 from threadweave.llm.suffix_dedup import remove_repeats
 
@@ -95,6 +95,37 @@ def test_near_components_equal_brute_force(spark, rules):
     assert got == near_brute(rows, rules)
 
 
+def test_tiles_are_bounded_and_meet_every_probe_once(spark):
+    # a hot band of probes: 1 main member in 10, all others in components of their own
+    size, main = 1200, 120
+    rows = [(5, i, 0 if i < main else i, 0, size, size - main) for i in range(size)]
+    df = spark.createDataFrame(rows, "band long, rep long, comp long, main long, size long, probes long")
+    tiles = {}
+    for r in _tiles(df, NearRules(block=64)).collect():
+        tiles.setdefault((r.pb, r.hb), []).append(r)
+    assert max(map(len, tiles.values())) <= 3 * 64  # two blocks, dealt by a hash
+    met = [(a.rep, b.rep) for x in tiles.values() for a in x if a.probe for b in x if b.home]
+    assert len(met) == len(set(met)) == (size - main) * size
+
+
+def test_near_hot_band_of_probes_equals_brute_force(spark):
+    # pages of one template that share bands and are no near duplicates, with some true pairs
+    rng = random.Random(3)
+    template = [f"t{i}" for i in range(120)]
+    rows = []
+    for i in range(150):
+        own = [f"p{i}x{j}" for j in range(22)]
+        rows.append((i, " ".join(template + own)))
+        if i % 10 == 0:
+            own[rng.randrange(22)] = "changed"
+            rows.append((1000 + i, " ".join(template + own)))
+    rules = NearRules(shingle=3, num=85, den=100, block=16)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates(df, rules).collect()}
+    want = near_brute(rows, rules)
+    assert got == want and sum(not x[2] for x in want.values()) == 15
+
+
 def test_near_chain_is_one_component(spark):
     # each text is close to the next, the ends are far apart
     words = [f"w{i}" for i in range(400)]

@@ -14,10 +14,11 @@ whole set); all further work is on one representative of each class.
 Candidates inside a band are not expanded into all pairs.  In a star round each
 band compares one pivot with the members that are not yet in its component.
 After ``star_rounds`` such rounds, bands that still hold several components
-are compared in blocks: members outside the band's largest component against
-all blocks of the others, verified inside the block.  Every candidate pair of
-different components has then been compared, so no link between components is
-lost, and a block gives fewer links than it has members.
+are compared in tiles of two bounded blocks: one of members outside the band's
+largest component, one of all members.  Tiles hold signatures only; members with
+a survivor go to their tile again with their full sets, and are verified there.
+Every candidate pair of different components has then been compared, so no link
+between components is lost, and a tile gives fewer links than it has members.
 
 Components come from hooking smallest labels over the verified links, in
 written rounds.
@@ -255,51 +256,109 @@ def _with_comp(members: DataFrame, label: DataFrame | None, n: int) -> DataFrame
             .withColumn("comp", F.coalesce("comp", "rep")))
 
 
-def _block_links(members: DataFrame, reps: DataFrame, full: DataFrame, rules: NearRules) -> DataFrame:
-    """Verified links of the bands that still hold several components.
-
-    ``members``: band, rep, comp, main (the band's largest component), size.
-    A member of the main component goes to its own block; the others go to
-    every block, as probes.  A block compares signatures, verifies survivors on
-    full sets, and skips pairs that its links so far have already joined, so it
-    gives fewer links than it has members.  A pair that shares an earlier band is
-    left to that band, which is open as well."""
-    blocks = F.greatest(F.ceil(F.col("size") / rules.block), F.lit(1)).cast("int")
-    own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
-    placed = members.join(reps.select("rep", "sig"), "rep").join(full, "rep").withColumn("own", own)
-    rows = placed.select("band", F.explode(F.when(F.col("comp") == F.col("main"), F.array("own"))
-                                           .otherwise(F.sequence(F.lit(0), blocks - 1))).alias("block"),
-                         "own", "rep", "comp", (F.col("comp") != F.col("main")).alias("probe"), "sig", "members", "nth")
-    steps = min_matches(rules)
-
-    def run(key, table):
-        block = key[1].as_py()
-        rep, comp = (table[c].to_numpy() for c in ("rep", "comp"))
-        probe, home = table["probe"].to_numpy(), table["own"].to_numpy() == block
-        sig = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint32).reshape(len(rep), -1)
-        sets = [np.frombuffer(x, np.uint64) for x in table["members"].to_pylist()]
+def _tiles(members: DataFrame, rules: NearRules) -> DataFrame:
+    """Rows of ``members`` (band, rep, comp, main, size, probes) dealt to tiles
+    (band, pb, hb) of one block of probes and one block of all members.
+
+    Members outside the band's main component are probes: one goes with its
+    probe block to all home blocks.  Every member goes with its home block to
+    all probe blocks.  So each probe meets each member in one tile, and a tile
+    holds about two blocks, whatever the band's size."""
+    dealt = (members.withColumn("probe", F.col("comp") != F.col("main"))
+             .withColumn("homes", F.greatest(F.ceil(F.col("size") / rules.block), F.lit(1)).cast("int"))
+             .withColumn("lots", F.greatest(F.ceil(F.col("probes") / rules.block), F.lit(1)).cast("int"))
+             .withColumn("own", F.pmod(F.xxhash64("rep"), "homes").cast("int"))
+             .withColumn("lot", F.pmod(F.xxhash64("rep", F.lit(1)), "lots").cast("int")))
+    as_home = F.transform(F.sequence(F.lit(0), F.col("lots") - 1), lambda x: F.struct(x.alias("pb"), F.col("own").alias("hb")))
+    as_probe = F.transform(F.sequence(F.lit(0), F.col("homes") - 1), lambda x: F.struct(F.col("lot").alias("pb"), x.alias("hb")))
+    at = F.explode(F.when(F.col("probe"), F.array_union(as_home, as_probe)).otherwise(as_home)).alias("at")
+    return (dealt.select(*members.columns, "own", "lot", "probe", at).select("*", "at.*").drop("at", "main", "size", "probes")
+            .withColumn("probe", F.col("probe") & (F.col("lot") == F.col("pb"))).withColumn("home", F.col("own") == F.col("hb")).drop("own", "lot"))
+
+
+class _Tile:
+    """The members of a tile: which are probes, which at home, and what they are compared by."""
+
+    def __init__(self, table: pa.Table, rules: NearRules):
+        self.rules, self.steps = rules, min_matches(rules)
+        self.rep, self.comp, self.n = (table[c].to_numpy() for c in ("rep", "comp", "n"))
+        self.side, probe = table["side"].to_numpy(), table["probe"].to_numpy()
+        self.probes, self.home = np.flatnonzero(probe), np.flatnonzero(table["home"].to_numpy())
+        self.sig = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint32).reshape(len(self.rep), -1)
         before = table["nth"][0].as_py() * rules.rows
-        earlier = sig[:, :before].reshape(len(rep), -1, rules.rows) if before else None
-        _, group = np.unique(comp, return_inverse=True)
+        self.earlier = self.sig[:, :before].reshape(len(self.rep), -1, rules.rows) if before else None
+
+    def survivors(self, i: int, group: np.ndarray) -> np.ndarray:
+        """Members at home that probe ``i`` may be near to, by set sizes and
+        signatures, those with the most equal hashes first."""
+        r, other = self.rules, self.home
+        live = other[(group[other] != group[i]) & ((self.rep[other] < self.rep[i]) | ~self.side[other])]
+        live = live[r.den * np.minimum(self.n[live], self.n[i]) >= r.num * np.maximum(self.n[live], self.n[i])]
+        same, done = np.zeros(len(live), np.int64), 0
+        for n, least in self.steps:
+            same += (self.sig[live, done:n] == self.sig[i, done:n]).sum(axis=1)
+            live, same, done = live[same >= least], same[same >= least], n
+        if self.earlier is not None and len(live):
+            first = ~(self.earlier[live] == self.earlier[i]).all(axis=2).any(axis=1)
+            live, same = live[first], same[first]
+        return live[np.argsort(-same, kind="stable")]
+
+
+def _tile_survivors(tiles: DataFrame, rules: NearRules) -> DataFrame:
+    """The rows of ``tiles`` (without signatures) that are in a pair which
+    signatures do not rule out.  A tile gives at most its own rows."""
+
+    def run(table: pa.Table) -> pa.Table:
+        tile = _Tile(table, rules)
+        keep = np.zeros(len(tile.rep), bool)
+        for i in tile.probes.tolist():
+            live = tile.survivors(i, tile.comp)
+            keep[live] = True
+            keep[i] |= len(live) > 0
+        return table.drop_columns(["sig"]).filter(pa.array(keep))
+
+    schema = tiles.drop("sig").schema
+    return tiles.groupBy("band", "pb", "hb").applyInArrow(run, schema)
+
+
+def _tile_links(tiles: DataFrame, rules: NearRules) -> DataFrame:
+    """Verified links of the rows of ``tiles``, with ``sig`` and ``members``.  A
+    tile skips pairs that its links so far have already joined, so it gives
+    fewer links than it has members."""
+
+    def run(table: pa.Table) -> pa.Table:
+        tile = _Tile(table, rules)
+        sets = [np.frombuffer(x, np.uint64) for x in table["members"].to_pylist()]
+        _, group = np.unique(tile.comp, return_inverse=True)
         a_out, b_out = [], []
-        other = np.flatnonzero(home)  # each probe meets the members whose home is this block
-        for i in np.flatnonzero(probe).tolist():
-            live = other[(group[other] != group[i]) & ((rep[other] < rep[i]) | ~probe[other])]
-            same, done = np.zeros(len(live), np.int64), 0
-            for n, least in steps:
-                same += (sig[live, done:n] == sig[i, done:n]).sum(axis=1)
-                live, same, done = live[same >= least], same[same >= least], n
-            if before and len(live):
-                first = ~(earlier[live] == earlier[i]).all(axis=2).any(axis=1)
-                live, same = live[first], same[first]
-            for j in live[np.argsort(-same, kind="stable")].tolist():
+        for i in tile.probes.tolist():
+            for j in tile.survivors(i, group).tolist():
                 if group[i] != group[j] and _similar(sets[i], sets[j], rules):
-                    a_out.append(min(rep[i], rep[j]))
-                    b_out.append(max(rep[i], rep[j]))
+                    a_out.append(min(tile.rep[i], tile.rep[j]))
+                    b_out.append(max(tile.rep[i], tile.rep[j]))
                     group[group == group[j]] = group[i]
         return pa.table({"a": pa.array(a_out, pa.int64()), "b": pa.array(b_out, pa.int64())})
 
-    return rows.groupBy("band", "block").applyInArrow(run, "a long, b long")
+    return tiles.groupBy("band", "pb", "hb").applyInArrow(run, "a long, b long")
+
+
+def _block_links(members: DataFrame, reps: DataFrame, docs: DataFrame, rules: NearRules, work: Workspace) -> tuple[DataFrame | None, int]:
+    """Verified links of the bands that still hold several components.
+
+    ``members``: band, nth, rep, comp, main (the band's largest component),
+    size, probes.  Tiles compare signatures first; only members with a survivor
+    go to their tile a second time, with their full sets.  A pair that shares an
+    earlier band is left to that band, which is open as well."""
+    sig = reps.select("rep", "n", "sig")
+    # `side`: outside the main component, where a pair is in the lots of both its ends
+    tiles = _tiles(members.withColumn("side", F.col("comp") != F.col("main")), rules).join(sig, "rep")
+    left, n_left = work.write(_tile_survivors(tiles, rules), "open-survivors")
+    if not n_left:
+        return None, 0
+    full = _sets(docs, left.select("rep").distinct(), n_left, rules, work, "open-sets")
+    found = work.write(_tile_links(left.join(reps.select("rep", "sig"), "rep").join(full, "rep"), rules).distinct(), "open-links")
+    work.drop("open-survivors", "open-sets")
+    return found
 
 
 def near_duplicates(docs: DataFrame, rules: NearRules = NearRules()) -> DataFrame:
@@ -334,11 +393,11 @@ def near_duplicates(docs: DataFrame, rules: NearRules = NearRules()) -> DataFram
         tagged = _with_comp(members.select("band", "nth", "rep"), label, n_label)
         groups = tagged.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("g"))
         main = (groups.groupBy("band").agg(F.max(F.struct("g", "comp")).alias("m"), F.sum("g").alias("size"), F.count(F.lit(1)).alias("k"))
-                .filter("k > 1 AND size > 2").select("band", F.col("m.comp").alias("main"), "size"))
+                .filter("k > 1 AND size > 2")
+                .select("band", F.col("m.comp").alias("main"), "size", (F.col("size") - F.col("m.g")).alias("probes")))
         open_, n_open = work.write(tagged.join(main, "band"), "open")
         if n_open:
-            full = _sets(docs, open_.select("rep").distinct(), n_open, rules, work, "open-sets")
-            found, n_found = work.write(_block_links(open_, reps, full, rules).distinct(), "open-links")
+            found, n_found = _block_links(open_, reps, docs, rules, work)
             if n_found:
                 links = found if links is None else links.unionByName(found)
                 label, n_label = components(links, work, "cc")
