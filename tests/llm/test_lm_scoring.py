@@ -142,6 +142,22 @@ def test_every_window_trains(vocabulary):
     assert sorted(np.concatenate(reached).tolist()) == sorted(ids.tolist())
 
 
+def test_short_texts_train_in_any_layout(vocabulary):
+    v = vocabulary
+    texts = [np.append(np.random.default_rng(i).integers(0, 50_000, i % 15), v.end) for i in range(40)]
+    reached = []
+    for size in (1, 7, 40):  # texts of a slice
+        trainer, own = Trainer(Weights.start(v, RULES), v, RULES), []
+        step = trainer.step
+        trainer.step = lambda rows, target, own=own, step=step: (own.append(target[target >= 0]), step(rows, target))
+        for i in range(0, len(texts), size):
+            part = texts[i:i + size]
+            trainer.learn(np.concatenate(part), np.concatenate([[0], np.cumsum([len(x) for x in part])]))
+        assert trainer.seen == len(texts)  # one window each
+        reached.append(sorted(np.concatenate(own).tolist()))
+    assert reached[0] == reached[1] == reached[2] == sorted(np.concatenate(texts).tolist())
+
+
 def test_training_helps_on_held_out_text(spark, vocabulary):
     texts = [r.text.lower() for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").limit(500).collect()]
     v = vocabulary
