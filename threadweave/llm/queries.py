@@ -11,13 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 from threadweave.llm.exact_dedup import SPACES, exact_duplicates
 from threadweave.llm.lm_scoring import lm_scores
 from threadweave.llm.near_dedup import NearRules, near_duplicates
+from threadweave.llm.oracle import OP11, OP13
 from threadweave.llm.packing import pack_documents
 from threadweave.llm.piece_sampling import sample_pieces
 from threadweave.llm.quality_rules import quality_rules
 from threadweave.llm.secret_scan import scan_secrets
+from threadweave.llm.simhash import simhash_groups
+from threadweave.llm.spelling import spelling_variants
 from threadweave.llm.substring_dedup import remove_repeated_spans
 from threadweave.llm.suffix_dedup import remove_repeats
 from threadweave.llm.token_counts import token_counts
+from threadweave.llm.turn_repair import damage, repair_turns
 
 BYTE_BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -27,6 +31,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
+def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet")
+
+
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), PIECE_MODEL)
 
@@ -67,9 +75,22 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), NearRules(shingle=3, num=85, den=100))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(documents(spark, sf_dir))
+
+
+def op12_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(documents(spark, sf_dir), shingle=3)
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_turns(damage(conversations(spark, sf_dir)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_counts, op2_vector_packing, op3_piece_sampling, op4_quality_rules, op5_substring_dedup, op6_exact_dedup,
-                              op7_secret_scan, op8_suffix_dedup, op9_attention_lm, op10_minhash_near_dedup)}
+                              op7_secret_scan, op8_suffix_dedup, op9_attention_lm, op10_minhash_near_dedup,
+                              op11_spelling_variants, op12_simhash_near_dedup, op13_turn_repair)}
 
 ORACLE: dict[str, str] = {
     "op6_exact_dedup": rf"""
@@ -77,4 +98,6 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = min(doc_id) OVER g AS kept, sha256(norm) AS text_sha256
         FROM t WINDOW g AS (PARTITION BY norm)""",
+    "op11_spelling_variants": OP11,
+    "op13_turn_repair": OP13,
 }
