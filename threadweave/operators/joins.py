@@ -15,7 +15,7 @@ Graph iterations join edges (billions of rows) with one state row per vertex
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from math import ceil
 
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadweave.runtime import (
-    CONF_BROADCAST_ROWS, CONF_HOT_MAX_KEYS, CONF_HOT_MIN_ROWS, CONF_LAYOUT_ROWS, conf_int, cut,
+    CONF_BROADCAST_ROWS, CONF_HOT_MAX_KEYS, CONF_HOT_MIN_ROWS, conf_int, cut, partitions_for,
 )
 
 
@@ -87,33 +87,66 @@ class EdgeLayout:
     def join(self, state: DataFrame, state_rows: int, how: str = "inner") -> DataFrame:
         """``edges ⋈ state`` (state is unique on the key, ``state_rows`` rows at most)."""
         if broadcast_ok(state, state_rows):
-            edges = self.cold if self.hot is None else self.cold.unionByName(self.hot)
-            return edges.join(F.broadcast(state), self.keys, how)
+            return self.all_edges().join(F.broadcast(state), self.keys, how)
         cold = self.cold.join(state, self.keys, how)
         if self.hot is None:
             return cold
         hot_state = state.join(F.broadcast(self.hot_set), self.keys, "left_semi")
         return cold.unionByName(self.hot.join(F.broadcast(hot_state), self.keys, how))
 
+    def all_edges(self) -> DataFrame:
+        return self.cold if self.hot is None else self.cold.unionByName(self.hot)
+
     def release(self) -> None:
         if self.kept:
             self.cold.unpersist()
 
+    def count_keys(self, name: str) -> DataFrame:
+        """Edges per key: (keys, name); where the edges lie, without an exchange beyond the bound."""
+        n = F.count(F.lit(1)).alias(name)
+        counts = self.cold.groupBy(*self.keys).agg(n)
+        return counts if self.hot is None else counts.unionByName(self.hot.groupBy(*self.keys).agg(n))
+
 
-def lay_out(edges: DataFrame, keys: Sequence[str], n_edges: int, state_rows: int) -> EdgeLayout:
+def lay_out(edges: DataFrame, keys: Sequence[str], n_edges: int, state_rows: int,
+            build: Callable[[DataFrame], DataFrame] = lambda df: df) -> EdgeLayout:
     """Lay ``edges`` (a written table of ``n_edges`` rows) out for joins on
-    ``keys`` with states of at most ``state_rows`` rows.  The number of
+    ``keys`` with states of at most ``state_rows`` rows.
+
+    ``build`` makes the wanted edges from rows that hold whole keys (distinct
+    edges, weights), so it runs where the rows already lie.  The number of
     partitions follows the counted rows.  A lost partition is recomputed from
     the written table."""
     keys = list(keys)
     spark = edges.sparkSession
     if broadcast_ok(edges, state_rows):
-        return EdgeLayout(keys, edges)
+        return EdgeLayout(keys, build(edges))
     hot_set, hot, cold = hot_keys(edges, keys, n_edges), None, edges
     if hot_set is not None:
         hot_set = cut(hot_set, "hot-keys")
-        hot = cut(edges.join(F.broadcast(hot_set), keys, "left_semi"), "hot-edges")
+        hot = cut(build(edges.join(F.broadcast(hot_set), keys, "left_semi")), "hot-edges")
         cold = edges.join(F.broadcast(hot_set), keys, "left_anti")
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), ceil(n_edges / conf_int(spark, CONF_LAYOUT_ROWS)))
-    cold = cold.repartition(parts, *keys).sortWithinPartitions(*keys).persist(StorageLevel.MEMORY_AND_DISK)
+    cold = build(cold.repartition(partitions_for(spark, n_edges), *keys))
+    cold = cold.sortWithinPartitions(*keys).persist(StorageLevel.MEMORY_AND_DISK)
     return EdgeLayout(keys, cold, hot, hot_set, kept=True)
+
+
+@dataclass
+class GraphLayout:
+    """Edges laid out by both ends, with the hot sources and the hot targets
+    apart, for loops that send along edges in both directions.  Beyond the
+    broadcast bound the edges move twice, here, and never again: a loop that
+    works on fewer and fewer vertices sends from those only, and ignores what
+    arrives elsewhere."""
+
+    by_src: EdgeLayout
+    by_dst: EdgeLayout
+
+    @classmethod
+    def of(cls, edges: DataFrame, group: Sequence[str], n_edges: int, state_rows: int,
+           build: Callable[[DataFrame], DataFrame] = lambda df: df) -> GraphLayout:
+        return cls(*(lay_out(edges, [*group, end], n_edges, state_rows, build) for end in ("src", "dst")))
+
+    def release(self) -> None:
+        self.by_src.release()
+        self.by_dst.release()

@@ -8,15 +8,16 @@ vertices without in-edges get 0.15.  After the last round ranks are scaled so
 they sum to the number of vertices (rank mass lost at sinks is restored).
 Edge weight = 1 / outdeg(src).
 
-Plan: parallel edges are collapsed once into (src, dst, w), written, and laid
-out by ``src`` (``joins.lay_out``), which never changes: a round broadcasts the
-ranks while the vertex count allows, and beyond that shuffles only ranks and
-sums.  Contributions are partial-aggregated per ``dst``; vertices without
-in-edges are re-added at the end.  The rank table is written every
-``threadweave.iter.checkpointEvery`` rounds while ranks are broadcast and every
-round beyond that (chained rounds would repeat shuffles), and its predecessor
-deleted, so lineage stays short and a lost executor only recomputes the
-current rounds.
+Plan: parallel edges are collapsed to (src, dst, w) while the edges are laid out
+by ``src`` (``joins.lay_out``; hot sources apart), the only time they move.
+While the vertex count allows, a round broadcasts the ranks.  Beyond that the
+ranks stay partitioned by vertex like the edges (``cut_placed``), so a round
+moves the sums per ``dst`` only, combined in the tasks before.  The ranks are
+written every ``threadweave.iter.checkpointEvery`` rounds (every round where hot
+sources read them twice) and their predecessor is deleted, so lineage stays
+short and a lost executor only recomputes the current rounds.  The number of
+partitions follows the counted edges.  Vertices without in-edges are re-added at
+the end.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadweave.operators.graph import PropertyGraph
-from threadweave.operators.joins import broadcast_ok, lay_out
-from threadweave.runtime import CONF_CHECKPOINT_EVERY, conf_int, cut_observed, loop_conf, replace_table
+from threadweave.operators.joins import EdgeLayout, broadcast_ok, lay_out
+from threadweave.runtime import CONF_CHECKPOINT_EVERY, conf_int, cut_observed, cut_placed, loop_conf, replace_table
 from threadweave.schema import PAGERANK_MAX_ITER, PAGERANK_RESET
 
 
@@ -35,12 +36,35 @@ def out_degrees(edges: DataFrame, group: list[str]) -> DataFrame:
 
 
 def edge_weights(graph: PropertyGraph) -> DataFrame:
-    """Every edge row with ``weight = 1/outdeg(src)``."""
+    """Every edge row with ``weight = 1/outdeg(src)``.  The edges are read twice,
+    so they should be a written table."""
     g = list(graph.group)
     deg = out_degrees(graph.edges, g)
     return graph.edges.join(deg, [*g, "src"]).withColumn("weight", 1.0 / F.col("outdeg")).drop("outdeg")
 
 
+def collapsed_weights(edges: DataFrame, g: list[str]) -> DataFrame:
+    """(group..., src, dst, w) of edges whose sources are whole: w = n(src, dst) / outdeg(src)."""
+    pairs = edges.groupBy(*g, "src", "dst").agg(F.count(F.lit(1)).alias("n"))
+    outdeg = pairs.groupBy(*g, "src").agg(F.sum("n").alias("outdeg"))
+    return pairs.join(outdeg, [*g, "src"]).select(*g, "src", "dst", (F.col("n") / F.col("outdeg")).alias("w"))
+
+
+def rank_round(by_src: EdgeLayout, ranks: DataFrame | None, n_vertices: int, g: list[str], reset: float) -> DataFrame:
+    """Ranks (group..., id, pagerank) after one more round, of vertices with
+    in-edges.  Only they are stored: any other vertex has rank ``reset`` after the
+    first round, so a missing row reads as that.  The first round (``ranks`` None)
+    needs no join, as every rank is 1.0."""
+    if ranks is None:
+        contrib = by_src.all_edges().withColumn("pagerank", F.lit(1.0))
+    else:
+        contrib = (by_src.join(ranks.withColumnRenamed("id", "src"), n_vertices, "left")
+                   .withColumn("pagerank", F.coalesce(F.col("pagerank"), F.lit(reset))))
+    total = F.sum(F.col("pagerank") * F.col("w"))
+    return (contrib.groupBy(*g, F.col("dst").alias("id"))
+            .agg((F.lit(reset) + F.lit(1.0 - reset) * total).alias("pagerank")))
+
+
 def pagerank_ranks(graph: PropertyGraph, max_iter: int = PAGERANK_MAX_ITER,
                    reset: float = PAGERANK_RESET) -> DataFrame:
     """(group..., id, pagerank) for every distinct vertex id."""
@@ -49,31 +73,19 @@ def pagerank_ranks(graph: PropertyGraph, max_iter: int = PAGERANK_MAX_ITER,
     keys = [*g, "id"]
     ids, mv = cut_observed(graph.vertices.select(*keys).distinct(), "pagerank-ids")
     n_vertices = mv["rows"]   # bounds every rank table (ranks are a subset of ids)
-
-    pairs, mp = cut_observed(graph.edges.groupBy(*g, "src", "dst").agg(F.count(F.lit(1)).alias("n")), "pagerank-pairs")
-    w, me = cut_observed(pairs.join(pairs.groupBy(*g, "src").agg(F.sum("n").alias("outdeg")), [*g, "src"])
-                         .select(*g, "src", "dst", (F.col("n") / F.col("outdeg")).alias("w")), "pagerank-edges")
-    replace_table(spark, mp["path"], me["path"])
-
-    # Only vertices with in-edges are stored; any other vertex has rank
-    # `reset` after round 1, so a missing state row reads as `reset`.  Round 1
-    # needs no join at all (every rank is 1.0).
-    every = max(1, conf_int(spark, CONF_CHECKPOINT_EVERY)) if broadcast_ok(w, n_vertices) else 1
+    small = broadcast_ok(ids, n_vertices)
+    save = cut_observed if small else cut_placed
+    edges, me = cut_observed(graph.edges.select(*g, "src", "dst"), "pagerank-edges")
     ranks, path = None, None
-    with loop_conf(spark):
-        by_src = lay_out(w, [*g, "src"], me["rows"], n_vertices)
+    with loop_conf(spark, max(me["rows"], n_vertices)):
+        by_src = lay_out(edges, [*g, "src"], me["rows"], n_vertices, lambda df: collapsed_weights(df, g))
+        if small:   # read in every round; beyond the bound the layout is kept
+            by_src.cold, _ = cut_observed(by_src.cold, "pagerank-weights")
+        every = max(1, conf_int(spark, CONF_CHECKPOINT_EVERY)) if by_src.hot is None else 1
         for i in range(max_iter):
-            if ranks is None:
-                contrib = w.withColumn("pagerank", F.lit(1.0))
-            else:
-                state = ranks.withColumnRenamed("id", "src")
-                contrib = (by_src.join(state, n_vertices, "left")
-                           .withColumn("pagerank", F.coalesce(F.col("pagerank"), F.lit(reset))))
-            ranks = (contrib.groupBy(*g, F.col("dst").alias("id"))
-                     .agg((F.lit(reset) + F.lit(1.0 - reset) * F.sum(F.col("pagerank") * F.col("w")))
-                          .alias("pagerank")))
+            ranks = rank_round(by_src, ranks, n_vertices, g, reset)
             if (i + 1) % every == 0 or i + 1 == max_iter:
-                ranks, mr = cut_observed(ranks, "pagerank-ranks")
+                ranks, mr = save(ranks, "pagerank-ranks")
                 path = replace_table(spark, path, mr["path"])
         by_src.release()
 

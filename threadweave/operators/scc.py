@@ -18,24 +18,27 @@ Colouring runs only while the round number is below ``max_iter``, so
 (so do trimmed ones — only sweep results need recording).  ``max_iter=2`` is
 therefore a partial answer, not full SCC.
 
-Plan: parallel edges are collapsed once (self-loops kept).  Each phase is a
-frontier iteration; every written state (checkpoint folder, counted by
+Plan: each phase is a frontier iteration; every written state (counted by
 ``observe`` in the same job, its predecessor deleted) covers
 ``threadweave.iter.hopsPerJob`` steps while states are broadcast, and one step
-beyond that — all three steps are monotone, so steps after convergence change
+beyond that - all three steps are monotone, so steps after convergence change
 nothing:
 
 * trimming peels a frontier of dead vertices and decrements the degrees of
   their neighbours (work ~ edges touching the frontier, not the whole graph);
-  the degrees come from one pass over the edges;
 * colouring pushes only changed colours along out-edges (Pregel-style);
-* the sweep pushes only newly settled vertices backward along same-colour
-  edges.
-
-Each round's edges have both ends in the work set and are laid out once by
-``src`` and once by ``dst`` (``joins.lay_out``), so beyond the broadcast bound
-a step shuffles the frontier and its messages, not the edges.  Group columns
-run many graphs (e.g. periods) in the same jobs.
+* the sweep pushes the colours of newly settled vertices backward; a vertex is
+  settled by a message of its own colour.
+
+While the vertices fit the broadcast bound, the edges are written once, and
+again with both ends in the work set after each round.  Beyond it the edges are laid out by
+``src`` and by ``dst`` once for all rounds (``joins.GraphLayout``: hot sources
+and hot targets apart), parallel edges collapsed where they lie, and the states
+stay partitioned by vertex like the layouts (``cut_placed``).  A step then
+moves messages only - combined in the tasks - and neither edges nor states.  A
+message needs no check of its receiver: one that is no longer in the work set
+has no row that it could change.  Group columns run many graphs (e.g. periods)
+in the same jobs.
 """
 
 from __future__ import annotations
@@ -46,8 +49,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadweave.operators.graph import PropertyGraph
-from threadweave.operators.joins import EdgeLayout, broadcast_ok, lay_out, semi_or_anti
-from threadweave.runtime import CONF_HOPS_PER_JOB, conf_int, cut_observed, loop_conf, replace_table
+from threadweave.operators.joins import GraphLayout, broadcast_ok, semi_or_anti
+from threadweave.runtime import CONF_HOPS_PER_JOB, conf_int, cut_observed, cut_placed, loop_conf, replace_table
 from threadweave.schema import SCC_MAX_ITER
 
 
@@ -55,51 +58,66 @@ def _flag_count(cond: Column) -> Column:
     return F.sum(F.when(cond, 1).otherwise(0))
 
 
+def _saver(state: DataFrame, n_state: int) -> Callable[..., tuple[DataFrame, dict]]:
+    """How states are written: as tables while they are broadcast, in place beyond."""
+    return cut_observed if broadcast_ok(state, n_state) else cut_placed
+
+
 def _iterate(state: DataFrame, step: Callable[[DataFrame], DataFrame], name: str, flag: Column, n_state: int,
              **extra: Column) -> tuple[DataFrame, dict]:
     """Apply ``step`` until no row has ``flag`` set; one written state per
-    ``hopsPerJob`` steps (one step beyond the broadcast bound, where chained
-    steps would repeat shuffles).  The (lazy) start state is folded into the
+    ``hopsPerJob`` steps (one step beyond the broadcast bound, where a step
+    reads its state twice).  The (lazy) start state is folded into the
     first written step; steps on a converged state change nothing."""
     spark = state.sparkSession
-    hops = max(1, conf_int(spark, CONF_HOPS_PER_JOB)) if broadcast_ok(state, n_state) else 1
+    save = _saver(state, n_state)
+    hops = max(1, conf_int(spark, CONF_HOPS_PER_JOB)) if save is cut_observed else 1
     path = None
     while True:
         nxt = state
         for _ in range(hops):
             nxt = step(nxt)
-        state, m = cut_observed(nxt, name, active=_flag_count(flag), **extra)
+        state, m = save(nxt, name, active=_flag_count(flag), **extra)
         path = replace_table(spark, path, m["path"])
         if m["active"] == 0:
             return state, m
 
 
 def _restrict(edges: DataFrame, alive: DataFrame, g: list[str], n_alive: int) -> tuple[DataFrame, int]:
-    """Edges with both ends alive, written out."""
+    """Edges with both ends among few enough vertices to be broadcast, written out."""
     e = semi_or_anti(edges, alive.withColumnRenamed("id", "src"), [*g, "src"], n_alive, "left_semi")
     e = semi_or_anti(e, alive.withColumnRenamed("id", "dst"), [*g, "dst"], n_alive, "left_semi")
     e, m = cut_observed(e, "scc-edges")
     return e, m["rows"]
 
 
-def _trim(work: DataFrame, n_work: int, edges: DataFrame, by_src: EdgeLayout, by_dst: EdgeLayout,
-          g: list[str]) -> tuple[DataFrame, int]:
+def _degrees(work: DataFrame, n_work: int, layout: GraphLayout, g: list[str], whole: bool) -> DataFrame:
+    """(keys, indeg, outdeg) inside the work set.  ``whole``: every edge has both
+    ends in it, so the edges of a key are counted where they lie."""
+    keys = [*g, "id"]
+    if whole:
+        out = layout.by_src.count_keys("outdeg").withColumnRenamed("src", "id")
+        into = layout.by_dst.count_keys("indeg").withColumnRenamed("dst", "id")
+    else:
+        out = (layout.by_dst.join(work.withColumnRenamed("id", "dst"), n_work)
+               .groupBy(*g, F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("outdeg")))
+        into = (layout.by_src.join(work.withColumnRenamed("id", "src"), n_work)
+                .groupBy(*g, F.col("dst").alias("id")).agg(F.count(F.lit(1)).alias("indeg")))
+    return (work.join(into, keys, "left").join(out, keys, "left")
+            .select(*keys, F.coalesce("indeg", F.lit(0)).alias("indeg"), F.coalesce("outdeg", F.lit(0)).alias("outdeg")))
+
+
+def _trim(work: DataFrame, n_work: int, layout: GraphLayout, g: list[str], whole: bool) -> tuple[DataFrame, int]:
     """Peel vertices without in- or out-edges until none is left; the survivors."""
     keys = [*g, "id"]
-    end = F.explode(F.array(F.struct(F.col("src").alias("id"), F.lit(0).alias("i"), F.lit(1).alias("o")),
-                            F.struct(F.col("dst").alias("id"), F.lit(1).alias("i"), F.lit(0).alias("o")))).alias("end")
-    degrees = (edges.select(*g, end).groupBy(*g, F.col("end.id").alias("id"))
-               .agg(F.sum("end.i").alias("indeg"), F.sum("end.o").alias("outdeg")))
-    deg = (work.join(degrees, keys, "left")
-           .select(*keys, F.coalesce("indeg", F.lit(0)).alias("indeg"), F.coalesce("outdeg", F.lit(0)).alias("outdeg")))
     dead = (F.col("indeg") <= 0) | (F.col("outdeg") <= 0)
 
     def step(d: DataFrame) -> DataFrame:
         frontier = d.filter(dead).select(*keys)
         # an edge out of a peeled vertex costs its head one in-degree, and vice versa
-        lost_in = (by_src.join(frontier.withColumnRenamed("id", "src"), n_work)
+        lost_in = (layout.by_src.join(frontier.withColumnRenamed("id", "src"), n_work)
                    .groupBy(*g, F.col("dst").alias("id")).agg(F.count(F.lit(1)).alias("di")))
-        lost_out = (by_dst.join(frontier.withColumnRenamed("id", "dst"), n_work)
+        lost_out = (layout.by_dst.join(frontier.withColumnRenamed("id", "dst"), n_work)
                     .groupBy(*g, F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("do")))
         return (d.filter(~dead).join(lost_in, keys, "left").join(lost_out, keys, "left")
                 .select(*keys, (F.col("indeg") - F.coalesce("di", F.lit(0))).alias("indeg"),
@@ -107,19 +125,21 @@ def _trim(work: DataFrame, n_work: int, edges: DataFrame, by_src: EdgeLayout, by
 
     # the degree table is costly to rebuild, so it is written before the
     # peeling steps (which reference their input twice) instead of folded in
-    deg, start = cut_observed(deg, "scc-degrees")
+    deg, start = _saver(work, n_work)(_degrees(work, n_work, layout, g, whole), "scc-degrees", active=_flag_count(dead))
+    if not start["active"]:
+        return deg.select(*keys), start["rows"]
     deg, m = _iterate(deg, step, "scc-degrees", dead, n_work)
     replace_table(work.sparkSession, start["path"], m["path"])
     return deg.select(*keys), m["rows"]
 
 
-def _colour(work: DataFrame, n_work: int, by_src: EdgeLayout, g: list[str]) -> DataFrame:
+def _colour(work: DataFrame, n_work: int, layout: GraphLayout, g: list[str]) -> DataFrame:
     """Minimum ancestor id per work vertex: (keys, color)."""
     keys = [*g, "id"]
 
     def step(state: DataFrame) -> DataFrame:
         front = state.filter("changed").select(*g, F.col("id").alias("src"), F.col("color").alias("c"))
-        msgs = by_src.join(front, n_work).groupBy(*g, F.col("dst").alias("id")).agg(F.min("c").alias("m"))
+        msgs = layout.by_src.join(front, n_work).groupBy(*g, F.col("dst").alias("id")).agg(F.min("c").alias("m"))
         better = F.coalesce(F.col("m") < F.col("color"), F.lit(False))
         return state.join(msgs, keys, "left").select(
             *keys, F.when(better, F.col("m")).otherwise(F.col("color")).alias("color"), better.alias("changed"))
@@ -129,30 +149,22 @@ def _colour(work: DataFrame, n_work: int, by_src: EdgeLayout, g: list[str]) -> D
     return state.select(*keys, "color")
 
 
-def _sweep(colours: DataFrame, n_work: int, by_src: EdgeLayout, by_dst_of: Callable[[DataFrame, int], EdgeLayout],
-           g: list[str]) -> tuple[DataFrame, int]:
+def _sweep(colours: DataFrame, n_work: int, layout: GraphLayout, g: list[str]) -> tuple[DataFrame, int]:
     """Settle vertices that reach their colour's root through same-colour vertices."""
     keys = [*g, "id"]
-    src_c = colours.select(*g, F.col("id").alias("src"), F.col("color").alias("sc"))
-    dst_c = colours.select(*g, F.col("id").alias("dst"), F.col("color").alias("dc"))
-    # one join by layout; the coloured edges are then joined on dst once
-    coloured = by_src.join(src_c, n_work)
-    coloured = coloured.join(F.broadcast(dst_c) if broadcast_ok(dst_c, n_work) else dst_c, [*g, "dst"])
-    same, ms = cut_observed(coloured.filter(F.col("sc") == F.col("dc")).select(*g, "src", "dst"), "scc-same")
-    same_by_dst = by_dst_of(same, ms["rows"])
 
     def step(state: DataFrame) -> DataFrame:
-        front = state.filter("fresh").select(*g, F.col("id").alias("dst"))
-        reached = (same_by_dst.join(front, n_work)
-                   .select(*g, F.col("src").alias("id")).distinct().withColumn("hit", F.lit(True)))
-        hit = F.coalesce(F.col("hit"), F.lit(False))
-        return state.join(reached, keys, "left").select(
+        front = state.filter("fresh").select(*g, F.col("id").alias("dst"), F.col("color").alias("c"))
+        # a tail's colour is at least its head's (the head has all its ancestors), so
+        # of the colours it hears only the largest can be its own
+        heard = layout.by_dst.join(front, n_work).groupBy(*g, F.col("src").alias("id")).agg(F.max("c").alias("c"))
+        hit = F.coalesce(F.col("c") == F.col("color"), F.lit(False))
+        return state.join(heard, keys, "left").select(
             *keys, "color", (F.col("final") | hit).alias("final"), (hit & ~F.col("final")).alias("fresh"))
 
     root = F.col("id") == F.col("color")
     start = colours.select(*keys, "color", root.alias("final"), root.alias("fresh"))
     state, m = _iterate(start, step, "scc-sweep", F.col("fresh"), n_work, final=_flag_count(F.col("final")))
-    same_by_dst.release()
     settled = state.filter("final").select(*keys, F.col("color").alias("component"))
     return settled, m["final"]
 
@@ -161,38 +173,50 @@ def scc_labels(graph: PropertyGraph, max_iter: int = SCC_MAX_ITER) -> DataFrame:
     """(group..., id, component) for every distinct vertex id."""
     g = list(graph.group)
     keys = [*g, "id"]
+    spark = graph.vertices.sparkSession
     vertices, mv = cut_observed(graph.vertices.select(*keys).distinct(), "scc-vertices")
-    work, n_work = vertices, mv["rows"]
-    edges, n_edges = _restrict(graph.edges.select(*g, "src", "dst").distinct(), vertices, g, n_work)
+    n_work = mv["rows"]
+    whole = broadcast_ok(vertices, n_work)   # edges have both ends in the work set
+    pairs = graph.edges.select(*g, "src", "dst")
+    if whole:
+        edges, n_edges = _restrict(pairs.distinct(), vertices, g, n_work)
+    else:
+        edges, me = cut_observed(pairs, "scc-edges")
+        n_edges = me["rows"]
 
     settled: list[DataFrame] = []
-    rnd = 0
-    with loop_conf(graph.vertices.sparkSession):
-        # The last round would only trim, and trimmed vertices keep their own
-        # id exactly like unsettled ones, so it is skipped.
-        while n_work > 0 and rnd + 1 < max_iter:
-            rnd += 1
-            by_src = lay_out(edges, [*g, "src"], n_edges, n_work)
-            by_dst = lay_out(edges, [*g, "dst"], n_edges, n_work)
-            try:
-                work, n_left = _trim(work, n_work, edges, by_src, by_dst, g)
+    rnd, layout = 0, None
+    with loop_conf(spark, max(n_edges, n_work)) as parts:
+        work = vertices if whole else cut_placed(vertices.repartition(parts, *keys), "scc-work")[0]
+        try:
+            # The last round would only trim, and trimmed vertices keep their own
+            # id exactly like unsettled ones, so it is skipped.
+            while n_work > 0 and rnd + 1 < max_iter:
+                rnd += 1
+                if layout is None:
+                    collapse = (lambda df: df) if whole else (lambda df: df.dropDuplicates([*g, "src", "dst"]))
+                    layout = GraphLayout.of(edges, g, n_edges, n_work, collapse)
+                work, n_left = _trim(work, n_work, layout, g, whole)
                 if n_left == 0:
                     break
-                # edges to peeled vertices stay: colour messages start from work
-                # vertices only and land only on work rows; the sweep's same-colour
-                # edges come from inner joins with the work colours
-                colours = _colour(work, n_work, by_src, g)
-                rows = n_work
-                done, n_done = _sweep(colours, rows, by_src, lambda same, n: lay_out(same, [*g, "dst"], n, rows), g)
-            finally:
-                by_src.release()
-                by_dst.release()
-            settled.append(done)
-            if rnd + 1 >= max_iter:
-                break
-            work, mw = cut_observed(semi_or_anti(work, done.select(*keys), keys, n_done, "left_anti"), "scc-work")
-            n_work = mw["rows"]
-            edges, n_edges = _restrict(edges, work, g, n_work)
+                # edges to peeled vertices stay: messages start from work vertices
+                # only and change work rows only
+                colours = _colour(work, n_work, layout, g)
+                done, n_done = _sweep(colours, n_work, layout, g)
+                settled.append(done)
+                if rnd + 1 >= max_iter:
+                    break
+                save = _saver(work, n_work)
+                work, mw = save(semi_or_anti(work, done.select(*keys), keys, n_done, "left_anti"), "scc-work")
+                n_work = mw["rows"]
+                if broadcast_ok(work, n_work):
+                    # few enough vertices: broadcasts cut the edges down wherever they lie
+                    rest, n_edges = _restrict(layout.by_src.all_edges(), work, g, n_work)
+                    layout.release()
+                    layout, edges, whole = None, rest, True
+        finally:
+            if layout is not None:
+                layout.release()
     if not settled:
         return vertices.withColumn("component", F.col("id"))
     found = settled[0]
@@ -202,6 +226,16 @@ def scc_labels(graph: PropertyGraph, max_iter: int = SCC_MAX_ITER) -> DataFrame:
             .select(*keys, F.coalesce(F.col("component"), F.col("id")).alias("component")))
 
 
+def labels_with_sinks(labels: DataFrame, vertices: DataFrame) -> DataFrame:
+    """Labels of a graph that has, beside the labelled graph, only vertices
+    without an out-edge: each is peeled in the first trim and is its own
+    component, and what remains is the labelled graph, whatever the round limit.
+
+    ``labels``: (id, component); ``vertices``: all ids, with their attributes."""
+    return (vertices.join(labels, "id", "left")
+            .withColumn("component", F.coalesce(F.col("component"), F.col("id"))))
+
+
 def strongly_connected_components(graph: PropertyGraph, max_iter: int = SCC_MAX_ITER) -> DataFrame:
     """Vertex rows (with their attributes) plus ``component``."""
     return graph.vertices.join(scc_labels(graph, max_iter), graph.keys)

@@ -14,6 +14,7 @@ import shutil
 import tempfile
 import uuid
 from contextlib import contextmanager
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -129,6 +130,24 @@ def cut_observed(df: DataFrame, name: str = "cut", **metrics: Column) -> tuple[D
     return spark.read.schema(df.schema).parquet(path), {**obs.get, "path": path}
 
 
+def cut_placed(df: DataFrame, name: str = "cut", **metrics: Column) -> tuple[DataFrame, dict]:
+    """``cut_observed`` that leaves the rows where they lie: a checkpoint in the
+    shared folder, computed once.
+
+    A checkpoint remembers how its rows are partitioned, so a later join or
+    aggregation on the same keys with the same partition count needs no
+    exchange; a parquet table read back would have to be shuffled again."""
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
+    exprs = [F.count(F.lit(1)).alias("rows")] + [
+        F.coalesce(expr, F.lit(0)).alias(key) for key, expr in metrics.items()]
+    out = df.observe(obs, *exprs).checkpoint(eager=True)
+    path = out._jdf.queryExecution().logical().rdd().getCheckpointFile().get()
+    _scratch_list(spark).append(path)
+    return out, {**obs.get, "path": path}
+
+
 def replace_table(spark: SparkSession, old: str | None, new: str) -> str:
     """Delete a superseded loop state once the next one is written."""
     if old is not None:
@@ -136,25 +155,39 @@ def replace_table(spark: SparkSession, old: str | None, new: str) -> str:
     return new
 
 
+def partitions_for(spark: SparkSession, rows: int) -> int:
+    """Partitions for ``rows`` narrow rows: by the counted rows, and as many as
+    run at once at least (fewer if the session shuffles into fewer)."""
+    least = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return max(1, least, ceil(rows / conf_int(spark, CONF_LAYOUT_ROWS)))
+
+
 @contextmanager
-def loop_conf(spark: SparkSession):
-    """Session conf for the jobs of an iterative operator.
+def loop_conf(spark: SparkSession, rows: int = 0):
+    """Session conf for the jobs of an iterative operator over ``rows`` edges;
+    gives the number of shuffle partitions inside.
 
     Inside the loops edge joins are planned explicitly (broadcast under a
     counted bound, or an edge layout made once with its hot keys apart) and
     state tables are joined on keys unique on both sides, so AQE's per-stage
     re-planning only adds latency to each of the many small jobs; it is
-    switched off for the loop and restored afterwards."""
-    key = "spark.sql.adaptive.enabled"
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, spark.conf.get(CONF_LOOP_ADAPTIVE, str(DEFAULTS[CONF_LOOP_ADAPTIVE])).lower())
+    switched off for the loop and restored afterwards.  The shuffle partitions
+    follow the counted rows, and layouts, states and messages share them, so
+    states stay where the edges of their keys are."""
+    parts = partitions_for(spark, rows)
+    conf = {"spark.sql.adaptive.enabled": spark.conf.get(CONF_LOOP_ADAPTIVE, str(DEFAULTS[CONF_LOOP_ADAPTIVE])).lower(),
+            "spark.sql.shuffle.partitions": str(parts)}
+    old = {key: spark.conf.get(key, None) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
     try:
-        yield
+        yield parts
     finally:
-        if old is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, old)
+        for key, value in old.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def local_session(cores: int | None = None, shuffle_partitions: int | None = None,
