@@ -19,8 +19,8 @@ turns and end in an edit of one.  So (cost, rank, edits since) compares whole
 audits.  A stack that costs more than ``SLACK`` beyond the best cannot win: two
 insertions complete an open pair and one deletion drops a second ``s``, so the
 best can be carried on as this one could for less.  What is left is one of a
-few shapes of a frontier, so a turn costs one look-up after the first of its
-kind.
+bounded number of shapes of a frontier (usual conversations meet under a hundred),
+so a turn costs one look-up after the first of its kind.
 
 Scale: one shuffle by conversation; each task streams its sorted turns.  A
 conversation is held as blocks of ``BLOCK`` characters: at a block's end each
