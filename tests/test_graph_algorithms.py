@@ -5,6 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from threadweave import runtime
 from threadweave.operators import pagerank, scc, triangles
 from threadweave.operators.graph import PropertyGraph
 
@@ -209,15 +210,57 @@ def test_steps_do_not_shuffle_laid_out_edges(spark, force_split):
 
 
 def test_triangles_send_one_id_per_wedge_at_most(spark):
-    from threadweave.operators.triangles import wedge_tails
+    from threadweave.operators.triangles import oriented_edges, wedge_count, wedge_tails
     from threadweave.plans.catalog import Pipeline
     from tests.conftest import SF_SMALL
 
-    g = Pipeline(spark, SF_SMALL).user_graph
-    lists, tails, _ = wedge_tails(g)
+    o = oriented_edges(Pipeline(spark, SF_SMALL).user_graph)
+    lists, tails, _ = wedge_tails(o)
     sizes = [r[0] for r in lists.select(F.size("nu")).collect()]
-    sent = tails.agg(F.sum(F.size("tail"))).first()[0]
-    assert sent <= sum(n * (n - 1) // 2 for n in sizes)
+    assert wedge_count(o) == sum(n * (n - 1) // 2 for n in sizes)
+    assert tails.agg(F.sum(F.size("tail"))).first()[0] <= wedge_count(o)
+
+
+def _both_plans(spark, pg, b):
+    from threadweave.operators.triangles import BLOCK_CONF, corner_counts, oriented_edges, triangles_by_blocks, triangles_by_lists
+    o = oriented_edges(pg)
+    count = lambda t: {r.id: r["count"] for r in corner_counts(t, []).collect()}
+    with runtime.session_conf(spark, BLOCK_CONF):
+        blocks = triangles_by_blocks(o, b)
+        plan, counts = blocks._jdf.queryExecution().executedPlan().toString(), count(blocks)
+    return counts, count(triangles_by_lists(o)), plan
+
+
+@pytest.mark.parametrize("b, rows", [(1, None), (3, None), (5, "1")])
+def test_triangle_plans_agree(spark, b, rows):
+    rng = random.Random(b)
+    edges = [(rng.randrange(30), rng.randrange(30)) for _ in range(160)] + [(0, i) for i in range(1, 30)]
+    want = {v: n for v, n in _tri_ref(30, edges).items() if n}
+    conf = {} if rows is None else {runtime.CONF_LAYOUT_ROWS: rows}   # one row a partition: the largest pair is too large to hash
+    with runtime.session_conf(spark, conf):
+        blocks, lists, plan = _both_plans(spark, _pg(spark, 30, edges), b)
+    assert blocks == lists == want
+    assert "Exchange" not in plan and ("SortMergeJoin" in plan) == (rows is not None)
+
+
+def test_block_copies_fall_behind_wedges(spark):
+    from threadweave.operators.triangles import block_edges, n_blocks, oriented_edges, wedge_count
+    gain = []
+    for n in (12, 24, 48):
+        o = oriented_edges(_pg(spark, n, [(i, j) for i in range(n) for j in range(i)]))
+        b = n_blocks(spark, o.m)
+        assert block_edges(o, b).count() == o.m * b
+        gain.append(wedge_count(o) / (2 * o.m * b))
+    assert gain[2] > 1.8 * gain[1] > 3 * gain[0]
+
+
+def test_triangles_of_grouped_graphs(spark):
+    rng = random.Random(3)
+    parts = {lab: [(rng.randrange(9), rng.randrange(9)) for _ in range(30)] for lab in "AB"}
+    v = spark.createDataFrame([(lab, i) for lab in parts for i in range(9)], "g string, id int")
+    e = spark.createDataFrame([(lab, *x) for lab, es in parts.items() for x in es], "g string, src int, dst int")
+    got = {(r.g, r.id): r["count"] for r in triangles.triangle_counts(PropertyGraph(v, e, ("g",))).collect()}
+    assert got == {(lab, i): n for lab, es in parts.items() for i, n in _tri_ref(9, es).items()}
 
 
 @pytest.mark.parametrize("key", ["scc_users", "scc_bounded", "pagerank_users", "triangle_count", "comment_post_edges"])

@@ -10,8 +10,8 @@ Edge weight = 1 / outdeg(src).
 
 Plan: parallel edges are collapsed to (src, dst, w) while the edges are laid out
 by ``src`` (``joins.lay_out``; hot sources apart), the only time they move.
-While the vertex count allows, a round broadcasts the ranks.  Beyond that the
-ranks stay partitioned by vertex like the edges (``cut_placed``), so a round
+Ranks stay partitioned by vertex (``cut_placed``).  While the vertex count allows,
+a round broadcasts them; beyond that they lie like the edges, so a round
 moves the sums per ``dst`` only, combined in the tasks before.  The ranks are
 written every ``threadweave.iter.checkpointEvery`` rounds (every round where hot
 sources read them twice) and their predecessor is deleted, so lineage stays
@@ -74,7 +74,6 @@ def pagerank_ranks(graph: PropertyGraph, max_iter: int = PAGERANK_MAX_ITER,
     ids, mv = cut_observed(graph.vertices.select(*keys).distinct(), "pagerank-ids")
     n_vertices = mv["rows"]   # bounds every rank table (ranks are a subset of ids)
     small = broadcast_ok(ids, n_vertices)
-    save = cut_observed if small else cut_placed
     edges, me = cut_observed(graph.edges.select(*g, "src", "dst"), "pagerank-edges")
     ranks, path = None, None
     with loop_conf(spark, max(me["rows"], n_vertices)):
@@ -85,7 +84,7 @@ def pagerank_ranks(graph: PropertyGraph, max_iter: int = PAGERANK_MAX_ITER,
         for i in range(max_iter):
             ranks = rank_round(by_src, ranks, n_vertices, g, reset)
             if (i + 1) % every == 0 or i + 1 == max_iter:
-                ranks, mr = save(ranks, "pagerank-ranks")
+                ranks, mr = cut_placed(ranks, "pagerank-ranks")
                 path = replace_table(spark, path, mr["path"])
         by_src.release()
 

@@ -18,11 +18,9 @@ Colouring runs only while the round number is below ``max_iter``, so
 (so do trimmed ones — only sweep results need recording).  ``max_iter=2`` is
 therefore a partial answer, not full SCC.
 
-Plan: each phase is a frontier iteration; every written state (counted by
-``observe`` in the same job, its predecessor deleted) covers
-``threadweave.iter.hopsPerJob`` steps while states are broadcast, and one step
-beyond that - all three steps are monotone, so steps after convergence change
-nothing:
+Plan: each phase is a frontier iteration with one written state per step (counted
+by ``observe`` in the same job, its predecessor deleted); all three steps are
+monotone, so steps after convergence change nothing:
 
 * trimming peels a frontier of dead vertices and decrements the degrees of
   their neighbours (work ~ edges touching the frontier, not the whole graph);
@@ -30,14 +28,15 @@ nothing:
 * the sweep pushes the colours of newly settled vertices backward; a vertex is
   settled by a message of its own colour.
 
-While the vertices fit the broadcast bound, the edges are written once, and
-again with both ends in the work set after each round.  Beyond it the edges are laid out by
-``src`` and by ``dst`` once for all rounds (``joins.GraphLayout``: hot sources
-and hot targets apart), parallel edges collapsed where they lie, and the states
-stay partitioned by vertex like the layouts (``cut_placed``).  A step then
-moves messages only - combined in the tasks - and neither edges nor states.  A
-message needs no check of its receiver: one that is no longer in the work set
-has no row that it could change.  Group columns run many graphs (e.g. periods)
+States stay partitioned by vertex (``cut_placed``).  While the vertices fit the
+broadcast bound, the edges are written once, and again with both ends in the
+work set after each round, and meet broadcast frontiers.  Beyond it the edges
+are laid out by ``src`` and by ``dst`` once for all rounds
+(``joins.GraphLayout``: hot sources and hot targets apart), like the states, and
+parallel edges are collapsed where they lie.  A step then moves messages only -
+combined in the tasks - and neither edges nor states.  A message needs no check of its
+receiver: one that is no longer in the work set has no row that it could change.
+Group columns run many graphs (e.g. periods)
 in the same jobs.
 """
 
@@ -50,7 +49,7 @@ from pyspark.sql import functions as F
 
 from threadweave.operators.graph import PropertyGraph
 from threadweave.operators.joins import GraphLayout, broadcast_ok, semi_or_anti
-from threadweave.runtime import CONF_HOPS_PER_JOB, conf_int, cut_observed, cut_placed, loop_conf, replace_table
+from threadweave.runtime import cut_observed, cut_placed, loop_conf, replace_table
 from threadweave.schema import SCC_MAX_ITER
 
 
@@ -58,27 +57,15 @@ def _flag_count(cond: Column) -> Column:
     return F.sum(F.when(cond, 1).otherwise(0))
 
 
-def _saver(state: DataFrame, n_state: int) -> Callable[..., tuple[DataFrame, dict]]:
-    """How states are written: as tables while they are broadcast, in place beyond."""
-    return cut_observed if broadcast_ok(state, n_state) else cut_placed
-
-
-def _iterate(state: DataFrame, step: Callable[[DataFrame], DataFrame], name: str, flag: Column, n_state: int,
+def _iterate(state: DataFrame, step: Callable[[DataFrame], DataFrame], name: str, flag: Column,
              **extra: Column) -> tuple[DataFrame, dict]:
-    """Apply ``step`` until no row has ``flag`` set; one written state per
-    ``hopsPerJob`` steps (one step beyond the broadcast bound, where a step
-    reads its state twice).  The (lazy) start state is folded into the
+    """Apply ``step`` until no row has ``flag`` set, one written state per step (a
+    step reads its state twice).  The (lazy) start state is folded into the
     first written step; steps on a converged state change nothing."""
-    spark = state.sparkSession
-    save = _saver(state, n_state)
-    hops = max(1, conf_int(spark, CONF_HOPS_PER_JOB)) if save is cut_observed else 1
     path = None
     while True:
-        nxt = state
-        for _ in range(hops):
-            nxt = step(nxt)
-        state, m = save(nxt, name, active=_flag_count(flag), **extra)
-        path = replace_table(spark, path, m["path"])
+        state, m = cut_placed(step(state), name, active=_flag_count(flag), **extra)
+        path = replace_table(state.sparkSession, path, m["path"])
         if m["active"] == 0:
             return state, m
 
@@ -125,10 +112,10 @@ def _trim(work: DataFrame, n_work: int, layout: GraphLayout, g: list[str], whole
 
     # the degree table is costly to rebuild, so it is written before the
     # peeling steps (which reference their input twice) instead of folded in
-    deg, start = _saver(work, n_work)(_degrees(work, n_work, layout, g, whole), "scc-degrees", active=_flag_count(dead))
+    deg, start = cut_placed(_degrees(work, n_work, layout, g, whole), "scc-degrees", active=_flag_count(dead))
     if not start["active"]:
         return deg.select(*keys), start["rows"]
-    deg, m = _iterate(deg, step, "scc-degrees", dead, n_work)
+    deg, m = _iterate(deg, step, "scc-degrees", dead)
     replace_table(work.sparkSession, start["path"], m["path"])
     return deg.select(*keys), m["rows"]
 
@@ -145,7 +132,7 @@ def _colour(work: DataFrame, n_work: int, layout: GraphLayout, g: list[str]) ->
             *keys, F.when(better, F.col("m")).otherwise(F.col("color")).alias("color"), better.alias("changed"))
 
     start = work.select(*keys, F.col("id").alias("color"), F.lit(True).alias("changed"))
-    state, _ = _iterate(start, step, "scc-colour", F.col("changed"), n_work)
+    state, _ = _iterate(start, step, "scc-colour", F.col("changed"))
     return state.select(*keys, "color")
 
 
@@ -164,7 +151,7 @@ def _sweep(colours: DataFrame, n_work: int, layout: GraphLayout, g: list[str]) -
 
     root = F.col("id") == F.col("color")
     start = colours.select(*keys, "color", root.alias("final"), root.alias("fresh"))
-    state, m = _iterate(start, step, "scc-sweep", F.col("fresh"), n_work, final=_flag_count(F.col("final")))
+    state, m = _iterate(start, step, "scc-sweep", F.col("fresh"), final=_flag_count(F.col("final")))
     settled = state.filter("final").select(*keys, F.col("color").alias("component"))
     return settled, m["final"]
 
@@ -187,7 +174,7 @@ def scc_labels(graph: PropertyGraph, max_iter: int = SCC_MAX_ITER) -> DataFrame:
     settled: list[DataFrame] = []
     rnd, layout = 0, None
     with loop_conf(spark, max(n_edges, n_work)) as parts:
-        work = vertices if whole else cut_placed(vertices.repartition(parts, *keys), "scc-work")[0]
+        work, _ = cut_placed(vertices.repartition(parts, *keys), "scc-work")
         try:
             # The last round would only trim, and trimmed vertices keep their own
             # id exactly like unsettled ones, so it is skipped.
@@ -206,8 +193,7 @@ def scc_labels(graph: PropertyGraph, max_iter: int = SCC_MAX_ITER) -> DataFrame:
                 settled.append(done)
                 if rnd + 1 >= max_iter:
                     break
-                save = _saver(work, n_work)
-                work, mw = save(semi_or_anti(work, done.select(*keys), keys, n_done, "left_anti"), "scc-work")
+                work, mw = cut_placed(semi_or_anti(work, done.select(*keys), keys, n_done, "left_anti"), "scc-work")
                 n_work = mw["rows"]
                 if broadcast_ok(work, n_work):
                     # few enough vertices: broadcasts cut the edges down wherever they lie

@@ -22,7 +22,7 @@ from threadweave.plans import reports
 from threadweave.runtime import checkpoint_dir, cut, scratch_path
 from threadweave.schema import (
     PAGERANK_MAX_ITER, SCC_MAX_ITER, SCC_MAX_ITER_SEASON, TOP_COMPONENTS_PERIOD, TOP_COMPONENTS_SEASON,
-    TOP_PAGERANK,
+    TOP_PAGERANK, TYPE_SUBREDDIT,
 )
 from threadweave.sources import fixture, monthly, sinks
 from threadweave.sources.fixture import SEASON_LABEL, SEASON_PERIODS
@@ -46,6 +46,7 @@ class Pipeline:
         self.sf_dir = sf_dir
         self.id_mode = id_mode
         self.subreddits = subreddits
+        self._labels: dict[int, DataFrame] = {}
         checkpoint_dir(spark)
 
     # step 1: raw and prepped tables
@@ -130,10 +131,21 @@ class Pipeline:
         return counts.pair_counts(self.posts.select(F.col("op_id").alias("src"), F.col("sub_id").alias("dst")))
 
     def scc_users(self, max_iter: int = SCC_MAX_ITER) -> DataFrame:
-        return scc.scc_labels(self.user_graph, max_iter)
+        """Labels of the user graph; one run per pipeline and round limit."""
+        if max_iter not in self._labels:
+            self._labels[max_iter] = cut(scc.scc_labels(self.user_graph, max_iter), "userComponents")
+        return self._labels[max_iter]
 
     def scc_property(self, max_iter: int = SCC_MAX_ITER) -> DataFrame:
-        return scc.strongly_connected_components(self.property_graph, max_iter)
+        """Labels of the property graph.  Its subreddits have no out-edge, so they
+        are peeled first and what remains is the user graph, whose labels are
+        reused - unless a subreddit's id is also a user's, which makes the two
+        one vertex; then the graph is labelled by itself."""
+        subs = self.names.filter(F.col("type") == TYPE_SUBREDDIT).select("id")
+        labels = self.scc_users(max_iter)
+        if labels.join(subs, "id", "left_semi").limit(1).count():
+            return scc.strongly_connected_components(self.property_graph, max_iter)
+        return scc.labels_with_sinks(labels, self.names)
 
 
 def _r6(col: str) -> F.Column:

@@ -25,7 +25,6 @@ CONF_BROADCAST_ROWS = "threadweave.broadcast.maxRows"      # narrow (id + a few
 CONF_HOT_MAX_KEYS = "threadweave.skew.maxHotKeys"          # bound on the broadcast hot-key set
 CONF_HOT_MIN_ROWS = "threadweave.skew.minHotRows"          # a key is hot above this many rows
 CONF_CHECKPOINT_EVERY = "threadweave.iter.checkpointEvery"  # iterations between checkpoints
-CONF_HOPS_PER_JOB = "threadweave.iter.hopsPerJob"          # frontier steps per written state
 CONF_LOOP_ADAPTIVE = "threadweave.iter.adaptive"           # AQE inside iteration loops
 CONF_LAYOUT_ROWS = "threadweave.iter.rowsPerPartition"     # rows per partition of an edge layout
 
@@ -34,7 +33,6 @@ DEFAULTS = {
     CONF_HOT_MAX_KEYS: 100_000,
     CONF_HOT_MIN_ROWS: 200_000,
     CONF_CHECKPOINT_EVERY: 5,
-    CONF_HOPS_PER_JOB: 2,
     CONF_LOOP_ADAPTIVE: False,
     CONF_LAYOUT_ROWS: 2_000_000,
 }
@@ -162,6 +160,22 @@ def partitions_for(spark: SparkSession, rows: int) -> int:
     return max(1, least, ceil(rows / conf_int(spark, CONF_LAYOUT_ROWS)))
 
 
+@contextmanager
+def session_conf(spark: SparkSession, conf: dict[str, str]):
+    """Session settings for the jobs run inside, restored afterwards."""
+    old = {key: spark.conf.get(key, None) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in old.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 @contextmanager
 def loop_conf(spark: SparkSession, rows: int = 0):
     """Session conf for the jobs of an iterative operator over ``rows`` edges;
@@ -175,19 +189,9 @@ def loop_conf(spark: SparkSession, rows: int = 0):
     follow the counted rows, and layouts, states and messages share them, so
     states stay where the edges of their keys are."""
     parts = partitions_for(spark, rows)
-    conf = {"spark.sql.adaptive.enabled": spark.conf.get(CONF_LOOP_ADAPTIVE, str(DEFAULTS[CONF_LOOP_ADAPTIVE])).lower(),
-            "spark.sql.shuffle.partitions": str(parts)}
-    old = {key: spark.conf.get(key, None) for key in conf}
-    for key, value in conf.items():
-        spark.conf.set(key, value)
-    try:
+    adaptive = spark.conf.get(CONF_LOOP_ADAPTIVE, str(DEFAULTS[CONF_LOOP_ADAPTIVE])).lower()
+    with session_conf(spark, {"spark.sql.adaptive.enabled": adaptive, "spark.sql.shuffle.partitions": str(parts)}):
         yield parts
-    finally:
-        for key, value in old.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
 
 
 def local_session(cores: int | None = None, shuffle_partitions: int | None = None,
