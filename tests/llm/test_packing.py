@@ -88,3 +88,42 @@ def test_rows_of_the_query(spark):
             end += n
         padding += 0 if end & (end - 1) == 0 else 1024 - end
     assert padding == 0
+
+
+def padded_share(rows):
+    """Share of places that padding takes; sequences at a power of two have none."""
+    ends = defaultdict(int)
+    for r in rows:
+        ends[r.sequence_id] += r.length
+    full = sum(n if n & (n - 1) == 0 else 1024 for n in ends.values())
+    return (full - sum(ends.values())) / full
+
+
+def test_short_texts_need_no_padding(spark):
+    df = spark.range(20_000).selectExpr("id AS doc_id", "'a b c d' AS text")
+    rows = pack_documents(df, RANKS).collect()
+    assert sum(r.length for r in rows) == 100_000 and padded_share(rows) <= 0.02
+    few = pack_documents(df.limit(3000), RANKS, Limits(segments=64)).collect()
+    assert padded_share(few) == 0 and max(np.unique([r.sequence_id for r in few], return_counts=True)[1]) <= 64
+
+
+def test_loss_spans_bind(spark):
+    texts = [(i, "question " * 40 + "answer " * (i % 9), [(360, 360 + 7 * (i % 9))]) for i in range(200)] + [(500, None, None), (501, "x", None)]
+    df = spark.createDataFrame(texts, "doc_id long, text string, text_spans array<struct<begin:int,end:int>>")
+    limits = Limits(tokens=256, loss=8)
+    rows = pack_documents(df, RANKS, limits, loss_spans="text_spans", with_ids=True).collect()
+    encode = byte_bpe(RANKS)
+    loss, tokens, per_doc = defaultdict(int), defaultdict(int), defaultdict(int)
+    for r in rows:
+        loss[r.sequence_id] += r.loss_tokens
+        tokens[r.sequence_id] += r.length
+        per_doc[r.doc_id] += r.loss_tokens
+    assert max(loss.values()) == 8 and max(tokens.values()) <= 256
+    assert all(n & (n - 1) == 0 for n in tokens.values())
+    without = pack_documents(df, RANKS, Limits(tokens=256, loss=256), loss_spans="text_spans").select("sequence_id").distinct().count()
+    assert len(tokens) > without   # the limit, not the tokens, closes sequences
+    for i, text, spans in texts:
+        ids = encode.encode(text or "")
+        _, at = encode.decode_with_offsets(ids)
+        covered = {k for b, e in spans or () for k in range(b, e)}
+        assert per_doc[i] == sum(a in covered for a in at) + (bool(text) and len(text) - 1 in covered)

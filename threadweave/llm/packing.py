@@ -1,7 +1,9 @@
 """Operator 2 - packing examples into sequences by vector bin packing.
 
 An example has a demand vector (tokens, segments = 1, loss-bearing tokens) and
-a sequence has a capacity vector.  The dot-product heuristic fills one
+a sequence has a capacity vector.  Loss-bearing are the tokens that begin in the
+spans of a column (instruction data: the answers), or all; segments have no limit
+by default.  The dot-product heuristic fills one
 sequence at a time: of the waiting pieces that fit in every dimension, it
 takes the one whose demand has the largest inner product with what is left of
 the capacity (each dimension divided by its capacity).  Where nothing fits any
@@ -10,7 +12,8 @@ the largest product is cut there, so that sequences come out full.  Examples
 longer than a sequence are first cut into full sequences and a rest.
 
 What is left when a task's input ends is laid out in sequences whose length is
-a power of two, which need no padding.
+a power of two, which need no padding.  Where the segments or the loss-bearing
+tokens bind first, a sequence is cut back to a power of two as well.
 
 Each task packs the rows it reads: no shuffle and no global state, tokens are
 never held beyond a pool of ``pool`` waiting pieces, and a retried task gives
@@ -18,7 +21,9 @@ the same sequences.  A sequence's id is the partition number times 2**40 plus
 a running number.
 
 Defined results: a null or empty text has no tokens but the end id; repeated
-rows are packed once for each row; a null ``doc_id`` is passed through; an
+rows are packed once for each row; of pieces with equal products the one that
+waits at the lowest place goes first; a very long text is tokenized whole and
+cut into full sequences; null spans bear no loss; a null ``doc_id`` is passed through; an
 empty table gives no rows; other columns are ignored.
 """
 
@@ -34,16 +39,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from threadweave.llm.textcols import id_text, slices
 
 
 @dataclass(frozen=True)
 class Limits:
-    """Capacity of a sequence: tokens, segments (pieces) and loss-bearing tokens."""
+    """Capacity of a sequence: tokens, segments (pieces; a piece has a token at
+    least, so as many segments as tokens are no limit) and loss-bearing tokens."""
 
     tokens: int = 1024
-    segments: int = 64
+    segments: int = 1024
     loss: int = 1024
 
 
@@ -160,7 +167,23 @@ class Packer:
             else:
                 self._wait(p)
             break
-        self._close(taken)
+        self._close(self._power_of_two(taken, limits.tokens))
+
+    def _power_of_two(self, taken: list[Piece], full: int) -> list[Piece]:
+        """A sequence that isn't full, cut back to a power of two; the rest waits again."""
+        used = sum(p.length for p in taken)
+        spare = 0 if used == full else used - (1 << (used.bit_length() - 1))
+        while spare:
+            p = taken.pop()
+            n = max(0, p.length - spare)
+            if n:
+                head = Piece(p.row, p.start, n, self._count(p.row, p.start, p.start + n))
+                taken.append(head)
+                self._wait(Piece(p.row, p.start + n, p.length - n, p.loss - head.loss))
+            else:
+                self._wait(p)
+            spare -= p.length - n
+        return taken
 
     def finish(self) -> None:
         """Full sequences as long as there are tokens for them, then powers of two."""
@@ -173,10 +196,23 @@ SCHEMA = """doc_id long, start long, length long, ids_crc32 long, doc_tokens lon
     loss_tokens long"""
 
 
+def loss_counts(encode, ids: list[int], text: str, spans: list[dict] | None) -> np.ndarray:
+    """Running count of the loss-bearing tokens of ``ids`` and an end id: those
+    whose first character lies in one of ``spans`` (begin, end; code points), and
+    the end id if the last character does."""
+    inside = np.zeros(len(text) + 1, np.int64)
+    for x in spans or ():
+        inside[max(0, x["begin"]):max(0, x["end"])] = 1
+    _, offsets = encode.decode_with_offsets(ids)
+    end = inside[len(text) - 1] if text else 0
+    return np.cumsum(np.concatenate([[0], inside[np.minimum(np.array(offsets, np.int64), len(text))], [end]]))
+
+
 def pack_documents(docs: DataFrame, ranks_file: str, limits: Limits = Limits(), end_id: int = 0,
-                   pool: int = 512, with_ids: bool = False) -> DataFrame:
-    """Tokenize and pack whole texts (every token bears loss); one row per
-    piece, with its ids if ``with_ids``."""
+                   pool: int = 512, with_ids: bool = False, loss_spans: str | None = None) -> DataFrame:
+    """Tokenize and pack whole texts; one row per piece, with its ids if
+    ``with_ids``.  ``loss_spans``: the column (array of struct begin, end) of the
+    spans of the text that bear loss; without it every token does."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
@@ -200,6 +236,7 @@ def pack_documents(docs: DataFrame, ranks_file: str, limits: Limits = Limits(),
                     lists.append(own)
                 if rest == p.length:
                     del held[p.row]
+                    packer.runs.pop(p.row, None)
                 else:
                     held[p.row] = (doc_id, ids, rest - p.length)
             arrays = {k: pa.array(v, pa.int64()) for k, v in out.items()}
@@ -208,13 +245,16 @@ def pack_documents(docs: DataFrame, ranks_file: str, limits: Limits = Limits(),
             yield pa.RecordBatch.from_pydict(arrays)
 
         for part in slices(batches):
-            for doc_id, text in zip(part["doc_id"].to_pylist(), part["text"].to_pylist(), strict=True):
-                ids = np.array([*encode.encode(text, allowed_special=special), end_id], dtype="<u4")
+            marked = [None] * part.num_rows if loss_spans is None else part["spans"].to_pylist()
+            for doc_id, text, spans in zip(part["doc_id"].to_pylist(), part["text"].to_pylist(), marked, strict=True):
+                own = encode.encode(text, allowed_special=special)
+                ids = np.array([*own, end_id], dtype="<u4")
                 held[row] = (doc_id, ids, len(ids))
-                packer.add(row, len(ids))
+                packer.add(row, len(ids), None if loss_spans is None else loss_counts(encode, own, text, spans))
                 row += 1
             yield from closed()
         packer.finish()
         yield from closed()
 
-    return id_text(docs).mapInArrow(run, SCHEMA + (", ids array<int>" if with_ids else ""))
+    rows = id_text(docs) if loss_spans is None else id_text(docs, F.col(loss_spans).alias("spans"))
+    return rows.mapInArrow(run, SCHEMA + (", ids array<int>" if with_ids else ""))

@@ -9,7 +9,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadweave.llm.shipping import ship
@@ -18,14 +18,15 @@ SLICE_BYTES = 4 << 20
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def id_text(docs: DataFrame) -> DataFrame:
-    """``doc_id`` (long) and ``text`` of a documents table; a null text is empty.
+def id_text(docs: DataFrame, *more: Column) -> DataFrame:
+    """``doc_id`` (long) and ``text`` of a documents table, and columns of the
+    caller's choice; a null text is empty.
 
     Any other column is left behind here, so columns with clashing names never
     meet an operator's own."""
     ship(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *more)
 
 
 def slices(batches: Iterable[pa.RecordBatch], max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
