@@ -48,6 +48,37 @@ def test_directory_splits_until_buckets_fit(spark):
     assert all(d.bucket(r.key) == r.bucket for r in d.assign(keys).limit(200).collect())
 
 
+def removal_brute(rows, groups):
+    """Rows that stay: ``groups`` maps a row number to the smallest id of its group."""
+    return sorted(((i, t) for k, (i, t) in enumerate(rows) if i is None or i == groups[k]), key=str)
+
+
+REPEATED = [(1, "the same words stand here"), (5, "the same words stand here"), (5, "only here are these other words found"),
+            (7, "the same words stand here"), (7, None), (None, "the same words stand here"), (9, "only here are these other words found"),
+            (9, "a third text of its own"), (9, "a third text of its own"), (2, "")]
+
+
+def test_removals_with_repeated_ids(spark):
+    df = spark.createDataFrame([(*r, k) for k, r in enumerate(REPEATED)], "doc_id long, text string, gone_id long").repartition(4)
+    by_text = {}
+    for i, t in REPEATED:
+        if i is not None:
+            by_text[t or ""] = min(i, by_text.get(t or "", i))
+    want = removal_brute(REPEATED, [by_text[t or ""] for _, t in REPEATED])
+    assert (1, REPEATED[0][1]) in want and (5, REPEATED[2][1]) in want and (9, REPEATED[7][1]) in want
+    assert sorted(((r.doc_id, r.text) for r in drop_copies(df).collect()), key=str) == want
+    # in near duplicates a text without words is linked with nothing, so each stays
+    near = removal_brute(REPEATED, [by_text[t] if t else i for i, t in REPEATED])
+    assert sorted(((r.doc_id, r.text) for r in keep_one(df).collect()), key=str) == near
+
+
+def test_near_rows_of_null_and_repeated_ids(spark):
+    df = spark.createDataFrame(REPEATED + [(None, "nobody has an id here"), (None, "nobody has an id here")], "doc_id long, text string").repartition(3)
+    got = sorted(((r.doc_id, r.component_id, r.kept) for r in near_duplicates(df).collect()), key=str)
+    assert got == sorted([(1, 1, True), (5, 1, False), (5, 5, True), (7, 1, False), (7, 7, True), (None, 1, False), (9, 5, False), (9, 9, True),
+                          (9, 9, True), (2, 2, True), (None, None, True), (None, None, True)], key=str)
+
+
 # ---------------------------------------------------------------- near
 
 

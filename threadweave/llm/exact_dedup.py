@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadweave.llm.tables import Workspace, small, without_ids
+from threadweave.llm.tables import Workspace, small, without_rows
 from threadweave.llm.textcols import id_text
 
 SPACES = r"[\x20\x09-\x0D]+"
@@ -160,7 +160,9 @@ def exact_duplicates(docs: DataFrame, capacity: int = 20_000) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame, capacity: int = 20_000) -> DataFrame:
-    """The rows of ``docs`` without the copies (all columns); rows with a null ``doc_id`` stay."""
+    """The rows of ``docs`` without the copies (all columns); rows with a null
+    ``doc_id`` stay, and a row goes for its own text, not for another of its id."""
     work = Workspace(docs.sparkSession, "exact-dedup")
-    gone, n = work.write(exact_duplicates(docs, capacity).filter("NOT kept").select("doc_id").distinct(), "gone")
-    return without_ids(docs, gone, n)
+    judged, _ = work.write(exact_duplicates(docs, capacity).select("doc_id", F.col("text_sha256").alias("mark"), "kept"), "judged")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return without_rows(docs, judged, F.sha2(F.regexp_replace(text, SPACES, " "), 256), work)

@@ -28,11 +28,12 @@ grow with the number of copies and not with its square; hot bands and hot
 pivots sit on the probe side of joins that AQE may split.
 
 Defined results: a text without words (null, empty) has an empty set and is
-linked with nothing; fewer words than a shingle make one shingle; repeated
-rows and rows with the same ``doc_id`` are one document if their sets are
-equal, otherwise each row is its own; rows with a null ``doc_id`` are left
-out; an empty table gives no rows; other columns are ignored (``keep_one``
-passes them on).
+linked with nothing; fewer words than a shingle make one shingle; every row is
+judged by its own set, also where a ``doc_id`` occurs with several texts; rows
+with a null ``doc_id`` count by their sets, but do not name a component (null if
+it has no id at all; such rows are kept); pairs exactly at the threshold are
+linked; a very long text is hashed whole, in a slice by itself; an empty table
+gives no rows; other columns are ignored (``keep_one`` passes them on).
 """
 
 from __future__ import annotations
@@ -43,10 +44,10 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadweave.llm.tables import Workspace, small, without_ids
+from threadweave.llm.tables import Workspace, small, without_rows
 from threadweave.llm.textcols import MIX, id_text, lower_ascii, mix, slices, word_hashes, words
 
 
@@ -127,10 +128,16 @@ def _sketch(docs: DataFrame, rules: NearRules) -> DataFrame:
                 sums = [np.concatenate([[np.uint64(0)], np.cumsum(v, dtype=np.uint64)]) for v in (mix(sets + MIX), mix(sets ^ MIX))]
             fp = [(s[starts[1:]] - s[starts[:-1]]).view(np.int64) for s in sums]
             yield pa.RecordBatch.from_arrays(
-                [part["doc_id"], pa.array(np.diff(starts)), pa.array(fp[0]), pa.array(fp[1]), pa.array([x.tobytes() for x in sig], pa.binary())],
-                ["doc_id", "n", "fp1", "fp2", "sig"])
+                [part["doc_id"], part["mark"], pa.array(np.diff(starts)), pa.array(fp[0]), pa.array(fp[1]),
+                 pa.array([x.tobytes() for x in sig], pa.binary())],
+                ["doc_id", "mark", "n", "fp1", "fp2", "sig"])
 
-    return id_text(docs).filter("doc_id IS NOT NULL").mapInArrow(run, "doc_id long, n long, fp1 long, fp2 long, sig binary")
+    return id_text(docs, _mark().alias("mark")).mapInArrow(run, "doc_id long, mark string, n long, fp1 long, fp2 long, sig binary")
+
+
+def _mark() -> Column:
+    """Tells the texts of a ``doc_id`` apart."""
+    return F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
 def _bands(reps: DataFrame, rules: NearRules) -> DataFrame:
@@ -175,11 +182,12 @@ def _verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, rules: NearRules
     both = (pairs.join(sig.withColumnsRenamed({"rep": "a", "sig": "sig_a"}), "a")
             .join(sig.withColumnsRenamed({"rep": "b", "sig": "sig_b"}), "b"))
     left, n_left = work.write(_prune(both, rules), f"{name}-survivors")
-    return _confirm(left, n_left, docs, rules, work, name)
+    return _confirm(left, n_left, reps, docs, rules, work, name)
 
 
-def _sets(docs: DataFrame, ids: DataFrame, n_ids: int, rules: NearRules, work: Workspace, name: str) -> DataFrame:
-    """(rep, members): the full shingle sets of the representatives ``ids``."""
+def _sets(docs: DataFrame, reps: DataFrame, ids: DataFrame, n_ids: int, rules: NearRules, work: Workspace, name: str) -> DataFrame:
+    """(rep, members): the full shingle sets of the representatives ``ids``, each
+    from a row with the id and the text of its class's first."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -188,7 +196,9 @@ def _sets(docs: DataFrame, ids: DataFrame, n_ids: int, rules: NearRules, work: W
                 [part["rep"], pa.array([h[i:j].tobytes() for i, j in zip(starts[:-1], starts[1:], strict=True)], pa.binary())],
                 ["rep", "members"])
 
-    full = id_text(docs).withColumnRenamed("doc_id", "rep").join(small(ids, n_ids), "rep", "left_semi")
+    rows, wanted = id_text(docs, _mark().alias("mark")), reps.join(small(ids, n_ids), "rep", "left_semi").select("rep", "first", "first_mark")
+    same = F.col("doc_id").eqNullSafe(F.col("first")) & (F.col("mark") == F.col("first_mark"))
+    full = rows.join(small(wanted, n_ids), same).select("rep", "text")
     return work.write(full.mapInArrow(sets, "rep long, members binary").dropDuplicates(["rep"]), name)[0]
 
 
@@ -201,9 +211,9 @@ def _similar(x: np.ndarray, y: np.ndarray, rules: NearRules) -> bool:
     return rules.den * same >= rules.num * (len(x) + len(y) - same)
 
 
-def _confirm(left: DataFrame, n_left: int, docs: DataFrame, rules: NearRules, work: Workspace, name: str) -> tuple[DataFrame, int]:
+def _confirm(left: DataFrame, n_left: int, reps: DataFrame, docs: DataFrame, rules: NearRules, work: Workspace, name: str) -> tuple[DataFrame, int]:
     ids = left.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-    full = _sets(docs, ids, 2 * n_left, rules, work, f"{name}-sets")
+    full = _sets(docs, reps, ids, 2 * n_left, rules, work, f"{name}-sets")
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
@@ -230,14 +240,14 @@ def components(links: DataFrame, work: Workspace, name: str) -> tuple[DataFrame,
     k = 0
     while n:
         k += 1
-        near = (edges.join(label.select(F.col("rep").alias("v"), F.col("comp").alias("cv")), "v")
-                .join(label.select(F.col("rep").alias("u"), F.col("comp").alias("cu")), "u"))
+        near = (edges.join(small(label.select(F.col("rep").alias("v"), F.col("comp").alias("cv")), n), "v")
+                .join(small(label.select(F.col("rep").alias("u"), F.col("comp").alias("cu")), n), "u"))
         # a vertex's label, and the label it points at, both take the smallest label seen
         hook = (near.select(F.explode(F.array(F.struct(F.col("u").alias("rep"), F.col("cv").alias("c")),
                                               F.struct(F.col("cu").alias("rep"), F.col("cv").alias("c")))).alias("x"))
                 .select("x.*").groupBy("rep").agg(F.min("c").alias("c")))
         new = label.join(hook, "rep", "left").select("rep", F.least("comp", F.coalesce("c", "comp")).alias("comp"))
-        jump = new.join(new.select(F.col("rep").alias("comp"), F.col("comp").alias("next")), "comp", "left") \
+        jump = new.join(small(new.select(F.col("rep").alias("comp"), F.col("comp").alias("next")), n), "comp", "left") \
             .select("rep", F.coalesce(F.least("comp", "next"), "comp").alias("comp"))
         table, _ = work.write(jump, f"{name}-label{k}")
         changed = table.join(label.withColumnRenamed("comp", "old"), "rep").filter("comp <> old").limit(1).count()
@@ -355,18 +365,22 @@ def _block_links(members: DataFrame, reps: DataFrame, docs: DataFrame, rules: Ne
     left, n_left = work.write(_tile_survivors(tiles, rules), "open-survivors")
     if not n_left:
         return None, 0
-    full = _sets(docs, left.select("rep").distinct(), n_left, rules, work, "open-sets")
+    full = _sets(docs, reps, left.select("rep").distinct(), n_left, rules, work, "open-sets")
     found = work.write(_tile_links(left.join(reps.select("rep", "sig"), "rep").join(full, "rep"), rules).distinct(), "open-links")
     work.drop("open-survivors", "open-sets")
     return found
 
 
-def near_duplicates(docs: DataFrame, rules: NearRules = NearRules()) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept."""
-    work = Workspace(docs.sparkSession, "near-dedup")
+def _judged(docs: DataFrame, rules: NearRules, work: Workspace) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept, mark) of every row."""
     sketch, _ = work.write(_sketch(docs, rules), "sketch")
     key = ["n", "fp1", "fp2"]
-    reps, _ = work.write(sketch.filter("n > 0").groupBy(*key).agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")), "reps")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("f")
+    reps, _ = work.write(sketch.filter("n > 0").groupBy(*key).agg(first, F.first("sig").alias("sig"))
+                         .select(*key, F.col("f.doc_id").alias("first"), F.col("f.mark").alias("first_mark"), "sig"), "classes")
+    # a class goes by its smallest id, or by a number where ids do not tell classes apart
+    numbered = reps.groupBy("first").agg(F.count(F.lit(1)).alias("k")).filter("k > 1 OR first IS NULL").limit(1).count() > 0
+    reps = work.write(reps.withColumn("rep", F.monotonically_increasing_id()), "reps")[0] if numbered else reps.withColumn("rep", F.col("first"))
     bands, _ = work.write(_bands(reps, rules), "bands")
     size = bands.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("rep").alias("pivot")).filter("size > 1")
     members, n = work.write(bands.join(size, "band"), "members")
@@ -401,16 +415,24 @@ def near_duplicates(docs: DataFrame, rules: NearRules = NearRules()) -> DataFram
             if n_found:
                 links = found if links is None else links.unionByName(found)
                 label, n_label = components(links, work, "cc")
-    classes = reps.select(*key, "rep")
-    out = sketch.select("doc_id", *key).join(classes, key, "left")
-    out = _with_comp(out, label, n_label)
-    comp = F.coalesce("comp", "doc_id")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), comp.alias("component_id"), (F.col("doc_id") == comp).alias("kept"))
+    classes = _with_comp(reps.select(*key, "rep", "first"), label, n_label)
+    if numbered:
+        classes, _ = work.write(classes, "numbered")
+        classes = classes.join(classes.groupBy("comp").agg(F.min("first").alias("name")), "comp").withColumn("comp", F.col("name"))
+    out = sketch.select("doc_id", "mark", *key).join(classes.select(*key, "comp"), key, "left")
+    comp = F.when(F.col("n") > 0, F.col("comp")).otherwise(F.col("doc_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), comp.alias("component_id"), F.col("doc_id").eqNullSafe(comp).alias("kept"), "mark")
+
+
+def near_duplicates(docs: DataFrame, rules: NearRules = NearRules()) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept."""
+    return _judged(docs, rules, Workspace(docs.sparkSession, "near-dedup")).drop("mark")
 
 
 def keep_one(docs: DataFrame, rules: NearRules = NearRules()) -> DataFrame:
     """The rows of ``docs`` (all columns) without those whose component keeps
-    another document; rows with a null ``doc_id`` stay."""
+    another document; rows with a null ``doc_id`` stay, and a row goes for its own
+    text, not for another of its id."""
     work = Workspace(docs.sparkSession, "near-dedup")
-    gone, n = work.write(near_duplicates(docs, rules).filter("NOT kept").select("doc_id").distinct(), "gone")
-    return without_ids(docs, gone, n)
+    judged, _ = work.write(_judged(docs, rules, work).select("doc_id", "mark", "kept"), "judged")
+    return without_rows(docs, judged, _mark(), work)

@@ -7,7 +7,7 @@ import gc
 import time
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from threadweave.llm.shipping import ship
@@ -56,9 +56,38 @@ def small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if rows <= limit else df
 
 
-def without_ids(docs: DataFrame, gone: DataFrame, n_gone: int) -> DataFrame:
-    """The rows of ``docs``, all columns, whose ``doc_id`` is not among ``gone``'s."""
-    name = "gone_id"
-    while name in {c.lower() for c in docs.columns}:
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``docs`` is called so."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
         name += "_"
-    return docs.join(small(gone.select(F.col("doc_id").alias(name)), n_gone), F.col("doc_id").cast("long") == F.col(name), "left_anti")
+    return name
+
+
+def without_rows(docs: DataFrame, judged: DataFrame, mark: Column, work: Workspace) -> DataFrame:
+    """The rows of ``docs``, all columns, that were not judged to go.
+
+    ``judged``: (doc_id, mark, kept) of every row, where rows with the same mark
+    (``mark`` computes it from ``text``) and ``doc_id`` are judged alike.  An id
+    that has no kept row goes by the id alone; only the rows of an id with both
+    kinds are told apart by their marks.  Rows with a null ``doc_id`` stay."""
+    gone, n_gone = work.write(judged.filter("NOT kept AND doc_id IS NOT NULL").select("doc_id", "mark").distinct(), "gone")
+    stay = judged.filter("kept").select("doc_id")
+    both, n_both = work.write(gone.select("doc_id").distinct().join(stay, "doc_id", "left_semi"), "both")
+    name, key = free_name(docs, "gone_id"), F.col("doc_id").cast("long")
+
+    def named(df: DataFrame) -> DataFrame:
+        return df.withColumnRenamed("doc_id", name)
+
+    def drop(rows: DataFrame, ids: DataFrame, n: int) -> DataFrame:
+        return rows.join(small(named(ids), n), key == F.col(name), "left_anti")
+
+    if not n_both:
+        return drop(docs, gone.select("doc_id"), n_gone)
+    sure = gone.join(small(both, n_both), "doc_id", "left_anti").select("doc_id")
+    apart = drop(drop(docs, sure, n_gone), both, n_both)
+    mixed = docs.join(small(named(both), n_both), key == F.col(name), "left_semi")
+    marks = named(gone.join(small(both, n_both), "doc_id", "left_semi"))
+    text = free_name(docs, "gone_mark")
+    mixed = mixed.join(small(marks.withColumnRenamed("mark", text), n_gone), (key == F.col(name)) & (mark == F.col(text)), "left_anti")
+    return apart.unionByName(mixed)
