@@ -22,7 +22,7 @@ def folders(spark):
     steps.prep_step(spark, f"{base}/raw", f"{base}/raw", ",".join(months), f"{base}/prep", allow=None)
     steps.graph_step(spark, f"{base}/prep", f"{base}/graphs")
     steps.algorithm_step(spark, f"{base}/graphs", f"{base}/results")
-    steps.report_step(spark, f"{base}/graphs", f"{base}/results", f"{base}/reports")
+    steps.report_step(spark, f"{base}/graphs", f"{base}/results", f"{base}/reports", f"{base}/prep", fixture.FIXTURE_AUTHORS)
     steps.motif_step(spark, f"{base}/graphs", f"{base}/reports")
     return base, months
 
@@ -44,6 +44,11 @@ def test_steps_equal_the_queries(spark, folders):
     assert same(popular, spark.read.schema(popular.schema).csv(f"{base}/reports/popularPairs"))
     motif = QUERIES["motif_collab"](spark, SF_SMALL)
     assert same(motif, spark.read.schema(motif.schema).json(f"{base}/reports/collabMotif"))
+    property_ranks = spark.read.schema("id int, name string, type string, pagerank double").csv(f"{base}/reports/propertyPageRank")
+    assert same(QUERIES["pagerank_property_graph"](spark, SF_SMALL), property_ranks.withColumn("pagerank", F.round("pagerank", 6)))
+    chosen = QUERIES["author_subreddit_counts"](spark, SF_SMALL)
+    assert same(chosen, spark.read.schema(chosen.schema).csv(f"{base}/reports/authorSubreddits"))
+    assert same(QUERIES["scc_property_graph"](spark, SF_SMALL).select("id", "component"), spark.read.parquet(f"{base}/results/propertyComponents"))
     members = QUERIES["scc_component_members"](spark, SF_SMALL).filter("graph = 'users'").drop("graph")
     assert same(members, spark.read.schema(members.schema).json(f"{base}/reports/userComponentMembers"))
 
@@ -66,3 +71,25 @@ def test_season_step(spark, folders):
     assert {r.period for r in labels.select("period").distinct().collect()} == {*months[:3], "season"}
     ids = spark.read.parquet(f"{out}/vertices").filter("period = 'season'").count()
     assert ids == spark.read.parquet(f"{out}/pageRankVertices").count() == spark.read.parquet(f"{out}/triangles").count()
+    months = {*months[:3]}
+    top = spark.read.parquet(f"{out}/topComponents")
+    assert {r.period for r in top.select("period").distinct().collect()} == {*months, "season"}
+    sizes = labels.groupBy("period", "component").agg(F.count(F.lit(1)).alias("count"))
+    assert top.drop("rank").exceptAll(sizes.select("period", "component", "count")).count() == 0
+    best = {r.period: r.component for r in top.filter("rank = 1").collect()}
+    authors = spark.read.parquet(f"{out}/commentsOfTopAuthor").select("period", "auth_id").distinct().collect()
+    assert all(best[r.period] == r.auth_id for r in authors) and "season" not in {r.period for r in authors}
+    lines = [r.value for r in spark.read.text(f"{out}/pairCounts").collect()]
+    edges = spark.read.parquet(f"{out}/edges").filter("period = 'season'").count()
+    assert lines and sum(int(x.rstrip(")").rsplit(",", 1)[1]) for x in lines) >= edges
+    assert spark.read.csv(f"{out}/topPageRank").count() > 0
+
+
+def test_season_query_reads_the_folders(spark, monkeypatch):
+    """Equal to the date-range query, and different as soon as a month folder is skipped."""
+    from threadweave.plans import catalog
+    want = QUERIES["scc_monthly"](spark, SF_SMALL)
+    assert same(want, QUERIES["season_from_folders"](spark, SF_SMALL))
+    read = steps.read_month_folders
+    monkeypatch.setattr(steps, "read_month_folders", lambda s, folder, prefix, months: read(s, folder, prefix, months[1:]))
+    assert not same(want, catalog.q_season_from_folders(spark, SF_SMALL))

@@ -50,7 +50,7 @@ from pyspark.sql import functions as F
 from threadweave.operators.graph import PropertyGraph
 from threadweave.operators.joins import GraphLayout, broadcast_ok, semi_or_anti
 from threadweave.runtime import cut_observed, cut_placed, loop_conf, replace_table
-from threadweave.schema import SCC_MAX_ITER
+from threadweave.schema import SCC_MAX_ITER, TYPE_SUBREDDIT
 
 
 def _flag_count(cond: Column) -> Column:
@@ -222,6 +222,16 @@ def labels_with_sinks(labels: DataFrame, vertices: DataFrame) -> DataFrame:
             .withColumn("component", F.coalesce(F.col("component"), F.col("id"))))
 
 
+def property_labels(labels: DataFrame, graph: PropertyGraph, max_iter: int = SCC_MAX_ITER) -> DataFrame:
+    """Vertex rows of a property graph plus ``component``, from the written labels
+    of its user graph: its subreddits have no out-edge.  Where a subreddit's id is
+    also a user's, the two are one vertex, and the graph is labelled by itself."""
+    subs = graph.vertices.filter(F.col("type") == TYPE_SUBREDDIT).select("id")
+    if labels.join(subs, "id", "left_semi").limit(1).count():
+        return strongly_connected_components(graph, max_iter)
+    return labels_with_sinks(labels, graph.vertices)
+
+
 def strongly_connected_components(graph: PropertyGraph, max_iter: int = SCC_MAX_ITER) -> DataFrame:
     """Vertex rows (with their attributes) plus ``component``."""
     return graph.vertices.join(scc_labels(graph, max_iter), graph.keys)

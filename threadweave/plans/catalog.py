@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
+from threadweave import steps
 from threadweave.functions import java_string_hash
 from threadweave.operators import counts, graph, motif, pagerank, prep, scc, triangles
 from threadweave.operators.graph import PropertyGraph
@@ -22,7 +23,7 @@ from threadweave.plans import reports
 from threadweave.runtime import checkpoint_dir, cut, scratch_path
 from threadweave.schema import (
     PAGERANK_MAX_ITER, SCC_MAX_ITER, SCC_MAX_ITER_SEASON, TOP_COMPONENTS_PERIOD, TOP_COMPONENTS_SEASON,
-    TOP_PAGERANK, TYPE_SUBREDDIT,
+    TOP_PAGERANK,
 )
 from threadweave.sources import fixture, monthly, sinks
 from threadweave.sources.fixture import SEASON_LABEL, SEASON_PERIODS
@@ -137,15 +138,8 @@ class Pipeline:
         return self._labels[max_iter]
 
     def scc_property(self, max_iter: int = SCC_MAX_ITER) -> DataFrame:
-        """Labels of the property graph.  Its subreddits have no out-edge, so they
-        are peeled first and what remains is the user graph, whose labels are
-        reused - unless a subreddit's id is also a user's, which makes the two
-        one vertex; then the graph is labelled by itself."""
-        subs = self.names.filter(F.col("type") == TYPE_SUBREDDIT).select("id")
-        labels = self.scc_users(max_iter)
-        if labels.join(subs, "id", "left_semi").limit(1).count():
-            return scc.strongly_connected_components(self.property_graph, max_iter)
-        return scc.labels_with_sinks(labels, self.names)
+        """Labels of the property graph, from those of the user graph."""
+        return scc.property_labels(self.scc_users(max_iter), self.property_graph, max_iter)
 
 
 def _r6(col: str) -> F.Column:
@@ -161,6 +155,16 @@ def q_load_months(spark, sf):
     return monthly.read_month_folders(spark, base, "RS", fixture.SLICE4_MONTHS)
 
 
+def q_season_from_folders(spark, sf):
+    """Components of the season variant, run over the folders of its fixed months."""
+    p, base = Pipeline(spark, sf), scratch_path(spark, "season")
+    for df, prefix in ((p.submissions_raw, "RS_2016"), (p.comments_raw, "RC_2016")):
+        months = p.season_rows(df).drop("month").withColumnRenamed("period", "month")
+        monthly.write_month_folders(months, f"{base}/raw", prefix, list(SEASON_PERIODS))
+    steps.season_step(spark, f"{base}/raw", f"{base}/raw", list(SEASON_PERIODS), f"{base}/out", allow=None, season=SEASON_LABEL)
+    return spark.read.parquet(f"{base}/out/components")
+
+
 def q_remove_deleted_authors(spark, sf):
     return prep.remove_deleted_authors(Pipeline(spark, sf).submissions_raw)
 
@@ -271,8 +275,12 @@ def q_pagerank_users(spark, sf):
     return ranks.select("id", _r6("pagerank"))
 
 
+def _weights(g: PropertyGraph) -> DataFrame:
+    return pagerank.edge_weights(PropertyGraph(g.vertices, cut(g.edges, "weighted-edges")))
+
+
 def q_pagerank_edge_weights(spark, sf):
-    return pagerank.edge_weights(Pipeline(spark, sf).user_graph)
+    return _weights(Pipeline(spark, sf).user_graph)
 
 
 def q_pagerank_property_graph(spark, sf):
@@ -283,7 +291,7 @@ def q_pagerank_property_graph(spark, sf):
 def q_pagerank_property_edges(spark, sf):
     p = Pipeline(spark, sf, subreddits=True)
     edges = graph.property_graph_edges(p.post_keys, p.comment_keys, p.user_graph.edges)
-    return pagerank.edge_weights(PropertyGraph(p.user_graph.vertices, edges)).select("src", "dst", "relationship", "weight")
+    return _weights(PropertyGraph(p.user_graph.vertices, edges)).select("src", "dst", "relationship", "weight")
 
 
 def q_season_pagerank(spark, sf):
@@ -291,7 +299,7 @@ def q_season_pagerank(spark, sf):
 
 
 def q_season_pagerank_edges(spark, sf):
-    return pagerank.edge_weights(Pipeline(spark, sf).season_graph)
+    return _weights(Pipeline(spark, sf).season_graph)
 
 
 def q_pagerank_users_named(spark, sf):
@@ -425,6 +433,7 @@ def q_text_export(spark, sf):
 
 QUERIES: dict[str, Query] = {
     "load_months": q_load_months,
+    "season_from_folders": q_season_from_folders,
     "remove_deleted_authors": q_remove_deleted_authors,
     "remove_zero_comment_posts": q_remove_zero_comment_posts,
     "filter_subreddits": q_filter_subreddits,

@@ -327,3 +327,5 @@ ORACLE: dict[str, str] = {
         _MOTIF),
     "text_export": _with("SELECT '(' || pair || ',' || count || ')' AS value FROM pair_text"),
 }
+# the season variant from month folders gives what the date ranges give
+ORACLE["season_from_folders"] = ORACLE["scc_monthly"]
