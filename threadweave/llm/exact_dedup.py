@@ -20,7 +20,8 @@ Defined results: null counts as empty text, and empty texts are equal to each
 other; repeated rows count as copies and each gets a row (all with the kept
 doc_id are kept); rows with a null ``doc_id`` count in a group, and are kept
 only if the whole group has none; an empty table gives no rows; other columns
-are ignored (``drop_copies`` passes them on).
+are ignored (``drop_copies`` passes them on); ties do not arise, as the smallest id
+stays; a very long text is compared byte by byte like any other, one at a time.
 """
 
 from __future__ import annotations

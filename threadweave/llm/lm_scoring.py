@@ -29,8 +29,11 @@ all other words go through a shuffle join on the word's 64-bit hash.
 
 Defined results: a null or empty text has the end token only; repeated rows
 each count and get a row; a null ``doc_id`` is a training document; without
-training documents N = V = 0 and the model is its starting point; an empty
-table gives no rows; other columns are ignored.
+training documents N = V = 0 and the model is its starting point; a very long
+text is scored in chunks of windows (scores have no ties); an empty table gives no
+rows; other columns are ignored.  The model's score depends on how the training
+rows are dealt to tasks, as each task trains from the same start and the weights
+are averaged once; base scores and counts do not.
 """
 
 from __future__ import annotations

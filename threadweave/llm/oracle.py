@@ -88,3 +88,45 @@ OP13 = rf"""
            coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, split_part(best, '|', 1)::BIGINT AS cost,
            split_part(best, '|', 2) AS audit, sha256(coalesce(r.text, '')) AS repaired_sha256
     FROM convs v JOIN ended USING (c) LEFT JOIN counted USING (c) LEFT JOIN repaired r USING (c)"""
+
+#: A word goes if one of the 13 windows that cover it starts in a document with a smaller id.
+OP5 = r"""
+    WITH lists AS MATERIALIZED (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS l FROM documents),
+    windows AS (SELECT doc_id, i, array_to_string(l[i:i + 12], ' ') AS words FROM (SELECT doc_id, l, unnest(range(1, len(l) - 11)) AS i FROM lists)),
+    firsts AS (SELECT words, min(doc_id) AS first FROM windows GROUP BY words),
+    hits AS (SELECT doc_id, i FROM windows JOIN firsts USING (words) WHERE first < doc_id),
+    marked AS (SELECT w.doc_id, w.i, w.word, max(h.i) OVER (PARTITION BY w.doc_id ORDER BY w.i ROWS 12 PRECEDING) IS NOT NULL AS gone
+               FROM (SELECT doc_id, unnest(l) AS word, generate_subscripts(l, 1) AS i FROM lists) w LEFT JOIN hits h ON h.doc_id = w.doc_id AND h.i = w.i),
+    kept AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS text FROM marked GROUP BY doc_id)
+    SELECT d.doc_id, len(d.l)::BIGINT AS n_words, coalesce(k.n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+    FROM lists d LEFT JOIN kept k USING (doc_id)"""
+
+#: A byte goes if a 200-byte string that covers it starts at two places or more.
+OP8 = r"""
+    WITH texts AS MATERIALIZED (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+    windows AS MATERIALIZED (SELECT doc_id, i, md5(b[i + 1:i + 200]) AS m FROM (SELECT doc_id, b, unnest(range(octet_length(b) - 199)) AS i FROM texts)),
+    hits AS (SELECT doc_id, i FROM windows WHERE m IN (SELECT m FROM windows GROUP BY m HAVING count(*) > 1)),
+    marked AS (SELECT t.doc_id, t.i, t.byte, max(h.i) OVER (PARTITION BY t.doc_id ORDER BY t.i ROWS 199 PRECEDING) IS NOT NULL AS gone
+               FROM (SELECT doc_id, i, hex(b[i + 1:i + 1]) AS byte FROM (SELECT doc_id, b, unnest(range(octet_length(b))) AS i FROM texts)) t
+               LEFT JOIN hits h ON h.doc_id = t.doc_id AND h.i = t.i),
+    runs AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS opens FROM marked),
+    kept AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (opens) AS n_spans,
+                    string_agg(byte, '' ORDER BY i) FILTER (NOT gone) AS bytes FROM runs GROUP BY doc_id)
+    SELECT t.doc_id, octet_length(t.b)::BIGINT AS n_bytes, coalesce(k.n_removed, 0)::BIGINT AS n_removed, coalesce(k.n_spans, 0)::BIGINT AS n_spans,
+           sha256(unhex(coalesce(k.bytes, ''))) AS kept_sha256
+    FROM texts t LEFT JOIN kept k USING (doc_id)"""
+
+OP10 = r"""
+    WITH RECURSIVE lists AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                               '[^\x20\x09-\x0D]+') AS l FROM documents),
+    shingles AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(l[i:i + 2], ' ') AS s
+                 FROM (SELECT doc_id, l, unnest(range(1, greatest(len(l) - 1, least(len(l), 1) + 1))) AS i FROM lists) WHERE len(l) > 0),
+    sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+    links AS MATERIALIZED (SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+    ends AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reach AS (SELECT a, a AS b FROM ends UNION SELECT r.a, e.b FROM reach r JOIN ends e ON e.a = r.b),
+    least_of AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+    SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id,
+           d.doc_id = coalesce(c.component_id, d.doc_id) AS kept
+    FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN least_of c USING (doc_id)"""

@@ -13,8 +13,8 @@ piece character each, so decoding gives back the exact bytes.
 
 No shuffle.  Defined results: a null or empty text has no ids and decodes to
 the empty text; rows with equal key and text get equal ids; a null ``doc_id``
-counts as a key of its own; an empty table gives no rows; other columns are
-ignored.
+counts as a key of its own; a very long text is sampled in chunks of its lattice
+(a sample has no ties); an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -17,7 +17,9 @@ task is a slice of texts (4 MB) or the longest single text.
 
 Defined results: a null or empty text has no words and fails the base rule;
 repeated rows give repeated, equal result rows; a null ``doc_id`` is passed
-through; an empty table gives no rows; other columns are ignored.
+through; a text exactly at a limit is kept; a very long text is a slice by itself
+and needs its rank tables (words x log2 of its longest repeat, 8 bytes each); an
+empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from threadweave.llm.exact_dedup import SPACES, exact_duplicates
 from threadweave.llm.lm_scoring import lm_scores
 from threadweave.llm.near_dedup import NearRules, near_duplicates
-from threadweave.llm.oracle import OP11, OP13
+from threadweave.llm.oracle import OP5, OP8, OP10, OP11, OP13
 from threadweave.llm.packing import pack_documents
 from threadweave.llm.piece_sampling import sample_pieces
 from threadweave.llm.quality_rules import quality_rules
@@ -98,6 +98,9 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = min(doc_id) OVER g AS kept, sha256(norm) AS text_sha256
         FROM t WINDOW g AS (PARTITION BY norm)""",
+    "op5_substring_dedup": OP5,
+    "op8_suffix_dedup": OP8,
+    "op10_minhash_near_dedup": OP10,
     "op11_spelling_variants": OP11,
     "op13_turn_repair": OP13,
 }

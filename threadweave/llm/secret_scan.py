@@ -13,8 +13,9 @@ No shuffle: a block's postings answer for that block, so the index never
 outgrows a task, and a lost executor costs the blocks it held.
 
 Defined results: a null or empty text has no spans; repeated rows give
-repeated, equal result rows; a null ``doc_id`` is passed through; an empty
-table gives no rows; other columns are kept by ``mask_secrets`` and ignored by
+repeated, equal result rows; a null ``doc_id`` is passed through; spans that begin
+at one place are in the order of their kinds; a very long text is a slice by
+itself; an empty table gives no rows; other columns are kept by ``mask_secrets`` and ignored by
 ``scan_secrets``.  Positions are code points, ends exclusive.
 """
 

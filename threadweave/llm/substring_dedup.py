@@ -19,8 +19,9 @@ shares are never shipped.
 
 Defined results: a null or empty text has no words; a word is removed only for
 a smaller ``doc_id``, so repeated rows lose nothing to each other; a row with a
-null ``doc_id`` loses nothing and is no one's reference; an empty table gives
-no rows; other columns are ignored.
+null ``doc_id`` loses nothing and is no one's reference; equal ids tie and take
+nothing from each other; a very long text is cut into anchored strings like any
+other; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -18,9 +18,10 @@ exactly if a neighbour in the merged order shares ``width`` bytes with it, or
 its string occurs more than once.
 
 Defined results: a null or empty text has no bytes; repeated rows are
-documents of their own, so texts of ``width`` bytes or more lose everything; a
-null ``doc_id`` is passed through; an empty table gives no rows; other columns
-are ignored.
+documents of their own, so texts of ``width`` bytes or more lose everything; no
+copy is kept, so there are no ties; a null ``doc_id`` is passed through; a very
+long text is cut into anchored strings like any other; an empty table gives no
+rows; other columns are ignored.
 """
 
 from __future__ import annotations
