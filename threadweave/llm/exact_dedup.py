@@ -13,7 +13,8 @@ with index entries on key and digest.
 Scale: only (key, doc_id, digest) rows and the texts of keys seen twice are
 shuffled; copies are combined on the map side first, so a group with a third
 of all rows reaches its owner as one row per task.  The driver sees the
-directory's counts (rows / capacity numbers), no keys and no texts.  The
+directory's counts (a bounded number, as the capacity grows beyond 4096 full
+buckets), no keys and no texts.  The
 final join's hot keys are left to AQE's skew splitting.
 
 Defined results: null counts as empty text, and empty texts are equal to each
@@ -52,15 +53,22 @@ def _slot(depth: int):
 
 
 class Directory:
-    """Bucket bounds over the unsigned key space; grown by doubling."""
+    """Bucket bounds over the unsigned key space; grown by doubling.
+
+    ``capacity`` is raised so that ``n_keys`` keys need about ``MOST`` buckets
+    at most, so neither the counts nor the bounds grow with the corpus: owner
+    tasks stream their buckets, whatever these hold.  Doublings that so many keys
+    must take are counted in the first job."""
 
     STEP = 6  # bits counted ahead in one job, i.e. up to six doublings
+    MOST = 4096
 
-    def __init__(self, keys: DataFrame, capacity: int):
+    def __init__(self, keys: DataFrame, capacity: int, n_keys: int = 0):
+        capacity = max(capacity, -(-n_keys // self.MOST))
         self.buckets: list[tuple[int, int]] = []  # (prefix, local depth) of finished buckets
         open_, depth = {(0, 0)}, 0
         while open_:
-            ahead = depth + self.STEP
+            ahead = depth + self.STEP if depth else max(self.STEP, (n_keys // capacity).bit_length() + 2)
             parents = {p for p, _ in open_}
             rows = keys if not depth else keys.filter(_slot(depth).isin([int(p) for p in parents]))
             count = {r["slot"]: r["n"] for r in rows.groupBy(_slot(ahead).alias("slot")).agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -133,7 +141,7 @@ def build_index(docs: DataFrame, work: Workspace, capacity: int = 20_000) -> tup
     rows, _ = work.write(_keyed(docs).select("doc_id", "key", F.sha2("norm", 256).alias("sha")), "rows")
     keys, n_keys = work.write(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"),
                                                      F.min("sha").alias("sha")), "keys")
-    directory = Directory(keys, capacity)
+    directory = Directory(keys, capacity, n_keys)
     twice = keys.filter("n > 1").select("key")
     n_twice = twice.count()
     one = keys.filter("n = 1").select("key", F.lit(None).cast("string").alias("norm"), "sha",
