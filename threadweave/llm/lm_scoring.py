@@ -41,6 +41,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, fields
+from itertools import repeat
 from math import log
 
 import numpy as np
@@ -54,6 +55,8 @@ from threadweave.llm.tables import Workspace
 from threadweave.llm.textcols import Words, id_text, lower_ascii, slices, sums, word_hashes, words
 
 SLICE = 4 << 20
+#: Words whose ids a task remembers (some tens of MB).
+KNOWN = 200_000
 LN10 = log(10)
 OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
@@ -102,6 +105,7 @@ class Subwords:
         self.n_rows = self.pad_row + 1
         self.slot = np.where(np.arange(n + 1) < rules.pairs, np.arange(n + 1), rules.pairs + self.cls)
         self.slots = rules.pairs + self.classes
+        self._forget()
 
     def before(self, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Row of the table of followers for each id: the id before it, or a
@@ -129,9 +133,30 @@ class Subwords:
             flat = np.concatenate([flat, np.array(own[i], np.int32)])
         return flat, at, size
 
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.flat, self.at, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _recalled(self, vocab: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``_words`` of ``vocab``; words of earlier slices are not encoded again
+        (the memory of them begins anew at ``KNOWN`` words)."""
+        if len(self.known) > KNOWN:
+            self._forget()
+        place = np.fromiter(map(self.known.get, vocab, repeat(-1)), np.int64, len(vocab))
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            fresh = [vocab[i] for i in new.tolist()]
+            flat, at, size = self._words(fresh)
+            first = len(self.at)
+            self.at, self.size = np.concatenate([self.at, at + len(self.flat)]), np.concatenate([self.size, size])
+            self.flat = np.concatenate([self.flat, flat])
+            place[new] = np.arange(first, first + len(new))
+            self.known.update(zip(fresh, range(first, first + len(new)), strict=True))
+        return self.flat, self.at[place], self.size[place]
+
     def of(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
         """Ids of each text, end to end, with the end id; and where they begin."""
-        flat, at, size = self._words(w.vocab.to_pylist())
+        flat, at, size = self._recalled(w.vocab.to_pylist())
         width = size[w.codes]
         total, owner = int(width.sum()), w.owner()
         run = np.arange(total)
@@ -310,10 +335,10 @@ class Trainer:
         de += dval @ w.wv.T
         de[s:] += dh
         de[s:] += dq @ w.wq.T
-        order = np.argsort(flat_rows, kind="stable")
-        by_row = flat_rows[order]
-        first = np.flatnonzero(np.concatenate([[True], by_row[1:] != by_row[:-1]]))
-        used, demb = by_row[first], np.add.reduceat(de[order], first, axis=0)
+        used, place = np.unique(flat_rows, return_inverse=True)
+        # one sum per row and column; faster than sorted sums over rows
+        at = (place[:, None] * d + np.arange(d)).ravel()
+        demb = np.bincount(at, weights=de.ravel(), minlength=len(used) * d).reshape(-1, d).astype(np.float32)
         demb[used == self.v.pad_row] = 0
         square = self.square[0][used] + demb * demb
         self.square[0][used] = square
@@ -443,10 +468,21 @@ def _rows(kind: str, key: np.ndarray, n: np.ndarray, weights: list[bytes] | None
 
 
 def _mean_weights(key, table):
-    n = table["n"].to_numpy().astype(float)
-    stack = np.stack([np.frombuffer(x, np.float32) for x in table["weights"].to_pylist()])
-    mean = (stack * (n / n.sum())[:, None]).sum(axis=0).astype(np.float32)
-    return pa.table({"key": [key[0].as_py()], "weights": pa.array([mean.tobytes()], pa.binary())})
+    n = table["n"].to_numpy()
+    share = n / n.sum()
+    mean = sum(np.frombuffer(x, np.float32).astype(float) * y for x, y in zip(table["weights"].to_pylist(), share, strict=True))
+    return pa.table({"key": [key[0].as_py()], "n": pa.array([int(n.sum())], pa.int64()),
+                     "weights": pa.array([mean.astype(np.float32).tobytes()], pa.binary())})
+
+
+def mean_weights(parts: DataFrame, fan: int = 64) -> DataFrame:
+    """(key, n, weights): the means of the tasks' blocks, weighted by n, combined in
+    two levels, so a group holds about a ``fan``-th of the tasks' blocks, then
+    ``fan`` of them."""
+    lot = F.pmod(F.xxhash64("n", "weights"), F.lit(fan))
+    form = "key long, n long, weights binary"
+    return (parts.select("key", "n", "weights").groupBy("key", lot.alias("lot")).applyInArrow(_mean_weights, form)
+            .groupBy("key").applyInArrow(_mean_weights, form))
 
 
 @dataclass
@@ -473,7 +509,7 @@ def train_lm(train: DataFrame, ranks_file: str, work: Workspace, rules: LmRules
         table = learned.filter(F.col("kind") == kind).groupBy("key").agg(F.sum("n").alias("n")).toArrow()  # size rows at most
         found[kind] = np.zeros(size)
         found[kind][table["key"].to_numpy()] = table["n"].to_numpy()
-    blocks = learned.filter("kind = 'weights'").groupBy("key").applyInArrow(_mean_weights, "key long, weights binary").collect()
+    blocks = mean_weights(learned.filter("kind = 'weights'")).collect()
     vector = np.concatenate([np.frombuffer(r["weights"], np.float32) for r in sorted(blocks, key=lambda r: r["key"])]) if blocks else None
     texts = int(found["id"][v.end])
     work.drop("learned")
