@@ -272,3 +272,33 @@ def test_forced_split_equals_the_oracle(spark, force_split, key):
     df = entry.queries()[key](spark, SF_SMALL)
     rel = duck(SF_SMALL).sql(entry.oracle_sql()[key])
     assert digest(df.columns, [tuple(r) for r in df.collect()]) == digest(rel.columns, rel.fetchall())
+
+
+def test_property_graph_reuses_the_labels_of_its_user_graph(spark, monkeypatch):
+    from threadweave.plans import catalog
+    from tests.conftest import SF_SMALL
+    runs = []
+    labels = scc.scc_labels
+    monkeypatch.setattr(scc, "scc_labels", lambda *a, **k: runs.append(1) or labels(*a, **k))
+    df = catalog.q_scc_component_members(spark, SF_SMALL)
+    assert len(runs) == 1 and {r.graph for r in df.select("graph").distinct().collect()} == {"users", "property"}
+
+
+@pytest.mark.parametrize("rounds", [2, 6])
+@pytest.mark.parametrize("subreddit", [50, 3])   # 3: a subreddit whose id is also a user's
+def test_property_labels_equal_a_run_of_their_own(spark, rounds, subreddit):
+    users = [(1, 2), (2, 1), (2, 3), (3, 4), (4, 5), (5, 3), (6, 1)]
+    edges = [(a, b, "commented") for a, b in users] + [(u, subreddit, "posted") for u in (1, 4, 6)]
+    v = spark.createDataFrame([(i, f"u{i}", "user") for i in range(1, 7)] + [(subreddit, "s", "subreddit")], "id int, name string, type string")
+    g = PropertyGraph(v, spark.createDataFrame(edges, "src int, dst int, relationship string"))
+    user_labels = scc.scc_labels(_pg(spark, 6, [(a - 1, b - 1) for a, b in users], 1), rounds)
+    got = sorted((r.id, r.type, r.component) for r in scc.property_labels(user_labels, g, rounds).collect())
+    assert got == sorted((r.id, r.type, r.component) for r in scc.strongly_connected_components(g, rounds).collect())
+
+
+def test_string_ids_weigh_more_in_the_broadcast_bound(spark):
+    from threadweave.operators.joins import broadcast_ok
+    with runtime.session_conf(spark, {runtime.CONF_BROADCAST_ROWS: "100"}):
+        assert broadcast_ok(spark.createDataFrame([(1,)], "id int"), 100)
+        names = spark.createDataFrame([("u/a",)], "id string")
+        assert broadcast_ok(names, 25) and not broadcast_ok(names, 26)

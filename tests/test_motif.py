@@ -59,3 +59,25 @@ def test_motif_posted_only(spark):
 def test_motif_needs_both_directions(spark):
     edges = [(1, 10, "posted"), (1, 11, "posted"), (2, 10, "posted"), (2, 11, "posted"), (1, 2, "commented")]
     assert motif.motif_raw(_graph(spark, edges)).count() == 0
+
+
+def test_motif_joins_each_table_once(spark, monkeypatch):
+    """The pair's posts are joined once each; the pairs of shared subreddits need no join."""
+    plans = {}
+    write = motif.cut
+    monkeypatch.setattr(motif, "cut", lambda df, name: plans.setdefault(name, df._jdf.queryExecution().optimizedPlan().toString()) and write(df, name))
+    named = motif.motif_named(_busy(spark, 2, 1))
+    count = lambda text: sum(" Join " in f" {x.lstrip(' :+-')}" for x in text.splitlines())
+    assert count(plans["motif-shared"]) == 4   # both directions, posts of either user, the subreddit's name
+    assert count(named._jdf.queryExecution().optimizedPlan().toString()) == 2   # the users' names
+    assert {int(r.matches) for r in named.collect()} == {2 ** 4}
+
+
+def test_motif_of_a_long_list(spark):
+    subs = 40
+    v = spark.createDataFrame([(1, "ann", "user"), (2, "ben", "user")] + [(100 + i, f"s{i}", "subreddit") for i in range(subs)],
+                              "id int, name string, type string")
+    edges = [(u, 100 + i, "posted") for u in (1, 2) for i in range(subs)] + [(1, 2, "commented"), (2, 1, "commented")]
+    g = PropertyGraph(v, spark.createDataFrame(edges, "src int, dst int, relationship string"))
+    got = motif.motif_distinct(g).collect()
+    assert len(got) == 4 * subs * (subs - 1) // 2 and all(r.matches == 1 and r.subreddit1 != r.subreddit2 for r in got)

@@ -28,8 +28,15 @@ from threadweave.runtime import (
 )
 
 
+#: A string column counts as so many numbers when a table's size is bounded.
+STRING_WEIGHT = 3
+
+
 def broadcast_ok(df: DataFrame, rows: int) -> bool:
-    return rows <= conf_int(df.sparkSession, CONF_BROADCAST_ROWS)
+    """Whether ``rows`` rows like those of ``df`` are within the broadcast bound,
+    which is for rows of a few numbers; string columns (name ids) weigh more."""
+    strings = sum(f.dataType.typeName() in ("string", "varchar", "char") for f in df.schema)
+    return rows * (1 + STRING_WEIGHT * strings) <= conf_int(df.sparkSession, CONF_BROADCAST_ROWS)
 
 
 def hot_keys(edges: DataFrame, keys: Sequence[str], n_edges: int, max_keys: int | None = None) -> DataFrame | None:
