@@ -304,9 +304,9 @@ def marked(docs: DataFrame, w: Windows, work: Workspace, repeated: Column, solve
     work.settle()
     strings = both.filter("body IS NOT NULL").select("g", "s1", "s2", "n_win", "off", "body", "n", "least")
     hot, n_hot = work.write(strings.groupBy("g").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") > w.hot).select("g"), "hot")
-    parts = _solve(strings.join(F.broadcast(hot), "g", "left_anti") if n_hot else strings, solve, chunk)
+    parts = _solve(strings.join(small(hot, n_hot), "g", "left_anti") if n_hot else strings, solve, chunk)
     if n_hot:  # at most strings / hot keys
-        parts = parts.unionByName(_by_window(strings.join(F.broadcast(hot), "g", "left_semi"), w, pack))
+        parts = parts.unionByName(_by_window(strings.join(small(hot, n_hot), "g", "left_semi"), w, pack))
     marks, n_marks = work.write(parts, "marks")
     del parts, strings  # a plan that is still referred to keeps its shuffles
     work.settle()
