@@ -115,3 +115,44 @@ def test_placed_states_need_no_exchange(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "Exchange" not in plan
     assert isinstance(PropertyGraph(a, b.select(F.col("id").alias("src"), F.col("x").alias("dst"))), PropertyGraph)
+
+
+@pytest.mark.parametrize("bound", ["0", "40"])
+def test_scc_edges_shrink_with_the_work_set(spark, force_split, monkeypatch, bound):
+    """A star and a path are peeled, cycles stay: the later steps read the edges
+    of the cycles, by joins or by broadcasts of the work set."""
+    spark.conf.set(runtime.CONF_BROADCAST_ROWS, bound)
+    path = [(i, i + 1) for i in range(8)] + [(i, 60) for i in range(10, 60)]
+    edges = path + [(70 + i, 70 + (i + 1) % 9) for i in range(9)] + [(60, 80), (80, 81), (81, 80)]
+    groups = {"a": edges, "b": [(v, u) for u, v in edges], "c": [(1, 2)]}
+    v = spark.createDataFrame([(g, i) for g in groups for i in [*range(90), None]] + [(None, 1)], "period string, id int")
+    e = spark.createDataFrame([(g, s, d) for g, es in groups.items() for s, d in es] + [("a", None, 3), (None, 1, 1)],
+                              "period string, src int, dst int")
+    left = []
+    swept = scc._sweep
+
+    def spy(colours, ground):
+        left.append((ground.layout.by_src.all_edges().count(), ground.layout.by_dst.all_edges().count(), ground.g))
+        return swept(colours, ground)
+    monkeypatch.setattr(scc, "_sweep", spy)
+    got = {(r.period, r.id): r.component for r in scc.scc_labels(PropertyGraph(v, e, ("period",)), 3).collect()}
+    for g, es in groups.items():
+        want = _scc_ref(90, es)
+        assert {i: got[g, i] for i in want} == want
+    assert got["a", None] is None and got[None, 1] == 1 and len(got) == 3 * 91 + 1
+    out, into, key = left[0]
+    assert key == [] and max(out, into) < 100   # of 2 * len(edges) + 1 edges, by two numbers as one
+    assert bound == "0" or max(out, into) <= 45
+
+
+def test_scc_of_negative_and_extreme_ids_in_groups(spark):
+    ids = [-2**31, -5, 0, 7, 2**31 - 1]
+    es = [(ids[i], ids[(i + 1) % 5]) for i in range(5)]
+    rows = [("p", 1, *x) for x in es] + [("p", 2, *x) for x in es[1:4]] + [("q", 1, 7, 0), ("q", 1, 0, 7)]
+    e = spark.createDataFrame(rows, "period string, part int, src int, dst int")
+    v = (e.selectExpr("period", "part", "src as id").union(e.selectExpr("period", "part", "dst as id"))).distinct()
+    out = scc.scc_labels(PropertyGraph(v, e, ("period", "part")), 5)
+    assert out.schema["component"].dataType == out.schema["id"].dataType
+    got = {(r.period, r.part, r.id): r.component for r in out.collect()}
+    assert all(got["p", 1, i] == -2**31 for i in ids) and got["q", 1, 7] == got["q", 1, 0] == 0
+    assert all(got["p", 2, i] == i for i in ids[1:])

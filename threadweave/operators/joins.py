@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadweave.runtime import (
-    CONF_BROADCAST_ROWS, CONF_HOT_MAX_KEYS, CONF_HOT_MIN_ROWS, conf_int, cut, partitions_for,
+    CONF_BROADCAST_ROWS, CONF_HOT_MAX_KEYS, CONF_HOT_MIN_ROWS, conf_int, cut, cut_placed, partitions_for,
 )
 
 
@@ -108,6 +108,15 @@ class EdgeLayout:
         if self.kept:
             self.cold.unpersist()
 
+    def among(self, alive: DataFrame) -> EdgeLayout:
+        """The edges with a key in ``alive`` (partitioned like the states), written
+        where they lie and kept; beyond the broadcast bound."""
+        cold, _ = cut_placed(self.cold.join(alive, self.keys, "left_semi"), "edges-among")
+        hot = self.hot
+        if hot is not None:
+            hot = cut(hot.join(F.broadcast(alive.join(F.broadcast(self.hot_set), self.keys, "left_semi")), self.keys, "left_semi"), "hot-edges")
+        return EdgeLayout(self.keys, cold.persist(StorageLevel.MEMORY_AND_DISK), hot, self.hot_set, kept=True)
+
     def count_keys(self, name: str) -> DataFrame:
         """Edges per key: (keys, name); where the edges lie, without an exchange beyond the bound."""
         n = F.count(F.lit(1)).alias(name)
@@ -154,6 +163,10 @@ class GraphLayout:
            build: Callable[[DataFrame], DataFrame] = lambda df: df) -> GraphLayout:
         return cls(*(lay_out(edges, [*group, end], n_edges, state_rows, build) for end in ("src", "dst")))
 
+    def among(self, alive: DataFrame) -> GraphLayout:
+        """By source the edges out of ``alive`` vertices, by target those into them: (group..., id)."""
+        return GraphLayout(self.by_src.among(alive.withColumnRenamed("id", "src")), self.by_dst.among(alive.withColumnRenamed("id", "dst")))
+
     def release(self) -> None:
         self.by_src.release()
         self.by_dst.release()
