@@ -93,3 +93,19 @@ def test_season_query_reads_the_folders(spark, monkeypatch):
     read = steps.read_month_folders
     monkeypatch.setattr(steps, "read_month_folders", lambda s, folder, prefix, months: read(s, folder, prefix, months[1:]))
     assert not same(want, catalog.q_season_from_folders(spark, SF_SMALL))
+
+
+def test_stage_write_deals_rows_to_more_tasks_as_they_grow(spark, monkeypatch):
+    """The task that sorts its rows by month gets a layout's rows at most."""
+    seen, write = [], catalog.sinks.write_parquet
+
+    def spy(df, *args, **kw):
+        seen.append(int(spark.conf.get("spark.sql.shuffle.partitions")))
+        return write(df, *args, **kw)
+    monkeypatch.setattr(catalog.sinks, "write_parquet", spy)
+    spark.conf.set("threadweave.iter.rowsPerPartition", "300")
+    try:
+        n = QUERIES["stage_roundtrip"](spark, SF_SMALL).count()
+    finally:
+        spark.conf.unset("threadweave.iter.rowsPerPartition")
+    assert seen[0] >= n / 300 > 8 and spark.conf.get("spark.sql.shuffle.partitions") == "8"

@@ -20,13 +20,14 @@ from threadweave.functions import java_string_hash
 from threadweave.operators import counts, graph, motif, pagerank, prep, scc, triangles
 from threadweave.operators.graph import PropertyGraph
 from threadweave.plans import reports
-from threadweave.runtime import checkpoint_dir, cut, scratch_path
+from threadweave.runtime import checkpoint_dir, cut, scratch_path, shuffle_by_rows
 from threadweave.schema import (
     PAGERANK_MAX_ITER, SCC_MAX_ITER, SCC_MAX_ITER_SEASON, TOP_COMPONENTS_PERIOD, TOP_COMPONENTS_SEASON,
     TOP_PAGERANK,
 )
 from threadweave.sources import fixture, monthly, sinks
 from threadweave.sources.fixture import SEASON_LABEL, SEASON_PERIODS
+from threadweave.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -401,7 +402,10 @@ def q_triangles_named(spark, sf):
 
 def q_stage_roundtrip(spark, sf):
     comments = Pipeline(spark, sf).comments
-    path = sinks.write_parquet(comments, scratch_path(spark, "commentPrepped"), partition_by_month=True)
+    path = scratch_path(spark, "commentPrepped")
+    # a task sorts its whole rows by month, so the tasks follow the rows (a comment is a line item)
+    with shuffle_by_rows(spark, read_table(spark, sf, "lineitem").count()):
+        sinks.write_parquet(comments, path, partition_by_month=True)
     return spark.read.parquet(path).select(*comments.columns)
 
 

@@ -38,6 +38,9 @@ DEFAULTS = {
 }
 
 
+COALESCED = "32m"   # shuffled bytes of a task whose rows are wide where they are written
+
+
 def conf_int(spark: SparkSession, key: str) -> int:
     return int(spark.conf.get(key, str(DEFAULTS[key])))
 
@@ -194,6 +197,16 @@ def loop_conf(spark: SparkSession, rows: int = 0):
         yield parts
 
 
+@contextmanager
+def shuffle_by_rows(spark: SparkSession, rows: int):
+    """Session conf for jobs that shuffle ``rows`` rows: as many shuffle partitions as
+    the session has, and more where a task would get more rows than a layout's.
+    AQE joins them again up to ``COALESCED`` shuffled bytes only."""
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), partitions_for(spark, rows))
+    with session_conf(spark, {"spark.sql.shuffle.partitions": str(parts), "spark.sql.adaptive.advisoryPartitionSizeInBytes": COALESCED}):
+        yield parts
+
+
 def local_session(cores: int | None = None, shuffle_partitions: int | None = None,
                   app: str = "threadweave") -> SparkSession:
     """Session for tests and the bench (local mode, UI off, AQE on)."""
