@@ -1,5 +1,6 @@
 """The collision-free name ids give the same graph as the hash ids (no collisions in the fixtures)."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from threadweave.operators import counts, motif, scc
@@ -26,3 +27,12 @@ def test_name_ids_same_results(spark):
         return sorted(r.m for r in sets.collect())
 
     assert partition(h) == partition(n)
+
+
+@pytest.mark.parametrize("id_mode", ["hash", "name"])
+def test_names_written_with_the_keys_need_no_second_join(spark, id_mode):
+    plain, named = Pipeline(spark, SF_SMALL, id_mode), Pipeline(spark, SF_SMALL, id_mode, named=True)
+    assert not any("lineitem" in f or "orders" in f for f in named.vertices.inputFiles())
+    assert sorted(named.names.collect()) == sorted(plain.names.collect())
+    assert named.post_keys.columns == ["link_hash", "op_id", "author", "subreddit"]
+    assert named.comment_keys.columns == ["link_hash", "auth_id", "author"]

@@ -156,3 +156,17 @@ def test_scc_of_negative_and_extreme_ids_in_groups(spark):
     got = {(r.period, r.part, r.id): r.component for r in out.collect()}
     assert all(got["p", 1, i] == -2**31 for i in ids) and got["q", 1, 7] == got["q", 1, 0] == 0
     assert all(got["p", 2, i] == i for i in ids[1:])
+
+
+@pytest.mark.parametrize("groups", [["a"], ["a", "b"]])
+def test_pagerank_rounds_under_the_bound_shuffle_nothing(spark, recorded, groups):
+    """Ranks are broadcast and summed where a target's edges lie."""
+    edges = hub_edges()
+    e = spark.createDataFrame([(p, s, d) for p in groups for s, d in edges], "period string, src int, dst int")
+    v = spark.createDataFrame([(p, i) for p in groups for i in range(60)], "period string, id int")
+    graph = PropertyGraph(v, e, ("period",)) if len(groups) > 1 else PropertyGraph(v.drop("period"), e.drop("period"))
+    got = pagerank.pagerank_ranks(graph).collect()
+    want = _pagerank_ref(60, edges)
+    assert len(got) == 60 * len(groups) and all(r.pagerank == pytest.approx(want[r.id], abs=1e-9) for r in got)
+    rounds = [plan for label, plan in recorded if label == "pagerank-ranks"]
+    assert rounds and not any("Exchange hashpartitioning" in plan.split("InMemoryRelation")[0] for plan in rounds)

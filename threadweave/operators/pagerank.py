@@ -8,12 +8,14 @@ vertices without in-edges get 0.15.  After the last round ranks are scaled so
 they sum to the number of vertices (rank mass lost at sinks is restored).
 Edge weight = 1 / outdeg(src).
 
-Plan: parallel edges are collapsed to (src, dst, w) while the edges are laid out
-by ``src`` (``joins.lay_out``; hot sources apart), the only time they move.
-Ranks stay partitioned by vertex (``cut_placed``).  While the vertex count allows,
-a round broadcasts them; beyond that they lie like the edges, so a round
-moves the sums per ``dst`` only, combined in the tasks before.  The ranks are
-written every ``threadweave.iter.checkpointEvery`` rounds (every round where hot
+Plan: parallel edges are collapsed to (src, dst, w).  While the vertex count
+allows, they are laid out by ``dst`` and kept, and a round broadcasts the ranks:
+the sums are made where the edges lie, and nothing is shuffled.  A hot target has
+at most one edge per vertex there, so no more than the broadcast bound.  Beyond
+that, edges are collapsed while they are laid out by ``src`` (``joins.lay_out``;
+hot sources apart), the only time they move, ranks stay partitioned by vertex
+(``cut_placed``) like the edges, and a round moves the sums per ``dst`` only,
+combined in the tasks before.  The ranks are written every ``threadweave.iter.checkpointEvery`` rounds (every round where hot
 sources read them twice) and their predecessor is deleted, so lineage stays
 short and a lost executor only recomputes the current rounds.  The number of
 partitions follows the counted edges.  Vertices without in-edges are re-added at
@@ -22,12 +24,17 @@ the end.
 
 from __future__ import annotations
 
+from math import ceil
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadweave.operators.graph import PropertyGraph
 from threadweave.operators.joins import EdgeLayout, broadcast_ok, lay_out
-from threadweave.runtime import CONF_CHECKPOINT_EVERY, conf_int, cut_observed, cut_placed, loop_conf, replace_table
+from threadweave.runtime import (
+    CONF_CHECKPOINT_EVERY, CONF_LAYOUT_ROWS, conf_int, cut_observed, cut_placed, loop_conf, partitions_for, replace_table,
+)
 from threadweave.schema import PAGERANK_MAX_ITER, PAGERANK_RESET
 
 
@@ -50,6 +57,18 @@ def collapsed_weights(edges: DataFrame, g: list[str]) -> DataFrame:
     return pairs.join(outdeg, [*g, "src"]).select(*g, "src", "dst", (F.col("n") / F.col("outdeg")).alias("w"))
 
 
+def weights_by_target(edges: DataFrame, g: list[str], n_edges: int) -> EdgeLayout:
+    """``collapsed_weights`` laid out by target, for ranks within the broadcast
+    bound: out-degrees are broadcast, and the sum per target needs no exchange.
+    Parallel edges are collapsed before, so a target has one edge per vertex at most."""
+    spark = edges.sparkSession
+    parts = max(partitions_for(spark, n_edges), ceil(4 * n_edges / conf_int(spark, CONF_LAYOUT_ROWS)))
+    outdeg = F.broadcast(out_degrees(edges, g))
+    w = (edges.groupBy(*g, "src", "dst").agg(F.count(F.lit(1)).alias("n")).join(outdeg, [*g, "src"])
+         .select(*g, "src", "dst", (F.col("n") / F.col("outdeg")).alias("w")))
+    return EdgeLayout([*g, "src"], w.repartition(parts, *g, "dst").persist(StorageLevel.MEMORY_AND_DISK), kept=True)
+
+
 def rank_round(by_src: EdgeLayout, ranks: DataFrame | None, n_vertices: int, g: list[str], reset: float) -> DataFrame:
     """Ranks (group..., id, pagerank) after one more round, of vertices with
     in-edges.  Only they are stored: any other vertex has rank ``reset`` after the
@@ -77,9 +96,10 @@ def pagerank_ranks(graph: PropertyGraph, max_iter: int = PAGERANK_MAX_ITER,
     edges, me = cut_observed(graph.edges.select(*g, "src", "dst"), "pagerank-edges")
     ranks, path = None, None
     with loop_conf(spark, max(me["rows"], n_vertices)):
-        by_src = lay_out(edges, [*g, "src"], me["rows"], n_vertices, lambda df: collapsed_weights(df, g))
-        if small:   # read in every round; beyond the bound the layout is kept
-            by_src.cold, _ = cut_observed(by_src.cold, "pagerank-weights")
+        if small:
+            by_src = weights_by_target(edges, g, me["rows"])
+        else:
+            by_src = lay_out(edges, [*g, "src"], me["rows"], n_vertices, lambda df: collapsed_weights(df, g))
         every = max(1, conf_int(spark, CONF_CHECKPOINT_EVERY)) if by_src.hot is None else 1
         for i in range(max_iter):
             ranks = rank_round(by_src, ranks, n_vertices, g, reset)

@@ -40,14 +40,16 @@ class Pipeline:
     stage, the stage is written once to the shared checkpoint folder, with the
     columns that are read and no others: the keys of posts and comments for the
     graphs (``subreddits``: with the post's subreddit, for the property graph),
-    and the distinct names.
+    and the distinct names.  ``named``: a query that reads both keys and names
+    writes them together, and the names are taken from there.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, id_mode: str = "hash", subreddits: bool = False):
+    def __init__(self, spark: SparkSession, sf_dir: str, id_mode: str = "hash", subreddits: bool = False, named: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
         self.id_mode = id_mode
         self.subreddits = subreddits
+        self.named = named
         self._labels: dict[int, DataFrame] = {}
         checkpoint_dir(spark)
 
@@ -72,12 +74,12 @@ class Pipeline:
     # (graph tables stay lazy: the iterative operators write their own inputs)
     @cached_property
     def post_keys(self) -> DataFrame:
-        columns = ["link_hash", "op_id", "sub_id"] if self.subreddits else ["link_hash", "op_id"]
+        columns = ["link_hash", "op_id"] + ["sub_id"] * self.subreddits + ["author", "subreddit"] * self.named
         return cut(self.posts.select(*columns), "postKeys")
 
     @cached_property
     def comment_keys(self) -> DataFrame:
-        return cut(self.comments.select("link_hash", "auth_id"), "commentKeys")
+        return cut(self.comments.select("link_hash", "auth_id", *["author"] * self.named), "commentKeys")
 
     @cached_property
     def user_graph(self) -> PropertyGraph:
@@ -90,6 +92,8 @@ class Pipeline:
 
     @property
     def vertices(self) -> DataFrame:
+        if self.named:
+            return graph.property_graph_vertices(self.post_keys, self.comment_keys, self.id_mode)
         return graph.property_graph_vertices(prep.clean_submissions(self.submissions_raw),
                                              prep.clean_comments(self.comments_raw), self.id_mode)
 
@@ -304,7 +308,7 @@ def q_season_pagerank_edges(spark, sf):
 
 
 def q_pagerank_users_named(spark, sf):
-    p = Pipeline(spark, sf)
+    p = Pipeline(spark, sf, named=True)
     ranks = pagerank.pagerank_ranks(p.user_graph, PAGERANK_MAX_ITER).select("id", _r6("pagerank"))
     return reports.pagerank_named(ranks, p.names)
 
