@@ -371,8 +371,14 @@ def q_comments_of_top_author(spark, sf):
 
 # ---- step 6: motif and triangles ----------------------------------------------------------------
 
+def _motif_graph(spark, sf) -> PropertyGraph:
+    """The property graph with its edges written: the motif reads them twice."""
+    g = Pipeline(spark, sf, subreddits=True, named=True).property_graph
+    return PropertyGraph(g.vertices, cut(g.edges, "motif-edges"))
+
+
 def q_motif_collab(spark, sf):
-    return motif.motif_raw(Pipeline(spark, sf, subreddits=True).property_graph)
+    return motif.motif_raw(_motif_graph(spark, sf))
 
 
 def _count_text(df: DataFrame) -> DataFrame:
@@ -381,11 +387,11 @@ def _count_text(df: DataFrame) -> DataFrame:
 
 
 def q_motif_collab_distinct(spark, sf):
-    return _count_text(motif.motif_distinct(Pipeline(spark, sf, subreddits=True).property_graph))
+    return _count_text(motif.motif_distinct(_motif_graph(spark, sf)))
 
 
 def q_motif_posted_only(spark, sf):
-    return _count_text(motif.motif_distinct(Pipeline(spark, sf, subreddits=True).property_graph, posted_only=True))
+    return _count_text(motif.motif_distinct(_motif_graph(spark, sf), posted_only=True))
 
 
 def q_triangle_count(spark, sf):
