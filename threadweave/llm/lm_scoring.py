@@ -51,9 +51,10 @@ from pyspark.sql import functions as F
 
 from threadweave.llm.packing import byte_bpe
 from threadweave.llm.tables import Workspace
-from threadweave.llm.textcols import Words, id_text, lower_ascii, slices, sums, word_hashes, words
+from threadweave.llm.textcols import Words, end_to_end, id_text, lower_ascii, slices, sums, word_hashes, words
 
 SLICE = 4 << 20
+HELD_WORDS = 1 << 20  # word counts that a task holds until it merges or writes them
 LN10 = log(10)
 OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
@@ -81,7 +82,7 @@ class Subwords:
 
     def __init__(self, ranks_file: str, rules: LmRules):
         encoding = byte_bpe(ranks_file)
-        self.encode = encoding.encode_ordinary
+        self.encode = lambda text: encoding.encode_to_numpy(text, disallowed_special=()).astype(np.int32)  # noqa: E731  special strings are text
         self.spaced = np.zeros(encoding.n_vocab, bool)
         n = encoding.n_vocab
         self.end = n
@@ -111,35 +112,36 @@ class Subwords:
         out[starts[:-1][np.diff(starts) > 0]] = self.slot[self.end]
         return out
 
-    def _words(self, vocab: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _words(self, vocab: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of distinct words with a space in front: all ids, and each word's
         first place and number.  Words are encoded in one string, where a piece
         with a leading space begins a word; words with white space beyond ASCII,
         which could meet a neighbour's, are encoded alone."""
-        joined = " ".join(vocab)
-        odd = [i for i, x in enumerate(vocab) if OTHER_SPACE.search(x)] if OTHER_SPACE.search(joined) else []
-        if odd:
-            own = {i: self.encode(" " + vocab[i]) for i in odd}
-            joined = " ".join("a" if i in own else x for i, x in enumerate(vocab))
-        flat = np.array(self.encode(" " + joined) if vocab else [], np.int32)
+        joined = end_to_end(vocab, " ").as_py() if len(vocab) else ""
+        own = {}
+        if OTHER_SPACE.search(joined):
+            texts = vocab.to_pylist()
+            own = {i: self.encode(" " + x) for i, x in enumerate(texts) if OTHER_SPACE.search(x)}
+            joined = " ".join("a" if i in own else x for i, x in enumerate(texts))
+        flat = self.encode(" " + joined) if len(vocab) else np.zeros(0, np.int32)
         at = np.flatnonzero(self.spaced[flat])
-        size = np.diff(np.concatenate([at, [len(flat)]]))
-        for i in odd:
-            at[i], size[i] = len(flat), len(own[i])
-            flat = np.concatenate([flat, np.array(own[i], np.int32)])
+        size = np.diff(at, append=len(flat))
+        for i, x in own.items():
+            at[i], size[i] = len(flat), len(x)
+            flat = np.concatenate([flat, x])
         return flat, at, size
 
     def of(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
         """Ids of each text, end to end, with the end id; and where they begin."""
-        flat, at, size = self._words(w.vocab.to_pylist())
-        width = size[w.codes]
-        total, owner = int(width.sum()), w.owner()
-        run = np.arange(total)
-        ids = np.full(total + len(w.starts) - 1, self.end, np.int32)
-        # an id's place: those before it, and one end for each text before its own
-        ids[run + np.repeat(owner, width)] = flat[np.repeat(at[w.codes] - (np.cumsum(width) - width), width) + run]
-        starts = np.concatenate([[0], np.cumsum(sums(width, w.starts) + 1)])
-        return ids, starts
+        flat, at, size = self._words(w.vocab)
+        # the end id is one more word, the last of each text
+        flat, at, size = np.append(flat, np.int32(self.end)), np.append(at, len(flat)), np.append(size, 1)
+        codes = np.insert(w.codes, w.starts[1:], len(w.vocab))
+        ends = np.cumsum(size[codes])
+        total = int(ends[-1]) if len(ends) else 0
+        place = np.repeat(at[codes] - ends + size[codes], size[codes])
+        place += np.arange(total)
+        return flat.take(place), np.concatenate([[0], ends])[w.starts + np.arange(len(w.starts))]
 
 
 @dataclass
@@ -246,12 +248,22 @@ class Attention:
 
 
 class Trainer:
-    """Adagrad over batches of windows, from common starting weights."""
+    """Adagrad over batches of windows, from common starting weights.
+
+    All weights but the input rows lie in one vector, as do their sums of
+    squares; ``w`` and ``square`` are views of these."""
 
     def __init__(self, w: Weights, v: Subwords, rules: LmRules):
-        self.w, self.v, self.rules, self.seen = w, v, rules, 0
-        self.net = Attention(w, v, rules.stride)
-        self.square = [np.full_like(x, 1e-6) for x in w.parts()]
+        self.v, self.rules, self.seen = v, rules, 0
+        self.net = net = Attention(w, v, rules.stride)
+        rest = w.parts()[1:]
+        self.rest = np.concatenate([x.ravel() for x in rest])
+        self.rest_square = np.full_like(self.rest, 1e-6)
+        self.w = Weights(w.emb, *_views(self.rest, rest))
+        self.square = [np.full_like(w.emb, 1e-6), *_views(self.rest_square, rest)]
+        #: the open cells of a window by distance
+        self.by_distance = ((net.back.ravel()[:, None] == np.arange(2 * rules.stride)) & (net.closed.ravel() == 0)[:, None]).astype(np.float32)
+        self.key = np.int16 if v.n_rows < 1 << 15 else np.int32  # short keys sort faster
 
     def learn(self, ids: np.ndarray, starts: np.ndarray) -> None:
         s = self.rules.stride
@@ -267,26 +279,26 @@ class Trainer:
         """One step over the windows of neighbouring blocks ``rows``; ``target``:
         ids of all blocks but the first.  The gradients are those of
         ``Attention``; windows share their blocks' keys and values, and only
-        the input rows that occur are touched."""
+        the input rows that occur are touched.  Empty positions are masked where
+        a block is empty; those behind a text are closed to its ids, and have no
+        target of their own."""
         w, net, s, d, n = self.w, self.net, self.rules.stride, self.w.emb.shape[1], len(target)
         scale = np.float32(1 / np.sqrt(d))
         flat_rows = rows.ravel()
         e = w.emb.take(flat_rows, axis=0)
-        own = e[s:]
-        q, k, val = own @ (w.wq * scale), e @ w.wk, e @ w.wv
-        pair = lambda x: np.lib.stride_tricks.as_strided(x, (n, 2 * s, d), (s * x.strides[0], *x.strides))  # noqa: E731  block i and the one after it
-        keys, values, q = pair(k), pair(val), q.reshape(n, s, d)
+        into = np.concatenate([w.wq * scale, w.wk, w.wv], axis=1)
+        qkv = (e @ into).reshape(n + 1, s, 3 * d)
+        pair = lambda x: np.lib.stride_tricks.as_strided(x, (n, 2 * s, d), x.strides)  # noqa: E731  block i and the one after it
+        q, keys, values = qkv[1:, :, :d], pair(qkv[:, :, d:2 * d]), pair(qkv[:, :, 2 * d:])
         p = np.matmul(q, keys.transpose(0, 2, 1))
         p += w.dist[net.back] + net.closed
-        pad = rows == self.v.pad_row
-        some = np.flatnonzero(pad[:-1].any(axis=1) | pad[1:].any(axis=1))
-        if len(some):
-            p[some] += np.where(np.concatenate([pad[some], pad[some + 1]], axis=1), np.float32(-1e4), np.float32(0))[:, None, :]
-        np.clip(p, -1e4, 50, out=p)
+        np.minimum(p, 50, out=p)
         np.exp(p, out=p)
+        p[rows[:-1, 0] == self.v.pad_row, :, :s] = 0
         ones = np.ones((2 * s, 1), np.float32)  # sums by matrix product: faster over short rows
         p /= (p.reshape(-1, 2 * s) @ ones).reshape(n, s, 1) + np.float32(1e-30)
-        h = own + np.matmul(p, values).reshape(-1, d)
+        seen = np.matmul(p, values).reshape(-1, d)
+        h = e[s:] + seen
         z = h @ w.out
         z += w.bias
         np.clip(z, -50, 50, out=z)
@@ -296,40 +308,46 @@ class Trainer:
         weight = np.zeros(len(wanted), np.float32)
         weight[live] = 1 / max(1, len(live))
         z *= (weight / (z @ np.ones(z.shape[1], np.float32)))[:, None]
-        z[live, self.v.cls[wanted[live]]] -= weight[live]
+        z.ravel()[live * z.shape[1] + self.v.cls[wanted[live]]] -= weight[live]
         dh = z @ w.out.T
         dh3 = dh.reshape(n, s, d)
         dp = np.matmul(dh3, values.transpose(0, 2, 1))
-        dval = self._blocks(np.matmul(p.transpose(0, 2, 1), dh3))
-        dp -= ((dp * p).reshape(-1, 2 * s) @ ones).reshape(n, s, 1)
+        dp -= ((dh * seen) @ np.ones((d, 1), np.float32)).reshape(n, s, 1)
         dp *= p
-        ddist = np.bincount(net.back.ravel(), weights=np.where(net.closed < 0, 0, dp.sum(axis=0)).ravel(), minlength=2 * s).astype(np.float32)
-        dk = self._blocks(np.matmul(dp.transpose(0, 2, 1), q))
-        dq = np.matmul(dp, keys).reshape(-1, d) * scale
-        de = dk @ w.wk.T
-        de += dval @ w.wv.T
+        grad = np.empty((n + 1, s, 3 * d), np.float32)
+        grad[0, :, :d], grad[-1, :, d:] = 0, 0
+        np.matmul(dp, keys, out=grad[1:, :, :d])
+        later = np.empty((n, s, 2 * d), np.float32)  # a block is the second of its window and the first of the next
+        for i, x, y in ((d, dp, q), (2 * d, p, dh3)):
+            x = x.transpose(0, 2, 1)
+            np.matmul(x[:, :s], y, out=grad[:-1, :, i:i + d])
+            np.matmul(x[:, s:], y, out=later[:, :, i - d:i])
+        grad[1:, :, d:] += later
+        grad = grad.reshape(-1, 3 * d)
+        de = grad @ into.T
         de[s:] += dh
-        de[s:] += dq @ w.wq.T
-        order = np.argsort(flat_rows, kind="stable")
-        by_row = flat_rows[order]
+        key = flat_rows.astype(self.key)
+        order = np.argsort(key, kind="stable")
+        by_row = key[order]
         first = np.flatnonzero(np.concatenate([[True], by_row[1:] != by_row[:-1]]))
-        used, demb = by_row[first], np.add.reduceat(de[order], first, axis=0)
+        used, demb = flat_rows[order[first]], np.add.reduceat(de.take(order, axis=0), first, axis=0)
         demb[used == self.v.pad_row] = 0
-        square = self.square[0][used] + demb * demb
+        square = self.square[0].take(used, axis=0) + demb * demb
         self.square[0][used] = square
         w.emb[used] -= self.rules.rate * demb / np.sqrt(square)
-        rest = [own.T @ dq, e.T @ dk, e.T @ dval, ddist, h.T @ z, z.sum(axis=0)]
-        for x, g, sq in zip(w.parts()[1:], rest, self.square[1:], strict=True):
-            sq += g * g
-            x -= self.rules.rate * g / np.sqrt(sq)
+        dinto = e.T @ grad
+        dinto[:, :d] *= scale
+        ddist = (np.ones(n, np.float32) @ dp.reshape(n, -1)) @ self.by_distance
+        g = np.concatenate([*(dinto[:, i:i + d].ravel() for i in range(0, 3 * d, d)), ddist, (h.T @ z).ravel(),
+                            np.ones(len(z), np.float32) @ z])
+        self.rest_square += g * g
+        self.rest -= self.rules.rate * g / np.sqrt(self.rest_square)
+
 
-    def _blocks(self, x: np.ndarray) -> np.ndarray:
-        """Gradients by window -> by block, each block being in two windows."""
-        n, s = len(x), self.rules.stride
-        out = np.zeros((n + 1, s, x.shape[2]), np.float32)
-        out[:-1] += x[:, :s]
-        out[1:] += x[:, s:]
-        return out.reshape(-1, x.shape[2])
+def _views(flat: np.ndarray, parts: list[np.ndarray]) -> list[np.ndarray]:
+    """Views of ``flat`` in the shapes of ``parts``, one after another."""
+    ends = np.cumsum([x.size for x in parts])
+    return [flat[b - x.size:b].reshape(x.shape) for x, b in zip(parts, ends, strict=True)]
 
 
 class Shares:
@@ -344,9 +362,8 @@ class Shares:
         self.pair = pair_count.astype(np.float32)
         class_of_slot = np.zeros(v.slots, np.int64)
         class_of_slot[v.slot] = v.cls
-        by_class = np.zeros((v.classes, v.slots))
-        np.add.at(by_class, class_of_slot, pair_count.reshape(v.slots, v.slots).T)
-        self.by_class = by_class.T.astype(np.float32).ravel()
+        of_class = class_of_slot[:, None] == np.arange(v.classes)
+        self.by_class = (pair_count.reshape(v.slots, v.slots) @ of_class.astype(float)).astype(np.float32).ravel()
 
     def log(self, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
         v, before = self.v, self.v.before(ids, starts)
@@ -356,41 +373,43 @@ class Shares:
 
 class Scorer:
     """Forward pass of ``Attention`` for scoring alone: queries, keys and values
-    of all input rows are tables, and neighbouring blocks share theirs."""
+    of all input rows are tables, and neighbouring blocks share theirs.  A column
+    of ones beside the values gives the sums of attention and, divided by
+    these, the ones that meet the bias."""
 
     def __init__(self, w: Weights, v: Subwords, stride: int):
         self.v, self.s = v, stride
         scale = np.float32(1 / np.sqrt(w.wq.shape[0]))
-        self.emb, self.q, self.k, self.v_ = w.emb, w.emb @ w.wq * scale, w.emb @ w.wk, w.emb @ w.wv
+        beside = lambda x, c: np.concatenate([x, np.full((len(x), 1), c, np.float32)], axis=1)
+        self.emb, self.q, self.k, self.v_ = beside(w.emb, 0), w.emb @ w.wq * scale, w.emb @ w.wk, beside(w.emb @ w.wv, 1)
         closed = Attention(w, v, stride)
         self.bias = w.dist[closed.back] + closed.closed
-        self.out, self.out_bias = w.out, w.bias
+        self.out = np.concatenate([w.out, w.bias[None]])
 
     def class_logs(self, rows: np.ndarray, cls: np.ndarray) -> np.ndarray:
         """Log probability of class ``cls[i]`` at each position of blocks 1, 2, ... of ``rows`` (blocks x stride)."""
-        s, d, n = self.s, self.emb.shape[1], len(rows) - 1
+        s, n = self.s, len(rows) - 1
         k, val = self.k.take(rows, axis=0), self.v_.take(rows, axis=0)
-        pair = lambda x: np.lib.stride_tricks.as_strided(x, (n, 2 * s, d), x.strides)  # noqa: E731  block i and the one after it
+        pair = lambda x: np.lib.stride_tricks.as_strided(x, (n, 2 * s, x.shape[2]), x.strides)  # noqa: E731  block i and the one after it
         score = np.matmul(self.q.take(rows[1:], axis=0), pair(k).transpose(0, 2, 1))
         score += self.bias
         pad = rows == self.v.pad_row
-        some = np.flatnonzero(pad[:-1].any(axis=1) | pad[1:].any(axis=1))
+        some = pad.any(axis=1)
+        some = np.flatnonzero(some[:-1] | some[1:])
         if len(some):
             score[some] += np.where(np.concatenate([pad[some], pad[some + 1]], axis=1), np.float32(-1e4), np.float32(0))[:, None, :]
         np.minimum(score, 50, out=score)
         p = np.exp(score, out=score)
-        total = p.reshape(-1, 2 * s) @ np.ones((2 * s, 1), np.float32)  # sums by matrix product: faster over short rows
-        h = np.matmul(p, pair(val)).reshape(-1, d)
-        h /= total + np.float32(1e-30)
+        h = np.matmul(p, pair(val)).reshape(len(cls), -1)
+        h /= h[:, -1:] + np.float32(1e-30)
         h += self.emb.take(rows[1:].ravel(), axis=0)
         logits = h @ self.out
-        logits += self.out_bias
         np.minimum(logits, 50, out=logits)
-        own = logits[np.arange(len(logits)), cls]
-        return own - np.log(np.exp(logits, out=logits) @ np.ones(len(self.out_bias), np.float32))
+        own = logits.ravel().take(np.arange(len(logits)) * logits.shape[1] + cls)
+        return own - np.log(np.exp(logits, out=logits) @ np.ones(logits.shape[1], np.float32))
 
 
-def score_ids(ids: np.ndarray, starts: np.ndarray, v: Subwords, scorer: Scorer, shares: Shares, chunk: int = 512) -> np.ndarray:
+def score_ids(ids: np.ndarray, starts: np.ndarray, v: Subwords, scorer: Scorer, shares: Shares, chunk: int = 128) -> np.ndarray:
     """Log10 probability of each text."""
     s = scorer.s
     rows, target = windows(ids, starts, v, s)
@@ -416,14 +435,20 @@ def _learn(train: DataFrame, ranks_file: str, rules: LmRules) -> DataFrame:
         trainer = Trainer(Weights.start(v, rules), v, rules)
         id_count = np.zeros(v.end + 1, np.int64)
         pair_count = np.zeros(v.slots ** 2, np.int64)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         for part in slices(batches, SLICE):
             w = words(lower_ascii(part["text"]))
             ids, starts = v.of(w)
             id_count += np.bincount(ids, minlength=len(id_count))
-            pair_count += np.bincount(v.before(ids, starts) * v.slots + v.slot[ids], minlength=len(pair_count))
+            np.add.at(pair_count, v.before(ids, starts) * v.slots + v.slot[ids], 1)
             trainer.learn(ids, starts)
-            count = np.bincount(w.codes, minlength=len(w.vocab))
-            yield _rows("word", word_hashes(w.vocab).view(np.int64), count)
+            held.append((word_hashes(w.vocab).view(np.int64), np.bincount(w.codes, minlength=len(w.vocab))))
+            if sum(len(h) for h, _ in held) > HELD_WORDS:
+                held = [_merged(held)]
+                if len(held[0][0]) > HELD_WORDS // 2:
+                    yield from _batches("word", *held.pop())
+        if held:
+            yield from _batches("word", *_merged(held))
         used = np.flatnonzero(id_count)
         yield _rows("id", used, id_count[used])
         used = np.flatnonzero(pair_count)
@@ -436,6 +461,20 @@ def _learn(train: DataFrame, ranks_file: str, rules: LmRules) -> DataFrame:
     return train.select("text").mapInArrow(run, "kind string, key long, n long, weights binary")
 
 
+def _merged(counts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts by key, each key once."""
+    key, n = (np.concatenate(x) for x in zip(*counts, strict=True))
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.diff(key, prepend=key[:1] - 1)) if len(key) else order
+    return key[first], np.add.reduceat(n[order], first) if len(key) else n
+
+
+def _batches(kind: str, key: np.ndarray, n: np.ndarray, rows: int = 1 << 17) -> Iterator[pa.RecordBatch]:
+    for i in range(0, len(key), rows):
+        yield _rows(kind, key[i:i + rows], n[i:i + rows])
+
+
 def _rows(kind: str, key: np.ndarray, n: np.ndarray, weights: list[bytes] | None = None) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({"kind": pa.array([kind]).take(pa.array(np.zeros(len(key), np.int64))),
                                        "key": pa.array(key, pa.int64()), "n": pa.array(n, pa.int64()),

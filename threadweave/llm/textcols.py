@@ -90,17 +90,31 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def end_to_end(texts: pa.Array, between: str = "") -> pa.Scalar:
+    """All texts in one, with ``between`` between them (no nulls)."""
+    return pc.binary_join(pa.ListArray.from_arrays([0, len(texts)], texts), pa.scalar(between, texts.type))[0]
+
+
+#: pseudo-random numbers of the bytes at the first places of a word
+BYTE_HASHES = mix((np.arange(32 * 256, dtype=np.uint64) + np.uint64(1)) * MIX)
+
+
 def word_hashes(vocab: pa.Array) -> np.ndarray:
     """64-bit hashes of distinct words: the sum of one pseudo-random number for
     each byte and its place, mixed."""
     size = pc.binary_length(vocab).to_numpy(zero_copy_only=False).astype(np.int64)
-    starts = np.cumsum(size) - size
-    data = np.frombuffer(b"".join(vocab.cast(pa.binary()).to_pylist()), np.uint8)
-    if not len(data):
+    ends = np.cumsum(size)
+    if not len(ends) or not ends[-1]:
         return mix(np.full(len(vocab), MIX))
-    place = (np.arange(len(data)) - np.repeat(starts, size)).astype(np.uint64)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix((place * np.uint64(256) + data + np.uint64(1)) * MIX), dtype=np.uint64)])
-    return mix(total[starts + size] - total[starts] + MIX)
+    place = np.arange(ends[-1])
+    place -= np.repeat(ends - size, size)
+    place *= 256
+    place += np.frombuffer(end_to_end(vocab).as_buffer(), np.uint8)
+    own = BYTE_HASHES.take(place, mode="clip")
+    late = np.flatnonzero(place >= len(BYTE_HASHES))
+    own[late] = mix((place[late].astype(np.uint64) + np.uint64(1)) * MIX)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(own, dtype=np.uint64)])
+    return mix(total[ends] - total[ends - size] + MIX)
 
 
 def lower_ascii(texts: pa.Array) -> pa.Array:
