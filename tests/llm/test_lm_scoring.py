@@ -11,8 +11,10 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 
-from threadweave.llm.lm_scoring import Attention, LmRules, Scorer, Shares, Subwords, Trainer, Weights, lm_scores, score_ids, windows
-from threadweave.llm.textcols import words
+from threadweave.llm.lm_scoring import (
+    Attention, LmRules, Scorer, Shares, Subwords, Trainer, Weights, _learn, _merged, lm_scores, score_ids, windows)
+from threadweave.llm.packing import byte_bpe
+from threadweave.llm.textcols import MIX, mix, word_hashes, words
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 RULES = LmRules()
@@ -33,6 +35,44 @@ def test_ids_are_those_of_the_words(vocabulary):
         assert ids[starts[i]:starts[i + 1]].tolist() == want
 
 
+def test_special_strings_are_text(vocabulary):
+    for text in ("<|endoftext|>", "a <|endoftext|> b", "x<|endoftext|>\x85y"):
+        ids, _ = vocabulary.of(words(pa.array([text])))
+        assert ids.tolist() == [x for w in text.encode().split() for x in byte_bpe(RANKS).encode_ordinary(" " + w.decode())] + [vocabulary.end]
+
+
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_word_hashes_of_long_words(kind):
+    vocab = ["", "a", "\u00e9" * 16, "x" * 31, "y" * 32, "z" * 33, "\u65e5" * 500, "b" * 900]
+    want = []
+    for w in vocab:
+        total = MIX.copy()
+        with np.errstate(over="ignore"):
+            for i, c in enumerate(w.encode()):
+                total += mix(np.array([i * 256 + c + 1], np.uint64) * MIX)[0]
+        want.append(int(mix(np.array([total]))[0]))
+    for first in (0, 3):
+        assert word_hashes(pa.array(vocab, kind)[first:]).tolist() == want[first:]
+    assert len(word_hashes(pa.array([], kind))) == 0
+
+
+def test_a_task_writes_the_count_of_a_word_once(spark):
+    long = "one two three four " * 120_000  # two of these are more than a slice
+    df = spark.createDataFrame([(long,)] * 3 + [("five one",)], "text string").coalesce(1)
+    rows = [(r.key, r.n) for r in _learn(df, RANKS, LmRules()).filter("kind = 'word'").select("key", "n").collect()]
+    want = dict(zip(word_hashes(pa.array(["one", "two", "three", "four", "five"])).view(np.int64).tolist(),
+                    [360_001, 360_000, 360_000, 360_000, 1], strict=True))
+    assert len(rows) == len(want) and dict(rows) == want
+
+
+def test_merged_counts():
+    low, high = -(1 << 63), (1 << 63) - 1
+    key, n = _merged([(np.array([5, low, high]), np.array([1, 2, 3])), (np.array([], np.int64), np.array([], np.int64)),
+                      (np.array([high, 5, -1]), np.array([10, 20, 30]))])
+    assert dict(zip(key.tolist(), n.tolist(), strict=True)) == {low: 2, -1: 30, 5: 21, high: 13} and len(key) == 4
+    assert len(_merged([(np.array([], np.int64), np.array([], np.int64))])[0]) == 0
+
+
 def test_each_id_is_scored_once_with_context(vocabulary):
     s = 4
     ids, starts = np.arange(100, 123), np.array([0, 1, 10, 23])
@@ -128,6 +168,26 @@ def test_a_step_has_the_gradients_of_all_its_windows(vocabulary):
         assert np.allclose(x, y - RULES.rate * g / np.sqrt(g * g + np.float32(1e-6)), atol=1e-3)
 
 
+def test_a_step_clips_large_logits(vocabulary):
+    v, s = vocabulary, RULES.stride
+    ids = np.append(np.random.default_rng(9).integers(0, 50_000, 200), v.end)
+    rows, target = (x.reshape(-1, s) for x in windows(ids, np.array([0, 201]), v, s))
+    steep = Weights.start(v, RULES)
+    steep.out *= 120
+    steep.wq *= 40
+    net = Attention(steep, v, s)
+    logits, kept = net.forward(np.concatenate([rows[:-1], rows[1:]], axis=1))
+    assert logits.max() == 50 and logits.min() == -50
+    grads = net.backward(logits, kept, target[1:])
+    again = Weights.start(v, RULES)
+    again.out *= 120
+    again.wq *= 40
+    trainer = Trainer(again, v, RULES)
+    trainer.step(rows, target[1:])
+    for sq, g in zip(trainer.square, grads, strict=True):
+        assert np.allclose(np.sqrt(sq), np.sqrt(g * g + 1e-6), rtol=1e-2, atol=1e-3 * max(1, np.abs(g).max()))
+
+
 def test_every_window_trains(vocabulary):
     v, s = vocabulary, RULES.stride
     sizes = [1, 7, 16, 17, 40, 500, 16, 2000]

@@ -41,6 +41,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, fields
+from functools import lru_cache
 from math import log
 
 import numpy as np
@@ -77,6 +78,12 @@ class LmRules:
     seed: int = 7
 
 
+@lru_cache(maxsize=2)
+def subwords(ranks_file: str, rules: LmRules) -> Subwords:
+    """One for all tasks of a worker."""
+    return Subwords(ranks_file, rules)
+
+
 class Subwords:
     """Ids, their classes and input rows.  The id after the vocabulary is the end."""
 
@@ -288,11 +295,11 @@ class Trainer:
         e = w.emb.take(flat_rows, axis=0)
         into = np.concatenate([w.wq * scale, w.wk, w.wv], axis=1)
         qkv = (e @ into).reshape(n + 1, s, 3 * d)
-        pair = lambda x: np.lib.stride_tricks.as_strided(x, (n, 2 * s, d), x.strides)  # noqa: E731  block i and the one after it
-        q, keys, values = qkv[1:, :, :d], pair(qkv[:, :, d:2 * d]), pair(qkv[:, :, 2 * d:])
+        q, keys, values = qkv[1:, :, :d], _pairs(qkv, d, 2 * d), _pairs(qkv, 2 * d, 3 * d)
         p = np.matmul(q, keys.transpose(0, 2, 1))
         p += w.dist[net.back] + net.closed
-        np.minimum(p, 50, out=p)
+        if p.max() > 50:
+            np.minimum(p, 50, out=p)
         np.exp(p, out=p)
         p[rows[:-1, 0] == self.v.pad_row, :, :s] = 0
         ones = np.ones((2 * s, 1), np.float32)  # sums by matrix product: faster over short rows
@@ -301,28 +308,29 @@ class Trainer:
         h = e[s:] + seen
         z = h @ w.out
         z += w.bias
-        np.clip(z, -50, 50, out=z)
+        if z.max() > 50 or z.min() < -50:
+            np.clip(z, -50, 50, out=z)
         np.exp(z, out=z)
         wanted = target.ravel()
         live = np.flatnonzero(wanted >= 0)
         weight = np.zeros(len(wanted), np.float32)
         weight[live] = 1 / max(1, len(live))
         z *= (weight / (z @ np.ones(z.shape[1], np.float32)))[:, None]
-        z.ravel()[live * z.shape[1] + self.v.cls[wanted[live]]] -= weight[live]
+        flat_z, own = z.ravel(), live * z.shape[1] + self.v.cls.take(wanted.take(live))
+        flat_z[own] = flat_z.take(own) - weight.take(live)
         dh = z @ w.out.T
         dh3 = dh.reshape(n, s, d)
         dp = np.matmul(dh3, values.transpose(0, 2, 1))
         dp -= ((dh * seen) @ np.ones((d, 1), np.float32)).reshape(n, s, 1)
         dp *= p
-        grad = np.empty((n + 1, s, 3 * d), np.float32)
-        grad[0, :, :d], grad[-1, :, d:] = 0, 0
-        np.matmul(dp, keys, out=grad[1:, :, :d])
-        later = np.empty((n, s, 2 * d), np.float32)  # a block is the second of its window and the first of the next
+        grad = np.zeros((n + 1, s, 3 * d), np.float32)
+        later = np.empty((n, s, 3 * d), np.float32)  # a block is the second of its window and the first of the next
+        np.matmul(dp, keys, out=later[:, :, :d])
         for i, x, y in ((d, dp, q), (2 * d, p, dh3)):
             x = x.transpose(0, 2, 1)
             np.matmul(x[:, :s], y, out=grad[:-1, :, i:i + d])
-            np.matmul(x[:, s:], y, out=later[:, :, i - d:i])
-        grad[1:, :, d:] += later
+            np.matmul(x[:, s:], y, out=later[:, :, i:i + d])
+        grad[1:] += later
         grad = grad.reshape(-1, 3 * d)
         de = grad @ into.T
         de[s:] += dh
@@ -334,7 +342,7 @@ class Trainer:
         demb[used == self.v.pad_row] = 0
         square = self.square[0].take(used, axis=0) + demb * demb
         self.square[0][used] = square
-        w.emb[used] -= self.rules.rate * demb / np.sqrt(square)
+        w.emb[used] = w.emb.take(used, axis=0) - self.rules.rate * demb / np.sqrt(square)
         dinto = e.T @ grad
         dinto[:, :d] *= scale
         ddist = (np.ones(n, np.float32) @ dp.reshape(n, -1)) @ self.by_distance
@@ -344,6 +352,11 @@ class Trainer:
         self.rest -= self.rules.rate * g / np.sqrt(self.rest_square)
 
 
+def _pairs(x: np.ndarray, a: int, b: int) -> np.ndarray:
+    """View of columns a to b of all windows: block i and the one after it (``x``: blocks x stride x columns)."""
+    return np.ndarray((len(x) - 1, 2 * x.shape[1], b - a), x.dtype, x, a * x.itemsize, x.strides)
+
+
 def _views(flat: np.ndarray, parts: list[np.ndarray]) -> list[np.ndarray]:
     """Views of ``flat`` in the shapes of ``parts``, one after another."""
     ends = np.cumsum([x.size for x in parts])
@@ -357,6 +370,7 @@ class Shares:
         self.v, self.prior = v, prior
         share = (id_count + 0.5) / np.bincount(v.cls, weights=id_count + 0.5)[v.cls]
         self.share = share
+        self.prior_share = prior * share
         #: share of an id in its column (1 unless the column stands for several ids)
         self.own = share / np.bincount(v.slot, weights=share, minlength=v.slots)[v.slot]
         self.pair = pair_count.astype(np.float32)
@@ -368,7 +382,7 @@ class Shares:
     def log(self, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
         v, before = self.v, self.v.before(ids, starts)
         both = self.pair[before * v.slots + v.slot[ids]] * self.own[ids]
-        return np.log((both + self.prior * self.share[ids]) / (self.by_class[before * v.classes + v.cls[ids]] + self.prior))
+        return np.log((both + self.prior_share[ids]) / (self.by_class[before * v.classes + v.cls[ids]] + self.prior))
 
 
 class Scorer:
@@ -388,23 +402,24 @@ class Scorer:
 
     def class_logs(self, rows: np.ndarray, cls: np.ndarray) -> np.ndarray:
         """Log probability of class ``cls[i]`` at each position of blocks 1, 2, ... of ``rows`` (blocks x stride)."""
-        s, n = self.s, len(rows) - 1
+        s = self.s
         k, val = self.k.take(rows, axis=0), self.v_.take(rows, axis=0)
-        pair = lambda x: np.lib.stride_tricks.as_strided(x, (n, 2 * s, x.shape[2]), x.strides)  # noqa: E731  block i and the one after it
-        score = np.matmul(self.q.take(rows[1:], axis=0), pair(k).transpose(0, 2, 1))
-        score += self.bias
+        p = np.matmul(self.q.take(rows[1:], axis=0), _pairs(k, 0, k.shape[2]).transpose(0, 2, 1))
+        p += self.bias
+        if p.max() > 50:
+            np.minimum(p, 50, out=p)
+        np.exp(p, out=p)
         pad = rows == self.v.pad_row
-        some = pad.any(axis=1)
-        some = np.flatnonzero(some[:-1] | some[1:])
+        padded = pad.any(axis=1)
+        some = np.flatnonzero(padded[:-1] | padded[1:])
         if len(some):
-            score[some] += np.where(np.concatenate([pad[some], pad[some + 1]], axis=1), np.float32(-1e4), np.float32(0))[:, None, :]
-        np.minimum(score, 50, out=score)
-        p = np.exp(score, out=score)
-        h = np.matmul(p, pair(val)).reshape(len(cls), -1)
+            p[some] *= ~np.concatenate([pad[some], pad[some + 1]], axis=1)[:, None, :]
+        h = np.matmul(p, _pairs(val, 0, val.shape[2])).reshape(len(cls), -1)
         h /= h[:, -1:] + np.float32(1e-30)
         h += self.emb.take(rows[1:].ravel(), axis=0)
         logits = h @ self.out
-        np.minimum(logits, 50, out=logits)
+        if logits.max() > 50:
+            np.minimum(logits, 50, out=logits)
         own = logits.ravel().take(np.arange(len(logits)) * logits.shape[1] + cls)
         return own - np.log(np.exp(logits, out=logits) @ np.ones(logits.shape[1], np.float32))
 
@@ -431,7 +446,7 @@ def _learn(train: DataFrame, ranks_file: str, rules: LmRules) -> DataFrame:
     counts by hash, counts of ids and pairs, and a task's weights by block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = Subwords(ranks_file, rules)
+        v = subwords(ranks_file, rules)
         trainer = Trainer(Weights.start(v, rules), v, rules)
         id_count = np.zeros(v.end + 1, np.int64)
         pair_count = np.zeros(v.slots ** 2, np.int64)
@@ -517,7 +532,7 @@ def train_lm(train: DataFrame, ranks_file: str, work: Workspace, rules: LmRules
     learned, _ = work.write(_learn(train, ranks_file, rules), "learned")
     counts, distinct = work.write(learned.filter("kind = 'word'").groupBy(F.col("key").alias("h")).agg(F.sum("n").alias("c")), "words")
     n_words = counts.agg(F.sum("c")).first()[0] or 0
-    v = Subwords(ranks_file, rules)
+    v = subwords(ranks_file, rules)
     found = {}
     for kind, size in (("id", v.end + 1), ("pair", v.slots ** 2)):
         table = learned.filter(F.col("kind") == kind).groupBy("key").agg(F.sum("n").alias("n")).toArrow()  # size rows at most
@@ -556,7 +571,7 @@ def score_texts(docs: DataFrame, model: LanguageModel, ranks_file: str, work: Wo
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own_h, own_c, vector, id_count, pair_count = shared.value
-        v = Subwords(ranks_file, rules)
+        v = subwords(ranks_file, rules)
         weights = Weights.start(v, rules)
         scorer = Scorer(weights.like(vector) if vector is not None else weights, v, rules.stride)
         shares = Shares(v, id_count, pair_count, rules.prior)
@@ -567,7 +582,9 @@ def score_texts(docs: DataFrame, model: LanguageModel, ranks_file: str, work: Wo
             ids, starts = v.of(w)
             score = score_ids(ids, starts, v, scorer, shares)
             h = word_hashes(w.vocab).view(np.int64)
-            at = np.minimum(np.searchsorted(own_h, h), max(len(own_h) - 1, 0))
+            order = np.argsort(h)  # lookups in order stay near each other
+            at = np.empty(len(h), np.int64)
+            at[order] = np.minimum(np.searchsorted(own_h, h[order]), max(len(own_h) - 1, 0))
             found = own_h[at] == h if len(own_h) else np.zeros(len(h), bool)
             c = np.where(found, own_c[at], 0) if len(own_h) else np.zeros(len(h), np.int64)
             here = found | whole
