@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from threadweave.llm import anchored
+from threadweave.llm import anchored, substring_dedup
 from threadweave.llm.exact_dedup import Directory, drop_copies, exact_duplicates
 from threadweave.llm.near_dedup import NearRules, _tiles, keep_one, min_matches, near_duplicates
 from threadweave.llm.substring_dedup import SuffixAutomaton, remove_reference_spans, remove_repeated_spans
@@ -260,6 +260,50 @@ def test_automaton_windows():
         assert got == [first.get(tuple(query[p:p + width]), (1 << 63) - 1) for p in range(len(query) - width + 1)]
 
 
+def anchored_strings(rng, sizes, vocabulary):
+    """Distinct strings of anchors 1, 2, ... as the solver gets them: 5 windows of 13 words; every third string without a document."""
+    rows = []
+    for g, n in enumerate(sizes, 1):
+        for i in range(n):
+            words = [b"x%d" % rng.randrange(vocabulary) for _ in range(17)]
+            at = rng.randint(4, 9)
+            words[at:at + 4] = [b"anchor%d" % g] * 4
+            rows.append([g, 5, at, b" ".join(words), 1 + i % 2, None if i % 3 == 2 else rng.randrange(10**6)])
+    return anchored.Strings(rows)
+
+
+def solved_brute(own, width):
+    first = {}
+    for body, least in zip(own.body, own.least, strict=True):
+        words = body.split()
+        for p in range(len(words) - width + 1):
+            if least is not None:
+                first[tuple(words[p:p + width])] = min(first.get(tuple(words[p:p + width]), least), least)
+    return [[first.get(tuple(words[p:p + width]), substring_dedup.NEVER) for p in range(5)] for words in (b.split() for b in own.body)]
+
+
+@pytest.mark.parametrize(("sizes", "vocabulary", "most"), [((21_000,), 9_000, None), ((1, 9, 2, 40, 3, 1, 5), 2, 60), ((30, 30), 1, 1)])
+def test_automata_of_large_anchors_are_bounded(monkeypatch, sizes, vocabulary, most):
+    own, built = anchored_strings(random.Random(4), sizes, vocabulary), []
+
+    class Counted(SuffixAutomaton):
+        def __init__(self, passages):
+            passages = list(passages)
+            built.append(sum(len(w) for w, _ in passages))
+            super().__init__(passages)
+
+    monkeypatch.setattr(substring_dedup, "SuffixAutomaton", Counted)
+    if most:
+        monkeypatch.setattr(substring_dedup, "SHARD_WORDS", most)
+    got = substring_dedup._solver(13)(own)
+    assert len(built) > 1 and max(built) <= max(17, most or 200_000)   # before: one automaton of all words, 443 MB at 50,000 strings
+    for i, (marks, want) in enumerate(zip(got, solved_brute(own, 13), strict=True)):
+        if marks is not None:
+            assert memoryview(marks).cast("q").tolist() == want
+        else:   # nothing smaller than its own document, which is its only one
+            assert own.n[i] == 1 and min(want) >= (substring_dedup.NEVER if own.least[i] is None else own.least[i])
+
+
 def test_reference_spans(spark):
     words = [f"w{i}" for i in range(100)]
     reference = spark.createDataFrame([(" ".join(words[:40]),), (" ".join(words[60:80]),), (None,), ("short",)], "text string")

@@ -14,8 +14,9 @@ automata of all its shards to all documents would take work with the square of
 the corpus, so the shards are made by anchor (see ``anchored``): the passages
 of an anchor - distinct, with the smallest document of each - are one shard's
 references, and the documents' passages of that anchor are streamed through
-it in the task that holds the automaton.  Passages that no other document
-shares are never shipped.
+it in the task that holds the automaton.  Where these are more than
+``SHARD_WORDS``, shards of that size follow each other, and each passage keeps
+the smallest id.  Passages that no other document shares are never shipped.
 
 Defined results: a null or empty text has no words; a word is removed only for
 a smaller ``doc_id``, so repeated rows lose nothing to each other; a row with a
@@ -40,6 +41,9 @@ from threadweave.llm.tables import Workspace
 from threadweave.llm.textcols import covered, id_text, slices
 
 NEVER = (1 << 63) - 1
+#: Words of one automaton's references, as its states are Python objects.  The
+#: references of more are cut to shards, one in memory at a time.
+SHARD_WORDS = 200_000
 
 
 class SuffixAutomaton:
@@ -110,17 +114,41 @@ class SuffixAutomaton:
         return out
 
 
+def _shards(split: dict[int, list[bytes]], references: Iterable[int]) -> Iterator[list[int]]:
+    """The references in runs of at most ``SHARD_WORDS`` words."""
+    part, held = [], 0
+    for i in references:
+        if part and held + len(split[i]) > SHARD_WORDS:
+            yield part
+            part, held = [], 0
+        part.append(i)
+        held += len(split[i])
+    if part:
+        yield part
+
+
 def _solver(width: int):
     def solve(own: Strings) -> list[bytes | None]:
         g = np.array(own.g)
         _, inverse, count = np.unique(g, return_inverse=True, return_counts=True)
         shared = count[inverse] > 1
         split = {i: own.body[i].split() for i in np.flatnonzero(shared).tolist()}
-        shard = SuffixAutomaton((split[i], own.least[i]) for i in split if own.least[i] is not None)
+        lowest: dict[int, list[int]] = {}
+
+        def stream(part: list[int]) -> None:
+            """The strings of the shard's anchors through its automaton, which ends with the call."""
+            shard, own_anchors = SuffixAutomaton((split[i], own.least[i]) for i in part), {own.g[i] for i in part}
+            for i, words in split.items():
+                if own.g[i] in own_anchors:
+                    found = shard.windows(words, width)
+                    lowest[i] = list(map(min, lowest[i], found)) if i in lowest else found
+
+        for part in _shards(split, (i for i in split if own.least[i] is not None)):
+            stream(part)
         out: list[bytes | None] = []
         for i, (n, n_win, least) in enumerate(zip(own.n, own.n_win, own.least, strict=True)):
             if i in split:
-                found = shard.windows(split[i], width)
+                found = lowest.get(i) or [NEVER] * n_win
                 out.append(np.array(found, np.int64).tobytes() if n > 1 or min(found) < (NEVER if least is None else least) else None)
             else:
                 out.append(np.full(n_win, least, np.int64).tobytes() if n > 1 and least is not None else None)
