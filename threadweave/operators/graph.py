@@ -50,15 +50,15 @@ class PostJoinPlan:
 
 
 def post_join_plan(posts: DataFrame, comments: DataFrame, group: Sequence[str] = ()) -> PostJoinPlan:
-    """Count the posts and, if they are too many to broadcast, find the hot post
-    keys (a viral post may carry a third of all comments) by counting the
+    """Count the posts and, if they are too many to broadcast (or to build in the
+    driver), find the hot post keys (a viral post may carry a third of all comments) by counting the
     comments per key: at most maxHotKeys keys exceed
     max(minHotRows, comments / maxHotKeys), so the hot set has a proven bound.
     Both inputs are written tables of keys."""
-    from threadweave.operators.joins import broadcast_ok, hot_keys
+    from threadweave.operators.joins import broadcast_ok, fits_driver, hot_keys
     from threadweave.runtime import cut
-    n_posts = posts.count()
-    if broadcast_ok(posts, n_posts):
+    n_posts, keys = posts.count(), posts.drop("author", "subreddit")   # names are not joined
+    if broadcast_ok(keys, n_posts) and fits_driver(keys, n_posts):
         return PostJoinPlan(n_posts, None)
     hot = hot_keys(comments, [*group, "link_hash"], comments.count())
     return PostJoinPlan(n_posts, None if hot is None else cut(hot, "hot-posts"))
@@ -71,7 +71,7 @@ def comment_post_edges(posts: DataFrame, comments: DataFrame, group: Sequence[st
     were filtered out get no edge.
 
     With a ``plan`` the join is explicit about size and skew: all posts are
-    broadcast when their count is under the broadcast bound; otherwise hot
+    broadcast when their count is under the broadcast bounds; otherwise hot
     posts (bounded set) join map-side and the rest by a shuffle join in which
     no post key exceeds the hot threshold.  Without a plan, AQE's skew join
     splits a hot post."""

@@ -5,7 +5,8 @@ Graph iterations join edges (billions of rows) with one state row per vertex
 
 * **broadcast** — the state table has at most ``threadweave.broadcast.maxRows``
   rows (counted, so the bound is checked); edges never move and a hot vertex
-  costs nothing extra;
+  costs nothing extra.  A join made once (``join_state``) also keeps the table
+  within a share of the driver's heap, as the driver builds it;
 * **skew split** — otherwise.  Keys with more than T edge rows are *hot*; with
   T = max(minHotRows, |E| / maxHotKeys) there are at most maxHotKeys of them
   (pigeonhole), so the hot keys and their state rows have a proven bound and
@@ -24,19 +25,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadweave.runtime import (
-    CONF_BROADCAST_ROWS, CONF_HOT_MAX_KEYS, CONF_HOT_MIN_ROWS, conf_int, cut, cut_placed, partitions_for,
+    CONF_BROADCAST_ROWS, CONF_HOT_MAX_KEYS, CONF_HOT_MIN_ROWS, broadcast_bytes, conf_int, cut, cut_placed, partitions_for,
 )
 
 
 #: A string column counts as so many numbers when a table's size is bounded.
 STRING_WEIGHT = 3
 
+#: Bytes of a row of a few numbers in a broadcast hash table, as measured (67 MB
+#: for 864,000 posts), and of an id in a row's list.
+ROW_BYTES, ID_BYTES = 80, 4
+
+
+def row_weight(df: DataFrame) -> int:
+    """How many rows of a few numbers a row like those of ``df`` counts as: string
+    columns (name ids) weigh more."""
+    strings = sum(f.dataType.typeName() in ("string", "varchar", "char") for f in df.schema)
+    return 1 + STRING_WEIGHT * strings
+
 
 def broadcast_ok(df: DataFrame, rows: int) -> bool:
     """Whether ``rows`` rows like those of ``df`` are within the broadcast bound,
-    which is for rows of a few numbers; string columns (name ids) weigh more."""
-    strings = sum(f.dataType.typeName() in ("string", "varchar", "char") for f in df.schema)
-    return rows * (1 + STRING_WEIGHT * strings) <= conf_int(df.sparkSession, CONF_BROADCAST_ROWS)
+    which is for rows of a few numbers."""
+    return rows * row_weight(df) <= conf_int(df.sparkSession, CONF_BROADCAST_ROWS)
+
+
+def fits_driver(df: DataFrame, rows: int, ids: int = 0) -> bool:
+    """Whether the driver can build a hash table of ``rows`` rows like those of
+    ``df``, with ``ids`` ids in all their lists."""
+    return (ROW_BYTES * rows + ID_BYTES * ids) * row_weight(df) <= broadcast_bytes(df.sparkSession)
 
 
 def hot_keys(edges: DataFrame, keys: Sequence[str], n_edges: int, max_keys: int | None = None) -> DataFrame | None:
@@ -56,10 +73,10 @@ def hot_keys(edges: DataFrame, keys: Sequence[str], n_edges: int, max_keys: int
 
 
 def join_state(edges: DataFrame, state: DataFrame, keys: Sequence[str], state_rows: int,
-               hot: DataFrame | None = None, how: str = "inner") -> DataFrame:
-    """``edges ⋈ state`` on ``keys`` (state is unique on keys)."""
+               hot: DataFrame | None = None, how: str = "inner", ids: int = 0) -> DataFrame:
+    """``edges ⋈ state`` on ``keys`` (state is unique on keys, ``ids``: ids in lists of its rows)."""
     keys = list(keys)
-    if broadcast_ok(state, state_rows):
+    if broadcast_ok(state, max(state_rows, ids)) and fits_driver(state, state_rows, ids):
         return edges.join(F.broadcast(state), keys, how)
     if hot is None:
         return edges.join(state, keys, how)

@@ -149,8 +149,8 @@ def triangles_by_lists(o: Oriented) -> DataFrame:
     g = o.group
     lists, tails, hot = wedge_tails(o)
     out_v = lists.select(*g, F.col("u").alias("v"), F.col("nu").alias("nv"))
-    # out-lists together hold one id per edge, so the edges are the size measure for broadcasting them
-    return (join_state(tails, out_v, [*g, "v"], o.m, hot)
+    # out-lists together hold one id per edge; what the driver builds of them has a row per head, too
+    return (join_state(tails, out_v, [*g, "v"], lists.count(), hot, ids=o.m)
             .select(*g, "u", "v", F.explode(F.array_intersect("tail", "nv")).alias("w")))
 
 

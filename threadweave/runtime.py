@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 # Knobs (session conf keys) with their defaults.  They bound what may be
 # broadcast and decide which keys count as "hot" for the skew-split joins.
 CONF_BROADCAST_ROWS = "threadweave.broadcast.maxRows"      # narrow (id + a few numbers) tables
+CONF_BROADCAST_BYTES = "threadweave.broadcast.maxBytes"    # tables that a shuffle join can replace; default: by the driver's heap
 CONF_HOT_MAX_KEYS = "threadweave.skew.maxHotKeys"          # bound on the broadcast hot-key set
 CONF_HOT_MIN_ROWS = "threadweave.skew.minHotRows"          # a key is hot above this many rows
 CONF_CHECKPOINT_EVERY = "threadweave.iter.checkpointEvery"  # iterations between checkpoints
@@ -38,6 +39,10 @@ DEFAULTS = {
 }
 
 
+#: A broadcast table is in the driver several times at once: as collected rows, as a
+#: hash table with the half that it grew from, as the blocks sent, and in network buffers.
+HEAP_PER_BROADCAST = 32
+
 COALESCED = "32m"   # shuffled bytes of a task whose rows are wide where they are written
 
 
@@ -45,6 +50,14 @@ def conf_int(spark: SparkSession, key: str) -> int:
     return int(spark.conf.get(key, str(DEFAULTS[key])))
 
 
+def broadcast_bytes(spark: SparkSession) -> int:
+    """Bytes of a table that the driver may build for a join that could also shuffle."""
+    configured = spark.conf.get(CONF_BROADCAST_BYTES, None)
+    if configured is not None:
+        return int(configured)
+    return spark._jvm.java.lang.Runtime.getRuntime().maxMemory() // HEAP_PER_BROADCAST
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
