@@ -80,3 +80,12 @@ def test_triangle_queries_do_not_build_posts_in_the_driver(spark, tmp_path, monk
     at = catalog.QUERIES[key](spark, str(tmp_path)).columns.index("count")
     # 0..5 in a ring, each met by the next two: {i, i+1, i+2} and the two alternate ones
     assert [r[at] for r in want] == [4] * 6
+
+
+def test_names_beside_the_keys_do_not_change_the_plan_of_the_posts(spark):
+    """``triangles_named`` writes names with the keys of posts; the join with comments reads keys only."""
+    posts, comments = _posts(spark), _comments(spark)
+    named = posts.withColumns({"author": F.lit("u1"), "subreddit": F.lit("s")})
+    with runtime.session_conf(spark, {runtime.CONF_BROADCAST_ROWS: "50", runtime.CONF_HOT_MIN_ROWS: "20"}):
+        assert graph.post_join_plan(posts, comments).hot is None
+        assert graph.post_join_plan(named, comments).hot is None   # all posts are broadcast, so no hot ones are sought
